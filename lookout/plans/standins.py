@@ -123,7 +123,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FEAT_SQL = """feat AS (
   SELECT vec_id, label,
-         list_transform(embedding, x -> CAST(floor((CAST(x AS DOUBLE) + 1) * 127.5) AS INTEGER)) AS pixels
+         list_transform(embedding, lambda x: CAST(floor((CAST(x AS DOUBLE) + 1) * 127.5) AS INTEGER)) AS pixels
   FROM embeddings)"""
 
 
