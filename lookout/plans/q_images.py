@@ -1 +1,116 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: the image path over image files that Spark writes
+from the feature stand-in (one 8x8 grey PNG per ``embeddings`` row), so
+the work grows with the table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lookout.functions.arrays import unit_scale
+from lookout.functions.images import augment_udf
+from lookout.operators import dataset as D
+from lookout.plans import sqlfrag as Q
+from lookout.plans import standins as S
+from lookout.plans.catalog import register
+from lookout.session import IMAGE_ARROW_BATCH, work_dir
+from lookout.sources import images as I
+from lookout.sources.tables import table
+
+W = S.with_ctes
+SIDE = 8  # the feature stand-in is an 8 x 8 x 1 tensor
+RGB_LEN = SIDE * SIDE * 3
+ID_FROM_PATH = r"img_(\d+)\.png$"
+
+
+def export_features(spark, sf, folder_cols=(), frame=None) -> str:
+    """Write the feature table as PNG files (an action) and return the root."""
+    root = work_dir(spark, "images")
+    frame = frame if frame is not None else S.features(spark, sf)
+    I.write_png_files(frame, root, "vec_id", "pixels", SIDE, SIDE, 1, folder_cols).count()
+    return root
+
+
+def _vec_id(col="path"):
+    return F.regexp_extract(F.col(col), ID_FROM_PATH, 1).cast("bigint").alias("vec_id")
+
+
+RGB_SQL = W(
+    f"SELECT vec_id, list_transform(range({RGB_LEN}), lambda i: pixels[i // 3 + 1]) AS rgb FROM feat", S.FEAT_SQL
+)
+
+
+@register("image_features", RGB_SQL)
+def image_features(spark, sf):
+    """Scan the PNG folder with the image source (JVM decode),
+    grey -> RGB, resize (identity here), flatten, scale; ``rgb`` is the
+    vector scaled back to 0..255 for an exact check."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(IMAGE_ARROW_BATCH))
+    root = export_features(spark, sf)
+    feats = I.image_features(I.read_images(spark, root), SIDE, SIDE)
+    return feats.select(
+        _vec_id(), F.transform("pixels", lambda x: F.round(x * 255).cast("int")).alias("rgb")
+    )
+
+
+@register(
+    "label_folders",
+    W(
+        """SELECT c.class_id, c.class_name, CAST(coalesce(t.n, 0) AS BIGINT) AS n_images
+FROM classes c LEFT JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY label) t ON c.class_id = t.label""",
+        Q.classes_cte(),
+    ),
+)
+def label_folders(spark, sf):
+    """S4 + S3 + J3: class folders ``c0..c9`` -> (path, label) -> images per
+    class over the whole dimension (zero for a missing class)."""
+    frame = S.features(spark, sf).withColumn("folder", F.concat(F.lit("c"), F.col("label").cast("string")))
+    root = export_features(spark, sf, ("folder",), frame)
+    rows, _missing = I.labelled_folders(spark, root)
+    return D.class_distribution(rows, "label").withColumnRenamed("n_rows", "n_images")
+
+
+def _strat_counts_sql() -> str:
+    from lookout.plans.q_dataset import _strat_sql
+
+    return (
+        "SELECT split, CAST(label AS INTEGER) AS label, CAST(count(*) AS BIGINT) AS n_images "
+        f"FROM ({_strat_sql('vec_id', 'label', 'embeddings')}) GROUP BY split, label"
+    )
+
+
+@register("split_folders", _strat_counts_sql())
+def split_folders(spark, sf):
+    """``<split>/<class>/`` folders -> (path, split, label); the label is
+    the class folder's sorted index."""
+    split = D.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label")
+    frame = (
+        S.features(spark, sf)
+        .join(split.select("vec_id", "split"), "vec_id")
+        .withColumn("folder", F.concat(F.lit("c"), F.col("label").cast("string")))
+    )
+    root = export_features(spark, sf, ("split", "folder"), frame)
+    rows = I.split_folders(spark, root)
+    return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_images"))
+
+
+@register(
+    "augment_images",
+    f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, label, CAST({RGB_LEN} AS INTEGER) AS n_values, true AS in_range
+FROM embeddings, unnest(range(3)) t(k)""",
+)
+def augment_images(spark, sf):
+    """U2 + F14: originals plus two seeded augmented copies; the check is on
+    shape and value range (the copies are random by design)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(IMAGE_ARROW_BATCH))
+    feats = S.features(spark, sf)
+    rgb = F.transform(F.sequence(F.lit(0), F.lit(RGB_LEN - 1)), lambda i: F.element_at("pixels", F.floor(i / 3).cast("int") + 1))
+    base = feats.select("vec_id", "label", unit_scale(rgb).alias("pixels"))
+    rows = D.augmented_rows(base, factor=2)
+    aug = rows.withColumn("aug", augment_udf(SIDE, SIDE)(F.col("pixels"), F.col("vec_id"), F.col("aug_index")))
+    return aug.select(
+        "vec_id",
+        F.col("aug_index").cast("int").alias("aug_index"),
+        "label",
+        F.size("aug").alias("n_values"),
+        F.forall("aug", lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
+    )

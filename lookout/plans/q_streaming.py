@@ -1 +1,149 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: the streaming path (T1-T4, S9, S10, S13) and batch
+scoring (D2-D4, D6, W13). Streams run with ``availableNow`` so they drain
+their input and stop; the result is read back from what the sink wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lookout.operators import dataset as D
+from lookout.operators import evaluation as E
+from lookout.operators import scoring as SC
+from lookout.plans import sqlfrag as Q
+from lookout.plans import standins as S
+from lookout.plans.catalog import register
+from lookout.plans.q_evaluation import linear_sql
+from lookout.plans.q_images import ID_FROM_PATH, RGB_LEN, SIDE, export_features
+from lookout.session import work_dir
+from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, table
+from lookout.streaming import classify as C
+
+W = S.with_ctes
+EVENTS_PER_TRIGGER = 1
+IMAGES_PER_TRIGGER = 250
+
+
+def _event_stream(spark, sf):
+    """``events`` replayed as a file stream (S13): the driver folder filtered
+    to the events file, at most N files per micro-batch."""
+    schema = table(spark, sf, "events").schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", EVENTS_PER_TRIGGER)
+        .parquet(sf)
+    )
+
+
+def _as_predictions(ev):
+    # The stand-in scorer for event rows (same rule as the ``pred`` table).
+    return ev.select(
+        F.concat(
+            F.lit(S.URI_PREFIX), F.col("event_type"), F.lit("+"), F.col("event_id").cast("string"), F.lit(".jpg")
+        ).alias("image"),
+        (F.col("user_id") % 11).cast("string").alias("prediction"),
+        F.col("ts").alias("modification_time"),
+    )
+
+
+def _run_event_stream(spark, sf):
+    base = work_dir(spark, "stream")
+    out, met, ckpt = f"{base}/predictions", f"{base}/metrics", f"{base}/checkpoint"
+    q = C.start_table_stream(_as_predictions(_event_stream(spark, sf)), out, met, ckpt)
+    q.awaitTermination()
+    return out, met
+
+
+@register("stream_predictions", W("SELECT image, prediction FROM pred", S.PRED_SQL))
+def stream_predictions(spark, sf):
+    """Stream -> idempotent per-batch sink -> read back."""
+    out, _ = _run_event_stream(spark, sf)
+    return read_or_empty(spark, out, PREDICTION_SCHEMA).select("image", "prediction")
+
+
+@register(
+    "stream_batch_metrics",
+    "SELECT CAST(0 AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS num_images FROM events",
+)
+def stream_batch_metrics(spark, sf):
+    """One timing row per micro-batch (durations vary run to run,
+    so the check is on batch ids and image counts)."""
+    _, met = _run_event_stream(spark, sf)
+    return read_or_empty(spark, met, METRICS_SCHEMA).select("batch_id", "num_images")
+
+
+@register(
+    "stream_class_counts",
+    W(
+        f"""SELECT TRY_CAST(prediction AS INTEGER) AS class_id,
+       {Q.class_name('TRY_CAST(prediction AS INTEGER)')} AS class_name, CAST(count(*) AS BIGINT) AS n_images
+FROM pred GROUP BY 1""",
+        S.PRED_SQL,
+    ),
+)
+def stream_class_counts(spark, sf):
+    """T4: running class counts (complete mode) refreshed into a table."""
+    base = work_dir(spark, "live-counts")
+    q = C.start_live_class_counts(_as_predictions(_event_stream(spark, sf)), f"{base}/table", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+def _rgb_linear_sql() -> str:
+    rgb = f"list_transform(range({RGB_LEN}), lambda i: CAST(pixels[i // 3 + 1] AS DOUBLE) / 255.0)"
+    return W(
+        f"""SELECT vec_id, CAST(list_position(sc, list_max(sc)) - 1 AS VARCHAR) AS prediction
+FROM (SELECT vec_id, {linear_sql('rgb')} AS sc FROM (SELECT vec_id, {rgb} AS rgb FROM feat))""",
+        S.FEAT_SQL,
+    )
+
+
+@register("stream_image_predictions", _rgb_linear_sql())
+def stream_image_predictions(spark, sf):
+    """A folder of PNG files streamed through decode,
+    resize, Arrow-batched scoring and the idempotent sink."""
+    src = export_features(spark, sf)
+    base = work_dir(spark, "image-stream")
+    q = C.start_image_classifier(
+        spark,
+        src,
+        f"{base}/predictions",
+        f"{base}/metrics",
+        f"{base}/checkpoint",
+        height=SIDE,
+        width=SIDE,
+        max_files_per_trigger=IMAGES_PER_TRIGGER,
+    )
+    q.awaitTermination()
+    preds = read_or_empty(spark, f"{base}/predictions", PREDICTION_SCHEMA)
+    return preds.select(F.regexp_extract("image", ID_FROM_PATH, 1).cast("bigint").alias("vec_id"), "prediction")
+
+
+@register(
+    "batch_scoring",
+    f"""SELECT vec_id, CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS prediction
+FROM (SELECT vec_id, {linear_sql('embedding')} AS sc FROM embeddings)""",
+)
+def batch_scoring(spark, sf):
+    """A static table through ``predict_batch_udf`` (64-row
+    batches; the weights ride in the model factory's closure)."""
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    udf = SC.score_udf(SC.LinearModel.rule(64).make_predict_fn(), [64], batch_size=64)
+    scored = SC.with_scores(emb, "embedding", udf)
+    return scored.select("vec_id", F.col("y_pred").alias("prediction"))
+
+
+@register("fit_and_score")
+def fit_and_score(spark, sf):
+    """D6 + A11/A12: fit a weighted multinomial logistic regression on the
+    train split of the feature table, score the validation split and report
+    (rows-only: fitted weights are not an SQL quantity)."""
+    emb = table(spark, sf, "embeddings")
+    split = D.stratified_split(emb, "vec_id", "label")
+    data = emb.join(split.select("vec_id", "split"), "vec_id")
+    train = data.where(F.col("split") == "train")
+    weights = D.class_weights(train)
+    model = SC.fit_logistic(D.with_weights(train, weights), "embedding", "label", "weight", max_iter=30)
+    val = SC.apply_logistic(model, data.where(F.col("split") == "val"), "embedding")
+    scored = val.select("vec_id", F.col("label").alias("y_true"), "y_pred", "scores")
+    return E.classification_report(scored)
