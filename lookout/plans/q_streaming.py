@@ -15,7 +15,8 @@ from lookout.plans.catalog import register
 from lookout.plans.q_evaluation import linear_sql
 from lookout.plans.q_images import ID_FROM_PATH, RGB_LEN, SIDE, export_features
 from lookout.session import work_dir
-from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, table
+from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, read_part_csvs, table
+from lookout.streaming.sink import write_partition
 from lookout.streaming import classify as C
 
 W = S.with_ctes
@@ -147,3 +148,28 @@ def fit_and_score(spark, sf):
     val = SC.apply_logistic(model, data.where(F.col("split") == "val"), "embedding")
     scored = val.select("vec_id", F.col("label").alias("y_true"), "y_pred", "scores")
     return E.classification_report(scored)
+
+
+@register("csv_roundtrip", W("SELECT image, prediction, batch_id FROM pred", S.PRED_SQL))
+def csv_roundtrip(spark, sf):
+    """S9 + S7 + P4: predictions written as CSV with header, one partition
+    folder per batch id, then read back by header name."""
+    out = work_dir(spark, "csv-predictions")
+    write_partition(S.predictions(spark, sf).select("image", "prediction", "batch_id"), out, fmt="csv")
+    back = read_part_csvs(spark, out, PREDICTION_SCHEMA)
+    return back.select("image", "prediction", "batch_id")
+
+
+@register(
+    "metrics_csv_roundtrip",
+    W("SELECT batch_id, num_images, duration_ms, round(ms_per_image, 6) AS ms_per_image FROM metrics", S.METRICS_SQL),
+)
+def metrics_csv_roundtrip(spark, sf):
+    """S10 + S8 + W5: the timing table as CSV parts, read back, ordered by
+    batch id."""
+    out = work_dir(spark, "csv-metrics")
+    write_partition(S.metrics(spark, sf), out, fmt="csv")
+    back = read_part_csvs(spark, out, METRICS_SCHEMA)
+    return back.select(
+        "batch_id", "num_images", "duration_ms", F.round("ms_per_image", 6).alias("ms_per_image")
+    ).orderBy("batch_id")

@@ -3,6 +3,7 @@ writes (S6, S7, S8, S15)."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,32 +63,75 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return reader.load(path)
 
 
+def _first_lines(paths: pd.DataFrame) -> pd.DataFrame:
+    import pyarrow.fs as pafs
+
+    from lookout.session import local_fs_path
+
+    heads = []
+    for p in paths["path"]:
+        if p.startswith("file:") or "://" not in p:
+            fs, fp = pafs.LocalFileSystem(), local_fs_path(p)
+        else:
+            fs, fp = pafs.FileSystem.from_uri(p)
+        with fs.open_input_stream(fp) as f:
+            head = f.read(65536).split(b"\n", 1)[0].rstrip(b"\r")
+        heads.append(head.decode("utf-8", "replace"))
+    return pd.DataFrame({"path": paths["path"], "header": heads})
+
+
 def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_file_info: bool = False) -> DataFrame:
-    """All ``part-*.csv`` files of a folder as one table.
+    """All ``part-*.csv`` files under a folder as one table, columns matched
+    by header name (S7/S8, U1).
 
-    Empty and header-only parts contribute no rows; a part lacking a column
-    yields nulls in it (columns are matched by header name). With
-    ``with_file_info`` the file name and modification time are kept so that
-    rows can be ordered like the files (W4)."""
+    Parts are grouped by their header line (a distributed read of each
+    file's first line); each group is one CSV scan with the header's own
+    column order, and the groups are unioned by name -- a part lacking a
+    column yields nulls in it. Empty (0-byte) and header-only parts add no
+    rows. With ``with_file_info`` the file name and modification time are
+    kept so rows can be ordered like the files (W4)."""
+    extra = [T.StructField("file_name", T.StringType()), T.StructField("file_modification_time", T.TimestampType())]
+    out_schema = T.StructType(list(schema.fields) + (extra if with_file_info else []))
     if not path_exists(spark, path):
-        base = spark.createDataFrame([], schema)
-        if with_file_info:
-            base = base.withColumn("file_name", F.lit(None).cast("string")).withColumn(
-                "file_modification_time", F.lit(None).cast("timestamp")
-            )
-        return base
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        return spark.createDataFrame([], out_schema)
+    listing = (
+        spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*.csv")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+        .where(F.col("length") > 0)
     )
-    if with_file_info:
-        df = df.select(
-            *schema.fieldNames(),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_modification_time").alias("file_modification_time"),
+    heads = listing.select("path").mapInPandas(lambda it: (_first_lines(b) for b in it), "path string, header string")
+    # One row per distinct header (schema versions of the writer): tiny.
+    groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    by_name = {f.name: f for f in schema.fields}
+    frames = []
+    for g in groups:
+        cols = [c.strip().strip('"') for c in g["header"].split(",")]
+        file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in cols])
+        df = (
+            spark.read.schema(file_schema)
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("basePath", path)
+            .csv(g["paths"])
         )
-    return df
+        keep = [F.col(c) for c in cols if c in by_name]
+        # Hive partition columns (e.g. batch_id=N folders) found under basePath.
+        keep += [F.col(c).cast(by_name[c].dataType) for c in df.columns if c in by_name and c not in cols]
+        if with_file_info:
+            keep += [
+                F.col("_metadata.file_name").alias("file_name"),
+                F.col("_metadata.file_modification_time").alias("file_modification_time"),
+            ]
+        frames.append(df.select(*keep))
+    if not frames:
+        return spark.createDataFrame([], out_schema)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    for f in out_schema.fields:
+        if f.name not in out.columns:
+            out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return out.select(*out_schema.fieldNames())
