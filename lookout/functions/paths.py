@@ -6,7 +6,7 @@ whole-stage codegen and costs nothing extra at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference): file suffixes accepted by the
@@ -26,6 +26,42 @@ def url_unquote(p: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
 
 
+def _local_path_steps(project_root: str, windows: bool):
+    """The F9 rewrite as a list of steps ``prev -> next``; each step reads the
+    previous value as a plain column so that no stage is recomputed."""
+    root = project_root.rstrip("/\\")
+    steps = [
+        lambda p: url_unquote(p),
+        lambda p: F.regexp_replace(F.regexp_replace(p, r"^file:", ""), r"^/+", "/"),
+    ]
+    if not windows:
+        steps += [
+            lambda p: F.when(
+                p.rlike(r"^[a-zA-Z]:/"),
+                F.concat(F.lit("/mnt/"), F.lower(F.substring(p, 1, 1)), F.lit("/"), F.substring(p, 4, 1 << 30)),
+            ).otherwise(p),
+            lambda p: F.replace(
+                F.when(p.startswith("/"), p).otherwise(F.concat(F.lit(root + "/"), p)), F.lit("\\"), F.lit("/")
+            ),
+        ]
+    else:
+        steps += [
+            lambda p: F.when(p.startswith("/mnt/c/"), F.concat(F.lit("C:/"), F.substring(p, 8, 1 << 30))).otherwise(
+                F.when(
+                    p.rlike(r"^/[a-zA-Z]/"), F.concat(F.substring(p, 2, 1), F.lit(":"), F.substring(p, 3, 1 << 30))
+                ).otherwise(p)
+            ),
+            lambda p: F.replace(
+                F.when(p.rlike(r"^.:") | p.startswith("/") | p.startswith("\\"), p).otherwise(
+                    F.concat(F.lit(root + "\\"), p)
+                ),
+                F.lit("/"),
+                F.lit("\\"),
+            ),
+        ]
+    return steps
+
+
 def to_local_path(uri: Column, project_root: str = "/app", windows: bool = False) -> Column:
     """Image URI as written by the stream -> local path the viewer can open.
 
@@ -33,31 +69,29 @@ def to_local_path(uri: Column, project_root: str = "/app", windows: bool = False
     slashes, map ``X:/`` drive letters to ``/mnt/x/``, make relative paths
     absolute under ``project_root``, turn ``\\`` into ``/``.
     Windows branch: map ``/mnt/x/`` back to ``X:/`` and make relative
-    paths absolute; separators become ``\\``."""
-    p = url_unquote(uri)
-    p = F.regexp_replace(p, r"^file:", "")
-    p = F.regexp_replace(p, r"^/+", "/")
-    if not windows:
-        p = F.when(
-            p.rlike(r"^[a-zA-Z]:/"),
-            F.concat(F.lit("/mnt/"), F.lower(F.substring(p, 1, 1)), F.lit("/"), F.substring(p, 4, 1 << 30)),
-        ).otherwise(p)
-        p = F.when(p.startswith("/"), p).otherwise(F.concat(F.lit(project_root.rstrip("/") + "/"), p))
-        p = F.replace(p, F.lit("\\"), F.lit("/"))
-    else:
-        p = F.when(p.startswith("/mnt/c/"), F.concat(F.lit("C:/"), F.substring(p, 8, 1 << 30))).otherwise(
-            F.when(
-                p.rlike(r"^/[a-zA-Z]/"),
-                F.concat(F.substring(p, 2, 1), F.lit(":"), F.substring(p, 3, 1 << 30)),
-            ).otherwise(p)
-        )
-        p = F.when(
-            p.rlike(r"^.:") | p.startswith("/") | p.startswith("\\"), p
-        ).otherwise(F.concat(F.lit(project_root.rstrip("\\/") + "\\"), p))
-        p = F.replace(p, F.lit("/"), F.lit("\\"))
+    paths absolute; separators become ``\\``.
+
+    As one nested expression some steps repeat their input; for large
+    tables prefer :func:`with_local_path`, which stages the steps."""
+    p = uri
+    for step in _local_path_steps(project_root, windows):
+        p = step(p)
     return F.when(uri.isNotNull(), p)
 
 
+def with_local_path(
+    df: DataFrame, src: str, out: str = "local_path", project_root: str = "/app", windows: bool = False
+) -> DataFrame:
+    """Add ``out`` = F9 of ``src``, one projection per step: each value is
+    computed once per row (Catalyst does not inline a non-cheap expression
+    that the next step reads several times)."""
+    tmp = f"__{out}_step"
+    staged = df.withColumn(tmp, F.col(src))
+    for step in _local_path_steps(project_root, windows):
+        staged = staged.withColumn(tmp, step(F.col(tmp)))
+    return staged.withColumn(out, F.when(F.col(src).isNotNull(), F.col(tmp))).drop(tmp)
+
+
 def base_name(p: Column) -> Column:
     """Last path component (F10); a trailing separator gives ``""``."""
     return F.substring_index(p, "/", -1)

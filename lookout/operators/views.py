@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lookout.classes import class_dim, class_label_of, class_name_of, class_number, short_label
-from lookout.functions.paths import base_name, to_local_path
+from lookout.functions.paths import base_name, to_local_path, with_local_path
 
 # Total order of predictions: later batch, later file, then name.
 ORDER_COLS = ["batch_id", "modification_time", "image"]
@@ -200,26 +200,32 @@ def metrics_display(metrics: DataFrame) -> DataFrame:
 # --- existence of images (J2) ------------------------------------------------
 
 
-def _listing_keys(listing: DataFrame, project_root: str) -> DataFrame:
-    return listing.select(to_local_path(F.col("path"), project_root).alias("local_path")).distinct()
+def _keyed(df: DataFrame, src: str, project_root: str) -> DataFrame:
+    # Join key: the normalised path, made non-nullable so that no
+    # "key is not null" filter is inferred (which would re-evaluate the
+    # whole normalisation); null paths get "" and never match a file.
+    staged = with_local_path(df, src, "local_path", project_root)
+    return staged.withColumn("_key", F.coalesce(F.col("local_path"), F.lit("")))
+
+
+def _existence(pred: DataFrame, listing: DataFrame, how: str, project_root: str) -> DataFrame:
+    p = _keyed(pred.select("image"), "image", project_root)
+    files = _keyed(listing.select("path"), "path", project_root).select("_key").distinct()
+    # A file listing grows with the data: AQE decides broadcast vs shuffle
+    # from its measured size, and splits skewed join partitions.
+    return p.join(files, "_key", how).select("image", "local_path", base_name(F.col("local_path")).alias("file_name"))
 
 
 def images_present(pred: DataFrame, listing: DataFrame, project_root: str = "/app") -> DataFrame:
     """Predictions whose image is still in the folder listing. Both sides
     are normalised once (URI vs plain path, Q12) and semi-joined; the
     listing is de-duplicated first so the build side is one row per file."""
-    p = pred.select("image", to_local_path(F.col("image"), project_root).alias("local_path"))
-    return p.join(_listing_keys(listing, project_root), "local_path", "left_semi").select(
-        "image", "local_path", base_name(F.col("local_path")).alias("file_name")
-    )
+    return _existence(pred, listing, "left_semi", project_root)
 
 
 def images_missing(pred: DataFrame, listing: DataFrame, project_root: str = "/app") -> DataFrame:
     """Predictions whose image file is gone (anti join)."""
-    p = pred.select("image", to_local_path(F.col("image"), project_root).alias("local_path"))
-    return p.join(_listing_keys(listing, project_root), "local_path", "left_anti").select(
-        "image", "local_path", base_name(F.col("local_path")).alias("file_name")
-    )
+    return _existence(pred, listing, "left_anti", project_root)
 
 
 def union_parts(*frames: DataFrame) -> DataFrame:

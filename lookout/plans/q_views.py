@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lookout.functions.paths import base_name, file_suffix, has_supported_suffix, matches_stream_glob, to_local_path
+from lookout.functions.paths import base_name, file_suffix, has_supported_suffix, matches_stream_glob, with_local_path
 from lookout.operators import views as V
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
@@ -201,8 +201,7 @@ def images_missing(spark, sf):
     W(f"SELECT event_id, image, {Q.local_path('image')} AS local_path FROM uris", S.URI_FORMS_SQL),
 )
 def normalised_paths(spark, sf):
-    u = S.uri_forms(spark, sf)
-    return u.select("event_id", "image", to_local_path(F.col("image")).alias("local_path"))
+    return with_local_path(S.uri_forms(spark, sf), "image").select("event_id", "image", "local_path")
 
 
 @register(
@@ -217,8 +216,8 @@ FROM (SELECT event_id, {Q.local_path('image')} AS lp FROM uris)""",
     ),
 )
 def path_parts(spark, sf):
-    lp = to_local_path(F.col("image"))
-    return S.uri_forms(spark, sf).select(
+    lp = F.col("local_path")
+    return with_local_path(S.uri_forms(spark, sf), "image").select(
         "event_id",
         base_name(lp).alias("file_name"),
         file_suffix(lp).alias("suffix"),
