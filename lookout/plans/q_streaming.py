@@ -21,7 +21,7 @@ from lookout.streaming import classify as C
 
 W = S.with_ctes
 EVENTS_PER_TRIGGER = 1
-IMAGES_PER_TRIGGER = 250
+IMAGES_PER_TRIGGER = 1000
 
 
 def _event_stream(spark, sf):

@@ -140,7 +140,8 @@ def split_folders(spark: SparkSession, root: str) -> DataFrame:
     ).where(parts != "")
     classes = rows.select("class_folder").distinct()
     ranked = classes.withColumn("label", (F.dense_rank().over(Window.orderBy("class_folder")) - 1).cast("int"))
-    return rows.join(F.broadcast(ranked), "class_folder").select("path", "split", "class_folder", "label")
+    # No hint: AQE broadcasts the class table when its measured size is small.
+    return rows.join(ranked, "class_folder").select("path", "split", "class_folder", "label")
 
 
 # --- writing image files from a pixel table --------------------------------------------

@@ -103,20 +103,20 @@ def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_fi
         .where(F.col("length") > 0)
     )
     heads = listing.select("path").mapInPandas(lambda it: (_first_lines(b) for b in it), "path string, header string")
-    # One row per distinct header (schema versions of the writer): tiny.
-    groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    # Distinct headers = schema versions of the writer: a handful of rows.
+    headers = [r["header"] for r in heads.select("header").distinct().collect()]
     by_name = {f.name: f for f in schema.fields}
-    frames = []
-    for g in groups:
-        cols = [c.strip().strip('"') for c in g["header"].split(",")]
+
+    def scan(header: str, files):
+        cols = [c.strip().strip('"') for c in header.split(",")]
         file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in cols])
-        df = (
+        reader = (
             spark.read.schema(file_schema)
             .option("header", True)
             .option("mode", "PERMISSIVE")
             .option("basePath", path)
-            .csv(g["paths"])
         )
+        df = reader.csv(files) if isinstance(files, list) else reader.option("pathGlobFilter", "part-*.csv").csv(path)
         keep = [F.col(c) for c in cols if c in by_name]
         # Hive partition columns (e.g. batch_id=N folders) found under basePath.
         keep += [F.col(c).cast(by_name[c].dataType) for c in df.columns if c in by_name and c not in cols]
@@ -125,7 +125,16 @@ def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_fi
                 F.col("_metadata.file_name").alias("file_name"),
                 F.col("_metadata.file_modification_time").alias("file_modification_time"),
             ]
-        frames.append(df.select(*keep))
+        return df.select(*keep)
+
+    if len(headers) == 1:
+        # One layout (the usual case): scan the folder itself; no file list
+        # passes through the driver.
+        frames = [scan(headers[0], None)]
+    else:
+        # Several layouts: one scan per layout over its own files.
+        groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+        frames = [scan(g["header"], list(g["paths"])) for g in groups]
     if not frames:
         return spark.createDataFrame([], out_schema)
     out = frames[0]
