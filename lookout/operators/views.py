@@ -231,3 +231,41 @@ def images_missing(pred: DataFrame, listing: DataFrame, project_root: str = "/ap
 def union_parts(*frames: DataFrame) -> DataFrame:
     """UNION ALL by column name; absent columns are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows in the order of the files they came from (modification
+    time, then name), as the page concatenates part files; needs the
+    ``file_name`` / ``file_modification_time`` columns of
+    :func:`lookout.sources.tables.read_part_csvs` (``with_file_info``)."""
+    return rows.orderBy("file_modification_time", "file_name")
+
+
+def page(spark: SparkSession, predictions_dir: str, metrics_dir: str, fmt: str = "parquet", recent: int = 8) -> dict:
+    """Every view of the live page over the tables the stream writes.
+
+    A folder that does not exist yet gives empty views (S15); the
+    prediction views are built only when the table has its required
+    columns and rows (P4), else the dict holds ``None`` for them."""
+    from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, read_part_csvs
+
+    if fmt == "csv":
+        pred = read_part_csvs(spark, predictions_dir, PREDICTION_SCHEMA)
+        metrics = read_part_csvs(spark, metrics_dir, METRICS_SCHEMA)
+    else:
+        pred = read_or_empty(spark, predictions_dir, PREDICTION_SCHEMA)
+        metrics = read_or_empty(spark, metrics_dir, METRICS_SCHEMA)
+    ok = has_required_columns(pred)
+    views = {
+        "total_images": total_images(pred) if ok else None,
+        "latest": latest_prediction(pred) if ok else None,
+        "class_counts": class_counts(pred, spark) if ok else None,
+        "class_share": class_share(pred, spark) if ok else None,
+        "recent": recent_predictions(pred, n=recent) if ok else None,
+        "history": prediction_history(pred) if ok else None,
+        "rejects": rejects(pred) if ok else None,
+        "metrics_kpis": metrics_kpis(metrics),
+        "metrics_by_batch": metrics_by_batch(metrics),
+        "metrics_display": metrics_display(metrics),
+    }
+    return views

@@ -90,3 +90,30 @@ def test_latest_and_recent_total_order(spark):
     assert [r.slot for r in recent] == [0, 1, 2]
     assert recent[1].class_label == "Inconnu" and recent[1].short_label == "Inconnu"
     assert recent[2].short_label == "SMS au volant (Gauche)"
+
+
+def test_page_views_and_file_order(spark, tmpdir_fresh):
+    from lookout.streaming.sink import BatchSink
+
+    out, met = f"{tmpdir_fresh}/pred", f"{tmpdir_fresh}/metrics"
+    empty = V.page(spark, out, met)
+    assert empty["latest"] is None and empty["metrics_kpis"].first().n_batches == 0
+    sink = BatchSink(out, met, fmt="csv")
+    rows = [("file:/i/a.png", "1", None), ("file:/i/b.png", "0", None)]
+    sink(spark.createDataFrame(rows, "image string, prediction string, modification_time timestamp"), 0)
+    views = V.page(spark, out, met, fmt="csv")
+    assert views["total_images"].first().total_images == 2
+    assert views["metrics_kpis"].first().n_batches == 1
+    ordered = V.in_file_order(read_part_csvs(spark, out, PREDICTION_SCHEMA, with_file_info=True))
+    assert ordered.count() == 2 and "file_modification_time" in ordered.columns
+
+
+def test_second_augmentation_recipe():
+    import numpy as np
+
+    from lookout.functions.images import KERAS_RECIPE, augment_vector
+
+    vec = np.linspace(0, 1, 8 * 8 * 3, dtype=np.float32)
+    a = augment_vector(vec, 8, 8, "s:1", KERAS_RECIPE)
+    assert a.shape == vec.shape and 0 <= a.min() and a.max() <= 1
+    assert np.array_equal(a, augment_vector(vec, 8, 8, "s:1", KERAS_RECIPE))
