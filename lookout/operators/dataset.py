@@ -8,7 +8,7 @@ are computed on ``(id, label)`` and joined back on the id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lookout.classes import class_dim
@@ -67,8 +67,6 @@ def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
     The per-class table has at most K rows; N and K come from a window over
     it, never from a pass over the data."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_rows"))
-    from pyspark.sql import Window
-
     allw = Window.partitionBy()
     return counts.select(
         label_col,
@@ -115,18 +113,16 @@ def augmented_rows(df: DataFrame, factor: int = 2) -> DataFrame:
 def augmented_counts(split_df: DataFrame, label_col: str = "label", factor: int = 2) -> DataFrame:
     """Rows per class: originals, whole-set augmentation (the reference's
     order, Q16) and train-only augmentation (ours), with validation rows
-    left as they are."""
-    whole = augmented_rows(split_df, factor)
-    train_only = whole.where((F.col("split") == "train") | (F.col("aug_index") == 0))
-    a = whole.groupBy(label_col).agg(
-        F.count(F.when(F.col("aug_index") == 0, 1)).alias("n_original"),
+    left as they are. One pass: conditional counts over the exploded rows."""
+    rows = augmented_rows(split_df, factor)
+    orig = F.col("aug_index") == 0
+    train = F.col("split") == "train"
+    return rows.groupBy(label_col).agg(
+        F.count(F.when(orig, 1)).alias("n_original"),
         F.count(F.lit(1)).alias("n_whole_augmented"),
+        F.count(F.when(train, 1)).alias("n_train_augmented"),
+        F.count(F.when(orig & (F.col("split") == "val"), 1)).alias("n_val"),
     )
-    b = train_only.groupBy(label_col).agg(
-        F.count(F.when(F.col("split") == "train", 1)).alias("n_train_augmented"),
-        F.count(F.when(F.col("split") == "val", 1)).alias("n_val"),
-    )
-    return a.join(b, label_col)
 
 
 # --- persistence ---------------------------------------------------------------

@@ -55,8 +55,13 @@ def _ratio(num, den):
 
 def classification_report(scored: DataFrame, k: int = NUM_CLASSES, digits: int = 6) -> DataFrame:
     """Precision, recall, F1 and support per class (0 when undefined),
-    then ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
-    cm = confusion_long(scored, k)
+    then ``accuracy``, ``macro avg`` and ``weighted avg`` rows.
+
+    The scored rows are aggregated once into the (true, predicted) table;
+    that table (at most K x K rows) is checkpointed to the shared
+    checkpoint folder, so the several branches below read it instead of
+    re-scanning the data, and its lineage is cut."""
+    cm = confusion_long(scored, k).checkpoint(eager=True)
     per = cm.groupBy(F.col("y_true").alias("class_id")).agg(
         F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("tp"),
         F.sum("n").alias("support"),
