@@ -141,3 +141,22 @@ def test_augmentation_deterministic_and_bounded():
 def test_pixel_vector_rejects_bad_rows():
     assert to_pixel_vector(b"", -1, -1, -1, 8, 8) is None
     assert to_pixel_vector(b"\x01\x02", 1, 1, 3, 8, 8) is None
+
+
+def test_batched_pixels_equal_single_image_path():
+    import pandas as pd
+
+    from lookout.functions.images import pixel_vectors
+
+    rng = np.random.default_rng(0)
+    imgs = [rng.integers(0, 256, (6, 9, 3), dtype=np.uint8) for _ in range(3)]
+    imgs += [rng.integers(0, 256, (4, 4, 1), dtype=np.uint8), rng.integers(0, 256, (5, 7, 4), dtype=np.uint8)]
+    data = pd.Series([im.tobytes() for im in imgs] + [b""])
+    h = pd.Series([im.shape[0] for im in imgs] + [-1])
+    w = pd.Series([im.shape[1] for im in imgs] + [-1])
+    c = pd.Series([im.shape[2] for im in imgs] + [-1])
+    got = pixel_vectors(data, h, w, c, 8, 8)
+    for i, im in enumerate(imgs):
+        want = to_pixel_vector(im.tobytes(), *im.shape, 8, 8)
+        assert np.array_equal(got[i], want)
+    assert got[-1] is None
