@@ -76,9 +76,9 @@ def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def with_weights(df: DataFrame, weights: DataFrame, label_col: str = "label") -> DataFrame:
-    """Weight column for a fit (D6): join of the K-row weight table. K is the
-    number of classes, a bound fixed by the model, so the broadcast is safe."""
-    return df.join(F.broadcast(weights.select(label_col, "weight")), label_col, "left")
+    """Weight column for a fit (D6): join of the weight table (one row per
+    label present). No hint: AQE broadcasts it from its measured size."""
+    return df.join(weights.select(label_col, "weight"), label_col, "left")
 
 
 def dataset_profile(df: DataFrame, vec_col: str) -> DataFrame:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lookout.classes import class_dim, class_label_of, class_name_of, class_number, short_label
+from lookout.classes import NUM_CLASSES, class_dim, class_label_of, class_name_of, class_number, short_label
 from lookout.functions.paths import base_name, to_local_path, with_local_path
 
 # Total order of predictions: later batch, later file, then name.
@@ -80,9 +80,12 @@ def class_share(pred: DataFrame, spark: SparkSession | None = None) -> DataFrame
 def class_counts_dense(pred: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """J3 + A6: every class of the dimension, zero when it has no row."""
     spark = spark or pred.sparkSession
+    # Only ids inside the dimension can match: at most NUM_CLASSES rows, a
+    # proven bound for the broadcast.
+    known = _class_totals(pred).where(F.col("class_id").between(0, NUM_CLASSES - 1))
     return (
         class_dim(spark)
-        .join(F.broadcast(_class_totals(pred)), "class_id", "left")
+        .join(F.broadcast(known), "class_id", "left")
         .select("class_id", "class_name", F.coalesce("n_images", F.lit(0)).cast("bigint").alias("n_images"))
         .orderBy("class_id")
     )
