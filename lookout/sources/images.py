@@ -8,6 +8,7 @@ and a listing that selects no ``content`` never reads file bodies.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -190,8 +191,13 @@ def write_png_files(
                     made.add(folder)
                 body = encode_png(np.asarray(px), height, width, channels)
                 target = f"{folder}/{prefix}{rid}.png"
-                with fs.open_output_stream(target) as out:
+                # Write under a hidden name, then rename: a watching stream
+                # never lists a half-written file, and a retried or
+                # speculative task just replaces the same content.
+                staging = f"{folder}/.{prefix}{rid}.png.{uuid.uuid4().hex}.tmp"
+                with fs.open_output_stream(staging) as out:
                     out.write(body)
+                fs.move(staging, target)
                 ids.append(rid)
                 paths.append(target)
                 sizes.append(len(body))
