@@ -45,11 +45,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the session (works
-    for any scheme the cluster has configured)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    for any scheme the cluster has configured); without a JVM handle (Spark
+    Connect) it asks ``pyarrow.fs``."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(jpath))
+    except Exception:  # noqa: BLE001
+        import pyarrow.fs as pafs
+
+        from lookout.session import local_fs_path
+
+        local = local_fs_path(path)
+        fs, p = (pafs.LocalFileSystem(), local) if local else pafs.FileSystem.from_uri(path)
+        return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
