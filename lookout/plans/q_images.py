@@ -12,7 +12,7 @@ from lookout.operators import dataset as D
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
 from lookout.plans.catalog import register
-from lookout.session import IMAGE_ARROW_BATCH, work_dir
+from lookout.session import set_image_batches, work_dir
 from lookout.sources import images as I
 from lookout.sources.tables import table
 
@@ -44,7 +44,7 @@ def image_features(spark, sf):
     """Scan the PNG folder with the image source (JVM decode),
     grey -> RGB, resize (identity here), flatten, scale; ``rgb`` is the
     vector scaled back to 0..255 for an exact check."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(IMAGE_ARROW_BATCH))
+    set_image_batches(spark, SIDE, SIDE)
     root = export_features(spark, sf)
     feats = I.image_features(I.read_images(spark, root), SIDE, SIDE)
     return feats.select(
@@ -101,7 +101,7 @@ FROM embeddings, unnest(range(3)) t(k)""",
 def augment_images(spark, sf):
     """U2 + F14: originals plus two seeded augmented copies; the check is on
     shape and value range (the copies are random by design)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(IMAGE_ARROW_BATCH))
+    set_image_batches(spark, SIDE, SIDE)
     feats = S.features(spark, sf)
     rgb = F.transform(F.sequence(F.lit(0), F.lit(RGB_LEN - 1)), lambda i: F.element_at("pixels", F.floor(i / 3).cast("int") + 1))
     base = feats.select("vec_id", "label", unit_scale(rgb).alias("pixels"))

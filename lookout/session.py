@@ -9,8 +9,35 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Rows per Arrow batch for image-wide rows (64x64x3 floats = 48 KB per row).
-IMAGE_ARROW_BATCH = 256
+# Target bytes of one Arrow batch of pixel rows sent to a Python worker.
+ARROW_BATCH_BYTES = 16 * 1024 * 1024
+
+# Settings for a large cluster (100 TB scale); the session builder of the
+# cluster owns them -- listed here so a deployment can apply them.
+LARGE_CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def arrow_batch_rows(height: int, width: int, channels: int = 3) -> int:
+    """Rows per Arrow batch for pixel vectors of this size: about
+    ``ARROW_BATCH_BYTES`` of float32 data, between 8 and 1,024 rows
+    (341 rows at 64x64, 27 at 224x224). Raw decoded frames going into the
+    pixel UDF are also capped by Spark's byte limit per Arrow batch
+    (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB)."""
+    row = height * width * channels * 4
+    return max(8, min(1024, ARROW_BATCH_BYTES // max(row, 1)))
+
+
+def set_image_batches(spark: SparkSession, height: int, width: int, channels: int = 3) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_batch_rows(height, width, channels)))
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lookout") -> SparkSession:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lookout.classes import class_dim
 from lookout.operators.scoring import LinearModel, prediction_text, score_udf, with_scores
-from lookout.session import IMAGE_ARROW_BATCH
+from lookout.session import set_image_batches
 from lookout.sources.images import image_features, read_image_stream
 from lookout.streaming.sink import BatchSink
 
@@ -58,7 +58,7 @@ def start_image_classifier(
     ``availableNow`` (drain and stop); pass ``{"processingTime": "5
     seconds"}`` for a long-running query. Restarting with the same
     checkpoint resumes after the last committed batch (T3)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(IMAGE_ARROW_BATCH))
+    set_image_batches(spark, height, width)
     images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
     preds = classify_images(images, height, width, make_predict_fn)
     return _start(preds, BatchSink(output_dir, metrics_dir, fmt), checkpoint, trigger, None)
