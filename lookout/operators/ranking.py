@@ -35,15 +35,21 @@ def hash_bucket(key: str, digits: int = HASH_DIGITS) -> Column:
     return F.conv(F.substring(F.col(key), 1, digits), 16, 10).cast("int")
 
 
-def with_range_bucket(df: DataFrame, key: str, n_buckets: int = 1024, out: str = "_range_bkt") -> DataFrame:
+def _cut_points(df: DataFrame, key: str, n_buckets: int) -> list:
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    return df.approxQuantile(key, probs, 1.0 / (4 * n_buckets))
+
+
+def with_range_bucket(
+    df: DataFrame, key: str, n_buckets: int = 1024, out: str = "_range_bkt", cuts: list | None = None
+) -> DataFrame:
     """Add the bucket of a numeric key: its index among approximate-quantile
     cut points (one distributed pass finds them; the search per row is a
     binary search in the JVM). Buckets are contiguous ranges, so bucket
-    order is key order."""
+    order is key order; every cut point starts its own bucket."""
     from pyspark.ml.feature import Bucketizer
 
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / (4 * n_buckets))))
+    cuts = sorted(set(cuts if cuts is not None else _cut_points(df, key, n_buckets)))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
         return df.withColumn(out, F.lit(0))
@@ -103,17 +109,46 @@ def rank_by_hash(
 
 
 def rank_by_key(
-    df: DataFrame, key: str, n_buckets: int = 1024, rank_col: str = "rank", count_col: str | None = None
+    df: DataFrame,
+    key: str,
+    n_buckets: int = 1024,
+    rank_col: str = "rank",
+    count_col: str | None = None,
+    tiebreak: str | None = None,
+) -> DataFrame:
+    """Rank in the natural order of a numeric key (W11); rows with an equal
+    key are ordered by ``md5(tiebreak)`` (deterministic, and uniform so
+    that ties can be split).
+
+    A key value that covers several quantile cut points is hot (it may hold
+    a third of the rows): its rows are split over ``16**HASH_DIGITS``
+    sub-buckets by the md5 prefix of the tie-break, after which come the
+    bucket's larger keys. Without ``tiebreak`` the key must be unique."""
+    raw = _cut_points(df, key, n_buckets)
+    staged = with_range_bucket(df, key, n_buckets, "_kb", cuts=raw)
+    order = [key]
+    sub = F.lit(0)
+    if tiebreak:
+        staged = staged.withColumn("_tie", F.md5(F.col(tiebreak).cast("string")))
+        order = [key, "_tie"]
+        hot = sorted({v for v in raw if raw.count(v) >= 2})
+        if hot:
+            width = 16**HASH_DIGITS
+            is_hot = F.col(key).isin(*hot)
+            # Hot key rows: hash prefix; larger keys of the same bucket last.
+            in_hot_bucket = F.col("_kb").isin(*[sorted(set(raw)).index(v) + 1 for v in hot])
+            sub = F.when(is_hot, hash_bucket("_tie")).when(in_hot_bucket, F.lit(width)).otherwise(F.lit(0))
+    bucket = F.col("_kb").cast("long") * (16**HASH_DIGITS + 1) + sub
+    out = global_rank(staged, order, bucket, (), rank_col, count_col).drop("_kb")
+    return out.drop("_tie") if tiebreak else out
+
+
+def batch_assignment(
+    df: DataFrame, key: str, batch_size: int, n_buckets: int = 1024, tiebreak: str | None = None
 ) -> DataFrame:
-    """Rank in the natural order of a unique numeric key."""
-    staged = with_range_bucket(df, key, n_buckets, "_range_bkt")
-    return global_rank(staged, [key], F.col("_range_bkt"), (), rank_col, count_col).drop("_range_bkt")
-
-
-def batch_assignment(df: DataFrame, key: str, batch_size: int, n_buckets: int = 1024) -> DataFrame:
     """Cut the list ordered by ``key`` into consecutive groups of
     ``batch_size`` (the producer's ``grouped(n)``): ``(rank-1) div n``."""
-    ranked = rank_by_key(df, key, n_buckets)
+    ranked = rank_by_key(df, key, n_buckets, tiebreak=tiebreak)
     return ranked.withColumn("batch_no", F.expr(f"(rank - 1) div {int(batch_size)}"))
 
 

@@ -117,3 +117,15 @@ def test_second_augmentation_recipe():
     a = augment_vector(vec, 8, 8, "s:1", KERAS_RECIPE)
     assert a.shape == vec.shape and 0 <= a.min() and a.max() <= 1
     assert np.array_equal(a, augment_vector(vec, 8, 8, "s:1", KERAS_RECIPE))
+
+
+def test_rank_by_key_splits_a_hot_key(spark):
+    # a third of the rows share one key value: exact ranks, and the hot
+    # value is spread over many buckets
+    df = spark.range(0, 6000).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id")))
+    got = R.rank_by_key(df, "k", n_buckets=32, tiebreak="id")
+    want = df.withColumn(
+        "rank", F.row_number().over(Window.orderBy("k", F.md5(F.col("id").cast("string"))))
+    )
+    assert got.count() == 6000
+    assert got.select("id", "rank").exceptAll(want.select("id", "rank")).count() == 0
