@@ -112,18 +112,41 @@ def _newest_first():
     return [F.col(c).desc_nulls_last() for c in ORDER_COLS]
 
 
-def latest_prediction(pred: DataFrame, project_root: str = "/app") -> DataFrame:
+def newest_batches(pred: DataFrame, n: int, batch_index: DataFrame | None) -> DataFrame:
+    """Restrict ``pred`` to the batches that can hold its ``n`` newest rows.
+
+    ``batch_index`` is the metrics table (one row per non-empty batch). The
+    ``n`` newest batch ids hold at least ``n`` rows, so every newer row has
+    ``batch_id >=`` the smallest of them. That one scalar becomes a literal
+    filter on the partition column, so the prediction scan is pruned to
+    those partitions instead of reading the whole history."""
+    if batch_index is None:
+        return pred
+    top = batch_index.select("batch_id").where(F.col("batch_id").isNotNull()).distinct()
+    cutoff = top.orderBy(F.col("batch_id").desc()).limit(n).agg(F.min("batch_id").alias("c")).first()
+    if cutoff is None or cutoff["c"] is None:
+        return pred
+    return pred.where(F.col("batch_id") >= F.lit(int(cutoff["c"])))
+
+
+def latest_prediction(pred: DataFrame, project_root: str = "/app", batch_index: DataFrame | None = None) -> DataFrame:
     """The newest prediction with its label, status and file name.
 
     ``orderBy + limit`` plans as TakeOrderedAndProject: each task keeps its
-    top row, only those reach the final merge."""
+    top row, only those reach the final merge. With ``batch_index`` only the
+    newest partition is scanned."""
+    pred = newest_batches(pred, 1, batch_index)
     return _describe(pred.orderBy(*_newest_first()).limit(1), project_root)
 
 
-def recent_predictions(pred: DataFrame, n: int = 8, columns: int = 4, project_root: str = "/app") -> DataFrame:
+def recent_predictions(
+    pred: DataFrame, n: int = 8, columns: int = 4, project_root: str = "/app", batch_index: DataFrame | None = None
+) -> DataFrame:
     """The last ``n`` predictions, newest first, with gallery slot
     ``(rank-1) % columns``. The rank window runs over the ``n`` rows left
-    after the top-k."""
+    after the top-k; with ``batch_index`` only the newest partitions are
+    scanned."""
+    pred = newest_batches(pred, n, batch_index)
     top = pred.orderBy(*_newest_first()).limit(n)
     ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*_newest_first())))
     return _describe(ranked, project_root, extra=("rank",)).select(
@@ -261,10 +284,10 @@ def page(spark: SparkSession, predictions_dir: str, metrics_dir: str, fmt: str =
     ok = has_required_columns(pred)
     views = {
         "total_images": total_images(pred) if ok else None,
-        "latest": latest_prediction(pred) if ok else None,
+        "latest": latest_prediction(pred, batch_index=metrics) if ok else None,
         "class_counts": class_counts(pred, spark) if ok else None,
         "class_share": class_share(pred, spark) if ok else None,
-        "recent": recent_predictions(pred, n=recent) if ok else None,
+        "recent": recent_predictions(pred, n=recent, batch_index=metrics) if ok else None,
         "history": prediction_history(pred) if ok else None,
         "rejects": rejects(pred) if ok else None,
         "metrics_kpis": metrics_kpis(metrics),

@@ -129,3 +129,23 @@ def test_rank_by_key_splits_a_hot_key(spark):
     )
     assert got.count() == 6000
     assert got.select("id", "rank").exceptAll(want.select("id", "rank")).count() == 0
+
+
+def test_newest_views_prune_partitions(spark, tmpdir_fresh):
+    from lookout.sources.tables import METRICS_SCHEMA, read_or_empty
+    from lookout.streaming.sink import BatchSink
+
+    out, met = f"{tmpdir_fresh}/pred", f"{tmpdir_fresh}/metrics"
+    sink = BatchSink(out, met)
+    for b in range(12):
+        rows = [(f"file:/i/{b}_{k}.png", str((b + k) % 11), None) for k in range(b % 3)]  # some batches empty
+        sink(spark.createDataFrame(rows, "image string, prediction string, modification_time timestamp"), b)
+    pred = read_or_empty(spark, out, PREDICTION_SCHEMA)
+    metrics = read_or_empty(spark, met, METRICS_SCHEMA)
+    full = [tuple(r) for r in V.recent_predictions(pred, n=5).collect()]
+    pruned_df = V.recent_predictions(pred, n=5, batch_index=metrics)
+    assert [tuple(r) for r in pruned_df.collect()] == full
+    plan = pruned_df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "batch_id" in plan
+    latest = V.latest_prediction(pred, batch_index=metrics).first()
+    assert latest.image == V.latest_prediction(pred).first().image
