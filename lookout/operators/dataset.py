@@ -12,32 +12,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lookout.classes import class_dim
-from lookout.operators.ranking import rank_by_hash, shuffle_key
+from lookout.operators.ranking import first_by_rank, shuffle_key
 
 SEED = 42
 
 
 def stratified_split(
-    df: DataFrame, id_col: str, label_col: str, val_fraction_tenths: int = 2, seed: int = SEED
+    df: DataFrame, id_col: str, label_col: str, val_fraction_tenths: int = 2, seed: int = SEED, keep_all: bool = False
 ) -> DataFrame:
-    """Exact stratified split. Inside each label, rows are ranked in
-    seeded-shuffle order; a row goes to ``val`` when
-    ``10 * rank <= val_tenths * n_label + 5`` (``round(0.2 * n)`` rows per
-    label), else ``train``. Hot labels are ranked over many buckets, so no
-    label lands in one task."""
-    keys = df.select(id_col, label_col)
-    ranked = rank_by_hash(keys, id_col, seed, partition_cols=[label_col], rank_col="_r", count_col="_n")
-    split = F.when(F.col("_r") * 10 <= F.col("_n") * val_fraction_tenths + 5, "val").otherwise("train")
-    return ranked.select(id_col, label_col, split.alias("split"))
-
-
-def plain_split(df: DataFrame, id_col: str, train_tenths: int = 8, seed: int = SEED) -> DataFrame:
-    """First ``int(0.8 N)`` rows of the seeded shuffle are ``train``,
-    the rest ``val``."""
-    keys = df.select(id_col)
-    ranked = rank_by_hash(keys, id_col, seed, rank_col="_r", count_col="_n")
-    split = F.when(F.col("_r") <= F.expr(f"(_n * {int(train_tenths)}) div 10"), "train").otherwise("val")
-    return ranked.select(id_col, split.alias("split"))
+    """Exact stratified split. Inside each label, rows are ordered by the
+    seeded shuffle key; the first ``v = (val_tenths * n + 5) div 10`` rows
+    (``round(0.2 * n)``; ``10 * rank <= 2 * n + 5``) go to ``val``, the rest
+    to ``train``.
+
+    Only key counts and the boundary buckets are ranked
+    (:func:`~lookout.operators.ranking.rank_thresholds`); every row is then
+    classified by comparing its key with its label's threshold, so wide
+    columns (pixels) stay in place -- no join back by id. With ``keep_all``
+    all input columns are returned, else ``(id, label, split)``."""
+    cut = lambda n: F.floor((n * val_fraction_tenths + 5) / 10)
+    flagged = first_by_rank(df, id_col, cut, seed, [label_col], "_val")
+    out = flagged.withColumn("split", F.when(F.col("_val"), "val").otherwise("train")).drop("_val")
+    return out if keep_all else out.select(id_col, label_col, "split")
+
+
+def plain_split(df: DataFrame, id_col: str, train_tenths: int = 8, seed: int = SEED, keep_all: bool = False) -> DataFrame:
+    """The first ``int(0.8 N)`` rows of the seeded shuffle are ``train``,
+    the rest ``val`` (one threshold key, then a map over the rows)."""
+    cut = lambda n: F.floor(n * train_tenths / 10)
+    flagged = first_by_rank(df, id_col, cut, seed, (), "_train")
+    out = flagged.withColumn("split", F.when(F.col("_train"), "train").otherwise("val")).drop("_train")
+    return out if keep_all else out.select(id_col, "split")
 
 
 def split_sizes(split_df: DataFrame) -> DataFrame:

@@ -157,3 +157,77 @@ def seeded_shuffle_head(df: DataFrame, id_col: str, n: int = 3, seed: int = 42)
     row per task reaches the merge)."""
     keyed = df.withColumn("shuffle_key", shuffle_key(id_col, seed))
     return keyed.orderBy("shuffle_key", id_col).limit(n)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null (a null group is a group,
+    as in ``PARTITION BY``); the right side's key columns are dropped. Still
+    planned as a hash / sort-merge join on the keys."""
+    renamed = right.select(*[F.col(c).alias(f"_rk{i}") for i, c in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, c in enumerate(keys):
+        e = left[c].eqNullSafe(renamed[f"_rk{i}"])
+        cond = e if cond is None else cond & e
+    return left.join(renamed, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
+
+
+def rank_thresholds(
+    df: DataFrame,
+    id_col: str,
+    cutoff,
+    seed: int = 42,
+    partition_cols: Sequence[str] = (),
+    digits: int = HASH_DIGITS,
+) -> DataFrame:
+    """Per group, the (key, id) of the row whose seeded-shuffle rank equals
+    ``cutoff(n)`` (``n`` = group size, a Column function), found without
+    ranking every row:
+
+    1. count rows per (group, md5-prefix bucket) -- a partial aggregation;
+    2. cumulative counts over that small table locate the one bucket per
+       group that holds the cutoff rank;
+    3. only the rows of those boundary buckets are ranked.
+
+    Rows with ``(key, id) <=`` their group's threshold are exactly the first
+    ``cutoff(n)`` rows; groups whose cutoff is 0 get no threshold row. One
+    row per group comes out."""
+    parts = list(partition_cols)
+    keys = df.select(*parts, id_col, shuffle_key(id_col, seed).alias("_k"))
+    keys = keys.withColumn("_bkt", hash_bucket("_k", digits))
+    counts = keys.groupBy(*parts, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
+    before = Window.partitionBy(*parts).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    table = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0))).withColumn(
+        "_n", F.sum("_bn").over(Window.partitionBy(*parts))
+    )
+    table = table.withColumn("_cut", cutoff(F.col("_n")).cast("long"))
+    boundary = table.where((F.col("_off") < F.col("_cut")) & (F.col("_cut") <= F.col("_off") + F.col("_bn")))
+    inside = _join_null_safe(keys, boundary.select(*parts, "_bkt", "_off", "_cut"), [*parts, "_bkt"], "inner")
+    w = Window.partitionBy(*parts, "_bkt").orderBy("_k", id_col)
+    hit = inside.withColumn("_r", F.row_number().over(w)).where(F.col("_off") + F.col("_r") == F.col("_cut"))
+    return hit.select(*parts, F.col("_k").alias("_tk"), F.col(id_col).alias("_tid"))
+
+
+def first_by_rank(
+    df: DataFrame, id_col: str, cutoff, seed: int = 42, partition_cols: Sequence[str] = (), flag: str = "_first"
+) -> DataFrame:
+    """``df`` plus a boolean ``flag``: the row is among the first
+    ``cutoff(n)`` rows of its group in seeded-shuffle order.
+
+    The wide rows are never shuffled. With groups they meet the table of one
+    threshold per group in an equi-join (AQE broadcasts it from its measured
+    size); without groups the single threshold is a literal."""
+    parts = list(partition_cols)
+    th = rank_thresholds(df, id_col, cutoff, seed, parts)
+    k = shuffle_key(id_col, seed)
+    if parts:
+        joined = _join_null_safe(df, th, parts, "left")
+        tk, tid = F.col("_tk"), F.col("_tid")
+    else:
+        row = th.first()  # one row at most: the threshold itself
+        joined = df
+        tk = F.lit(row["_tk"] if row else None).cast("string")
+        tid = F.lit(row["_tid"] if row else None).cast(df.schema[id_col].dataType)
+    inside = tk.isNotNull() & ((k < tk) | ((k == tk) & (F.col(id_col) <= tid)))
+    out = joined.withColumn(flag, F.coalesce(inside, F.lit(False)))
+    return out.drop("_tk", "_tid") if parts else out

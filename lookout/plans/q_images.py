@@ -14,7 +14,6 @@ from lookout.plans import standins as S
 from lookout.plans.catalog import register
 from lookout.session import set_image_batches, work_dir
 from lookout.sources import images as I
-from lookout.sources.tables import table
 
 W = S.with_ctes
 SIDE = 8  # the feature stand-in is an 8 x 8 x 1 tensor
@@ -82,11 +81,9 @@ def _strat_counts_sql() -> str:
 def split_folders(spark, sf):
     """``<split>/<class>/`` folders -> (path, split, label); the label is
     the class folder's sorted index."""
-    split = D.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label")
-    frame = (
-        S.features(spark, sf)
-        .join(split.select("vec_id", "split"), "vec_id")
-        .withColumn("folder", F.concat(F.lit("c"), F.col("label").cast("string")))
+    # The split is decided next to the pixel rows (no join back by id).
+    frame = D.stratified_split(S.features(spark, sf), "vec_id", "label", keep_all=True).withColumn(
+        "folder", F.concat(F.lit("c"), F.col("label").cast("string"))
     )
     root = export_features(spark, sf, ("split", "folder"), frame)
     rows = I.split_folders(spark, root)

@@ -140,8 +140,7 @@ def fit_and_score(spark, sf):
     train split of the feature table, score the validation split and report
     (rows-only: fitted weights are not an SQL quantity)."""
     emb = table(spark, sf, "embeddings")
-    split = D.stratified_split(emb, "vec_id", "label")
-    data = emb.join(split.select("vec_id", "split"), "vec_id")
+    data = D.stratified_split(emb, "vec_id", "label", keep_all=True)
     train = data.where(F.col("split") == "train")
     weights = D.class_weights(train)
     model = SC.fit_logistic(D.with_weights(train, weights), "embedding", "label", "weight", max_iter=30)

@@ -149,3 +149,25 @@ def test_newest_views_prune_partitions(spark, tmpdir_fresh):
     assert "PartitionFilters: [isnotnull(batch_id" in plan and "batch_id" in plan
     latest = V.latest_prediction(pred, batch_index=metrics).first()
     assert latest.image == V.latest_prediction(pred).first().image
+
+
+def test_split_thresholds_match_window_ranks_with_null_and_hot_groups(spark):
+    # a hot group (90 %), a null group and tiny groups, vs plain window ranks
+    df = spark.range(0, 4000).withColumn(
+        "g", F.when(F.col("id") % 10 == 0, F.lit(None).cast("int")).when(F.col("id") < 5, F.col("id").cast("int")).otherwise(F.lit(7))
+    ).withColumn("payload", F.array(F.col("id"), F.col("id") * 2))
+    got = D.stratified_split(df, "id", "g", keep_all=True)
+    assert "payload" in got.columns and got.count() == 4000
+    key = R.shuffle_key("id", 42)
+    w = Window.partitionBy("g").orderBy(key, "id")
+    want = (
+        df.withColumn("rn", F.row_number().over(w))
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+        .withColumn("split", F.when(F.col("rn") * 10 <= F.col("n") * 2 + 5, "val").otherwise("train"))
+    )
+    assert got.select("id", "split").exceptAll(want.select("id", "split")).count() == 0
+    p = D.plain_split(df, "id")
+    wp = df.withColumn("rn", F.row_number().over(Window.orderBy(key, "id"))).withColumn(
+        "split", F.when(F.col("rn") <= 3200, "train").otherwise("val")
+    )
+    assert p.select("id", "split").exceptAll(wp.select("id", "split")).count() == 0
