@@ -59,6 +59,20 @@ def read_image_stream(
     return _with_identity(reader.load(path))
 
 
+def read_binary_stream(
+    spark: SparkSession, path: str, glob: str | None = STREAM_GLOB, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """S1 as declared: a ``binaryFile`` stream with the fixed schema
+    ``path, modificationTime, length, content`` (raw bytes, for scorers that
+    decode themselves); ``path`` is plain, not URL-encoded."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.load(path)
+
+
 def _with_identity(df: DataFrame) -> DataFrame:
     # Normalise the identity once at ingest (Q12): image.origin is a
     # percent-encoded URI, the listing path is not.

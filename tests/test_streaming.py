@@ -65,3 +65,26 @@ def test_replayed_batch_is_idempotent(spark, tmpdir_fresh):
 def test_missing_result_is_empty_view(spark, tmpdir_fresh):
     df = read_or_empty(spark, f"{tmpdir_fresh}/nothing", PREDICTION_SCHEMA)
     assert df.count() == 0 and df.columns == PREDICTION_SCHEMA.fieldNames()
+
+
+def test_binary_stream_declared_schema(spark, tmpdir_fresh):
+    from lookout.sources.images import BINARY_SCHEMA, read_binary_stream
+
+    src = f"{tmpdir_fresh}/in"
+    _drop(src, ["x1.png", "x2.jpeg"], 7)
+    with open(f"{src}/x3.PNG", "wb") as f:
+        f.write(b"upper-case suffix: not matched by the glob")
+    stream = read_binary_stream(spark, src, max_files_per_trigger=1)
+    assert stream.schema == BINARY_SCHEMA
+    out = f"{tmpdir_fresh}/out"
+    q = (
+        stream.select("path", "length")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", f"{tmpdir_fresh}/ck")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    got = sorted(r.path.rsplit("/", 1)[-1] for r in spark.read.parquet(out).collect())
+    assert got == ["x1.png", "x2.jpeg"]
