@@ -105,6 +105,17 @@ def with_class_names(counts: DataFrame) -> DataFrame:
     )
 
 
+def prediction_stream(spark: SparkSession, predictions_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The prediction table written by :class:`BatchSink` (Parquet, one
+    folder per ``batch_id``) read as a stream, for live views over it."""
+    from lookout.sources.tables import PREDICTION_SCHEMA
+
+    reader = spark.readStream.schema(PREDICTION_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.parquet(predictions_dir)
+
+
 def start_live_class_counts(
     predictions: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -88,3 +88,27 @@ def test_binary_stream_declared_schema(spark, tmpdir_fresh):
     q.awaitTermination()
     got = sorted(r.path.rsplit("/", 1)[-1] for r in spark.read.parquet(out).collect())
     assert got == ["x1.png", "x2.jpeg"]
+
+
+def test_live_class_counts_follow_new_batches(spark, tmpdir_fresh):
+    from lookout.streaming.classify import prediction_stream, start_live_class_counts
+
+    out = f"{tmpdir_fresh}/pred"
+    sink = BatchSink(out, None)
+    schema = "image string, prediction string, modification_time timestamp"
+    sink(spark.createDataFrame([("file:/a.png", "0", None), ("file:/b.png", "4", None)], schema), 0)
+    table = f"{tmpdir_fresh}/live"
+    q = start_live_class_counts(
+        prediction_stream(spark, out), table, f"{tmpdir_fresh}/ck", trigger={"processingTime": "1 second"}
+    )
+    try:
+        q.processAllAvailable()
+        first = {r.class_id: r.n_images for r in spark.read.parquet(table).collect()}
+        assert first == {0: 1, 4: 1}
+        sink(spark.createDataFrame([("file:/c.png", "4", None), ("file:/d.png", "10", None)], schema), 1)
+        q.processAllAvailable()
+        rows = {r.class_id: (r.class_name, r.n_images) for r in spark.read.parquet(table).collect()}
+        assert rows[4][1] == 2 and rows[0][1] == 1 and rows[10] == (None, 1)
+        assert rows[4][0] == "c4: Téléphone (Gauche)"
+    finally:
+        q.stop()
