@@ -170,3 +170,45 @@ def storage_report(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
         F.sum("length").alias("total_bytes"),
         F.round(F.sum("length") / (1024.0 * 1024.0), 6).alias("size_mb"),
     )
+
+
+def prepare_dataset(
+    spark: SparkSession,
+    root: str,
+    out_path: str,
+    height: int = 64,
+    width: int = 64,
+    factor: int = 2,
+    val_tenths: int = 2,
+    seed: int = SEED,
+) -> DataFrame:
+    """The dataset job end to end (S4 -> F1-F3 -> W9 -> U2/F14 -> S11):
+    class folders ``c0..c9`` are decoded and resized to pixel vectors, split
+    on the originals (stratified, seeded), the train split gets ``factor``
+    augmented copies per image (validation images are kept as they are, so
+    no copy of a validation image reaches training, Q16), and the table is
+    saved as Parquet partitioned by label. Returns the saved table, read
+    back.
+
+    Image ids are the md5 of the path, so splits and augmentation seeds do
+    not depend on listing order or partitioning."""
+    from lookout.functions.images import augment_udf
+    from lookout.session import set_image_batches
+    from lookout.sources.images import labelled_folders
+
+    set_image_batches(spark, height, width)
+    rows, _missing = labelled_folders(spark, root, images=True, height=height, width=width)
+    rows = rows.withColumn("image_id", F.conv(F.substring(F.md5("path"), 1, 15), 16, 10).cast("long"))
+    split = stratified_split(rows, "image_id", "label", val_tenths, seed, keep_all=True)
+    copies = augmented_rows(split, factor).where((F.col("split") == "train") | (F.col("aug_index") == 0))
+    aug = augment_udf(height, width, seed=seed)
+    table = copies.select(
+        "image_id",
+        "path",
+        "split",
+        F.col("aug_index").cast("int").alias("aug_index"),
+        aug(F.col("pixels"), F.col("image_id"), F.col("aug_index")).alias("pixels"),
+        "label",
+    )
+    save_features(table, out_path)
+    return load_features(spark, out_path, columns=("image_id", "path", "split", "aug_index", "pixels", "label"))

@@ -68,6 +68,14 @@ def label_folders(spark, sf):
     return D.class_distribution(rows, "label").withColumnRenamed("n_rows", "n_images")
 
 
+def _split_sql() -> str:
+    # Rows per (label, split) depend only on the label sizes, not on which
+    # rows the seeded keys pick, so any unique id gives the same counts.
+    from lookout.plans.q_dataset import _strat_sql
+
+    return _strat_sql("vec_id", "label", "embeddings")
+
+
 def _strat_counts_sql() -> str:
     from lookout.plans.q_dataset import _strat_sql
 
@@ -111,3 +119,21 @@ def augment_images(spark, sf):
         F.size("aug").alias("n_values"),
         F.forall("aug", lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
     )
+
+
+@register(
+    "dataset_preparation",
+    f"""SELECT label, split, CAST(count(*) * (CASE WHEN split = 'train' THEN 3 ELSE 1 END) AS BIGINT) AS n_rows,
+       CAST({RGB_LEN} AS INTEGER) AS vec_len
+FROM ({_split_sql()}) GROUP BY label, split""",
+)
+def dataset_preparation(spark, sf):
+    """S4 -> F1-F3 -> W9 -> U2/F14 -> S11 as one job over class folders
+    written from the feature table: rows per (label, split) after
+    train-only augmentation."""
+    frame = S.features(spark, sf).withColumn("folder", F.concat(F.lit("c"), F.col("label").cast("string")))
+    root = export_features(spark, sf, ("folder",), frame)
+    prepared = D.prepare_dataset(spark, root, work_dir(spark, "prepared"), SIDE, SIDE, factor=2)
+    return prepared.groupBy("label", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(F.size("pixels")).alias("vec_len")
+    )

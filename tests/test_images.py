@@ -160,3 +160,32 @@ def test_batched_pixels_equal_single_image_path():
         want = to_pixel_vector(im.tobytes(), *im.shape, 8, 8)
         assert np.array_equal(got[i], want)
     assert got[-1] is None
+
+
+def test_prepare_dataset_train_only_augmentation(spark, tmpdir_fresh):
+    from lookout.operators.dataset import prepare_dataset
+
+    root = f"{tmpdir_fresh}/train"
+    rng = np.random.default_rng(3)
+    for c in range(3):
+        for k in range(10):
+            pngs.write(f"{root}/c{c}/img_{k}.png", rng.integers(0, 256, (12, 16, 3)))
+    out = prepare_dataset(spark, root, f"{tmpdir_fresh}/prepared", 8, 8, factor=2)
+    rows = out.collect()
+    per = {}
+    for r in rows:
+        per.setdefault((r.label, r.split), []).append(r)
+    for c in range(3):
+        val, train = per[(c, "val")], per[(c, "train")]
+        assert len(val) == 2 and all(r.aug_index == 0 for r in val)  # (2*10+5) div 10
+        assert len(train) == 8 * 3 and sorted({r.aug_index for r in train}) == [0, 1, 2]
+    # no image is in both splits; originals equal the decoded pixels
+    ids = {}
+    for r in rows:
+        ids.setdefault(r.image_id, set()).add(r.split)
+    assert all(len(v) == 1 for v in ids.values())
+    decoded = {r.path: np.array(r.pixels) for r in I.image_features(I.read_images(spark, root, glob=None, recursive=True), 8, 8).collect()}
+    for r in rows:
+        if r.aug_index == 0:
+            assert np.array_equal(np.array(r.pixels), decoded[r.path])
+        assert len(r.pixels) == 192 and min(r.pixels) >= 0 and max(r.pixels) <= 1
