@@ -161,6 +161,11 @@ def pixel_vector(image_col: str = "image", out_h: int = 64, out_w: int = 64) ->
 # Recipe "keras": rotation within +-5 % of a full turn, zoom within +-10 %.
 PREP_RECIPE = {"flip_p": 0.5, "max_degrees": 15.0, "brightness": (0.7, 1.3), "contrast": (0.8, 1.2), "zoom": None}
 KERAS_RECIPE = {"flip_p": 0.0, "max_degrees": 0.05 * 360.0, "brightness": None, "contrast": None, "zoom": 0.1}
+# Sampling of the geometric step: the first recipe rotates with nearest
+# neighbour and black fill, the second samples bilinearly with reflected
+# borders (the defaults of the libraries those recipes name).
+PREP_RECIPE.update(resample="nearest", fill="constant")
+KERAS_RECIPE.update(resample="bilinear", fill="reflect")
 
 
 def _rng(seed_text: str) -> np.random.Generator:
@@ -168,25 +173,41 @@ def _rng(seed_text: str) -> np.random.Generator:
     return np.random.default_rng(int.from_bytes(digest[:8], "little"))
 
 
-def _affine(img: np.ndarray, degrees: float, scale: float) -> np.ndarray:
-    """Rotate by ``degrees`` (counter-clockwise) and zoom by ``scale`` about
-    the centre; bilinear samples, outside pixels are black."""
+def _reflect(i: np.ndarray, n: int) -> np.ndarray:
+    # Symmetric reflection with the edge repeated: d c b a | a b c d | d c b a
+    period = 2 * n
+    i = np.mod(i, period)
+    return np.where(i >= n, period - 1 - i, i)
+
+
+def _affine(img: np.ndarray, degrees: float, scale: float, resample: str = "nearest", fill: str = "constant") -> np.ndarray:
+    """Rotate counter-clockwise by ``degrees`` and zoom by ``scale`` about the
+    image centre. ``resample``: ``nearest`` or ``bilinear``; ``fill``:
+    ``constant`` (black outside) or ``reflect``."""
     h, w, c = img.shape
     t = np.deg2rad(degrees)
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
     dy, dx = (yy - cy) / scale, (xx - cx) / scale
+    # inverse map: output pixel -> source position (y axis points down)
     sx = np.cos(t) * dx - np.sin(t) * dy + cx
     sy = np.sin(t) * dx + np.cos(t) * dy + cy
+
+    def sample(yi: np.ndarray, xi: np.ndarray) -> np.ndarray:
+        if fill == "reflect":
+            return img[_reflect(yi, h), _reflect(xi, w)]
+        ok = (yi >= 0) & (yi < h) & (xi >= 0) & (xi < w)
+        vals = np.zeros((h, w, c), dtype=np.float64)
+        vals[ok] = img[yi[ok], xi[ok]]
+        return vals
+
+    if resample == "nearest":
+        return sample(np.floor(sy + 0.5).astype(int), np.floor(sx + 0.5).astype(int)).astype(np.float64)
     x0, y0 = np.floor(sx).astype(int), np.floor(sy).astype(int)
     fx, fy = (sx - x0)[..., None], (sy - y0)[..., None]
     out = np.zeros((h, w, c), dtype=np.float64)
     for oy, ox, wgt in ((0, 0, (1 - fy) * (1 - fx)), (0, 1, (1 - fy) * fx), (1, 0, fy * (1 - fx)), (1, 1, fy * fx)):
-        yi, xi = y0 + oy, x0 + ox
-        ok = (yi >= 0) & (yi < h) & (xi >= 0) & (xi < w)
-        vals = np.zeros((h, w, c), dtype=np.float64)
-        vals[ok] = img[yi[ok], xi[ok]]
-        out += vals * wgt
+        out += sample(y0 + oy, x0 + ox) * wgt
     return out
 
 
@@ -200,7 +221,7 @@ def augment_vector(vec: np.ndarray, height: int, width: int, seed_text: str, rec
     degrees = rng.uniform(-recipe["max_degrees"], recipe["max_degrees"]) if recipe.get("max_degrees") else 0.0
     scale = 1.0 + rng.uniform(-recipe["zoom"], recipe["zoom"]) if recipe.get("zoom") else 1.0
     if degrees or scale != 1.0:
-        img = _affine(img, degrees, scale)
+        img = _affine(img, degrees, scale, recipe.get("resample", "nearest"), recipe.get("fill", "constant"))
     if recipe.get("brightness"):
         img = img * rng.uniform(*recipe["brightness"])
         img = np.clip(img, 0, 255)

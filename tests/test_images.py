@@ -189,3 +189,17 @@ def test_prepare_dataset_train_only_augmentation(spark, tmpdir_fresh):
         if r.aug_index == 0:
             assert np.array_equal(np.array(r.pixels), decoded[r.path])
         assert len(r.pixels) == 192 and min(r.pixels) >= 0 and max(r.pixels) <= 1
+
+
+def test_affine_modes():
+    from lookout.functions.images import _affine
+
+    img = np.arange(5 * 5 * 3, dtype=np.float64).reshape(5, 5, 3)
+    assert np.array_equal(_affine(img, 0.0, 1.0, "nearest", "constant"), img)
+    assert np.allclose(_affine(img, 0.0, 1.0, "bilinear", "reflect"), img)
+    r90 = _affine(img, 90.0, 1.0, "nearest", "constant")
+    assert np.array_equal(r90, np.rot90(img, 1, axes=(0, 1)))  # counter-clockwise
+    small = _affine(img, 0.0, 0.5, "nearest", "constant")  # zoom out: black border
+    assert small[0, 0].sum() == 0
+    refl = _affine(img, 0.0, 0.5, "nearest", "reflect")  # zoom out: reflected border
+    assert refl[0, 0].sum() > 0
