@@ -65,23 +65,29 @@ def _axis(n_in: int, n_out: int):
     return lo, hi, pos - lo
 
 
-def resize_bilinear(img: np.ndarray, height: int, width: int) -> np.ndarray:
+def _antialias_weights(n_in: int, n_out: int) -> np.ndarray:
+    """``n_out x n_in`` weights of a triangle filter whose support widens
+    with the reduction factor (area-aware bilinear, as image libraries
+    downsample); rows sum to 1. For enlargement it is plain bilinear."""
+    scale = n_in / n_out
+    support = max(scale, 1.0)
+    centres = (np.arange(n_out, dtype=np.float64) + 0.5) * scale
+    taps = np.arange(n_in, dtype=np.float64) + 0.5
+    w = np.clip(1.0 - np.abs(taps[None, :] - centres[:, None]) / support, 0.0, None)
+    return w / w.sum(axis=1, keepdims=True)
+
+
+def resize_bilinear(img: np.ndarray, height: int, width: int, antialias: bool = False) -> np.ndarray:
     """Bilinear resize with half-pixel centres, aspect not kept (F2). The
-    identity when the size is unchanged. Returns float64 in the input's
-    value range."""
-    h, w = img.shape[:2]
-    src = img.astype(np.float64)
-    if (h, w) == (height, width):
-        return src
-    y0, y1, wy = _axis(h, height)
-    x0, x1, wx = _axis(w, width)
-    wx = wx[None, :, None]
-    top = src[y0][:, x0] * (1 - wx) + src[y0][:, x1] * wx
-    bottom = src[y1][:, x0] * (1 - wx) + src[y1][:, x1] * wx
-    return top * (1 - wy[:, None, None]) + bottom * wy[:, None, None]
+    identity when the size is unchanged. With ``antialias`` a reduction
+    averages every source pixel under the output pixel (triangle filter
+    scaled by the factor). Returns float64 in the input's value range."""
+    return resize_bilinear_batch(img[None], height, width, antialias)[0]
 
 
-def to_pixel_vector(data: bytes, height: int, width: int, channels: int, out_h: int, out_w: int) -> np.ndarray | None:
+def to_pixel_vector(
+    data: bytes, height: int, width: int, channels: int, out_h: int, out_w: int, antialias: bool = False
+) -> np.ndarray | None:
     """F1-F3 for one decoded image: RGB, resize, round to 8 bits, flatten
     row-major interleaved R,G,B, scale by 1/255 (float32). ``None`` for an
     undecodable row (height -1)."""
@@ -90,17 +96,21 @@ def to_pixel_vector(data: bytes, height: int, width: int, channels: int, out_h:
     if len(data) != height * width * channels:
         return None
     rgb = to_rgb(data, height, width, channels)
-    resized = np.clip(np.rint(resize_bilinear(rgb, out_h, out_w)), 0, 255)
+    resized = np.clip(np.rint(resize_bilinear(rgb, out_h, out_w, antialias)), 0, 255)
     return (resized.astype(np.float32) / np.float32(255.0)).reshape(-1)
 
 
-def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int) -> np.ndarray:
+def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int, antialias: bool = False) -> np.ndarray:
     """:func:`resize_bilinear` for a stack ``N x H x W x C`` of same-size
-    images: one vectorised gather for the whole stack."""
+    images: one vectorised gather (or two small matrix products) for the
+    whole stack."""
     n, h, w = imgs.shape[:3]
     src = imgs.astype(np.float64)
     if (h, w) == (height, width):
         return src
+    if antialias:
+        wy, wx = _antialias_weights(h, height), _antialias_weights(w, width)
+        return np.einsum("oh,nhwc,pw->nopc", wy, src, wx, optimize=True)
     y0, y1, wy = _axis(h, height)
     x0, x1, wx = _axis(w, width)
     wx = wx[None, None, :, None]
@@ -111,7 +121,13 @@ def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int) -> np.ndarr
 
 
 def pixel_vectors(
-    data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series, out_h: int, out_w: int
+    data: pd.Series,
+    height: pd.Series,
+    width: pd.Series,
+    channels: pd.Series,
+    out_h: int,
+    out_w: int,
+    antialias: bool = False,
 ) -> list:
     """F1-F3 for an Arrow batch: rows of the same (height, width, channels)
     -- the usual case for one camera -- are stacked and resized together;
@@ -128,27 +144,27 @@ def pixel_vectors(
     for (h, w, c), idx in shapes.items():
         stack = np.frombuffer(b"".join(data.iloc[i] for i in idx), dtype=np.uint8).reshape(len(idx), h, w, c)
         rgb = np.repeat(stack, 3, axis=3) if c == 1 else stack[..., 2::-1]
-        resized = np.clip(np.rint(resize_bilinear_batch(rgb, out_h, out_w)), 0, 255)
+        resized = np.clip(np.rint(resize_bilinear_batch(rgb, out_h, out_w, antialias)), 0, 255)
         flat = (resized.astype(np.float32) / np.float32(255.0)).reshape(len(idx), -1)
         for j, i in enumerate(idx):
             out[i] = flat[j]
     return out
 
 
-def pixel_vectors_udf(out_h: int = 64, out_w: int = 64):
+def pixel_vectors_udf(out_h: int = 64, out_w: int = 64, antialias: bool = False):
     """Arrow-batched UDF (D1): the image struct's fields -> pixel vector,
     null for undecodable rows (routed to rejects by the caller)."""
 
     @F.pandas_udf(PIXELS_TYPE)
     def pixels(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.Series:
-        return pd.Series(pixel_vectors(data, height, width, channels, out_h, out_w), dtype=object)
+        return pd.Series(pixel_vectors(data, height, width, channels, out_h, out_w, antialias), dtype=object)
 
     return pixels
 
 
-def pixel_vector(image_col: str = "image", out_h: int = 64, out_w: int = 64) -> Column:
+def pixel_vector(image_col: str = "image", out_h: int = 64, out_w: int = 64, antialias: bool = False) -> Column:
     """Column expression: decoded ``image`` struct -> float pixel vector."""
-    udf = pixel_vectors_udf(out_h, out_w)
+    udf = pixel_vectors_udf(out_h, out_w, antialias)
     im = F.col(image_col)
     return udf(im["data"], im["height"], im["width"], im["nChannels"])
 

@@ -181,6 +181,7 @@ def prepare_dataset(
     factor: int = 2,
     val_tenths: int = 2,
     seed: int = SEED,
+    antialias: bool = False,
 ) -> DataFrame:
     """The dataset job end to end (S4 -> F1-F3 -> W9 -> U2/F14 -> S11):
     class folders ``c0..c9`` are decoded and resized to pixel vectors, split
@@ -197,7 +198,7 @@ def prepare_dataset(
     from lookout.sources.images import labelled_folders
 
     set_image_batches(spark, height, width)
-    rows, _missing = labelled_folders(spark, root, images=True, height=height, width=width)
+    rows, _missing = labelled_folders(spark, root, images=True, height=height, width=width, antialias=antialias)
     rows = rows.withColumn("image_id", F.conv(F.substring(F.md5("path"), 1, 15), 16, 10).cast("long"))
     split = stratified_split(rows, "image_id", "label", val_tenths, seed, keep_all=True)
     copies = augmented_rows(split, factor).where((F.col("split") == "train") | (F.col("aug_index") == 0))

@@ -105,16 +105,16 @@ def split_valid(images: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def image_features(images: DataFrame, height: int = 64, width: int = 64) -> DataFrame:
+def image_features(images: DataFrame, height: int = 64, width: int = 64, antialias: bool = False) -> DataFrame:
     """Decodable images -> ``path, pixels`` (float vector
     ``height*width*3``, RGB interleaved, [0, 1]). The pixel UDF runs in
     Arrow batches; the raw struct is dropped right after."""
     good, _ = split_valid(images)
-    return good.select("path", "modification_time", pixel_vector("image", height, width).alias("pixels"))
+    return good.select("path", "modification_time", pixel_vector("image", height, width, antialias).alias("pixels"))
 
 
 def labelled_folders(
-    spark: SparkSession, root: str, images: bool = False, height: int = 64, width: int = 64
+    spark: SparkSession, root: str, images: bool = False, height: int = 64, width: int = 64, antialias: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """``<root>/c0..c9/*`` -> ``(path, label)`` with the case-insensitive
     suffix filter (S3); plus the classes with no folder or no file (the
@@ -127,7 +127,7 @@ def labelled_folders(
         rows = good.select(
             "path",
             F.regexp_extract("path", r"/c(\d+)/[^/]*$", 1).cast("int").alias("label"),
-            pixel_vector("image", height, width).alias("pixels"),
+            pixel_vector("image", height, width, antialias).alias("pixels"),
         )
     else:
         listing = read_binary_listing(spark, root, recursive=True)

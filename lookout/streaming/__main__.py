@@ -32,6 +32,7 @@ def main(argv=None) -> None:
     ap.add_argument("--trigger-seconds", type=float)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--csv", action="store_true")
+    ap.add_argument("--antialias", action="store_true", help="area-aware bilinear when downsizing")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("lookout-consumer").getOrCreate()
@@ -54,6 +55,7 @@ def main(argv=None) -> None:
         max_files_per_trigger=a.max_files_per_trigger,
         trigger=trigger,
         fmt="csv" if a.csv else "parquet",
+        antialias=a.antialias,
     )
     print(f"[lookout] streaming images from {a.input} -> {a.output}", flush=True)
     q.awaitTermination()

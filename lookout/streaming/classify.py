@@ -21,12 +21,17 @@ from lookout.streaming.sink import BatchSink
 
 
 def classify_images(
-    images: DataFrame, height: int = 64, width: int = 64, make_predict_fn=None, batch_size: int = 64
+    images: DataFrame,
+    height: int = 64,
+    width: int = 64,
+    make_predict_fn=None,
+    batch_size: int = 64,
+    antialias: bool = False,
 ) -> DataFrame:
     """Decoded images -> ``image, prediction, modification_time``.
     Pixels exist only between the two UDFs; they are never written."""
     make_predict_fn = make_predict_fn or LinearModel.rule(height * width * 3).make_predict_fn()
-    feats = image_features(images, height, width)
+    feats = image_features(images, height, width, antialias)
     scored = with_scores(feats, "pixels", score_udf(make_predict_fn, [height, width, 3], batch_size))
     return scored.select(
         F.col("path").alias("image"), prediction_text(F.col("y_pred")).alias("prediction"), "modification_time"
@@ -53,6 +58,7 @@ def start_image_classifier(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     fmt: str = "parquet",
+    antialias: bool = False,
 ) -> StreamingQuery:
     """Start the classification stream. ``trigger`` defaults to
     ``availableNow`` (drain and stop); pass ``{"processingTime": "5
@@ -60,7 +66,7 @@ def start_image_classifier(
     checkpoint resumes after the last committed batch (T3)."""
     set_image_batches(spark, height, width)
     images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
-    preds = classify_images(images, height, width, make_predict_fn)
+    preds = classify_images(images, height, width, make_predict_fn, antialias=antialias)
     return _start(preds, BatchSink(output_dir, metrics_dir, fmt), checkpoint, trigger, None)
 
 

@@ -203,3 +203,20 @@ def test_affine_modes():
     assert small[0, 0].sum() == 0
     refl = _affine(img, 0.0, 0.5, "nearest", "reflect")  # zoom out: reflected border
     assert refl[0, 0].sum() > 0
+
+
+def test_antialias_resize_averages_blocks():
+    from lookout.functions.images import resize_bilinear
+
+    img = pngs.gradient(64, 64).astype(np.float64)
+    # exact 2x reduction: each output pixel weighs the 4x4 source pixels
+    # around it with a triangle filter of support 2
+    got = resize_bilinear(img, 32, 32, antialias=True)
+    taps = np.array([1, 3, 3, 1], dtype=np.float64) / 8.0
+    kern = np.outer(taps, taps)
+    pad = np.pad(img, ((1, 1), (1, 1), (0, 0)), mode="edge")
+    i, j = 10, 17
+    window = pad[2 * i : 2 * i + 4, 2 * j : 2 * j + 4]
+    assert np.allclose(got[i, j], (window * kern[..., None]).sum(axis=(0, 1)))
+    # enlargement is plain bilinear
+    assert np.allclose(resize_bilinear(img, 100, 90, antialias=True), resize_bilinear(img, 100, 90))
