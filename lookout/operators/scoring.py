@@ -21,6 +21,19 @@ from lookout.functions.arrays import argmax
 
 SCORES_TYPE = T.ArrayType(T.FloatType())
 
+# Models built in this Python worker, by key: a worker is reused across
+# tasks, so each model is loaded once per worker, not once per task.
+_MODELS: dict = {}
+
+
+def cached_predict(key: str, make_predict_fn):
+    """The ``predict`` function of ``make_predict_fn()``, built once per
+    Python worker process."""
+    fn = _MODELS.get(key)
+    if fn is None:
+        fn = _MODELS[key] = make_predict_fn()
+    return fn
+
 
 class LinearModel:
     """Dense + softmax head as a weight matrix (K x D) and bias (K)."""

@@ -25,6 +25,7 @@ def main(argv=None) -> None:
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--metrics")
+    ap.add_argument("--rejects")
     ap.add_argument("--checkpoint")
     ap.add_argument("--size", type=int, default=64)
     ap.add_argument("--model")
@@ -56,6 +57,7 @@ def main(argv=None) -> None:
         trigger=trigger,
         fmt="csv" if a.csv else "parquet",
         antialias=a.antialias,
+        rejects_dir=a.rejects,
     )
     print(f"[lookout] streaming images from {a.input} -> {a.output}", flush=True)
     q.awaitTermination()

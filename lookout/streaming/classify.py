@@ -1,24 +1,34 @@
 """The streaming classifier (T1, T3, S13, P1-P3) and the live class counts
 (T4).
 
-``image folder --readStream image--> decode/resize (pandas UDF) -->
-score (predict_batch_udf) --> foreachBatch idempotent sink``. The stream is
-stateless: each file is read once (the checkpoint's file log), scored and
-written under its batch id.
+``image folder --readStream image (JVM decode)--> resize + score in one
+Arrow pass (mapInPandas, model cached per Python worker) --> foreachBatch
+idempotent sink``. The stream is stateless: each file is read once (the
+checkpoint's file log), scored and written under its batch id;
+undecodable files go to a rejects table under the same batch id.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lookout.classes import class_dim
-from lookout.operators.scoring import LinearModel, prediction_text, score_udf, with_scores
+from lookout.functions.images import pixel_vectors
+from lookout.operators.scoring import LinearModel, cached_predict, prediction_text, score_udf, with_scores
 from lookout.session import set_image_batches
-from lookout.sources.images import image_features, read_image_stream
+from lookout.sources.images import image_features, read_image_stream, split_valid
 from lookout.streaming.sink import BatchSink
 
+CLASSIFIED_SCHEMA = "image string, prediction string, modification_time timestamp, error string"
+UNDECODABLE = "undecodable_image"
+
 
 def classify_images(
     images: DataFrame,
@@ -27,15 +37,67 @@ def classify_images(
     make_predict_fn=None,
     batch_size: int = 64,
     antialias: bool = False,
+    fused: bool = True,
 ) -> DataFrame:
-    """Decoded images -> ``image, prediction, modification_time``.
-    Pixels exist only between the two UDFs; they are never written."""
-    make_predict_fn = make_predict_fn or LinearModel.rule(height * width * 3).make_predict_fn()
-    feats = image_features(images, height, width, antialias)
-    scored = with_scores(feats, "pixels", score_udf(make_predict_fn, [height, width, 3], batch_size))
-    return scored.select(
-        F.col("path").alias("image"), prediction_text(F.col("y_pred")).alias("prediction"), "modification_time"
+    """Decoded images -> ``image, prediction, modification_time,
+    error``; ``error`` is set (and ``prediction`` null) for an undecodable
+    file. Pixels exist only inside the scoring step; they are never written.
+
+    ``fused`` (default): one ``mapInPandas`` pass resizes and scores each
+    Arrow batch (``batch_size`` rows per model call), so pixel vectors never
+    travel back to the JVM. Otherwise the pixel UDF feeds
+    ``predict_batch_udf`` (two Python round trips)."""
+    make = make_predict_fn or LinearModel.rule(height * width * 3).make_predict_fn()
+    if fused:
+        return _classify_fused(images, height, width, make, batch_size, antialias)
+    good, bad = split_valid(images)
+    feats = image_features(good, height, width, antialias)
+    scored = with_scores(feats, "pixels", score_udf(make, [height, width, 3], batch_size))
+    ok = scored.select(
+        F.col("path").alias("image"),
+        prediction_text(F.col("y_pred")).alias("prediction"),
+        "modification_time",
+        F.lit(None).cast("string").alias("error"),
+    )
+    rejected = images.join(bad.select("path"), "path", "left_semi").select(
+        F.col("path").alias("image"),
+        F.lit(None).cast("string").alias("prediction"),
+        "modification_time",
+        F.lit(UNDECODABLE).alias("error"),
     )
+    return ok.unionByName(rejected)
+
+
+def _classify_fused(images: DataFrame, height: int, width: int, make, batch_size: int, antialias: bool) -> DataFrame:
+    key = uuid.uuid4().hex  # one model per worker for this query
+    im = F.col("image")
+    src = images.select(
+        F.col("path").alias("image"),
+        "modification_time",
+        im["data"].alias("data"),
+        im["height"].alias("h"),
+        im["width"].alias("w"),
+        im["nChannels"].alias("c"),
+    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        predict = cached_predict(key, make)
+        for pdf in batches:
+            vecs = pixel_vectors(pdf["data"], pdf["h"], pdf["w"], pdf["c"], height, width, antialias)
+            ok = [i for i, v in enumerate(vecs) if v is not None]
+            pred = np.full(len(pdf), None, dtype=object)
+            if ok:
+                x = np.stack([vecs[i] for i in ok]).reshape(len(ok), height, width, 3)
+                cls = np.concatenate(
+                    [np.argmax(predict(x[s : s + batch_size]), axis=1) for s in range(0, len(ok), batch_size)]
+                )
+                pred[ok] = cls.astype(str)
+            err = np.where(pd.isna(pred), UNDECODABLE, None)
+            yield pd.DataFrame(
+                {"image": pdf["image"], "prediction": pred, "modification_time": pdf["modification_time"], "error": err}
+            )
+
+    return src.mapInPandas(run, CLASSIFIED_SCHEMA)
 
 
 def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, name: str | None, mode: str = "append"):
@@ -59,15 +121,20 @@ def start_image_classifier(
     trigger: dict | None = None,
     fmt: str = "parquet",
     antialias: bool = False,
+    rejects_dir: str | None = None,
+    fused: bool = True,
 ) -> StreamingQuery:
     """Start the classification stream. ``trigger`` defaults to
     ``availableNow`` (drain and stop); pass ``{"processingTime": "5
     seconds"}`` for a long-running query. Restarting with the same
-    checkpoint resumes after the last committed batch (T3)."""
+    checkpoint resumes after the last committed batch (T3). Undecodable
+    files go to ``rejects_dir`` (default: a ``rejects`` folder next to the
+    metrics)."""
     set_image_batches(spark, height, width)
+    rejects_dir = rejects_dir or metrics_dir.rstrip("/").rsplit("/", 1)[0] + "/rejects"
     images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
-    preds = classify_images(images, height, width, make_predict_fn, antialias=antialias)
-    return _start(preds, BatchSink(output_dir, metrics_dir, fmt), checkpoint, trigger, None)
+    preds = classify_images(images, height, width, make_predict_fn, antialias=antialias, fused=fused)
+    return _start(preds, BatchSink(output_dir, metrics_dir, fmt, rejects_dir), checkpoint, trigger, None)
 
 
 def start_table_stream(

@@ -6,13 +6,17 @@ overwrite. A batch replayed after a failure (the checkpoint commits after
 the sink) replaces its own partition instead of appending duplicates: the
 output is exactly-once per batch id (Q3). The row count comes from an
 ``Observation`` on the write itself, so the batch is computed once -- no
-``persist`` + ``count`` second pass.
+``persist`` + ``count`` second pass. When the batch carries an ``error``
+column, rows with an error go to the rejects table (same batch id) and
+the narrow scored batch is persisted for those two writes, so decoding and
+scoring still run once.
 """
 
 from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -29,24 +33,34 @@ def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool
 class BatchSink:
     """``foreachBatch`` callable: ``(batch_df, batch_id)``."""
 
-    def __init__(self, output_dir: str, metrics_dir: str | None = None, fmt: str = "parquet"):
+    def __init__(
+        self, output_dir: str, metrics_dir: str | None = None, fmt: str = "parquet", rejects_dir: str | None = None
+    ):
         self.output_dir = output_dir
         self.metrics_dir = metrics_dir
         self.fmt = fmt
+        self.rejects_dir = rejects_dir
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         obs = Observation(f"batch_{batch_id}")
         start = time.time()
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).observe(
-            obs, F.count(F.lit(1)).alias("n")
-        )
-        write_partition(rows, self.output_dir, self.fmt)
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        split = "error" in rows.columns
+        if split:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = rows.where(F.col("error").isNull()).drop("error") if split else rows
+            write_partition(good.observe(obs, F.count(F.lit(1)).alias("n")), self.output_dir, self.fmt)
+            if split and self.rejects_dir:
+                bad = rows.where(F.col("error").isNotNull()).drop("prediction")
+                write_partition(bad, self.rejects_dir, self.fmt)
+        finally:
+            if split:
+                rows.unpersist()
         n = int(obs.get.get("n", 0) or 0)
         duration_ms = int(round((time.time() - start) * 1000))
         if n == 0 or not self.metrics_dir:
             return  # P3: an empty batch leaves no metrics row
-        metrics = spark.createDataFrame(
-            [(int(batch_id), n, duration_ms, duration_ms / n)], METRICS_SCHEMA
-        )
+        metrics = spark.createDataFrame([(int(batch_id), n, duration_ms, duration_ms / n)], METRICS_SCHEMA)
         write_partition(metrics.coalesce(1), self.metrics_dir, self.fmt)

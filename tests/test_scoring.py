@@ -69,3 +69,21 @@ def test_consumer_cli_with_onnx_model(spark, tmpdir_fresh):
     got = {r.image.rsplit("/", 1)[-1]: r.prediction for r in preds.collect()}
     assert got == want
     assert read_or_empty(spark, f"{tmpdir_fresh}/nothing", METRICS_SCHEMA).count() == 0
+
+
+def test_fused_and_two_step_classification_agree(spark, tmpdir_fresh):
+    from lookout.sources.images import read_images
+    from lookout.streaming.classify import classify_images
+    from tests import pngs
+
+    src = f"{tmpdir_fresh}/in"
+    rng = np.random.default_rng(11)
+    for i in range(7):
+        pngs.write(f"{src}/img_{i}.png", rng.integers(0, 256, (9 + i, 13, 3)))
+    with open(f"{src}/broken.png", "wb") as f:
+        f.write(b"\x89PNG not really")
+    images = read_images(spark, src)
+    fused = sorted(tuple(r) for r in classify_images(images, 8, 8).drop("modification_time").collect())
+    two = sorted(tuple(r) for r in classify_images(images, 8, 8, fused=False).drop("modification_time").collect())
+    assert fused == two and len(fused) == 8
+    assert [r for r in fused if r[2] is not None][0][1:] == (None, "undecodable_image")

@@ -43,9 +43,11 @@ def test_restart_each_file_scored_once(spark, tmpdir_fresh):
     assert names == ["a1.png", "a2.png", "b1.png", "b2.jpg", "c1.png", "c2.png"]
     assert preds.where(~F.col("prediction").rlike("^[0-9]$")).count() == 0
     metrics = read_or_empty(spark, met, METRICS_SCHEMA)
-    # 7 matched files (one undecodable -> rejected, no row) in 1-file batches
+    # 7 matched files in 1-file batches; the undecodable one goes to rejects
     assert metrics.agg(F.sum("num_images")).first()[0] == 6
     assert metrics.where(F.col("ms_per_image") < 0).count() == 0
+    rejects = spark.read.parquet(f"{base}/rejects").collect()
+    assert [(r.image.rsplit("/", 1)[-1], r.error) for r in rejects] == [("bad.png", "undecodable_image")]
 
 
 def test_replayed_batch_is_idempotent(spark, tmpdir_fresh):
