@@ -38,9 +38,11 @@ CLASS_SCHEMA = T.StructType(
 def class_dim(spark: SparkSession) -> DataFrame:
     """The 10-row class dimension (class_id INT, class_name STRING).
 
-    Its size is fixed by the model's output layer, so it is always safe to
-    broadcast."""
-    return spark.createDataFrame(list(enumerate(CLASS_NAMES)), CLASS_SCHEMA)
+    Built from ``range`` and literals, so it is a JVM-only plan (no Python
+    worker) with a known row count; its size is fixed by the model's output
+    layer, so it is always safe to broadcast."""
+    ids = spark.range(NUM_CLASSES).select(F.col("id").cast("int").alias("class_id"))
+    return ids.select("class_id", class_name_of(F.col("class_id")).alias("class_name"))
 
 
 def class_name_of(class_id: Column) -> Column:

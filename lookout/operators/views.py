@@ -61,7 +61,13 @@ def class_counts(pred: DataFrame, spark: SparkSession | None = None) -> DataFram
     nulls."""
     spark = spark or pred.sparkSession
     counts = _class_totals(pred).join(F.broadcast(class_dim(spark)), "class_id", "inner")
-    return counts.select("class_id", "class_name", "n_images").orderBy(class_number(F.col("class_name")))
+    # At most 10 rows: sort them in one partition (no range-partitioning
+    # exchange and sampling job for a global sort).
+    return (
+        counts.select("class_id", "class_name", "n_images")
+        .coalesce(1)
+        .sortWithinPartitions(class_number(F.col("class_name")))
+    )
 
 
 def class_share(pred: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -87,7 +93,8 @@ def class_counts_dense(pred: DataFrame, spark: SparkSession | None = None) -> Da
         class_dim(spark)
         .join(F.broadcast(known), "class_id", "left")
         .select("class_id", "class_name", F.coalesce("n_images", F.lit(0)).cast("bigint").alias("n_images"))
-        .orderBy("class_id")
+        .coalesce(1)
+        .sortWithinPartitions("class_id")
     )
 
 
