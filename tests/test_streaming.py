@@ -114,3 +114,31 @@ def test_live_class_counts_follow_new_batches(spark, tmpdir_fresh):
         assert rows[4][0] == "c4: Téléphone (Gauche)"
     finally:
         q.stop()
+
+
+def test_spark_replay_after_crash_is_exactly_once(spark, tmpdir_fresh):
+    """A crash after the sink wrote batch N but before the commit log recorded
+    it makes Spark re-run batch N on restart; the per-batch overwrite keeps
+    one copy."""
+    src, base = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out"
+    os.makedirs(src)
+    out, met, ckpt = f"{base}/pred", f"{base}/metrics", f"{base}/ckpt"
+    _drop(src, ["a.png", "b.png", "c.png"], 9)
+
+    def run():
+        q = start_image_classifier(spark, src, out, met, ckpt, height=8, width=8, max_files_per_trigger=2)
+        q.awaitTermination()
+
+    run()
+    commits = sorted(int(n) for n in os.listdir(f"{ckpt}/commits") if n.isdigit())
+    assert commits == [0, 1]
+    # the crash: batch 1 written, not committed (the local file system keeps
+    # a checksum file next to each log entry)
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{ckpt}/commits/{name}"):
+            os.remove(f"{ckpt}/commits/{name}")
+    run()
+    preds = read_or_empty(spark, out, PREDICTION_SCHEMA)
+    assert sorted(r.image.rsplit("/", 1)[-1] for r in preds.collect()) == ["a.png", "b.png", "c.png"]
+    metrics = read_or_empty(spark, met, METRICS_SCHEMA)
+    assert sorted((r.batch_id, r.num_images) for r in metrics.collect()) == [(0, 2), (1, 1)]
