@@ -200,7 +200,15 @@ def prepare_dataset(
     set_image_batches(spark, height, width)
     rows, _missing = labelled_folders(spark, root, images=True, height=height, width=width, antialias=antialias)
     rows = rows.withColumn("image_id", F.conv(F.substring(F.md5("path"), 1, 15), 16, 10).cast("long"))
-    split = stratified_split(rows, "image_id", "label", val_tenths, seed, keep_all=True)
+    # Decode once: the split reads the table several times (key counts,
+    # boundary buckets, classification), so the decoded pixels are written
+    # next to the output first (this also cuts the lineage); the key passes
+    # then read two narrow Parquet columns instead of decoding every image
+    # again.
+    decoded_path = out_path.rstrip("/") + "_decoded"
+    save_features(rows, decoded_path)
+    decoded = load_features(spark, decoded_path, columns=("image_id", "path", "pixels", "label"))
+    split = stratified_split(decoded, "image_id", "label", val_tenths, seed, keep_all=True)
     copies = augmented_rows(split, factor).where((F.col("split") == "train") | (F.col("aug_index") == 0))
     aug = augment_udf(height, width, seed=seed)
     table = copies.select(
