@@ -137,8 +137,12 @@ def save_features(df: DataFrame, path: str, label_col: str = "label", mode: str
     """The feature table as Parquet, one folder per label (hive
     partitions); ``dynamic`` partition overwrite replaces only the labels
     written."""
+    # rebalance by label: AQE groups each label's rows into files of the
+    # advisory size and splits a hot label over several tasks (a plain
+    # repartition by label would put a hot label in one task).
     (
-        df.write.mode(mode)
+        df.hint("rebalance", label_col)
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(label_col)
         .parquet(path)

@@ -50,10 +50,13 @@ class BatchSink:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = rows.where(F.col("error").isNull()).drop("error") if split else rows
-            write_partition(good.observe(obs, F.count(F.lit(1)).alias("n")), self.output_dir, self.fmt)
+            # rebalance: AQE sizes the output files (a few per batch, not one
+            # per input task) by shuffling the narrow result rows only.
+            good = good.observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance")
+            write_partition(good, self.output_dir, self.fmt)
             if split and self.rejects_dir:
                 bad = rows.where(F.col("error").isNotNull()).drop("prediction")
-                write_partition(bad, self.rejects_dir, self.fmt)
+                write_partition(bad.hint("rebalance"), self.rejects_dir, self.fmt)
         finally:
             if split:
                 rows.unpersist()
