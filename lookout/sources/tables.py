@@ -84,8 +84,15 @@ def _first_lines(paths: pd.DataFrame) -> pd.DataFrame:
             fs, fp = pafs.LocalFileSystem(), local_fs_path(p)
         else:
             fs, fp = pafs.FileSystem.from_uri(p)
+        # Read until the end of the first line (the header), however long.
+        buf = b""
         with fs.open_input_stream(fp) as f:
-            head = f.read(65536).split(b"\n", 1)[0].rstrip(b"\r")
+            while b"\n" not in buf:
+                chunk = f.read(65536)
+                if not chunk:
+                    break
+                buf += chunk
+        head = buf.split(b"\n", 1)[0].rstrip(b"\r")
         heads.append(head.decode("utf-8", "replace"))
     return pd.DataFrame({"path": paths["path"], "header": heads})
 
