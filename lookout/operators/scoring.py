@@ -1,9 +1,11 @@
 """Model scoring (D2-D6, W13): pixel vectors -> class scores -> class.
 
-Scoring runs through ``pyspark.ml.functions.predict_batch_udf``: the model
-is built once per Python worker (``make_predict_fn``), rows arrive as
-Arrow batches and are reshaped to the model's input tensor. The scorer is
-pluggable: the rule-defined linear head (default; SQL-checkable), any
+A model is a factory ``make_predict_fn() -> predict(x)`` built once per
+Python worker. Static tables score through
+``pyspark.ml.functions.predict_batch_udf`` (rows arrive as Arrow batches,
+reshaped to the model's input tensor); the image stream calls the same
+factory from its fused resize+score pass (``cached_predict``). The scorer
+is pluggable: the rule-defined linear head (default; SQL-checkable), any
 weight matrix, an ONNX file (when ``onnxruntime`` is present), or a fitted
 ``pyspark.ml`` model.
 """
