@@ -52,9 +52,23 @@ class LinearModel:
         i = np.arange(n_features)[None, :]
         return cls(((7 * c + 3 * i) % 11 - 5) / 10.0, np.arange(k) / 100.0)
 
-    def make_predict_fn(self) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
-        """The weights travel in the closure (a few KB); the returned
-        factory runs once per Python worker."""
+    def make_predict_fn(self, spark=None) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+        """The returned factory runs once per Python worker. Small
+        weights travel in the closure; with ``spark`` they are shipped as a
+        broadcast variable instead (fetched once per executor, only a handle
+        in every task's closure) -- the way for large weight matrices."""
+        if spark is not None:
+            shipped = spark.sparkContext.broadcast((self.weights, self.bias))
+
+            def make():
+                weights, bias = shipped.value
+
+                def predict(x: np.ndarray) -> np.ndarray:
+                    return x.reshape(x.shape[0], -1).astype(np.float64) @ weights.T + bias
+
+                return predict
+
+            return make
         weights, bias = self.weights, self.bias
 
         def make():

@@ -87,3 +87,11 @@ def test_fused_and_two_step_classification_agree(spark, tmpdir_fresh):
     two = sorted(tuple(r) for r in classify_images(images, 8, 8, fused=False).drop("modification_time").collect())
     assert fused == two and len(fused) == 8
     assert [r for r in fused if r[2] is not None][0][1:] == (None, "undecodable_image")
+
+
+def test_broadcast_weights_same_predictions(spark):
+    emb = table(spark, SF01, "embeddings").select("vec_id", "embedding")
+    m = LinearModel.rule(64, 10)
+    a = with_scores(emb, "embedding", score_udf(m.make_predict_fn(), [64])).select("vec_id", "y_pred")
+    b = with_scores(emb, "embedding", score_udf(m.make_predict_fn(spark), [64])).select("vec_id", "y_pred")
+    assert a.exceptAll(b).count() == 0 and b.count() == emb.count()
