@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 # Default md5 prefix length: 16^3 = 4,096 buckets per group.
 HASH_DIGITS = 3
+# Up to this many groups, per-group thresholds become literals in the
+# row projection instead of a join.
+MAX_LITERAL_GROUPS = 1000
 
 
 def shuffle_key(id_col, seed: int = 42) -> Column:
@@ -220,7 +223,28 @@ def first_by_rank(
     parts = list(partition_cols)
     th = rank_thresholds(df, id_col, cutoff, seed, parts)
     k = shuffle_key(id_col, seed)
-    if parts:
+    small = th.limit(MAX_LITERAL_GROUPS + 1).collect() if len(parts) == 1 else None
+    if small is not None and len(small) <= MAX_LITERAL_GROUPS:
+        # One threshold per group, and few groups (checked): a literal map
+        # looked up inside the row projection -- no join, no exchange of
+        # the (wide) rows at all.
+        g = parts[0]
+        keyed = [r for r in small if r[g] is not None]
+        nulls = [r for r in small if r[g] is None]
+        gtype = df.schema[g].dataType
+        tk, tid = F.lit(None).cast("string"), F.lit(None).cast(df.schema[id_col].dataType)
+        if keyed:
+            groups = F.array(*[F.lit(r[g]).cast(gtype) for r in keyed])
+            tk = F.element_at(F.map_from_arrays(groups, F.array(*[F.lit(r["_tk"]) for r in keyed])), F.col(g))
+            tid = F.element_at(
+                F.map_from_arrays(groups, F.array(*[F.lit(r["_tid"]) for r in keyed])), F.col(g)
+            )
+        if nulls:
+            tk = F.when(F.col(g).isNull(), F.lit(nulls[0]["_tk"])).otherwise(tk)
+            tid = F.when(F.col(g).isNull(), F.lit(nulls[0]["_tid"])).otherwise(tid)
+        joined = df
+        parts = []
+    elif parts:
         joined = _join_null_safe(df, th, parts, "left")
         tk, tid = F.col("_tk"), F.col("_tid")
     else:

@@ -171,3 +171,18 @@ def test_split_thresholds_match_window_ranks_with_null_and_hot_groups(spark):
         "split", F.when(F.col("rn") <= 3200, "train").otherwise("val")
     )
     assert p.select("id", "split").exceptAll(wp.select("id", "split")).count() == 0
+
+
+def test_split_join_fallback_for_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_LITERAL_GROUPS", 2)  # force the join path
+    df = spark.range(0, 3000).withColumn("g", (F.col("id") % 7).cast("int"))
+    df = df.withColumn("g", F.when(F.col("id") % 11 == 0, F.lit(None).cast("int")).otherwise(F.col("g")))
+    got = D.stratified_split(df, "id", "g")
+    key = R.shuffle_key("id", 42)
+    want = (
+        df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(key, "id")))
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+        .withColumn("split", F.when(F.col("rn") * 10 <= F.col("n") * 2 + 5, "val").otherwise("train"))
+    )
+    assert got.count() == 3000
+    assert got.select("id", "split").exceptAll(want.select("id", "split")).count() == 0
