@@ -40,6 +40,18 @@ def set_image_batches(spark: SparkSession, height: int, width: int, channels: in
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_batch_rows(height, width, channels)))
 
 
+def default_driver_memory(cap_gb: int = 8) -> str:
+    """Heap for a local (single-JVM) session: 60 % of physical memory, at
+    most ``cap_gb`` -- so a small container does not get a heap larger
+    than itself."""
+    try:
+        pages, page = os.sysconf("SC_PHYS_PAGES"), os.sysconf("SC_PAGE_SIZE")
+        total_gb = pages * page / 1024**3
+    except (ValueError, OSError, AttributeError):
+        return f"{cap_gb}g"
+    return f"{max(1, min(cap_gb, int(total_gb * 0.6)))}g"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lookout") -> SparkSession:
     """A local session as the tests and the bench use it (UI off, AQE on)."""
     spark = (
@@ -53,7 +65,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "loo
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", default_driver_memory())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
