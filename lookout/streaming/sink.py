@@ -29,6 +29,12 @@ def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool
     writer.format(fmt).save(path)
 
 
+def _exists(spark, path: str) -> bool:
+    from lookout.sources.tables import path_exists
+
+    return path_exists(spark, path)
+
+
 class BatchSink:
     """``foreachBatch`` callable: ``(batch_df, batch_id)``."""
 
@@ -52,7 +58,7 @@ class BatchSink:
             good = rows.where(F.col("error").isNull()).drop("error") if split else rows
             # rebalance: AQE sizes the output files (a few per batch, not one
             # per input task) by shuffling the narrow result rows only.
-            good = good.observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance")
+            good = good.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("n"))
             write_partition(good, self.output_dir, self.fmt)
             if split and self.rejects_dir:
                 bad = rows.where(F.col("error").isNotNull()).drop("prediction")
@@ -60,7 +66,11 @@ class BatchSink:
         finally:
             if split:
                 rows.unpersist()
-        n = int(obs.get.get("n", 0) or 0)
+        try:
+            n = int(obs.get.get("n", 0) or 0)
+        except Exception:  # noqa: BLE001 - metrics unavailable: count what was written
+            part = f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"
+            n = spark.read.format(self.fmt).option("header", True).load(part).count() if _exists(spark, part) else 0
         duration_ms = int(round((time.time() - start) * 1000))
         if n == 0 or not self.metrics_dir:
             return  # P3: an empty batch leaves no metrics row
