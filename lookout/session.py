@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Paths listed on the driver before Spark lists them with a job (local runs).
+LOCAL_LISTING_THRESHOLD = 4096
 # Target bytes of one Arrow batch of pixel rows sent to a Python worker.
 ARROW_BATCH_BYTES = 16 * 1024 * 1024
 
@@ -65,6 +67,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "loo
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Local disk: list files on the driver; a distributed listing job
+        # (the default above 32 paths) only pays off on remote storage.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", str(LOCAL_LISTING_THRESHOLD))
         .config("spark.driver.memory", default_driver_memory())
         .getOrCreate()
     )
