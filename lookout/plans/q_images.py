@@ -51,6 +51,50 @@ def image_features(spark, sf):
     )
 
 
+UP = 2 * SIDE  # upsampled side for the resize check
+
+
+def _resize_up_sql() -> str:
+    """DuckDB twin of a 2x bilinear upsample with half-pixel centres: every
+    weight is a multiple of 1/16, so values are exact and ``round_even``
+    matches NumPy's half-to-even rounding."""
+
+    def pos(o: str) -> str:
+        return f"greatest(least(0.5 * ({o}) - 0.25, {SIDE - 1}), 0)"
+
+    def lo(o: str) -> str:
+        return f"CAST(floor({pos(o)}) AS INTEGER)"
+
+    def hi(o: str) -> str:
+        return f"least({lo(o)} + 1, {SIDE - 1})"
+
+    def w(o: str) -> str:
+        return f"({pos(o)} - floor({pos(o)}))"
+
+    def px(y: str, x: str) -> str:
+        return f"pixels[({y}) * {SIDE} + ({x}) + 1]"
+
+    r, c = f"(i // {UP * 3})", f"((i // 3) % {UP})"
+    top = f"((1 - {w(c)}) * {px(lo(r), lo(c))} + {w(c)} * {px(lo(r), hi(c))})"
+    bottom = f"((1 - {w(c)}) * {px(hi(r), lo(c))} + {w(c)} * {px(hi(r), hi(c))})"
+    value = f"(1 - {w(r)}) * {top} + {w(r)} * {bottom}"
+    return W(
+        f"SELECT vec_id, list_transform(range({UP * UP * 3}), lambda i: CAST(round_even({value}, 0) AS INTEGER)) AS rgb "
+        "FROM feat",
+        S.FEAT_SQL,
+    )
+
+
+@register("image_resize", _resize_up_sql())
+def image_resize(spark, sf):
+    """decoded images resized 8x8 -> 16x16 (bilinear, half-pixel
+    centres), grey -> RGB, back to 0..255 for an exact check."""
+    set_image_batches(spark, UP, UP)
+    root = export_features(spark, sf)
+    feats = I.image_features(I.read_images(spark, root), UP, UP)
+    return feats.select(_vec_id(), F.transform("pixels", lambda x: F.round(x * 255).cast("int")).alias("rgb"))
+
+
 @register(
     "label_folders",
     W(
