@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lookout.functions.arrays import unit_scale
-from lookout.functions.images import augment_udf
+from lookout.functions.images import KERAS_RECIPE, PREP_RECIPE, augment_udf
 from lookout.operators import dataset as D
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
@@ -142,20 +142,19 @@ def split_folders(spark, sf):
     return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_images"))
 
 
-@register(
-    "augment_images",
-    f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, label, CAST({RGB_LEN} AS INTEGER) AS n_values, true AS in_range
-FROM embeddings, unnest(range(3)) t(k)""",
-)
-def augment_images(spark, sf):
-    """U2 + F14: originals plus two seeded augmented copies; the check is on
-    shape and value range (the copies are random by design)."""
+AUG_SQL = f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, label, CAST({RGB_LEN} AS INTEGER) AS n_values, true AS in_range
+FROM embeddings, unnest(range(3)) t(k)"""
+
+
+def _augment(spark, sf, recipe):
     set_image_batches(spark, SIDE, SIDE)
     feats = S.features(spark, sf)
     rgb = F.transform(F.sequence(F.lit(0), F.lit(RGB_LEN - 1)), lambda i: F.element_at("pixels", F.floor(i / 3).cast("int") + 1))
     base = feats.select("vec_id", "label", unit_scale(rgb).alias("pixels"))
     rows = D.augmented_rows(base, factor=2)
-    aug = rows.withColumn("aug", augment_udf(SIDE, SIDE)(F.col("pixels"), F.col("vec_id"), F.col("aug_index")))
+    aug = rows.withColumn(
+        "aug", augment_udf(SIDE, SIDE, recipe)(F.col("pixels"), F.col("vec_id"), F.col("aug_index"))
+    )
     return aug.select(
         "vec_id",
         F.col("aug_index").cast("int").alias("aug_index"),
@@ -165,6 +164,21 @@ def augment_images(spark, sf):
     )
 
 
+@register("augment_images", AUG_SQL)
+def augment_images(spark, sf):
+    """U2 + F14: originals plus two seeded augmented copies (flip, rotation,
+    brightness, contrast); the check is on shape and value range (the copies
+    are random by design)."""
+    return _augment(spark, sf, PREP_RECIPE)
+
+
+@register("augment_images_zoom", AUG_SQL)
+def augment_images_zoom(spark, sf):
+    """U2 + F15: the second recipe (rotation within 5 % of a turn, zoom
+    within 10 %, reflected borders)."""
+    return _augment(spark, sf, KERAS_RECIPE)
+
+
 @register(
     "dataset_preparation",
     f"""SELECT label, split, CAST(count(*) * (CASE WHEN split = 'train' THEN 3 ELSE 1 END) AS BIGINT) AS n_rows,
