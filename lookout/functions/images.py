@@ -196,73 +196,111 @@ def _reflect(i: np.ndarray, n: int) -> np.ndarray:
     return np.where(i >= n, period - 1 - i, i)
 
 
-def _affine(img: np.ndarray, degrees: float, scale: float, resample: str = "nearest", fill: str = "constant") -> np.ndarray:
-    """Rotate counter-clockwise by ``degrees`` and zoom by ``scale`` about the
-    image centre. ``resample``: ``nearest`` or ``bilinear``; ``fill``:
+def _affine_batch(
+    imgs: np.ndarray, degrees: np.ndarray, scales: np.ndarray, resample: str = "nearest", fill: str = "constant"
+) -> np.ndarray:
+    """Rotate each image of ``N x H x W x C`` counter-clockwise by its
+    ``degrees`` and zoom it by its ``scale`` about the centre, in one
+    vectorised gather. ``resample``: ``nearest`` or ``bilinear``; ``fill``:
     ``constant`` (black outside) or ``reflect``."""
-    h, w, c = img.shape
-    t = np.deg2rad(degrees)
+    n, h, w, c = imgs.shape
+    t = np.deg2rad(np.asarray(degrees, dtype=np.float64))[:, None, None]
+    sc = np.asarray(scales, dtype=np.float64)[:, None, None]
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
-    dy, dx = (yy - cy) / scale, (xx - cx) / scale
+    dy, dx = (yy - cy)[None] / sc, (xx - cx)[None] / sc
     # inverse map: output pixel -> source position (y axis points down)
     sx = np.cos(t) * dx - np.sin(t) * dy + cx
     sy = np.sin(t) * dx + np.cos(t) * dy + cy
+    rows = np.arange(n)[:, None, None]
 
     def sample(yi: np.ndarray, xi: np.ndarray) -> np.ndarray:
         if fill == "reflect":
-            return img[_reflect(yi, h), _reflect(xi, w)]
+            return imgs[rows, _reflect(yi, h), _reflect(xi, w)]
         ok = (yi >= 0) & (yi < h) & (xi >= 0) & (xi < w)
-        vals = np.zeros((h, w, c), dtype=np.float64)
-        vals[ok] = img[yi[ok], xi[ok]]
-        return vals
+        vals = imgs[rows, np.clip(yi, 0, h - 1), np.clip(xi, 0, w - 1)]
+        return np.where(ok[..., None], vals, 0.0)
 
     if resample == "nearest":
         return sample(np.floor(sy + 0.5).astype(int), np.floor(sx + 0.5).astype(int)).astype(np.float64)
     x0, y0 = np.floor(sx).astype(int), np.floor(sy).astype(int)
     fx, fy = (sx - x0)[..., None], (sy - y0)[..., None]
-    out = np.zeros((h, w, c), dtype=np.float64)
+    out = np.zeros((n, h, w, c), dtype=np.float64)
     for oy, ox, wgt in ((0, 0, (1 - fy) * (1 - fx)), (0, 1, (1 - fy) * fx), (1, 0, fy * (1 - fx)), (1, 1, fy * fx)):
         out += sample(y0 + oy, x0 + ox) * wgt
     return out
 
 
-def augment_vector(vec: np.ndarray, height: int, width: int, seed_text: str, recipe: dict = PREP_RECIPE) -> np.ndarray:
-    """One augmented copy of a [0, 1] pixel vector, reproducible from
-    ``seed_text`` (so a retried task produces the same copy)."""
-    rng = _rng(seed_text)
-    img = np.asarray(vec, dtype=np.float64).reshape(height, width, 3) * 255.0
-    if recipe.get("flip_p") and rng.random() < recipe["flip_p"]:
-        img = img[:, ::-1]
-    degrees = rng.uniform(-recipe["max_degrees"], recipe["max_degrees"]) if recipe.get("max_degrees") else 0.0
-    scale = 1.0 + rng.uniform(-recipe["zoom"], recipe["zoom"]) if recipe.get("zoom") else 1.0
-    if degrees or scale != 1.0:
-        img = _affine(img, degrees, scale, recipe.get("resample", "nearest"), recipe.get("fill", "constant"))
+def _affine(img: np.ndarray, degrees: float, scale: float, resample: str = "nearest", fill: str = "constant") -> np.ndarray:
+    """:func:`_affine_batch` for one ``H x W x C`` image."""
+    return _affine_batch(img[None].astype(np.float64), [degrees], [scale], resample, fill)[0]
+
+
+def augment_batch(vecs: np.ndarray, height: int, width: int, seeds, recipe: dict = PREP_RECIPE) -> np.ndarray:
+    """Augmented copies of ``N`` pixel vectors in [0, 1] (``N x H*W*3``),
+    copy ``n`` reproducible from ``seeds[n]`` alone: each row draws its own
+    parameters, and every step is computed per row (the result does not
+    depend on which rows share a batch), so a retried task produces the same
+    copies. The steps themselves run vectorised over the whole batch."""
+    n = len(seeds)
+    flip = np.zeros(n, dtype=bool)
+    deg, scale = np.zeros(n), np.ones(n)
+    bright, contrast = np.ones(n), np.ones(n)
+    for i, seed_text in enumerate(seeds):
+        rng = _rng(seed_text)
+        if recipe.get("flip_p"):
+            flip[i] = rng.random() < recipe["flip_p"]
+        if recipe.get("max_degrees"):
+            deg[i] = rng.uniform(-recipe["max_degrees"], recipe["max_degrees"])
+        if recipe.get("zoom"):
+            scale[i] = 1.0 + rng.uniform(-recipe["zoom"], recipe["zoom"])
+        if recipe.get("brightness"):
+            bright[i] = rng.uniform(*recipe["brightness"])
+        if recipe.get("contrast"):
+            contrast[i] = rng.uniform(*recipe["contrast"])
+    img = np.asarray(vecs, dtype=np.float64).reshape(n, height, width, 3) * 255.0
+    img[flip] = img[flip][:, :, ::-1]
+    moving = (deg != 0) | (scale != 1.0)
+    if moving.any():
+        img[moving] = _affine_batch(
+            img[moving], deg[moving], scale[moving], recipe.get("resample", "nearest"), recipe.get("fill", "constant")
+        )
     if recipe.get("brightness"):
-        img = img * rng.uniform(*recipe["brightness"])
-        img = np.clip(img, 0, 255)
+        img = np.clip(img * bright[:, None, None, None], 0, 255)
     if recipe.get("contrast"):
         grey = 0.299 * img[..., 0] + 0.587 * img[..., 1] + 0.114 * img[..., 2]
-        mean = float(np.rint(grey.mean()))
-        img = mean + (img - mean) * rng.uniform(*recipe["contrast"])
+        mean = np.rint(grey.reshape(n, -1).mean(axis=1))[:, None, None, None]
+        img = mean + (img - mean) * contrast[:, None, None, None]
     img = np.clip(np.rint(img), 0, 255)
-    return (img.astype(np.float32) / np.float32(255.0)).reshape(-1)
+    return (img.astype(np.float32) / np.float32(255.0)).reshape(n, -1)
+
+
+def augment_vector(vec: np.ndarray, height: int, width: int, seed_text: str, recipe: dict = PREP_RECIPE) -> np.ndarray:
+    """One augmented copy of a [0, 1] pixel vector, reproducible from
+    ``seed_text`` (so a retried task produces the same copy)."""
+    return augment_batch(np.asarray(vec)[None], height, width, [seed_text], recipe)[0]
 
 
 def augment_udf(height: int, width: int, recipe: dict = PREP_RECIPE, seed: int = 42):
     """Arrow-batched UDF: (pixels, id, copy index) -> augmented pixels; copy
-    index 0 returns the original unchanged."""
+    index 0 returns the original unchanged. The copies of a batch are
+    augmented together (:func:`augment_batch`)."""
 
     @F.pandas_udf(PIXELS_TYPE)
     def augment(pixels: pd.Series, ids: pd.Series, k: pd.Series) -> pd.Series:
-        out = []
-        for vec, i, j in zip(pixels, ids, k):
+        out: list = [None] * len(pixels)
+        todo = []
+        for pos, (vec, i, j) in enumerate(zip(pixels, ids, k)):
             if vec is None:
-                out.append(None)
-            elif int(j) == 0:
-                out.append(np.asarray(vec, dtype=np.float32))
+                continue
+            if int(j) == 0:
+                out[pos] = np.asarray(vec, dtype=np.float32)
             else:
-                out.append(augment_vector(vec, height, width, f"{seed}:{i}:{int(j)}", recipe))
+                todo.append((pos, vec, f"{seed}:{i}:{int(j)}"))
+        if todo:
+            done = augment_batch(np.stack([t[1] for t in todo]), height, width, [t[2] for t in todo], recipe)
+            for (pos, _, _), row in zip(todo, done):
+                out[pos] = row
         return pd.Series(out, dtype=object)
 
     return augment

@@ -220,3 +220,16 @@ def test_antialias_resize_averages_blocks():
     assert np.allclose(got[i, j], (window * kern[..., None]).sum(axis=(0, 1)))
     # enlargement is plain bilinear
     assert np.allclose(resize_bilinear(img, 100, 90, antialias=True), resize_bilinear(img, 100, 90))
+
+
+def test_augment_batch_rows_do_not_depend_on_the_batch():
+    from lookout.functions.images import KERAS_RECIPE, PREP_RECIPE, augment_batch, augment_vector
+
+    rng = np.random.default_rng(21)
+    vecs = rng.random((6, 8 * 8 * 3)).astype(np.float32)
+    seeds = [f"42:{i}:{1 + i % 2}" for i in range(6)]
+    for recipe in (PREP_RECIPE, KERAS_RECIPE):
+        whole = augment_batch(vecs, 8, 8, seeds, recipe)
+        for i in range(6):
+            assert np.array_equal(whole[i], augment_vector(vecs[i], 8, 8, seeds[i], recipe))
+        assert np.array_equal(augment_batch(vecs[3:], 8, 8, seeds[3:], recipe), whole[3:])
