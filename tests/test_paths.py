@@ -61,3 +61,16 @@ def test_local_path_matches_spec(spark, values):
         if want is not None:
             assert got[i][1] == want.rsplit("/", 1)[-1]
             assert got[i][2] == expected_suffix(want), (want, got[i][2])
+
+
+def test_windows_branch(spark):
+    cases = {
+        "file:///mnt/c/data%20set/a.jpg": "C:\\data set\\a.jpg",
+        "/d/shots/x.png": "d:\\shots\\x.png",
+        "/var/img/x.png": "\\var\\img\\x.png",
+        "rel/x.png": "C:\\proj\\rel\\x.png",
+        "E:/already/there.bmp": "E:\\already\\there.bmp",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "uri string")
+    got = {r.uri: r.lp for r in df.select("uri", to_local_path(F.col("uri"), "C:\\proj", windows=True).alias("lp")).collect()}
+    assert got == cases
