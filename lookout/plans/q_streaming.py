@@ -87,7 +87,7 @@ def stream_class_counts(spark, sf):
     base = work_dir(spark, "live-counts")
     q = C.start_live_class_counts(_as_predictions(_event_stream(spark, sf)), f"{base}/table", f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    return C.read_live_table(spark, f"{base}/table")
 
 
 def _rgb_linear_sql() -> str:

@@ -149,17 +149,56 @@ def start_table_stream(
 
 
 class CompleteTableSink:
-    """``foreachBatch`` for complete-mode aggregates: each trigger replaces
-    the table with the current full result (small by construction: one row
-    per key), after an optional transform of that static result."""
-
-    def __init__(self, path: str, transform=None):
-        self.path = path
+    """``foreachBatch`` for complete-mode aggregates: each trigger publishes
+    the current full result (small by construction: one row per key) as a
+    new version ``<path>/v=<batch_id>``, then drops versions older than the
+    previous one. A reader (:func:`read_live_table`) always finds a complete
+    version -- there is no moment where the table is deleted but not yet
+    rewritten."""
+
+    def __init__(self, path: str, transform=None, keep: int = 2):
+        self.path = path.rstrip("/")
         self.transform = transform
+        self.keep = keep
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         out = self.transform(batch) if self.transform else batch
-        out.write.mode("overwrite").parquet(self.path)
+        out.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        for v in _versions(batch.sparkSession, self.path)[: -self.keep]:
+            _delete(batch.sparkSession, f"{self.path}/v={v}")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Published versions of a live table (a directory listing of a handful
+    of entries), oldest first; only versions whose write committed
+    (``_SUCCESS`` present) count."""
+    fs, jpath = _hadoop_fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    out = []
+    for st in fs.listStatus(jpath):
+        name = st.getPath().getName()
+        if name.startswith("v=") and name[2:].isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop_fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def read_live_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of a live table, or None before the first
+    trigger."""
+    versions = _versions(spark, path.rstrip("/"))
+    return spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]}") if versions else None
 
 
 def live_class_counts(predictions: DataFrame) -> DataFrame:
