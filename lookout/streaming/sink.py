@@ -22,7 +22,14 @@ from pyspark.sql import functions as F
 
 
 
-def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> None:
+def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True, rebalance: bool = True) -> None:
+    """Write ``df`` into ``<path>/batch_id=<id>/``, replacing only the batch
+    ids present (dynamic partition overwrite). With ``rebalance`` the rows
+    are grouped by batch id first (AQE splits a large batch into files of
+    the advisory size), so each batch gets a few files rather than one per
+    input task."""
+    if rebalance:
+        df = df.hint("rebalance", "batch_id")
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
     if fmt == "csv":
         writer = writer.option("header", header)
@@ -57,12 +64,14 @@ class BatchSink:
         try:
             good = rows.where(F.col("error").isNull()).drop("error") if split else rows
             # rebalance: AQE sizes the output files (a few per batch, not one
-            # per input task) by shuffling the narrow result rows only.
-            good = good.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("n"))
-            write_partition(good, self.output_dir, self.fmt)
+            # per input task) by shuffling the narrow result rows only
+            # (the observation sits above the rebalance: below it, an empty
+            # batch would lose its metrics)
+            good = good.hint("rebalance", "batch_id").observe(obs, F.count(F.lit(1)).alias("n"))
+            write_partition(good, self.output_dir, self.fmt, rebalance=False)
             if split and self.rejects_dir:
                 bad = rows.where(F.col("error").isNotNull()).drop("prediction")
-                write_partition(bad.hint("rebalance"), self.rejects_dir, self.fmt)
+                write_partition(bad, self.rejects_dir, self.fmt)
         finally:
             if split:
                 rows.unpersist()
@@ -81,4 +90,4 @@ class BatchSink:
             F.lit(duration_ms).cast("bigint").alias("duration_ms"),
             (F.lit(float(duration_ms)) / F.lit(n)).alias("ms_per_image"),
         )
-        write_partition(metrics, self.metrics_dir, self.fmt)
+        write_partition(metrics, self.metrics_dir, self.fmt, rebalance=False)
