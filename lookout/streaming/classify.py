@@ -235,3 +235,33 @@ def start_live_class_counts(
     ``{"processingTime": "2 seconds"}`` matches the page's refresh."""
     sink = CompleteTableSink(table_path, with_class_names)
     return _start(live_class_counts(predictions), sink, checkpoint, trigger, None, "complete")
+
+
+PROGRESS_SCHEMA = (
+    "batch_id long, num_input_rows long, trigger_ms long, add_batch_ms long, get_batch_ms long, "
+    "processed_rows_per_second double, timestamp string"
+)
+
+
+def progress_table(query: StreamingQuery) -> DataFrame:
+    """Q13: Spark's own per-trigger progress (input rows and timings) next
+    to the sink's timing rows, as a DataFrame. It comes from the query's
+    recent progress reports, a bounded list the driver already holds
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
+    rows = []
+    for p in query.recentProgress:
+        d = p if isinstance(p, dict) else p.asDict() if hasattr(p, "asDict") else dict(p)
+        dur = d.get("durationMs") or {}
+        rows.append(
+            (
+                int(d.get("batchId", -1)),
+                int(d.get("numInputRows", 0) or 0),
+                int(dur.get("triggerExecution", 0) or 0),
+                int(dur.get("addBatch", 0) or 0),
+                int(dur.get("getBatch", 0) or 0),
+                float(d.get("processedRowsPerSecond", 0.0) or 0.0),
+                str(d.get("timestamp", "")),
+            )
+        )
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)

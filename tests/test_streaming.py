@@ -26,9 +26,14 @@ def test_restart_each_file_scored_once(spark, tmpdir_fresh):
     def run():
         q = start_image_classifier(spark, src, out, met, ckpt, height=8, width=8, max_files_per_trigger=1)
         q.awaitTermination()
+        return q
 
     _drop(src, ["a1.png", "a2.png"], 1)
-    run()
+    first = run()
+    from lookout.streaming.classify import progress_table
+
+    prog = progress_table(first).collect()
+    assert sum(r.num_input_rows for r in prog) == 2 and all(r.trigger_ms >= 0 for r in prog)
     _drop(src, ["b1.png", "b2.jpg"], 2)
     with open(f"{src}/bad.png", "wb") as f:
         f.write(b"not a png")
