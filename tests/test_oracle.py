@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF01
-from tools.oracle_check import canon, duck
+from tools.oracle_check import canon, duck, type_mismatches
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -28,6 +28,7 @@ def test_query_matches_oracle(spark, con, name):
     sc, sr = canon(df.columns, rows)
     dc, dr = canon(dcols, cur.fetchall())
     assert sc == dc
+    assert type_mismatches(df, con, ORACLE[name]) == {}
     assert len(sr) == len(dr)
     assert sr == dr
 
