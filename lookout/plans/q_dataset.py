@@ -25,6 +25,7 @@ BATCH_SIZE = 7
     f"SELECT vec_id, CAST(row_number() OVER (ORDER BY {KEY}, vec_id) AS BIGINT) AS rank FROM embeddings",
 )
 def global_rank(spark, sf):
+    """W11 + W8: exact rank in seeded-shuffle order."""
     emb = table(spark, sf, "embeddings").select("vec_id")
     return R.rank_by_hash(emb, "vec_id", 42).select("vec_id", "rank")
 
@@ -35,6 +36,7 @@ def global_rank(spark, sf):
 FROM (SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS rank FROM documents)""",
 )
 def batch_assignment(spark, sf):
+    """Ordered list cut into groups of 7."""
     docs = table(spark, sf, "documents").select("doc_id")
     return R.batch_assignment(docs, "doc_id", BATCH_SIZE).select("doc_id", "rank", "batch_no")
 
@@ -44,6 +46,7 @@ def batch_assignment(spark, sf):
     f"SELECT vec_id, label, {KEY} AS shuffle_key FROM embeddings ORDER BY shuffle_key, vec_id LIMIT 3",
 )
 def seeded_shuffle_head(spark, sf):
+    """W12 + W8: first 3 rows of the seeded shuffle."""
     emb = table(spark, sf, "embeddings").select("vec_id", "label")
     return R.seeded_shuffle_head(emb, "vec_id", 3, 42)
 
@@ -59,11 +62,13 @@ FROM (SELECT {id_col}, {label_col},
 
 @register("stratified_split", _strat_sql("vec_id", "label", "embeddings"))
 def stratified_split(spark, sf):
+    """Stratified 80/20 split by label."""
     return D.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label")
 
 
 @register("stratified_split_quality", _strat_sql("doc_id", "quality", "labels"))
 def stratified_split_quality(spark, sf):
+    """W9 over `labels`, stratified by quality."""
     return D.stratified_split(table(spark, sf, "labels"), "doc_id", "quality")
 
 
@@ -72,6 +77,7 @@ def stratified_split_quality(spark, sf):
     f"SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM ({_strat_sql('vec_id', 'label', 'embeddings')}) GROUP BY split",
 )
 def split_sizes(spark, sf):
+    """Rows per split."""
     return D.split_sizes(D.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label"))
 
 
@@ -81,6 +87,7 @@ def split_sizes(spark, sf):
 FROM (SELECT vec_id, row_number() OVER (ORDER BY {KEY}, vec_id) AS rn, count(*) OVER () AS n FROM embeddings)""",
 )
 def plain_split(spark, sf):
+    """First int(0.8 N) rows of the shuffle are train."""
     return D.plain_split(table(spark, sf, "embeddings"), "vec_id")
 
 
@@ -91,12 +98,14 @@ def plain_split(spark, sf):
 FROM (SELECT label, CAST(count(*) AS BIGINT) AS n_rows FROM embeddings GROUP BY label)""",
 )
 def class_weights(spark, sf):
+    """Balanced class weights."""
     w = D.class_weights(table(spark, sf, "embeddings"))
     return w.withColumn("weight", F.round("weight", 6))
 
 
 @register("distinct_labels", "SELECT DISTINCT label FROM embeddings")
 def distinct_labels(spark, sf):
+    """Distinct labels."""
     return D.distinct_labels(table(spark, sf, "embeddings"))
 
 
@@ -109,6 +118,7 @@ FROM classes c LEFT JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY l
     ),
 )
 def class_distribution(spark, sf):
+    """A6 + J3: rows per class over the dimension."""
     return D.class_distribution(table(spark, sf, "embeddings"))
 
 
@@ -120,6 +130,7 @@ def class_distribution(spark, sf):
 FROM embeddings""",
 )
 def dataset_profile(spark, sf):
+    """Rows, vector lengths, value range."""
     p = D.dataset_profile(table(spark, sf, "embeddings"), "embedding")
     return p.select("n_rows", F.col("min_len").cast("bigint"), F.col("max_len").cast("bigint"), "min_value", "max_value")
 
@@ -134,6 +145,7 @@ FROM classes c LEFT JOIN (SELECT label, arg_min(vec_id, {KEY}) AS vec_id FROM em
     ),
 )
 def first_per_class(spark, sf):
+    """W3 + P10: first sample per class."""
     return D.first_per_class(table(spark, sf, "embeddings"), "vec_id")
 
 
@@ -154,6 +166,7 @@ def class_rows(spark, sf):
 FROM ({_strat_sql('vec_id', 'label', 'embeddings')}) GROUP BY label""",
 )
 def augmented_counts(spark, sf):
+    """U2 + A6 (Q16): counts with whole-set vs train-only augmentation."""
     split = D.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label")
     return D.augmented_counts(split, "label", factor=2)
 
@@ -168,6 +181,7 @@ F_ = S.FEAT_SQL
     W("SELECT vec_id, list_transform(pixels, lambda x: CAST(x AS DOUBLE) / 255.0) AS scaled FROM feat", F_),
 )
 def unit_scale(spark, sf):
+    """pixels / 255."""
     return S.features(spark, sf).select("vec_id", A.unit_scale("pixels").alias("scaled"))
 
 
@@ -183,6 +197,7 @@ FROM feat""",
     ),
 )
 def reshape_pad(spark, sf):
+    """pad, cut and reshape to a tensor."""
     return S.features(spark, sf).select(
         "vec_id",
         A.pad_or_cut("pixels", 81).alias("padded"),
@@ -198,6 +213,7 @@ def reshape_pad(spark, sf):
 FROM embeddings""",
 )
 def one_hot(spark, sf):
+    """one-hot labels."""
     emb = table(spark, sf, "embeddings")
     return emb.select("vec_id", "label", A.one_hot("label", NUM_CLASSES).alias("one_hot"))
 

@@ -36,6 +36,7 @@ def scored_with_pred(spark, sf):
     ),
 )
 def argmax_class(spark, sf):
+    """F5 + F6: first argmax as class index and text."""
     s = scored_with_pred(spark, sf)
     return s.select("vec_id", "y_pred", F.col("y_pred").cast("string").alias("prediction"))
 
@@ -47,6 +48,7 @@ FROM (SELECT vec_id, list_transform(s, lambda x: exp(x - list_max(s))) AS e
 
 @register("softmax_scores", W(SOFTMAX_SQL, S.SCORED_SQL))
 def softmax_scores(spark, sf):
+    """F8: softmax of the scores."""
     s = S.scored(spark, sf)
     return s.select("vec_id", A.round_all(A.softmax("scores"), 6).alias("probs"))
 
@@ -67,6 +69,7 @@ def linear_sql(vec: str) -> str:
 FROM (SELECT vec_id, {linear_sql('embedding')} AS sc FROM embeddings)""",
 )
 def linear_scores(spark, sf):
+    """Rule-defined linear head as expressions."""
     emb = table(spark, sf, "embeddings")
     sc = emb.select("vec_id", A.linear_scores("embedding", K).alias("sc"))
     return sc.select("vec_id", A.round_all("sc", 6).alias("scores"), A.argmax("sc").alias("prediction"))
@@ -90,6 +93,7 @@ FROM grid g LEFT JOIN (SELECT y_true, y_pred, count(*) AS n FROM scored_pred GRO
 
 @register("confusion_long", CM_SQL)
 def confusion_long(spark, sf):
+    """A10: confusion matrix, long form, dense."""
     return E.confusion_long(scored_with_pred(spark, sf), K)
 
 
@@ -106,6 +110,7 @@ def confusion_long(spark, sf):
     ),
 )
 def confusion_wide(spark, sf):
+    """A10: confusion matrix, pivoted."""
     return E.confusion_wide(scored_with_pred(spark, sf), K)
 
 
@@ -143,6 +148,7 @@ FROM (
 
 @register("classification_report", REPORT_SQL)
 def classification_report(spark, sf):
+    """Precision / recall / F1 / support + averages."""
     return E.classification_report(scored_with_pred(spark, sf), K)
 
 
@@ -161,4 +167,5 @@ FROM (SELECT y_true, y_pred, e[y_true + 1] / list_sum(e) AS p_true
     ),
 )
 def evaluate_loss_accuracy(spark, sf):
+    """Cross-entropy loss and accuracy."""
     return E.loss_accuracy(scored_with_pred(spark, sf), from_logits=True)

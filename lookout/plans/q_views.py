@@ -17,6 +17,7 @@ CID = "TRY_CAST(prediction AS INTEGER)"
 
 @register("total_images", W("SELECT CAST(count(*) AS BIGINT) AS total_images FROM pred", P))
 def total_images(spark, sf):
+    """A1: images analysed."""
     return V.total_images(S.predictions(spark, sf))
 
 
@@ -30,6 +31,7 @@ FROM pred p JOIN classes c ON {CID} = c.class_id GROUP BY c.class_id, c.class_na
     ),
 )
 def class_counts(spark, sf):
+    """A2 + J1 + W6: images per known class, by class number."""
     return V.class_counts(S.predictions(spark, sf), spark)
 
 
@@ -45,6 +47,7 @@ FROM (SELECT c.class_id, c.class_name, CAST(count(*) AS BIGINT) AS n_images
     ),
 )
 def class_share(spark, sf):
+    """A3: share (%) per known class."""
     return V.class_share(S.predictions(spark, sf), spark)
 
 
@@ -59,6 +62,7 @@ FROM classes c LEFT JOIN (SELECT {CID} AS class_id, count(*) AS n FROM pred GROU
     ),
 )
 def class_counts_dense(spark, sf):
+    """J3 + A6: every class, zero when absent."""
     return V.class_counts_dense(S.predictions(spark, sf), spark)
 
 
@@ -84,6 +88,7 @@ FROM {src}"""
     ),
 )
 def latest_prediction(spark, sf):
+    """W1 + P7 + F9-F11: newest prediction with label, status, file name."""
     return V.latest_prediction(S.predictions(spark, sf)).drop("modification_time")
 
 
@@ -98,11 +103,13 @@ FROM ({_describe_sql(
     ),
 )
 def recent_predictions(spark, sf):
+    """Last 8 predictions, newest first, with gallery slot."""
     return V.recent_predictions(S.predictions(spark, sf), n=8, columns=4)
 
 
 @register("prediction_history", W(f"SELECT image, {Q.class_name(CID)} AS class_name FROM pred", P))
 def prediction_history(spark, sf):
+    """(image, class name) for every row."""
     return V.prediction_history(S.predictions(spark, sf))
 
 
@@ -115,6 +122,7 @@ def prediction_history(spark, sf):
     ),
 )
 def driver_status(spark, sf):
+    """P7 + F11: attentive / alert per row."""
     return V.driver_status(S.predictions(spark, sf))
 
 
@@ -130,6 +138,7 @@ def driver_status(spark, sf):
     ),
 )
 def unknown_rejects(spark, sf):
+    """P5: unparsable or unknown classes."""
     return V.rejects(S.predictions(spark, sf))
 
 
@@ -149,6 +158,7 @@ FROM metrics""",
     ),
 )
 def metrics_kpis(spark, sf):
+    """A4 (Q5, Q6): timing KPIs."""
     return V.metrics_kpis(S.metrics(spark, sf))
 
 
@@ -157,6 +167,7 @@ def metrics_kpis(spark, sf):
     W("SELECT batch_id, num_images, duration_ms, round(ms_per_image, 6) AS ms_per_image FROM metrics", M),
 )
 def metrics_by_batch(spark, sf):
+    """W5 + A5: timings by batch id."""
     return V.metrics_by_batch(S.metrics(spark, sf))
 
 
@@ -171,6 +182,7 @@ FROM metrics""",
     ),
 )
 def metrics_display(spark, sf):
+    """KPI texts as displayed."""
     return V.metrics_display(S.metrics(spark, sf))
 
 
@@ -188,11 +200,13 @@ WHERE local_path {kind} (SELECT {ll} FROM listing)""",
 
 @register("images_present", _exists_sql("IN"))
 def images_present(spark, sf):
+    """Predictions whose image file still exists."""
     return V.images_present(S.predictions(spark, sf), S.file_listing(spark, sf))
 
 
 @register("images_missing", _exists_sql("NOT IN"))
 def images_missing(spark, sf):
+    """Predictions whose image file is gone."""
     return V.images_missing(S.predictions(spark, sf), S.file_listing(spark, sf))
 
 
@@ -201,6 +215,7 @@ def images_missing(spark, sf):
     W(f"SELECT event_id, image, {Q.local_path('image')} AS local_path FROM uris", S.URI_FORMS_SQL),
 )
 def normalised_paths(spark, sf):
+    """image URI -> local path."""
     return with_local_path(S.uri_forms(spark, sf), "image").select("event_id", "image", "local_path")
 
 
@@ -216,6 +231,7 @@ FROM (SELECT event_id, {Q.local_path('image')} AS lp FROM uris)""",
     ),
 )
 def path_parts(spark, sf):
+    """F10 + F12 + S2 + S3: base name, suffix, filters."""
     lp = F.col("local_path")
     return with_local_path(S.uri_forms(spark, sf), "image").select(
         "event_id",
@@ -240,6 +256,7 @@ UNION ALL SELECT image, prediction, NULL FROM pred WHERE batch_id < {UNION_CUT}"
     ),
 )
 def union_parts(spark, sf):
+    """Union by name, missing column null."""
     p = S.predictions(spark, sf)
     new = p.where(F.col("batch_id") >= UNION_CUT).select("image", "prediction", "batch_id")
     old = p.where(F.col("batch_id") < UNION_CUT).select("image", "prediction")
