@@ -50,7 +50,7 @@ def classify_images(
     make = make_predict_fn or LinearModel.rule(height * width * 3).make_predict_fn()
     if fused:
         return _classify_fused(images, height, width, make, batch_size, antialias)
-    good, bad = split_valid(images)
+    good, _ = split_valid(images)
     feats = image_features(good, height, width, antialias)
     scored = with_scores(feats, "pixels", score_udf(make, [height, width, 3], batch_size))
     ok = scored.select(
@@ -59,7 +59,10 @@ def classify_images(
         "modification_time",
         F.lit(None).cast("string").alias("error"),
     )
-    rejected = images.join(bad.select("path"), "path", "left_semi").select(
+    # The same filter as split_valid's rejects, keeping the file time: no
+    # join of the (wide) image rows.
+    undecodable = ~(F.col("image.height") > 0) | F.col("image.height").isNull()
+    rejected = images.where(undecodable).select(
         F.col("path").alias("image"),
         F.lit(None).cast("string").alias("prediction"),
         "modification_time",
