@@ -38,3 +38,14 @@ def test_registered_queries_are_named_in_readme():
     table = readme[readme.index("## Coverage of SURVEY") : readme.index("## Design for scale")]
     unnamed = sorted(k for k in E.queries() if f"`{k}`" not in table)
     assert unnamed == [], unnamed
+
+
+def test_entry_contract():
+    import inspect
+
+    qs, sql = E.queries(), E.oracle_sql()
+    assert set(sql) <= set(qs) and len(qs) >= 59
+    assert set(qs) - set(sql) == {"storage_report", "fit_and_score"}  # the rows-only ones
+    for fn in qs.values():
+        assert list(inspect.signature(fn).parameters) == ["spark", "sf_dir"]
+    assert all(isinstance(v, str) and v.strip() for v in sql.values())
