@@ -89,7 +89,10 @@ def global_rank(
     ranked = b.withColumn("_rn", F.row_number().over(inside))
     # No broadcast hint: AQE broadcasts the offsets at run time when their
     # measured size is under the threshold, and shuffles them otherwise.
-    out = ranked.join(offsets, [*parts, "_bkt"]).withColumn(rank_col, F.col("_off") + F.col("_rn"))
+    # Null-safe on the group columns: a null group is a group (as in
+    # PARTITION BY) and keeps its rows.
+    joined = _join_null_safe(ranked, offsets, [*parts, "_bkt"], "inner") if parts else ranked.join(offsets, "_bkt")
+    out = joined.withColumn(rank_col, F.col("_off") + F.col("_rn"))
     return out.drop("_bkt", "_rn", "_off")
 
 

@@ -186,3 +186,23 @@ def test_split_join_fallback_for_many_groups(spark, monkeypatch):
     )
     assert got.count() == 3000
     assert got.select("id", "split").exceptAll(want.select("id", "split")).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(0, 4)), min_size=1, max_size=400), st.integers(1, 3))
+def test_ranks_and_splits_random_groups(spark, groups, digits):
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(groups)], "id long, g int")
+    key = R.shuffle_key("id", 42)
+    want = df.withColumn("want", F.row_number().over(Window.partitionBy("g").orderBy(key, "id")))
+    got = R.rank_by_hash(df, "id", 42, partition_cols=["g"], rank_col="got", digits=digits)
+    joined = got.join(want, "id")
+    assert joined.count() == len(groups) and joined.where(F.col("got") != F.col("want")).count() == 0
+    split = D.stratified_split(df, "id", "g")
+    expected = want.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g"))).select(
+        "id", F.when(F.col("want") * 10 <= F.col("n") * 2 + 5, "val").otherwise("train").alias("split")
+    )
+    assert split.select("id", "split").exceptAll(expected).count() == 0
