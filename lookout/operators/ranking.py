@@ -29,7 +29,9 @@ def shuffle_key(id_col, seed: int = 42) -> Column:
     """Reproducible pseudo-random key ``md5("<seed>:<id>")``; independent
     of partitioning, retries and executor count (unlike ``rand(seed)``)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
+    # A null id hashes as "" (as SQL concat that skips NULL): never a null
+    # key, so the row keeps a bucket and is never dropped.
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit(""))))
 
 
 def hash_bucket(key: str, digits: int = HASH_DIGITS) -> Column:
@@ -55,11 +57,13 @@ def with_range_bucket(
     cuts = sorted(set(cuts if cuts is not None else _cut_points(df, key, n_buckets)))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
-        return df.withColumn(out, F.lit(0))
+        return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
     tmp = f"{out}_d"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out + "_f")
     staged = df.withColumn(tmp, F.col(key).cast("double"))
-    return b.transform(staged).withColumn(out, F.col(out + "_f").cast("int")).drop(tmp, out + "_f")
+    # Null keys come first (ASC NULLS FIRST) in a bucket of their own.
+    bucketed = b.transform(staged).withColumn(out, F.coalesce(F.col(out + "_f").cast("int"), F.lit(-1)))
+    return bucketed.drop(tmp, out + "_f")
 
 
 def global_rank(

@@ -206,3 +206,20 @@ def test_ranks_and_splits_random_groups(spark, groups, digits):
         "id", F.when(F.col("want") * 10 <= F.col("n") * 2 + 5, "val").otherwise("train").alias("split")
     )
     assert split.select("id", "split").exceptAll(expected).count() == 0
+
+
+def test_rank_by_key_keeps_null_keys_first(spark):
+    df = spark.range(0, 200).withColumn("k", F.when(F.col("id") % 7 == 0, F.lit(None).cast("long")).otherwise(F.col("id") * 3))
+    got = R.rank_by_key(df, "k", n_buckets=8, tiebreak="id")
+    want = df.withColumn(
+        "rank", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first(), F.md5(F.col("id").cast("string"))))
+    )
+    assert got.count() == 200
+    assert got.select("id", "rank").exceptAll(want.select("id", "rank")).count() == 0
+
+
+def test_null_ids_are_kept(spark):
+    df = spark.range(0, 300).withColumn("id", F.when(F.col("id") % 50 == 0, F.lit(None).cast("long")).otherwise(F.col("id")))
+    df = df.withColumn("g", (F.coalesce(F.col("id"), F.lit(0)) % 3).cast("int"))
+    assert R.rank_by_hash(df, "id", 42, partition_cols=["g"]).count() == 300
+    assert D.stratified_split(df, "id", "g").count() == 300 and D.plain_split(df, "id").count() == 300
