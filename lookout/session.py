@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +92,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lookout-ckpt-")
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -100,6 +104,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors as a zip, once per session, so that
+    Python code there imports it wherever the driver was started."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if getattr(sc or spark, "_lookout_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="lookout-pkg-"), "lookout.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    if sc is not None:
+        sc.addPyFile(archive)
+        sc._lookout_shipped = True
+    else:
+        spark.addArtifacts(archive, pyfile=True)
+        spark._lookout_shipped = True
+
+
+def prepare(spark: SparkSession) -> None:
+    """What every job needs: the shared folder, and the package on executors."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables
     (round trips, sinks, stream checkpoints). Never a machine-local temp dir
