@@ -4,9 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lookout.llm import substring_dedup
+from lookout.llm import backoff_lm, bpe, probminhash, substring_dedup
 from lookout.llm.catalog import register
-from lookout.llm.frames import documents
+from lookout.llm.frames import col, documents
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op1_bpe")
+def op1(spark, sf_dir):
+    """Operator 1: token ids of every document, and the text they decode to."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ids = bpe.encode(docs, "text", tokenizer_path()).drop("text")
+    both = bpe.decode(ids, "ids", tokenizer_path())
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 @register("op8_debruijn_dedup")
@@ -15,3 +35,19 @@ def op8(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = substring_dedup.remove_repeated(docs, "doc_id", "text")
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op7_probminhash_dedup")
+def op7(spark, sf_dir):
+    """Operator 7: class of near-duplicates of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = probminhash.near_duplicate_classes(docs, "doc_id", "text")
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
+@register("op9_backoff_lm")
+def op9(spark, sf_dir):
+    """Operator 9: language-model score of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = backoff_lm.held_out(col("doc_id"), 7, 2)
+    return backoff_lm.score(docs, "doc_id", "text", ~out).withColumn("held_out", out)
