@@ -16,8 +16,9 @@ as its time is past the largest register of its text (early termination).
 Texts that are equal as a whole are one node from the start. Every member of
 a bucket is paired with the bucket's smallest node. After these pairs are
 verified and joined to components, buckets that still hold several components
-are compared in blocks by their sketches (pairs within one component can't
-change a class), and the likely pairs are verified too.
+are compared in blocks: pairs of different components whose sketches agree
+enough are verified in place, and a block gives the links that join
+components (others can't change a class).
 
 *Verification.* J_P exactly, from the sorted shingle hashes (32 bits) and
 counts of both texts; linked at ``threshold`` or more.
@@ -47,9 +48,9 @@ REGISTERS = 100
 BANDS = 20
 # Members of a block when a bucket is compared in itself.
 BLOCK = 512
-# Of registers that agree, for a pair of one block to be verified (seven
-# standard deviations under the threshold).
-LIKELY = 0.5
+# Of registers that agree, for a pair of one block to be verified: 4.5
+# standard deviations under the threshold.
+LIKELY = 0.62
 
 _SHINGLE = Powers(0xA24BAED4963EE407)
 
@@ -88,7 +89,7 @@ def sketch(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, texts: int, m
         step = 0
         while len(d):
             step += 1
-            draw = mix(seed + U64(step) * U64(0xBF58476D1CE4E5B9))
+            draw = mix(seed + U64(step * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF))
             t = t + -np.log(((draw >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53) / w
             on = t < limit[d]
             d, v, w, seed, t, draw = d[on], v[on], w[on], seed[on], t[on], draw[on]
@@ -205,29 +206,40 @@ def _verified(threshold: float):
     return run
 
 
-def _likely_pairs(m: int, likely: float):
-    """Rows sorted by (bucket, i, j) -> pairs of different components whose
-    sketches agree enough. A group holds two blocks at most."""
+def _block_links(m: int, bands: int, likely: float, threshold: float):
+    """Rows sorted by (bucket, i, j) -> links between different components. A
+    group holds two blocks at most. A pair is looked at in the first band
+    that it shares, and no more once its components are joined; so a group
+    gives fewer links than it has members."""
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
+    def links(rows: pa.Table) -> pa.RecordBatch | None:
         if rows.num_rows < 2:
             return None
         rows = rows.combine_chunks()
-        block = rows.column("block").to_numpy()
+        block, band = rows.column("block").to_numpy(), rows.column("band")[0].as_py()
         lo, hi = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        root = np.arange(label.max() + 1)
         registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint32).reshape(-1, m)
+        keys = [np.frombuffer(x, np.uint32) for x in rows.column("keys").to_pylist()]
+        counts = [np.frombuffer(x, np.uint32) for x in rows.column("counts").to_pylist()]
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        got_u, got_v = [], []
+        u, v = [], []
         for a in left:
             others = right[right > a] if lo == hi else right
-            others = others[label[others] != label[a]]
-            same = (registers[others] == registers[a]).mean(axis=1) >= likely
-            got_v.append(others[same])
-            got_u.append(np.full(int(same.sum()), a))
+            others = others[root[label[others]] != root[label[a]]]
+            same = registers[others] == registers[a]
+            share = same.mean(axis=1)
+            shared = same[:, : m // bands * bands].reshape(len(others), bands, m // bands).all(axis=2)
+            here = np.flatnonzero((share >= likely) & (shared.argmax(axis=1) == band))
+            for b in others[here[np.argsort(-share[here], kind="stable")]]:
+                x, y = root[label[a]], root[label[b]]
+                if x != y and probability_jaccard(keys[a], counts[a], keys[b], counts[b]) >= threshold - 1e-9:
+                    root[root == y] = x
+                    u.append(a)
+                    v.append(b)
         node = rows.column("node").combine_chunks()
-        u, v = np.concatenate(got_u), np.concatenate(got_v)
-        return pa.record_batch([node.take(pa.array(u)), node.take(pa.array(v))], names=["u", "v"]) if len(u) else None
+        return pa.record_batch([node.take(pa.array(u)), node.take(pa.array(v))], names=["u", "v"]) if u else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -238,13 +250,13 @@ def _likely_pairs(m: int, likely: float):
             for a, b in zip(head[:-1], head[1:], strict=True):
                 k = tuple(c[a] for c in cols)
                 if k != key and held:
-                    found = pairs(pa.Table.from_batches(held))
+                    found = links(pa.Table.from_batches(held))
                     held = []
                     if found is not None:
                         yield found
                 key = k
                 held.append(batch.slice(a, b - a))
-        if held and (found := pairs(pa.Table.from_batches(held))) is not None:
+        if held and (found := links(pa.Table.from_batches(held))) is not None:
             yield found
 
     return run
@@ -284,7 +296,7 @@ def near_duplicate_classes(
         _buckets(shingle, registers, bands), f"id {kind}, node binary, buckets array<long>"
     ).checkpoint()
     nodes = rows_sketched.groupBy("node").agg(F.min("id").alias("id"), F.first("buckets").alias("buckets")).checkpoint()
-    member = nodes.select("node", F.explode("buckets").alias("bucket"))
+    member = nodes.select("node", F.posexplode("buckets").alias("band", "bucket"))
     shared = member.groupBy("bucket").agg(F.min("node").alias("u"), F.count("*").alias("size")).where("size > 1")
     placed = member.join(shared, "bucket").checkpoint()  # only members of shared buckets
     pairs = placed.where("node <> u").select("u", F.col("node").alias("v")).distinct()
@@ -309,7 +321,7 @@ def near_duplicate_classes(
     labelled = (
         placed.where("size > 2")
         .join(label, "node", "left")
-        .select("bucket", "node", "u", "size", F.coalesce("comp", "node").alias("label"))
+        .select("bucket", "band", "node", "u", "size", F.coalesce("comp", "node").alias("label"))
         .checkpoint()
     )
     mixed = (
@@ -319,23 +331,26 @@ def near_duplicate_classes(
         .select("bucket")
     )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    other = (
+    more = (
         labelled.join(mixed, "bucket")
         .where("node <> u")
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
-            "bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "label"
+            "bucket",
+            "band",
+            F.least("block", "with").alias("i"),
+            F.greatest("block", "with").alias("j"),
+            "block",
+            "node",
+            "label",
         )
-        .join(contents.select("node", "registers"), "node")
+        .join(contents, "node")
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j")
-        .select("bucket", "i", "j", "block", "node", "label", "registers")
-        .mapInArrow(_likely_pairs(registers, LIKELY), "u binary, v binary")
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        .distinct()
+        .mapInArrow(_block_links(registers, bands, LIKELY, threshold), "u binary, v binary")
+        .checkpoint()
     )
-    more = _verify(other, contents, threshold).checkpoint()
     if not more.isEmpty():
         label = components(links.unionByName(more)).checkpoint()
     best = F.struct(F.col("id").isNull().alias("none"), "id", "node")
