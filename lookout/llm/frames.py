@@ -25,13 +25,10 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared work folder: cuts the lineage
-    and survives a lost executor."""
-    spark = df.sparkSession
-    path = work_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Deletes a table that this package has written to the work folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-__all__ = ["OWN", "col", "documents", "prepare", "whole_text", "work_dir", "written"]
+__all__ = ["OWN", "col", "documents", "prepare", "remove_table", "whole_text", "work_dir"]

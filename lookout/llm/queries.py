@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from lookout.llm import backoff_lm, bpe, probminhash, substring_dedup
+from lookout.llm import (
+    backoff_lm,
+    bpe,
+    collision_ann,
+    mil_quality,
+    mixing,
+    ordinal_toxicity,
+    probminhash,
+    rules,
+    substring_dedup,
+    warc_zip,
+)
 from lookout.llm.catalog import register
-from lookout.llm.frames import col, documents
+from lookout.llm.frames import documents, work_dir
+from lookout.llm.samples import crc_of
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def held_out(column: str, mod: int, rest: int) -> Column:
+    return F.pmod(crc_of(F.col(column)), F.lit(mod)) == rest
 
 
 def tokenizer_path() -> str:
@@ -29,12 +50,116 @@ def op1(spark, sf_dir):
     )
 
 
-@register("op8_debruijn_dedup")
-def op8(spark, sf_dir):
-    """Operator 8: words outside repeated 35-word windows of every document."""
+@register("op2_warc_zip")
+def op2(spark, sf_dir):
+    """Operator 2: a WARC record per page, written to packages and read back."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    packages = warc_zip.write_packages(pages, "page_id", "url", "html", work_dir(spark, "warc"))
+    return warc_zip.read_packages(packages).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@register("op3_rule_ledger")
+def op3(spark, sf_dir):
+    """Operator 3: measurements, failed rules and verdicts of every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    kept = substring_dedup.remove_repeated(docs, "doc_id", "text")
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    book = rules.ledger(docs, "text").drop("text")
+    return book.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        rules.rejected_by(rules.BASE).alias("base_failed"),
+        (~rules.rejected_by(rules.STRICT)).alias("kept"),
+        "failed",
+    )
+
+
+@register("op4_collision_ann")
+def op4(spark, sf_dir):
+    """Operator 4: the 20 nearest vectors of every query vector."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return collision_ann.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+LANG_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 1}
+
+
+def tree() -> dict[str, tuple[Column, Column]]:
+    """Domain (sources by a hash of their name), language, source."""
+    lang = F.lit(1)
+    for name, weight in LANG_WEIGHTS.items():
+        lang = F.when(F.col("lang") == name, weight).otherwise(lang)
+    return {
+        "domain": (F.concat(F.lit("d"), F.substring(F.md5("source"), 1, 1)), F.lit(1)),
+        "lang": (F.col("lang"), lang),
+        "source": (F.col("source"), F.lit(1)),
+    }
+
+
+def _share_sql(before: str, above: list[str], level: str, weight: str, out: str) -> str:
+    """CTEs that give the nodes of one level their budgets."""
+    keys = ", ".join([*above, level])
+    part = f"PARTITION BY {', '.join(above)}" if above else ""
+    run = f"({part} ORDER BY CAST(cap AS DOUBLE) / w NULLS FIRST, {level} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+{out}_g AS (SELECT {keys}, CAST(max(b) AS HUGEINT) AS b, CAST({weight} AS HUGEINT) AS w, CAST(sum(cap) AS HUGEINT) AS cap
+  FROM {before} GROUP BY {keys}),
+{out}_s AS (SELECT *, coalesce(sum(cap) OVER {run}, 0) AS cap_before,
+  sum(w) OVER ({part}) - coalesce(sum(w) OVER {run}, 0) AS w_left FROM {out}_g),
+{out}_t AS (SELECT *, cap_before * w + cap * w_left <= b * w AS gives_all FROM {out}_s),
+{out}_u AS (SELECT {keys}, CASE WHEN gives_all THEN cap ELSE
+    ((b - coalesce(sum(CASE WHEN gives_all THEN cap END) OVER ({part}), 0)) * w)
+    // nullif(coalesce(sum(CASE WHEN NOT gives_all THEN w END) OVER ({part}), 0), 0) END AS nb FROM {out}_t),
+{out} AS (SELECT l.* EXCLUDE (b), CAST(u.nb AS HUGEINT) AS b FROM {before} l JOIN {out}_u u USING ({keys})),"""
+
+
+_LANG_CASE = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in LANG_WEIGHTS.items()) + " ELSE 1 END"
+
+MIX_SQL = f"""WITH d AS (SELECT doc_id, 'd' || substr(md5(source), 1, 1) AS domain, lang, source,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n FROM documents),
+leaves AS (SELECT domain, lang, source, CAST(sum(n) AS HUGEINT) AS tokens,
+    CAST(4 * sum(n) AS HUGEINT) AS cap, CAST(sum(sum(n)) OVER () AS HUGEINT) AS b FROM d GROUP BY domain, lang, source),
+{_share_sql("leaves", [], "domain", "1", "l1")}{_share_sql("l1", ["domain"], "lang", _LANG_CASE, "l2")}{
+    _share_sql("l2", ["domain", "lang"], "source", "1", "l3")}
+p AS (SELECT domain, lang, source, b // tokens AS whole, b % tokens AS rest FROM l3 WHERE tokens > 0),
+k AS (SELECT d.*, whole, rest, md5('42:' || CAST(whole AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)) AS key
+    FROM d JOIN p USING (domain, lang, source)),
+r AS (SELECT *, sum(n) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM k),
+c AS (SELECT *, whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS copies FROM r)
+SELECT doc_id, domain, lang, source, CAST(n AS BIGINT) AS n_tokens, CAST(unnest(range(CAST(copies AS BIGINT))) AS INTEGER) AS epoch
+FROM c WHERE copies > 0"""
+
+
+@register("op5_hierarchical_mix", MIX_SQL)
+def op5(spark, sf_dir):
+    """Operator 5: documents mixed to the weights of a domain, language, source tree."""
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "source", "text")
+    narrow = docs.withColumn("n_tokens", mixing.word_count("text")).drop("text")
+    mixed = mixing.mix(narrow, "doc_id", F.col("n_tokens"), tree())
+    return mixed.select("doc_id", tree()["domain"][0].alias("domain"), "lang", "source", "n_tokens", "epoch")
+
+
+@register("op6_ordinal_toxicity")
+def op6(spark, sf_dir):
+    """Operator 6: expected severity of toxic language of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    out = held_out("doc_id", 3, 1)
+    model = ordinal_toxicity.train(docs, labels, "doc_id", "text", "toxic", ~out)
+    return (
+        ordinal_toxicity.score(docs, "text", model)
+        .drop("text")
+        .withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+        .withColumn("held_out", out)
+    )
 
 
 @register("op7_probminhash_dedup")
@@ -45,9 +170,32 @@ def op7(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
+@register("op8_debruijn_dedup")
+def op8(spark, sf_dir):
+    """Operator 8: words outside repeated 35-word windows of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    kept = substring_dedup.remove_repeated(docs, "doc_id", "text")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @register("op9_backoff_lm")
 def op9(spark, sf_dir):
     """Operator 9: language-model score of every document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    out = backoff_lm.held_out(col("doc_id"), 7, 2)
+    out = held_out("doc_id", 7, 2)
     return backoff_lm.score(docs, "doc_id", "text", ~out).withColumn("held_out", out)
+
+
+@register("op10_mil_quality")
+def op10(spark, sf_dir):
+    """Operator 10: quality score of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    out = held_out("doc_id", 3, 1)
+    model = mil_quality.train(docs, labels, "doc_id", "text", "quality", ~out)
+    return (
+        mil_quality.score(docs, "text", model)
+        .drop("text")
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        .withColumn("held_out", out)
+    )

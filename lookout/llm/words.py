@@ -111,32 +111,37 @@ def string_buffer(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def find_words(arr: pa.Array, lower: bool = False, hashed: bool = True) -> Words:
-    """Words of a string array without nulls. ``lower``: A-Z and a-z hash alike."""
+def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of each byte span; starts and ends both ascend. ``lower``: A-Z
+    and a-z hash alike."""
+    hashes = np.empty(len(start), dtype=U64)
+    table = BYTES_LOWER if lower else BYTES
+    i = 0
+    while i < len(start):  # a chunk ends with a span, so that none is cut
+        base = int(start[i])
+        j = max(i + 1, int(np.searchsorted(end, base + HASH_CHUNK, side="right")))
+        s, e = start[i:j] - base, end[i:j] - base
+        hashes[i:j] = range_hash(table[buf[base : base + int(e[-1])]], s, e, _BYTE_POWERS)
+        i = j
+    return mix(hashes + (end - start).astype(U64) * U64(0x9E3779B97F4A7C15))
+
+
+def find_words(arr: pa.Array, lower: bool = False, hashed: bool = True, inside: np.ndarray = IS_WORD) -> Words:
+    """Words of a string array without nulls; ``inside`` tells the bytes of a
+    word. ``lower``: A-Z and a-z hash alike."""
     buf, offsets = string_buffer(arr)
     n = len(buf)
-    inside = IS_WORD[buf]
-    cut = offsets[:-1][offsets[:-1] < n]  # first byte of each text (or of the next that has any)
+    word = inside[buf]
     before = np.zeros(n, dtype=bool)
-    before[1:] = inside[:-1]
-    before[cut] = False
-    start = np.flatnonzero(inside & ~before)
+    before[1:] = word[:-1]
+    before[offsets[:-1][offsets[:-1] < n]] = False  # first byte of each text (or of the next that has any)
+    start = np.flatnonzero(word & ~before)
     after = np.zeros(n, dtype=bool)
-    after[:-1] = inside[1:]
+    after[:-1] = word[1:]
     after[offsets[1:][offsets[1:] > 0] - 1] = False
-    end = np.flatnonzero(inside & ~after) + 1
+    end = np.flatnonzero(word & ~after) + 1
     first = np.searchsorted(start, offsets)
-    hashes = np.empty(len(start) if hashed else 0, dtype=U64)
-    if hashed and len(start):
-        table = BYTES_LOWER if lower else BYTES
-        i = 0
-        while i < len(start):  # chunks end with a word, so that no word is cut
-            base = int(start[i])
-            j = max(i + 1, int(np.searchsorted(end, base + HASH_CHUNK, side="right")))
-            s, e = start[i:j] - base, end[i:j] - base
-            hashes[i:j] = range_hash(table[buf[base : base + int(e[-1])]], s, e, _BYTE_POWERS)
-            i = j
-        hashes = mix(hashes + (end - start).astype(U64) * U64(0x9E3779B97F4A7C15))
+    hashes = hash_spans(buf, start, end, lower) if hashed else np.zeros(0, U64)
     return Words(buf, start, end, hashes, first)
 
 

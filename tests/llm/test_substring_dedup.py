@@ -1,0 +1,78 @@
+import collections
+import hashlib
+import random
+
+import pyarrow as pa
+import pytest
+
+from lookout.llm import substring_dedup as S
+from tests.conftest import SF001
+
+
+def brute(rows, k):
+    """(id, words, removed, kept) of every row."""
+    count = collections.Counter()
+    tokens = [(d, (t or "").encode().split()) for d, t in rows]
+    for _, w in tokens:
+        count.update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for d, w in tokens:
+        keep = [True] * len(w)
+        for i in range(len(w) - k + 1):
+            if count[tuple(w[i : i + k])] > 1:
+                keep[i : i + k] = [False] * k
+        out.append((d, len(w), keep.count(False), b" ".join(x for x, y in zip(w, keep) if y).decode()))
+    return out
+
+
+def result(df):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("window", [1, 3, 35])
+def test_against_brute_force(spark, make_docs, odd_rows, window):
+    rng = random.Random(window)
+    passages = [[rng.choice("abcdefgh") + str(rng.randrange(60)) for _ in range(80)] for _ in range(6)]
+    rows = list(odd_rows)
+    for i in range(120):
+        words = []
+        for _ in range(rng.randrange(4)):
+            words += rng.choice(passages)[rng.randrange(40) :][: rng.randrange(80)]
+            words += [str(rng.random()) for _ in range(rng.randrange(5))]
+        rows.append((100 + i, " ".join(words)))
+    df = make_docs(rows).repartition(5)
+    out = S.remove_repeated(df, "doc_id", "text", window)
+    assert set(df.columns) <= set(out.columns)
+    assert result(out) == sorted(brute(rows, window), key=repr)
+
+
+def test_empty_table(make_docs):
+    assert S.remove_repeated(make_docs([]), "doc_id", "text").collect() == []
+
+
+def test_chunks_carry_open_anchors(make_docs, monkeypatch):
+    """Step 2 in chunks of a few edges gives the same spans."""
+    monkeypatch.setattr(S, "CHUNK_EDGES", 7)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("ab") for _ in range(30))) for i in range(40)]
+    batch = pa.record_batch(
+        [pa.array([r[0] for r in rows]), pa.array(range(40)), pa.array([r[1] for r in rows])], names=["id", "h", "text"]
+    )
+    edges = []
+    for i in range(0, 40, 4):  # pieces of four texts
+        edges.append(S._edge_rows(batch.slice(i, 4), 12, 4))
+    table = pa.Table.from_batches(edges).sort_by("bucket")
+    spans = collections.defaultdict(set)
+    for out in S._spans(table.to_batches(max_chunksize=5)):
+        for row in out.to_pylist():
+            spans[row["id"]].update(range(row["start"], row["start"] + row["n"] + 11))
+    for d, n, removed, _ in brute(rows, 12):
+        assert len(spans[d]) == removed, (d, n)
+
+
+def test_query_on_documents(spark):
+    from lookout.llm.queries import op8
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
+    want = {(d, n, m, hashlib.sha256(k.encode()).hexdigest()) for d, n, m, k in brute(rows, 35)}
+    assert {tuple(r) for r in op8(spark, SF001).collect()} == want
