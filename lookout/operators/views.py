@@ -22,14 +22,6 @@ from lookout.functions.paths import base_name, to_local_path, with_local_path
 ORDER_COLS = ["batch_id", "modification_time", "image"]
 
 
-def with_class(pred: DataFrame) -> DataFrame:
-    """Prediction text -> class id (P5, ``try_cast``: bad text becomes null and
-    is reported by :func:`rejects`), plus the class name (J1, null when the
-    id is outside the dimension)."""
-    cid = F.col("prediction").try_cast("int")
-    return pred.withColumn("class_id", cid).withColumn("class_name", class_name_of(cid))
-
-
 def status_of(class_id) -> F.Column:
     """Attentive / alert predicate (P7): class 0 is normal driving."""
     return F.when(class_id == 0, F.lit("attentive")).otherwise(F.lit("alert"))
@@ -115,25 +107,34 @@ def _describe(df: DataFrame, project_root: str = "/app", extra=()) -> DataFrame:
     )
 
 
-def _newest_first():
-    return [F.col(c).desc_nulls_last() for c in ORDER_COLS]
+def _newest_first(pred: DataFrame):
+    """Newest run first (where the table has runs), then the newest batch."""
+    cols = (["run_id"] if "run_id" in pred.columns else []) + ORDER_COLS
+    return [F.col(c).desc_nulls_last() for c in cols]
 
 
 def newest_batches(pred: DataFrame, n: int, batch_index: DataFrame | None) -> DataFrame:
     """Restrict ``pred`` to the batches that can hold its ``n`` newest rows.
 
     ``batch_index`` is the metrics table (one row per non-empty batch). The
-    ``n`` newest batch ids hold at least ``n`` rows, so every newer row has
-    ``batch_id >=`` the smallest of them. That one scalar becomes a literal
-    filter on the partition column, so the prediction scan is pruned to
-    those partitions instead of reading the whole history."""
+    ``n`` newest (run, batch) pairs should hold at least ``n`` rows, so the
+    smallest of them becomes a literal filter on the partition columns, and
+    the scan reads those partitions instead of the whole history. Where the
+    index names batches that the table no longer has (metrics outlive a
+    reset), fewer rows come back, and the whole table is used."""
     if batch_index is None:
         return pred
-    top = batch_index.select("batch_id").where(F.col("batch_id").isNotNull()).distinct()
-    cutoff = top.orderBy(F.col("batch_id").desc()).limit(n).agg(F.min("batch_id").alias("c")).first()
-    if cutoff is None or cutoff["c"] is None:
+    keys = [c for c in ("run_id", "batch_id") if c in pred.columns and c in batch_index.columns]
+    top = batch_index.select(*keys).where(F.col("batch_id").isNotNull()).distinct()
+    oldest = top.orderBy(*[F.col(c).desc() for c in keys]).limit(n).orderBy(*keys).limit(1).collect()
+    if not oldest:
         return pred
-    return pred.where(F.col("batch_id") >= F.lit(int(cutoff["c"])))
+    cut = oldest[0]
+    newer = F.col("batch_id") >= F.lit(int(cut["batch_id"]))
+    if "run_id" in keys:
+        newer = (F.col("run_id") > cut["run_id"]) | ((F.col("run_id") == cut["run_id"]) & newer)
+    pruned = pred.where(newer)
+    return pruned if len(pruned.select("batch_id").take(n)) == n else pred
 
 
 def latest_prediction(pred: DataFrame, project_root: str = "/app", batch_index: DataFrame | None = None) -> DataFrame:
@@ -143,7 +144,7 @@ def latest_prediction(pred: DataFrame, project_root: str = "/app", batch_index:
     top row, only those reach the final merge. With ``batch_index`` only the
     newest partition is scanned."""
     pred = newest_batches(pred, 1, batch_index)
-    return _describe(pred.orderBy(*_newest_first()).limit(1), project_root)
+    return _describe(pred.orderBy(*_newest_first(pred)).limit(1), project_root)
 
 
 def recent_predictions(
@@ -154,8 +155,8 @@ def recent_predictions(
     after the top-k; with ``batch_index`` only the newest partitions are
     scanned."""
     pred = newest_batches(pred, n, batch_index)
-    top = pred.orderBy(*_newest_first()).limit(n)
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*_newest_first())))
+    top = pred.orderBy(*_newest_first(pred)).limit(n)
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*_newest_first(pred))))
     return _describe(ranked, project_root, extra=("rank",)).select(
         "rank",
         ((F.col("rank") - 1) % columns).alias("slot"),

@@ -12,11 +12,11 @@ from lookout.operators import scoring as SC
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
 from lookout.plans.catalog import register
-from lookout.plans.q_evaluation import linear_sql
+from lookout.plans.sqlfrag import linear_sql
 from lookout.plans.q_images import ID_FROM_PATH, RGB_LEN, SIDE, export_features
 from lookout.session import work_dir
 from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, read_part_csvs, table
-from lookout.streaming.sink import write_partition
+from lookout.streaming.sink import BatchSink, write_partition
 from lookout.streaming import classify as C
 
 W = S.with_ctes
@@ -73,6 +73,31 @@ def stream_batch_metrics(spark, sf):
     return read_or_empty(spark, met, METRICS_SCHEMA).select("batch_id", "num_images")
 
 
+TWO_RUNS_SQL = W(
+    """SELECT image, prediction, CAST(2 AS BIGINT) AS copies FROM pred""",
+    S.PRED_SQL,
+)
+
+
+@register("stream_two_runs", TWO_RUNS_SQL)
+def stream_two_runs(spark, sf):
+    """Two checkpoints over one output folder, several micro-batches
+    each, and a replayed batch: every run keeps its rows once."""
+    base = work_dir(spark, "two-runs")
+    src, out, met = f"{base}/source", f"{base}/predictions", f"{base}/metrics"
+    rows = _as_predictions(table(spark, sf, "events"))
+    rows.repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for run in ("a", "b"):
+        C.start_table_stream(stream, out, met, f"{base}/checkpoint-{run}").awaitTermination()
+    # Batch 0 of the second run once more, as after a crash before its commit.
+    sink = BatchSink(out, met, checkpoint=f"{base}/checkpoint-b")
+    first = spark.read.parquet(out).where((F.col("run_id") == sink.run(spark)) & (F.col("batch_id") == 0))
+    sink(first.select("image", "prediction", "modification_time").checkpoint(), 0)
+    preds = read_or_empty(spark, out, PREDICTION_SCHEMA)
+    return preds.groupBy("image", "prediction").agg(F.count(F.lit(1)).alias("copies"))
+
+
 @register(
     "stream_class_counts",
     W(
@@ -83,7 +108,7 @@ FROM pred GROUP BY 1""",
     ),
 )
 def stream_class_counts(spark, sf):
-    """T4: running class counts (complete mode) refreshed into a table."""
+    """T4: running class counts refreshed into a table."""
     base = work_dir(spark, "live-counts")
     q = C.start_live_class_counts(_as_predictions(_event_stream(spark, sf)), f"{base}/table", f"{base}/checkpoint")
     q.awaitTermination()
@@ -134,11 +159,25 @@ def batch_scoring(spark, sf):
     return scored.select("vec_id", F.col("y_pred").alias("prediction"))
 
 
-@register("fit_and_score")
+def _fit_sql() -> str:
+    from lookout.plans.q_dataset import _strat_sql
+
+    val = f"val AS (SELECT label FROM ({_strat_sql('vec_id', 'label', 'embeddings')}) WHERE split = 'val')"
+    return W(
+        """SELECT c.class_name AS label, CAST(count(v.label) AS BIGINT) AS support, true AS in_range
+FROM classes c LEFT JOIN val v ON v.label = c.class_id GROUP BY c.class_name
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT CAST(count(*) AS BIGINT) FROM val), true""",
+        Q.classes_cte(),
+        val,
+    )
+
+
+@register("fit_and_score", _fit_sql())
 def fit_and_score(spark, sf):
     """D6 + A11/A12: fit a weighted multinomial logistic regression on the
-    train split of the feature table, score the validation split and report
-    (rows-only: fitted weights are not an SQL quantity)."""
+    train split of the feature table, score the validation split and report.
+    Fitted weights are no SQL quantity: the check is on the support of every
+    class and on measures within 0..1."""
     emb = table(spark, sf, "embeddings")
     data = D.stratified_split(emb, "vec_id", "label", keep_all=True)
     train = data.where(F.col("split") == "train")
@@ -146,7 +185,10 @@ def fit_and_score(spark, sf):
     model = SC.fit_logistic(D.with_weights(train, weights), "embedding", "label", "weight", max_iter=30)
     val = SC.apply_logistic(model, data.where(F.col("split") == "val"), "embedding")
     scored = val.select("vec_id", F.col("label").alias("y_true"), "y_pred", "scores")
-    return E.classification_report(scored)
+    measures = [F.coalesce(F.col(c), F.lit(0.0)).between(0, 1) for c in ("precision", "recall", "f1_score")]
+    return E.classification_report(scored).select(
+        "label", "support", (measures[0] & measures[1] & measures[2]).alias("in_range")
+    )
 
 
 @register("csv_roundtrip", W("SELECT image, prediction, batch_id FROM pred", S.PRED_SQL))

@@ -3,7 +3,7 @@ the Spark expressions in ``lookout.functions`` and ``lookout.classes``)."""
 
 from __future__ import annotations
 
-from lookout.classes import CLASS_NAMES, UNKNOWN_NAME
+from lookout.classes import CLASS_NAMES, NUM_CLASSES, UNKNOWN_NAME
 
 
 def classes_cte() -> str:
@@ -45,3 +45,12 @@ def base_name(p: str) -> str:
 
 def suffix(p: str) -> str:
     return f"lower(regexp_extract({base_name(p)}, '.(\\.[^.]+)$', 1))"
+
+
+def linear_sql(vec: str) -> str:
+    """DuckDB twin of :func:`lookout.functions.arrays.linear_scores`."""
+    return (
+        f"list_transform(range({NUM_CLASSES}), lambda c: list_sum(list_transform(range(len({vec})), lambda i: "
+        f"CAST({vec}[i + 1] AS DOUBLE) * (CAST(((7 * c + 3 * i) % 11) - 5 AS DOUBLE) / 10.0))) "
+        f"+ CAST(c AS DOUBLE) / 100.0)"
+    )

@@ -41,9 +41,9 @@ def main(argv=None) -> None:
     checkpoint = a.checkpoint or os.path.join(os.path.dirname(a.output.rstrip("/")), "checkpoint")
     if a.model:
         spark.sparkContext.addFile(a.model)
-    trigger = {"availableNow": True} if a.available_now or not a.trigger_seconds else {
-        "processingTime": f"{a.trigger_seconds} seconds"
-    }
+    # Without a flag the consumer waits for new files for ever, each batch
+    # following the one before it.
+    trigger = {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds or 0} seconds"}
     q = start_image_classifier(
         spark,
         a.input,

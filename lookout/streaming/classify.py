@@ -10,6 +10,7 @@ undecodable files go to a rejects table under the same batch id.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -17,14 +18,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lookout.classes import class_dim
 from lookout.functions.images import pixel_vectors
 from lookout.operators.scoring import LinearModel, cached_predict, prediction_text, score_udf, with_scores
-from lookout.session import set_image_batches
 from lookout.sources.images import image_features, read_image_stream, split_valid
-from lookout.streaming.sink import BatchSink
+from lookout.sources.tables import path_exists, read_or_empty
+from lookout.streaming.sink import BatchSink, run_of, write_partition
 
 CLASSIFIED_SCHEMA = "image string, prediction string, modification_time timestamp, error string"
 UNDECODABLE = "undecodable_image"
@@ -72,7 +74,7 @@ def classify_images(
 
 
 def _classify_fused(images: DataFrame, height: int, width: int, make, batch_size: int, antialias: bool) -> DataFrame:
-    key = uuid.uuid4().hex  # one model per worker for this query
+    key = uuid.uuid4().hex  # one model per worker for this query (cached_predict keeps a few)
     im = F.col("image")
     src = images.select(
         F.col("path").alias("image"),
@@ -133,11 +135,11 @@ def start_image_classifier(
     checkpoint resumes after the last committed batch (T3). Undecodable
     files go to ``rejects_dir`` (default: a ``rejects`` folder next to the
     metrics)."""
-    set_image_batches(spark, height, width)
     rejects_dir = rejects_dir or metrics_dir.rstrip("/").rsplit("/", 1)[0] + "/rejects"
     images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
     preds = classify_images(images, height, width, make_predict_fn, antialias=antialias, fused=fused)
-    return _start(preds, BatchSink(output_dir, metrics_dir, fmt, rejects_dir), checkpoint, trigger, None)
+    sink = BatchSink(output_dir, metrics_dir, fmt, rejects_dir, checkpoint)
+    return _start(preds, sink, checkpoint, trigger, None)
 
 
 def start_table_stream(
@@ -148,65 +150,31 @@ def start_table_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """T1/T2 for an already-transformed streaming DataFrame (any source)."""
-    return _start(source, BatchSink(output_dir, metrics_dir), checkpoint, trigger, None)
+    return _start(source, BatchSink(output_dir, metrics_dir, checkpoint=checkpoint), checkpoint, trigger, None)
 
 
-class CompleteTableSink:
-    """``foreachBatch`` for complete-mode aggregates: each trigger publishes
-    the current full result (small by construction: one row per key) as a
-    new version ``<path>/v=<batch_id>``, then drops versions older than the
-    previous one. A reader (:func:`read_live_table`) always finds a complete
-    version -- there is no moment where the table is deleted but not yet
-    rewritten."""
+class CountSink:
+    """``foreachBatch`` sink of the live class counts: each micro-batch writes
+    its own counts (at most 11 rows) to its (run, batch) partition. The
+    totals are sums over these, so a replayed batch replaces its counts
+    instead of adding to them, and no running state can go stale."""
 
-    def __init__(self, path: str, transform=None, keep: int = 2):
+    def __init__(self, path: str, checkpoint: str):
         self.path = path.rstrip("/")
-        self.transform = transform
-        self.keep = keep
+        self.checkpoint = checkpoint
+        self._run: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        out = self.transform(batch) if self.transform else batch
-        out.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        for v in _versions(batch.sparkSession, self.path)[: -self.keep]:
-            _delete(batch.sparkSession, f"{self.path}/v={v}")
-
-
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Published versions of a live table (a directory listing of a handful
-    of entries), oldest first; only versions whose write committed
-    (``_SUCCESS`` present) count."""
-    fs, jpath = _hadoop_fs(spark, path)
-    if not fs.exists(jpath):
-        return []
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, jpath = _hadoop_fs(spark, path)
-    fs.delete(jpath, True)
-
-
-def read_live_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete version of a live table, or None before the first
-    trigger."""
-    versions = _versions(spark, path.rstrip("/"))
-    return spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]}") if versions else None
+        if self._run is None:
+            self._run = run_of(batch.sparkSession, self.checkpoint)
+        counts = class_totals(batch).withColumns(
+            {"run_id": F.lit(self._run), "batch_id": F.lit(batch_id).cast("bigint")}
+        )
+        write_partition(counts.coalesce(1), self.path, rebalance=False)
 
 
-def live_class_counts(predictions: DataFrame) -> DataFrame:
-    """T4: running images per class over a prediction stream. The state has
-    one entry per class id (at most 11 keys), so it needs no watermark."""
+def class_totals(predictions: DataFrame) -> DataFrame:
+    """Images per class id of a table or micro-batch (at most 11 rows)."""
     return predictions.groupBy(F.col("prediction").try_cast("int").alias("class_id")).agg(
         F.count(F.lit(1)).alias("n_images")
     )
@@ -220,51 +188,75 @@ def with_class_names(counts: DataFrame) -> DataFrame:
     )
 
 
-def prediction_stream(spark: SparkSession, predictions_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The prediction table written by :class:`BatchSink` (Parquet, one
-    folder per ``batch_id``) read as a stream, for live views over it."""
-    from lookout.sources.tables import PREDICTION_SCHEMA
+COUNT_SCHEMA = "class_id int, n_images long, run_id string, batch_id long"
 
-    reader = spark.readStream.schema(PREDICTION_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(predictions_dir)
+
+def read_live_table(spark: SparkSession, path: str, every_run: bool = False) -> DataFrame | None:
+    """T4: running images per class of the newest run (or of all runs), or
+    None before the first batch. Sums at most 11 rows per batch."""
+    if not path_exists(spark, path):
+        return None
+    counts = spark.read.schema(COUNT_SCHEMA).parquet(path)
+    if not every_run:
+        newest = counts.agg(F.max("run_id")).first()[0]
+        if newest is None:
+            return None
+        counts = counts.where(F.col("run_id") == newest)
+    return with_class_names(counts.groupBy("class_id").agg(F.sum("n_images").alias("n_images")))
 
 
 def start_live_class_counts(
     predictions: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """T4: refresh the class-count table on every trigger (complete mode);
-    ``{"processingTime": "2 seconds"}`` matches the page's refresh."""
-    sink = CompleteTableSink(table_path, with_class_names)
-    return _start(live_class_counts(predictions), sink, checkpoint, trigger, None, "complete")
+    """T4: class counts of a stream of predictions, refreshed on every
+    trigger; ``{"processingTime": "2 seconds"}`` matches the page's refresh.
+    The source must give each prediction once (the classified stream itself,
+    not the folder that a :class:`BatchSink` rewrites on replay)."""
+    return _start(predictions, CountSink(table_path, checkpoint), checkpoint, trigger, None)
 
 
 PROGRESS_SCHEMA = (
-    "batch_id long, num_input_rows long, trigger_ms long, add_batch_ms long, get_batch_ms long, "
+    "query_id string, batch_id long, num_input_rows long, trigger_ms long, add_batch_ms long, get_batch_ms long, "
     "processed_rows_per_second double, timestamp string"
 )
 
 
-def progress_table(query: StreamingQuery) -> DataFrame:
-    """Q13: Spark's own per-trigger progress (input rows and timings) next
-    to the sink's timing rows, as a DataFrame. It comes from the query's
-    recent progress reports, a bounded list the driver already holds
-    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default)."""
-    rows = []
-    for p in query.recentProgress:
-        d = p if isinstance(p, dict) else p.asDict() if hasattr(p, "asDict") else dict(p)
-        dur = d.get("durationMs") or {}
-        rows.append(
-            (
-                int(d.get("batchId", -1)),
-                int(d.get("numInputRows", 0) or 0),
-                int(dur.get("triggerExecution", 0) or 0),
-                int(dur.get("addBatch", 0) or 0),
-                int(dur.get("getBatch", 0) or 0),
-                float(d.get("processedRowsPerSecond", 0.0) or 0.0),
-                str(d.get("timestamp", "")),
-            )
-        )
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+def _progress_row(p) -> tuple:
+    d = json.loads(p.json) if hasattr(p, "json") else dict(p)
+    dur = d.get("durationMs") or {}
+    return (
+        str(d.get("id", "")),
+        int(d.get("batchId", -1)),
+        int(d.get("numInputRows", 0) or 0),
+        int(dur.get("triggerExecution", 0) or 0),
+        int(dur.get("addBatch", 0) or 0),
+        int(dur.get("getBatch", 0) or 0),
+        float(d.get("processedRowsPerSecond", 0.0) or 0.0),
+        str(d.get("timestamp", "")),
+    )
+
+
+class ProgressLog(StreamingQueryListener):
+    """Q13: appends Spark's own report of every trigger (input rows and
+    timings) to a table, next to the sink's timing rows. Add it with
+    ``spark.streams.addListener(ProgressLog(spark, path))``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = self.spark.createDataFrame([_progress_row(event.progress)], PROGRESS_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def progress_table(spark: SparkSession, path: str) -> DataFrame:
+    """The reports that a :class:`ProgressLog` has written, oldest first."""
+    schema = T.StructType.fromDDL(PROGRESS_SCHEMA)
+    return read_or_empty(spark, path, schema).orderBy("timestamp", "batch_id")

@@ -1,63 +1,92 @@
 """Idempotent micro-batch sink.
 
-Every micro-batch writes its predictions to ``<out>/batch_id=<id>/`` and
-its timing row to ``<metrics>/batch_id=<id>/`` with dynamic partition
-overwrite. A batch replayed after a failure (the checkpoint commits after
-the sink) replaces its own partition instead of appending duplicates: the
-output is exactly-once per batch id (Q3). The row count comes from an
-``Observation`` on the write itself, so the batch is computed once -- no
-``persist`` + ``count`` second pass. When the batch carries an ``error``
-column, rows with an error go to the rejects table (same batch id) and
-the narrow scored batch is persisted for those two writes, so decoding and
-scoring still run once.
+Every micro-batch writes its predictions to
+``<out>/run_id=<run>/batch_id=<id>/`` and its timing row to the same place
+under ``<metrics>``, with dynamic partition overwrite. A batch replayed after
+a failure (the checkpoint commits after the sink) replaces its own partition
+instead of appending duplicates. A *run* is the life of one checkpoint: its
+id comes from the checkpoint's metadata, so a restart goes on in the same
+run, while a new checkpoint, or a second consumer on the same folder, never
+touches what another one wrote. Run ids sort by the time they began.
+
+The row count comes from an ``Observation`` on the write itself, so the batch
+is computed once -- no ``persist`` + ``count`` second pass. When the batch
+carries an ``error`` column, rows with an error go to the rejects table (same
+run and batch) and the narrow scored batch is persisted for those two writes,
+so decoding and scoring still run once.
 """
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+FIRST_RUN = "first"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Run id of a checkpoint: when its metadata was first written, and the
+    query id in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "metadata")
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.open(where)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{fs.getFileStatus(where).getModificationTime():015d}-{json.loads(text)['id'][:8]}"
 
 
 def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True, rebalance: bool = True) -> None:
-    """Write ``df`` into ``<path>/batch_id=<id>/``, replacing only the batch
-    ids present (dynamic partition overwrite). With ``rebalance`` the rows
-    are grouped by batch id first (AQE splits a large batch into files of
-    the advisory size), so each batch gets a few files rather than one per
-    input task."""
+    """Write ``df`` into ``<path>/[run_id=<run>/]batch_id=<id>/``, replacing
+    only the partitions present (dynamic partition overwrite). With
+    ``rebalance`` the rows are grouped by batch id first (AQE splits a large
+    batch into files of the advisory size), so each batch gets a few files
+    rather than one per input task."""
     if rebalance:
         df = df.hint("rebalance", "batch_id")
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+    parts = [c for c in ("run_id", "batch_id") if c in df.columns]
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     if fmt == "csv":
         writer = writer.option("header", header)
     writer.format(fmt).save(path)
 
 
-def _exists(spark, path: str) -> bool:
-    from lookout.sources.tables import path_exists
-
-    return path_exists(spark, path)
-
-
 class BatchSink:
-    """``foreachBatch`` callable: ``(batch_df, batch_id)``."""
+    """``foreachBatch`` callable: ``(batch_df, batch_id)``. ``checkpoint``
+    names the run; without it all batches belong to ``run_id``."""
 
     def __init__(
-        self, output_dir: str, metrics_dir: str | None = None, fmt: str = "parquet", rejects_dir: str | None = None
+        self,
+        output_dir: str,
+        metrics_dir: str | None = None,
+        fmt: str = "parquet",
+        rejects_dir: str | None = None,
+        checkpoint: str | None = None,
+        run_id: str = FIRST_RUN,
     ):
         self.output_dir = output_dir
         self.metrics_dir = metrics_dir
         self.fmt = fmt
         self.rejects_dir = rejects_dir
+        self.checkpoint = checkpoint
+        self._run = None if checkpoint else run_id
+
+    def run(self, spark: SparkSession) -> str:
+        if self._run is None:
+            self._run = run_of(spark, self.checkpoint)
+        return self._run
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         obs = Observation(f"batch_{batch_id}")
         start = time.time()
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        run = self.run(spark)
+        rows = batch.withColumn("run_id", F.lit(run)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         split = "error" in rows.columns
         if split:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -75,16 +104,13 @@ class BatchSink:
         finally:
             if split:
                 rows.unpersist()
-        try:
-            n = int(obs.get.get("n", 0) or 0)
-        except Exception:  # noqa: BLE001 - metrics unavailable: count what was written
-            part = f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"
-            n = spark.read.format(self.fmt).option("header", True).load(part).count() if _exists(spark, part) else 0
+        n = int(obs.get.get("n", 0) or 0)
         duration_ms = int(round((time.time() - start) * 1000))
         if n == 0 or not self.metrics_dir:
             return  # P3: an empty batch leaves no metrics row
         # One row from literals: a JVM-only plan, no Python worker per batch.
         metrics = spark.range(1).select(
+            F.lit(run).alias("run_id"),
             F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
             F.lit(n).cast("bigint").alias("num_images"),
             F.lit(duration_ms).cast("bigint").alias("duration_ms"),
