@@ -65,11 +65,6 @@ def short_label(name: Column) -> Column:
     return F.when(F.instr(name, ": ") > 0, F.split_part(name, F.lit(": "), F.lit(2))).otherwise(name)
 
 
-def class_code(name: Column) -> Column:
-    """``"cN: text"`` -> ``cN``."""
-    return F.substring_index(name, ":", 1)
-
-
 def class_number(name: Column) -> Column:
     """``"cN: text"`` -> N as INT (sort key of the class axis)."""
     return F.regexp_extract(name, r"^c(\d+)", 1).cast("int")

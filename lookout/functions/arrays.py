@@ -95,8 +95,3 @@ def linear_scores(x, k: int = 10) -> Column:
         )
         + rule_bias(c),
     )
-
-
-def linear_scores_with(x, weights: Sequence[Sequence[float]], bias: Sequence[float]) -> Column:
-    """D5 for an arbitrary (small) weight matrix given as literals."""
-    return F.array(*[dot(x, w_c) + F.lit(float(b_c)) for w_c, b_c in zip(weights, bias)])

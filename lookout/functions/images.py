@@ -304,19 +304,3 @@ def augment_udf(height: int, width: int, recipe: dict = PREP_RECIPE, seed: int =
         return pd.Series(out, dtype=object)
 
     return augment
-
-
-# --- PNG writing (image files from pixel tables) ----------------------------------------
-
-
-def encode_png(pixels: np.ndarray, height: int, width: int, channels: int) -> bytes:
-    """8-bit PNG (grey, RGB or RGBA) from row-major pixel values 0..255."""
-    color_type = {1: 0, 3: 2, 4: 6}[channels]
-    arr = np.clip(np.rint(np.asarray(pixels, dtype=np.float64)), 0, 255).astype(np.uint8).reshape(height, width * channels)
-    raw = b"".join(b"\x00" + arr[r].tobytes() for r in range(height))
-
-    def chunk(kind: bytes, body: bytes) -> bytes:
-        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body) & 0xFFFFFFFF)
-
-    header = struct.pack(">IIBBBBB", width, height, 8, color_type, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")

@@ -21,9 +21,10 @@ def url_unquote(p: Column) -> Column:
     """Percent-decoding like ``urllib.parse.unquote``: ``+`` stays ``+``.
 
     ``url_decode`` is form decoding (``+`` -> space), so ``+`` is escaped
-    first. A malformed escape makes ``try_url_decode`` null; the raw text is
-    kept then."""
-    return F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
+    first, and so is a ``%`` that starts no escape (it stays as it is, the
+    valid escapes around it are decoded)."""
+    kept = F.regexp_replace(F.replace(p, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(kept), p)
 
 
 def _local_path_steps(project_root: str, windows: bool):

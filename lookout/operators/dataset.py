@@ -12,13 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lookout.classes import class_dim
-from lookout.operators.ranking import first_by_rank, shuffle_key
+from lookout.operators.ranking import BROADCAST_GROUPS, first_by_rank, shuffle_key
 
 SEED = 42
 
 
 def stratified_split(
-    df: DataFrame, id_col: str, label_col: str, val_fraction_tenths: int = 2, seed: int = SEED, keep_all: bool = False
+    df: DataFrame,
+    id_col: str,
+    label_col: str,
+    val_fraction_tenths: int = 2,
+    seed: int = SEED,
+    keep_all: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Exact stratified split. Inside each label, rows are ordered by the
     seeded shuffle key; the first ``v = (val_tenths * n + 5) div 10`` rows
@@ -29,9 +35,10 @@ def stratified_split(
     (:func:`~lookout.operators.ranking.rank_thresholds`); every row is then
     classified by comparing its key with its label's threshold, so wide
     columns (pixels) stay in place -- no join back by id. With ``keep_all``
-    all input columns are returned, else ``(id, label, split)``."""
+    all input columns are returned, else ``(id, label, split)``. ``keys_from``
+    names a narrow table of the same (id, label) rows for the key counts."""
     cut = lambda n: F.floor((n * val_fraction_tenths + 5) / 10)
-    flagged = first_by_rank(df, id_col, cut, seed, [label_col], "_val")
+    flagged = first_by_rank(df, id_col, cut, seed, [label_col], "_val", keys_from)
     out = flagged.withColumn("split", F.when(F.col("_val"), "val").otherwise("train")).drop("_val")
     return out if keep_all else out.select(id_col, label_col, "split")
 
@@ -81,9 +88,13 @@ def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def with_weights(df: DataFrame, weights: DataFrame, label_col: str = "label") -> DataFrame:
-    """Weight column for a fit (D6): join of the weight table (one row per
-    label present). No hint: AQE broadcasts it from its measured size."""
-    return df.join(weights.select(label_col, "weight"), label_col, "left")
+    """Weight column for a fit (D6): the weight table has one row per label
+    present. It is counted, and broadcast up to ``BROADCAST_GROUPS`` rows, so
+    the vectors are not shuffled; a larger one is joined by a shuffle."""
+    table = weights.select(label_col, "weight").checkpoint()
+    if table.count() <= BROADCAST_GROUPS:
+        table = F.broadcast(table)
+    return df.join(table, label_col, "left")
 
 
 def dataset_profile(df: DataFrame, vec_col: str) -> DataFrame:
@@ -100,12 +111,25 @@ def dataset_profile(df: DataFrame, vec_col: str) -> DataFrame:
 
 def first_per_class(df: DataFrame, id_col: str, label_col: str = "label", seed: int = SEED) -> DataFrame:
     """The first sample of each class in seeded-shuffle order, ``null``
-    for an empty class. ``min_by`` is an aggregate with map-side partial
-    results, so a hot class costs no more than a cold one."""
-    firsts = df.groupBy(F.col(label_col).alias("class_id")).agg(
-        F.min_by(F.col(id_col), shuffle_key(id_col, seed)).alias(id_col)
+    for an empty class. The smallest leading 15 hex digits of a class's keys
+    are found by a hash aggregate on a number (no sort, hot classes combined
+    per task); the full key decides among the few rows that have them."""
+    key = shuffle_key(id_col, seed)
+    rows = df.select(
+        F.col(label_col).alias("class_id"),
+        F.col(id_col),
+        key.alias("_key"),
+        F.conv(F.substring(key, 1, 15), 16, 10).cast("long").alias("_head"),
+    )
+    dim = class_dim(df.sparkSession)
+    lowest = rows.groupBy("class_id").agg(F.min("_head").alias("_head")).join(dim.select("class_id"), "class_id", "left_semi")
+    # At most one row per class of the dimension: a proven bound.
+    firsts = (
+        rows.join(F.broadcast(lowest), ["class_id", "_head"])
+        .groupBy("class_id")
+        .agg(F.min_by(F.col(id_col), F.col("_key")).alias(id_col))
     )
-    return class_dim(df.sparkSession).join(firsts, "class_id", "left").select("class_id", "class_name", id_col)
+    return dim.join(firsts, "class_id", "left").select("class_id", "class_name", id_col)
 
 
 def augmented_rows(df: DataFrame, factor: int = 2) -> DataFrame:
@@ -133,17 +157,19 @@ def augmented_counts(split_df: DataFrame, label_col: str = "label", factor: int
 # --- persistence ---------------------------------------------------------------
 
 
+# Rows of one file of a feature table.
+FILE_ROWS = 100_000
+
+
 def save_features(df: DataFrame, path: str, label_col: str = "label", mode: str = "overwrite") -> None:
     """The feature table as Parquet, one folder per label (hive
-    partitions); ``dynamic`` partition overwrite replaces only the labels
-    written."""
-    # rebalance by label: AQE groups each label's rows into files of the
-    # advisory size and splits a hot label over several tasks (a plain
-    # repartition by label would put a hot label in one task).
+    partitions). ``overwrite`` replaces the whole table, so a label that is
+    gone leaves nothing behind. The rows are written where they are (no
+    shuffle of pixels), in files of at most ``FILE_ROWS`` rows."""
     (
-        df.hint("rebalance", label_col)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        df.write.mode(mode)
+        .option("partitionOverwriteMode", "static")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy(label_col)
         .parquet(path)
     )
@@ -186,6 +212,7 @@ def prepare_dataset(
     val_tenths: int = 2,
     seed: int = SEED,
     antialias: bool = False,
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """The dataset job end to end (S4 -> F1-F3 -> W9 -> U2/F14 -> S11):
     class folders ``c0..c9`` are decoded and resized to pixel vectors, split
@@ -193,35 +220,29 @@ def prepare_dataset(
     augmented copies per image (validation images are kept as they are, so
     no copy of a validation image reaches training, Q16), and the table is
     saved as Parquet partitioned by label. Returns the saved table, read
-    back.
+    back. ``rejects_path`` gets the files left out, with the reason.
 
-    Image ids are the md5 of the path, so splits and augmentation seeds do
-    not depend on listing order or partitioning."""
+    An image's id is its path, so splits and augmentation seeds do not depend
+    on listing order or partitioning. The split's key counts read a narrow
+    table (path, label) of the decodable files; the pixel rows then flow from
+    decoding to the written table without a shuffle or an intermediate
+    copy."""
     from lookout.functions.images import augment_udf
-    from lookout.session import set_image_batches
-    from lookout.sources.images import labelled_folders
-
-    set_image_batches(spark, height, width)
-    rows, _missing = labelled_folders(spark, root, images=True, height=height, width=width, antialias=antialias)
-    rows = rows.withColumn("image_id", F.conv(F.substring(F.md5("path"), 1, 15), 16, 10).cast("long"))
-    # Decode once: the split reads the table several times (key counts,
-    # boundary buckets, classification), so the decoded pixels are written
-    # next to the output first (this also cuts the lineage); the key passes
-    # then read two narrow Parquet columns instead of decoding every image
-    # again.
-    decoded_path = out_path.rstrip("/") + "_decoded"
-    save_features(rows, decoded_path)
-    decoded = load_features(spark, decoded_path, columns=("image_id", "path", "pixels", "label"))
-    split = stratified_split(decoded, "image_id", "label", val_tenths, seed, keep_all=True)
+    from lookout.sources.images import labelled_images
+
+    good, rejects, _missing = labelled_images(spark, root, height, width, antialias)
+    keys = good.select("path", "label").checkpoint()
+    split = stratified_split(good, "path", "label", val_tenths, seed, keep_all=True, keys_from=keys)
     copies = augmented_rows(split, factor).where((F.col("split") == "train") | (F.col("aug_index") == 0))
     aug = augment_udf(height, width, seed=seed)
     table = copies.select(
-        "image_id",
         "path",
         "split",
         F.col("aug_index").cast("int").alias("aug_index"),
-        aug(F.col("pixels"), F.col("image_id"), F.col("aug_index")).alias("pixels"),
+        aug(F.col("pixels"), F.col("path"), F.col("aug_index")).alias("pixels"),
         "label",
     )
     save_features(table, out_path)
-    return load_features(spark, out_path, columns=("image_id", "path", "split", "aug_index", "pixels", "label"))
+    if rejects_path:
+        rejects.write.mode("overwrite").parquet(rejects_path)
+    return load_features(spark, out_path, columns=("path", "split", "aug_index", "pixels", "label"))

@@ -8,7 +8,7 @@ costs nothing extra; everything after it runs on that small table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.classes import NUM_CLASSES, class_dim
@@ -18,34 +18,52 @@ from lookout.functions.arrays import softmax
 EPSILON = 1e-7
 
 
-def class_grid(spark: SparkSession, k: int = NUM_CLASSES) -> DataFrame:
-    """All (y_true, y_pred) pairs of the class axis, K x K rows, built by a
-    generator over the K-row dimension (no join)."""
-    return (
-        class_dim(spark)
-        .where(F.col("class_id") < k)
-        .select(F.col("class_id").alias("y_true"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("y_pred"))
+def _axis(counts: DataFrame, k: int) -> DataFrame:
+    """One row with the class axis as a sorted array: 0..k-1 and every label
+    that the (true, predicted) counts hold (one entry per label)."""
+    seen = counts.agg(F.collect_set("y_true").alias("t"), F.collect_set("y_pred").alias("p"))
+    return seen.select(
+        F.array_sort(F.array_distinct(F.concat(F.sequence(F.lit(0), F.lit(k - 1)), "t", "p"))).alias("axis")
+    )
+
+
+def class_grid(counts: DataFrame, k: int = NUM_CLASSES) -> DataFrame:
+    """All (y_true, y_pred) pairs of the class axis, by two generators over
+    the one-row axis (no join)."""
+    rows = _axis(counts, k).select(F.explode("axis").alias("y_true"), "axis")
+    return rows.select("y_true", F.explode("axis").alias("y_pred"))
+
+
+def _counts(scored: DataFrame) -> DataFrame:
+    """Rows per (true, predicted) pair; rows without either label belong to
+    no cell."""
+    known = scored.where(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
+    return known.groupBy(F.col("y_true").cast("int").alias("y_true"), F.col("y_pred").cast("int").alias("y_pred")).agg(
+        F.count(F.lit(1)).alias("n")
     )
 
 
 def confusion_long(scored: DataFrame, k: int = NUM_CLASSES) -> DataFrame:
-    """A10, long form: one row per (true, predicted) pair incl. zeros."""
-    counts = scored.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
-    grid = class_grid(scored.sparkSession, k)
-    return grid.join(counts, ["y_true", "y_pred"], "left").select(
-        "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    """A10, long form: one row per (true, predicted) pair incl. zeros, for
+    the classes 0..k-1 and every other label that occurs."""
+    counts = _counts(scored).checkpoint()  # one row per pair: a small table, read twice
+    return (
+        class_grid(counts, k)
+        .join(counts, ["y_true", "y_pred"], "left")
+        .select("y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
     )
 
 
 def confusion_wide(scored: DataFrame, k: int = NUM_CLASSES) -> DataFrame:
-    """A10, matrix form: rows = true class, columns ``p0..p{k-1}`` =
-    predicted class. The pivot values are given, so no extra pass finds
-    them."""
-    wide = scored.groupBy("y_true").pivot("y_pred", list(range(k))).agg(F.count(F.lit(1)))
-    wide = wide.select("y_true", *[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(f"p{i}") for i in range(k)])
-    rows = class_dim(scored.sparkSession).where(F.col("class_id") < k).select(F.col("class_id").alias("y_true"))
+    """A10, matrix form: rows = true class, columns ``p<c>`` = predicted
+    class, for 0..k-1 and every other label that occurs on either side of
+    its axis."""
+    counts = _counts(scored).checkpoint()
+    rows = _axis(counts, k).select(F.explode("axis").alias("y_true"))
+    predicted = sorted({*range(k), *(r["y_pred"] for r in counts.select("y_pred").distinct().collect())})
+    wide = counts.groupBy("y_true").pivot("y_pred", predicted).agg(F.sum("n"))
     return rows.join(wide, "y_true", "left").select(
-        "y_true", *[F.coalesce(F.col(f"p{i}"), F.lit(0)).cast("bigint").alias(f"p{i}") for i in range(k)]
+        "y_true", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(f"p{c}") for c in predicted]
     )
 
 
@@ -75,8 +93,9 @@ def classification_report(scored: DataFrame, k: int = NUM_CLASSES, digits: int =
         "f1", _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
     )
     names = class_dim(scored.sparkSession)
-    per_class = stats.join(names, "class_id").select(
-        F.col("class_name").alias("label"), "precision", "recall", F.col("f1").alias("f1_score"), "support"
+    # A label outside the dimension is shown as its number.
+    per_class = stats.join(names, "class_id", "left").select(
+        F.coalesce("class_name", F.col("class_id").cast("string")).alias("label"), "precision", "recall", F.col("f1").alias("f1_score"), "support"
     )
     totals = stats.agg(
         F.sum("tp").alias("tp"),
@@ -118,7 +137,8 @@ def loss_accuracy(scored: DataFrame, from_logits: bool = True, digits: int = 6)
     ``[1e-7, 1 - 1e-7]``) and accuracy of a scored set, in one pass. With
     ``from_logits`` the scores go through softmax first."""
     probs = softmax("scores") if from_logits else F.col("scores")
-    p_true = F.element_at(probs, F.col("y_true") + 1)
+    # A true label without a score has probability 0.
+    p_true = F.coalesce(F.get(probs, F.col("y_true").cast("int")), F.lit(0.0))
     clipped = F.least(F.greatest(p_true, F.lit(EPSILON)), F.lit(1 - EPSILON))
     return scored.agg(
         F.round(F.avg(-F.log(clipped)), digits).alias("loss"),

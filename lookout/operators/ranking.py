@@ -3,8 +3,8 @@ W12), and seeded shuffle keys.
 
 ``row_number() OVER (ORDER BY k)`` with no partition pulls every row into
 one task. Instead rows are cut into buckets that are contiguous ranges of
-the order (the first hex digits of an md5 key, or approximate-quantile
-ranges of a numeric key), counted per bucket, and the small bucket table
+the order (the first hex digits of an md5 key, or Spark's own range
+partitions of a natural key), counted per bucket, and the small bucket table
 gives each bucket its offset. Each row's rank is its offset plus its
 ``row_number`` inside its own bucket, so the work is spread over as many
 tasks as there are buckets, and a hot group (``partition_cols``) is split
@@ -13,16 +13,15 @@ into all of its buckets as well.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default md5 prefix length: 16^3 = 4,096 buckets per group.
-HASH_DIGITS = 3
-# Up to this many groups, per-group thresholds become literals in the
-# row projection instead of a join.
-MAX_LITERAL_GROUPS = 1000
+# Groups whose threshold table is broadcast (its size is counted first); a
+# larger table is joined by a shuffle.
+BROADCAST_GROUPS = 100_000
 
 
 def shuffle_key(id_col, seed: int = 42) -> Column:
@@ -34,36 +33,17 @@ def shuffle_key(id_col, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit(""))))
 
 
-def hash_bucket(key: str, digits: int = HASH_DIGITS) -> Column:
-    """Bucket of an md5-hex key: its first ``digits`` hex digits (ordered
-    like the key)."""
-    return F.conv(F.substring(F.col(key), 1, digits), 16, 10).cast("int")
-
-
-def _cut_points(df: DataFrame, key: str, n_buckets: int) -> list:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    return df.approxQuantile(key, probs, 1.0 / (4 * n_buckets))
+def hash_digits(n_rows: int) -> int:
+    """Hex digits that cut ``n_rows`` hash-ordered rows into about
+    sqrt(n_rows) buckets: neither the bucket table nor a bucket outgrows a
+    task (at 1e12 rows: a million buckets of a million rows)."""
+    return max(3, min(14, math.ceil(math.log2(max(n_rows, 2)) / 8)))
 
 
-def with_range_bucket(
-    df: DataFrame, key: str, n_buckets: int = 1024, out: str = "_range_bkt", cuts: list | None = None
-) -> DataFrame:
-    """Add the bucket of a numeric key: its index among approximate-quantile
-    cut points (one distributed pass finds them; the search per row is a
-    binary search in the JVM). Buckets are contiguous ranges, so bucket
-    order is key order; every cut point starts its own bucket."""
-    from pyspark.ml.feature import Bucketizer
-
-    cuts = sorted(set(cuts if cuts is not None else _cut_points(df, key, n_buckets)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    tmp = f"{out}_d"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out + "_f")
-    staged = df.withColumn(tmp, F.col(key).cast("double"))
-    # Null keys come first (ASC NULLS FIRST) in a bucket of their own.
-    bucketed = b.transform(staged).withColumn(out, F.coalesce(F.col(out + "_f").cast("int"), F.lit(-1)))
-    return bucketed.drop(tmp, out + "_f")
+def hash_bucket(key: str, digits: int) -> Column:
+    """Bucket of an md5-hex key: its first ``digits`` hex digits (ordered
+    like the key)."""
+    return F.conv(F.substring(F.col(key), 1, digits), 16, 10).cast("long")
 
 
 def global_rank(
@@ -108,10 +88,12 @@ def rank_by_hash(
     rank_col: str = "rank",
     count_col: str | None = None,
     key_col: str = "shuffle_key",
-    digits: int = HASH_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Rank in seeded-shuffle order (W8 + W11): key ``md5(seed:id)``, ties
-    (never in practice) broken by the id."""
+    (never in practice) broken by the id. ``digits`` (of the key, per
+    bucket) follows the number of rows, which is counted."""
+    digits = digits or hash_digits(df.count())
     keyed = df.withColumn(key_col, shuffle_key(id_col, seed))
     return global_rank(
         keyed, [key_col, id_col], hash_bucket(key_col, digits), partition_cols, rank_col, count_col
@@ -121,40 +103,36 @@ def rank_by_hash(
 def rank_by_key(
     df: DataFrame,
     key: str,
-    n_buckets: int = 1024,
+    n_buckets: int | None = None,
     rank_col: str = "rank",
     count_col: str | None = None,
-    tiebreak: str | None = None,
+    tiebreak: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rank in the natural order of a numeric key (W11); rows with an equal
-    key are ordered by ``md5(tiebreak)`` (deterministic, and uniform so
-    that ties can be split).
-
-    A key value that covers several quantile cut points is hot (it may hold
-    a third of the rows): its rows are split over ``16**HASH_DIGITS``
-    sub-buckets by the md5 prefix of the tie-break, after which come the
-    bucket's larger keys. Without ``tiebreak`` the key must be unique."""
-    raw = _cut_points(df, key, n_buckets)
-    staged = with_range_bucket(df, key, n_buckets, "_kb", cuts=raw)
-    order = [key]
-    sub = F.lit(0)
-    if tiebreak:
-        staged = staged.withColumn("_tie", F.md5(F.col(tiebreak).cast("string")))
-        order = [key, "_tie"]
-        hot = sorted({v for v in raw if raw.count(v) >= 2})
-        if hot:
-            width = 16**HASH_DIGITS
-            is_hot = F.col(key).isin(*hot)
-            # Hot key rows: hash prefix; larger keys of the same bucket last.
-            in_hot_bucket = F.col("_kb").isin(*[sorted(set(raw)).index(v) + 1 for v in hot])
-            sub = F.when(is_hot, hash_bucket("_tie")).when(in_hot_bucket, F.lit(width)).otherwise(F.lit(0))
-    bucket = F.col("_kb").cast("long") * (16**HASH_DIGITS + 1) + sub
-    out = global_rank(staged, order, bucket, (), rank_col, count_col).drop("_kb")
-    return out.drop("_tie") if tiebreak else out
+    """Rank in the natural order of a key of any sortable type (W11), nulls
+    first and NaN last as Spark sorts; rows with an equal key are ordered by
+    the md5 of the ``tiebreak`` columns (default: all columns, so that only
+    rows equal as a whole may change places).
+
+    Spark's range partitioning on (key, tie-break) gives the buckets: the cut
+    points are sampled rows of the key's own type, and a hot key value is cut
+    by its tie-break. The ranged rows are checkpointed with their bucket
+    number, as another run of the sampling could choose other cuts."""
+    columns = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak or df.columns)
+    tie = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    if isinstance(tiebreak, str):
+        tie = F.md5(F.coalesce(F.col(tiebreak).cast("string"), F.lit("")))
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.withColumn("_tie", tie)
+        .repartitionByRange(n, F.col(key).asc_nulls_first(), F.col("_tie"))
+        .withColumn("_kb", F.spark_partition_id().cast("long"))
+        .checkpoint()
+    )
+    return global_rank(ranged, [key, "_tie"], F.col("_kb"), (), rank_col, count_col).drop("_kb", "_tie")
 
 
 def batch_assignment(
-    df: DataFrame, key: str, batch_size: int, n_buckets: int = 1024, tiebreak: str | None = None
+    df: DataFrame, key: str, batch_size: int, n_buckets: int | None = None, tiebreak: str | Sequence[str] | None = None
 ) -> DataFrame:
     """Cut the list ordered by ``key`` into consecutive groups of
     ``batch_size`` (the producer's ``grouped(n)``): ``(rank-1) div n``."""
@@ -188,7 +166,7 @@ def rank_thresholds(
     cutoff,
     seed: int = 42,
     partition_cols: Sequence[str] = (),
-    digits: int = HASH_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Per group, the (key, id) of the row whose seeded-shuffle rank equals
     ``cutoff(n)`` (``n`` = group size, a Column function), found without
@@ -203,6 +181,7 @@ def rank_thresholds(
     ``cutoff(n)`` rows; groups whose cutoff is 0 get no threshold row. One
     row per group comes out."""
     parts = list(partition_cols)
+    digits = digits or hash_digits(df.count())
     keys = df.select(*parts, id_col, shuffle_key(id_col, seed).alias("_k"))
     keys = keys.withColumn("_bkt", hash_bucket("_k", digits))
     counts = keys.groupBy(*parts, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
@@ -219,46 +198,31 @@ def rank_thresholds(
 
 
 def first_by_rank(
-    df: DataFrame, id_col: str, cutoff, seed: int = 42, partition_cols: Sequence[str] = (), flag: str = "_first"
+    df: DataFrame,
+    id_col: str,
+    cutoff,
+    seed: int = 42,
+    partition_cols: Sequence[str] = (),
+    flag: str = "_first",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus a boolean ``flag``: the row is among the first
     ``cutoff(n)`` rows of its group in seeded-shuffle order.
 
-    The wide rows are never shuffled. With groups they meet the table of one
-    threshold per group in an equi-join (AQE broadcasts it from its measured
-    size); without groups the single threshold is a literal."""
-    parts = list(partition_cols)
-    th = rank_thresholds(df, id_col, cutoff, seed, parts)
-    k = shuffle_key(id_col, seed)
-    small = th.limit(MAX_LITERAL_GROUPS + 1).collect() if len(parts) == 1 else None
-    if small is not None and len(small) <= MAX_LITERAL_GROUPS:
-        # One threshold per group, and few groups (checked): a literal map
-        # looked up inside the row projection -- no join, no exchange of
-        # the (wide) rows at all.
-        g = parts[0]
-        keyed = [r for r in small if r[g] is not None]
-        nulls = [r for r in small if r[g] is None]
-        gtype = df.schema[g].dataType
-        tk, tid = F.lit(None).cast("string"), F.lit(None).cast(df.schema[id_col].dataType)
-        if keyed:
-            groups = F.array(*[F.lit(r[g]).cast(gtype) for r in keyed])
-            tk = F.element_at(F.map_from_arrays(groups, F.array(*[F.lit(r["_tk"]) for r in keyed])), F.col(g))
-            tid = F.element_at(
-                F.map_from_arrays(groups, F.array(*[F.lit(r["_tid"]) for r in keyed])), F.col(g)
-            )
-        if nulls:
-            tk = F.when(F.col(g).isNull(), F.lit(nulls[0]["_tk"])).otherwise(tk)
-            tid = F.when(F.col(g).isNull(), F.lit(nulls[0]["_tid"])).otherwise(tid)
-        joined = df
-        parts = []
-    elif parts:
-        joined = _join_null_safe(df, th, parts, "left")
-        tk, tid = F.col("_tk"), F.col("_tid")
-    else:
-        row = th.first()  # one row at most: the threshold itself
-        joined = df
-        tk = F.lit(row["_tk"] if row else None).cast("string")
-        tid = F.lit(row["_tid"] if row else None).cast(df.schema[id_col].dataType)
-    inside = tk.isNotNull() & ((k < tk) | ((k == tk) & (F.col(id_col) <= tid)))
-    out = joined.withColumn(flag, F.coalesce(inside, F.lit(False)))
-    return out.drop("_tk", "_tid") if parts else out
+    Every row is compared with its group's threshold (key, id). The threshold
+    table has one row per group; it is computed once (checkpointed), counted,
+    and broadcast up to ``BROADCAST_GROUPS`` rows, so the wide rows of ``df``
+    stay where they are; a larger table is joined by a shuffle.
+    ``keys_from``: a narrow table with the same ids and groups to find the
+    thresholds on."""
+    parts = list(partition_cols) or ["_all"]
+    whole = (lambda d: d) if partition_cols else (lambda d: d.withColumn("_all", F.lit(0)))
+    source = whole(df if keys_from is None else keys_from)
+    th = rank_thresholds(source, id_col, cutoff, seed, parts).checkpoint()
+    if th.count() <= BROADCAST_GROUPS:
+        th = F.broadcast(th)
+    joined = _join_null_safe(whole(df), th, parts, "left")
+    k, tk, tid = shuffle_key(id_col, seed), F.col("_tk"), F.col("_tid")
+    inside = tk.isNotNull() & ((k < tk) | ((k == tk) & F.coalesce(F.col(id_col) <= tid, F.col(id_col).isNull())))
+    out = joined.withColumn(flag, F.coalesce(inside, F.lit(False))).drop("_tk", "_tid")
+    return out if partition_cols else out.drop("_all")

@@ -26,6 +26,7 @@ SCORES_TYPE = T.ArrayType(T.FloatType())
 # Models built in this Python worker, by key: a worker is reused across
 # tasks, so each model is loaded once per worker, not once per task.
 _MODELS: dict = {}
+KEPT_MODELS = 4
 
 
 def cached_predict(key: str, make_predict_fn):
@@ -33,6 +34,8 @@ def cached_predict(key: str, make_predict_fn):
     Python worker process."""
     fn = _MODELS.get(key)
     if fn is None:
+        while len(_MODELS) >= KEPT_MODELS:  # oldest first: workers outlive queries
+            _MODELS.pop(next(iter(_MODELS)))
         fn = _MODELS[key] = make_predict_fn()
     return fn
 

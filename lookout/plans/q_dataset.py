@@ -254,10 +254,31 @@ def feature_roundtrip(spark, sf):
     )
 
 
-@register("storage_report")
+@register(
+    "storage_report",
+    "SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, count(*) > 0 AS size_agrees FROM embeddings",
+)
 def storage_report(spark, sf):
-    """Size of the saved feature table (rows-only: byte counts depend
-    on the Parquet writer)."""
+    """Size of the saved feature table. Byte counts depend on the Parquet
+    writer, so the check is that files and bytes are there and agree."""
     path = work_dir(spark, "features-size")
     D.save_features(S.features(spark, sf), path)
-    return D.storage_report(spark, path)
+    return D.storage_report(spark, path).select(
+        (F.col("n_files") > 0).alias("has_files"),
+        (F.col("total_bytes") > 0).alias("has_bytes"),
+        (F.abs(F.col("size_mb") * 1048576 - F.col("total_bytes")) <= 1).alias("size_agrees"),
+    )
+
+
+# Keys that repeat: documents by length.
+BATCH_TIES_SQL = f"""SELECT doc_id, rank, (rank - 1) // {BATCH_SIZE} AS batch_no FROM (
+  SELECT doc_id, CAST(row_number() OVER (ORDER BY n_chars // 1000, md5(CAST(doc_id AS VARCHAR))) AS BIGINT) AS rank
+  FROM documents)"""
+
+
+@register("batch_assignment_ties", BATCH_TIES_SQL)
+def batch_assignment_ties(spark, sf):
+    """Groups of 7 of a list whose key repeats (documents by length);
+    equal keys go by the md5 of their id."""
+    docs = table(spark, sf, "documents").select("doc_id", F.expr("n_chars div 1000").alias("size"))
+    return R.batch_assignment(docs, "size", BATCH_SIZE, tiebreak="doc_id").select("doc_id", "rank", "batch_no")

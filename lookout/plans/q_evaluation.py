@@ -53,20 +53,11 @@ def softmax_scores(spark, sf):
     return s.select("vec_id", A.round_all(A.softmax("scores"), 6).alias("probs"))
 
 
-def linear_sql(vec: str) -> str:
-    """DuckDB twin of :func:`lookout.functions.arrays.linear_scores`."""
-    return (
-        f"list_transform(range({K}), lambda c: list_sum(list_transform(range(len({vec})), lambda i: "
-        f"CAST({vec}[i + 1] AS DOUBLE) * (CAST(((7 * c + 3 * i) % 11) - 5 AS DOUBLE) / 10.0))) "
-        f"+ CAST(c AS DOUBLE) / 100.0)"
-    )
-
-
 @register(
     "linear_scores",
     f"""SELECT vec_id, list_transform(sc, lambda x: round(x, 6)) AS scores,
        CAST(list_position(sc, list_max(sc)) - 1 AS INTEGER) AS prediction
-FROM (SELECT vec_id, {linear_sql('embedding')} AS sc FROM embeddings)""",
+FROM (SELECT vec_id, {Q.linear_sql('embedding')} AS sc FROM embeddings)""",
 )
 def linear_scores(spark, sf):
     """Rule-defined linear head as expressions."""
@@ -75,7 +66,12 @@ def linear_scores(spark, sf):
     return sc.select("vec_id", A.round_all("sc", 6).alias("scores"), A.argmax("sc").alias("prediction"))
 
 
-GRID = f"grid AS (SELECT CAST(t.i AS INTEGER) AS y_true, CAST(p.i AS INTEGER) AS y_pred FROM range({K}) t(i), range({K}) p(i))"
+# The class axis: 0..K-1 and every label that the counts hold.
+GRID = (
+    f"axis AS (SELECT CAST(i AS INTEGER) AS c FROM range({K}) t(i) UNION SELECT y_true FROM scored_pred "
+    "UNION SELECT y_pred FROM scored_pred), "
+    "grid AS (SELECT t.c AS y_true, p.c AS y_pred FROM axis t, axis p)"
+)
 CM_CTE = (
     "cm AS (SELECT g.y_true, g.y_pred, coalesce(c.n, 0) AS n FROM grid g LEFT JOIN "
     "(SELECT y_true, y_pred, count(*) AS n FROM scored_pred GROUP BY 1, 2) c "
@@ -140,9 +136,9 @@ FROM (
         FROM cm GROUP BY 1) t
   JOIN (SELECT y_pred AS class_id, sum(n) AS predicted FROM cm GROUP BY 1) p ON t.class_id = p.class_id)""",
     """stats AS (
-  SELECT b.*, c.class_name,
+  SELECT b.*, coalesce(c.class_name, CAST(b.class_id AS VARCHAR)) AS class_name,
          CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
-  FROM base b JOIN classes c ON b.class_id = c.class_id)""",
+  FROM base b LEFT JOIN classes c ON b.class_id = c.class_id)""",
 )
 
 
@@ -158,7 +154,7 @@ def classification_report(spark, sf):
         """SELECT round(avg(-ln(least(greatest(p_true, 1e-7), 1 - 1e-7))), 6) AS loss,
        round(avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
        CAST(count(*) AS BIGINT) AS n_rows
-FROM (SELECT y_true, y_pred, e[y_true + 1] / list_sum(e) AS p_true
+FROM (SELECT y_true, y_pred, coalesce(e[y_true + 1], 0) / list_sum(e) AS p_true
       FROM (SELECT y_true, y_pred,
                    list_transform(s, lambda x: exp(x - list_max(s))) AS e
             FROM (SELECT y_true, y_pred, list_transform(scores, lambda x: CAST(x AS DOUBLE)) AS s FROM scored_pred)))""",

@@ -12,7 +12,8 @@ from lookout.operators import dataset as D
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
 from lookout.plans.catalog import register
-from lookout.session import set_image_batches, work_dir
+from lookout.plans.fixtures import write_png_files
+from lookout.session import work_dir
 from lookout.sources import images as I
 
 W = S.with_ctes
@@ -25,7 +26,7 @@ def export_features(spark, sf, folder_cols=(), frame=None) -> str:
     """Write the feature table as PNG files (an action) and return the root."""
     root = work_dir(spark, "images")
     frame = frame if frame is not None else S.features(spark, sf)
-    I.write_png_files(frame, root, "vec_id", "pixels", SIDE, SIDE, 1, folder_cols).count()
+    write_png_files(frame, root, "vec_id", "pixels", SIDE, SIDE, 1, folder_cols).count()
     return root
 
 
@@ -43,7 +44,6 @@ def image_features(spark, sf):
     """Scan the PNG folder with the image source (JVM decode),
     grey -> RGB, resize (identity here), flatten, scale; ``rgb`` is the
     vector scaled back to 0..255 for an exact check."""
-    set_image_batches(spark, SIDE, SIDE)
     root = export_features(spark, sf)
     feats = I.image_features(I.read_images(spark, root), SIDE, SIDE)
     return feats.select(
@@ -89,7 +89,6 @@ def _resize_up_sql() -> str:
 def image_resize(spark, sf):
     """decoded images resized 8x8 -> 16x16 (bilinear, half-pixel
     centres), grey -> RGB, back to 0..255 for an exact check."""
-    set_image_batches(spark, UP, UP)
     root = export_features(spark, sf)
     feats = I.image_features(I.read_images(spark, root), UP, UP)
     return feats.select(_vec_id(), F.transform("pixels", lambda x: F.round(x * 255).cast("int")).alias("rgb"))
@@ -108,10 +107,44 @@ def label_folders(spark, sf):
     class over the whole dimension (zero for a missing class)."""
     frame = S.features(spark, sf).withColumn("folder", F.concat(F.lit("c"), F.col("label").cast("string")))
     root = export_features(spark, sf, ("folder",), frame)
-    rows, _missing = I.labelled_folders(spark, root)
-    return D.class_distribution(rows, "label").withColumnRenamed("n_rows", "n_images")
+    return D.class_distribution(I.labelled_folders(spark, root).rows, "label").withColumnRenamed("n_rows", "n_images")
 
 
+# Where the images of the untidy folder lie: class 7 is missing, and some
+# files are in folders that are no class folders.
+UNTIDY = (
+    "CASE WHEN vec_id % 11 = 0 THEN 'other' WHEN vec_id % 13 = 0 THEN 'c10' WHEN vec_id % 17 = 0 THEN 'c3/deeper' "
+    "WHEN label = 7 THEN 'c' ELSE concat('c', CAST(label AS STRING)) END"
+)
+
+
+def _untidy(spark, sf) -> I.LabelledFolders:
+    frame = S.features(spark, sf).withColumn("folder", F.expr(UNTIDY))
+    return I.labelled_images(spark, export_features(spark, sf, ("folder",), frame), SIDE, SIDE)
+
+
+@register(
+    "image_rejects",
+    f"""SELECT vec_id, 'outside_class_folders' AS reason FROM embeddings
+WHERE NOT regexp_matches({UNTIDY.replace("STRING", "VARCHAR")}, '^c[0-9]$')""",
+)
+def image_rejects(spark, sf):
+    """S4 + P8: what a labelled scan of an untidy folder leaves out, and why."""
+    return _untidy(spark, sf).rejects.select(_vec_id(), "reason")
+
+
+@register(
+    "missing_classes",
+    W(
+        f"""SELECT class_id, class_name FROM classes WHERE concat('c', CAST(class_id AS VARCHAR)) NOT IN
+(SELECT {UNTIDY.replace("STRING", "VARCHAR")} FROM embeddings)""",
+        Q.classes_cte(),
+    ),
+)
+def missing_classes(spark, sf):
+    """The classes without any usable file."""
+    return _untidy(spark, sf).missing.select("class_id", "class_name")
+
 def _split_sql() -> str:
     # Rows per (label, split) depend only on the label sizes, not on which
     # rows the seeded keys pick, so any unique id gives the same counts.
@@ -147,7 +180,6 @@ FROM embeddings, unnest(range(3)) t(k)"""
 
 
 def _augment(spark, sf, recipe):
-    set_image_batches(spark, SIDE, SIDE)
     feats = S.features(spark, sf)
     rgb = F.transform(F.sequence(F.lit(0), F.lit(RGB_LEN - 1)), lambda i: F.element_at("pixels", F.floor(i / 3).cast("int") + 1))
     base = feats.select("vec_id", "label", unit_scale(rgb).alias("pixels"))

@@ -10,11 +10,6 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-# Paths listed on the driver before Spark lists them with a job (local runs).
-LOCAL_LISTING_THRESHOLD = 4096
-# Target bytes of one Arrow batch of pixel rows sent to a Python worker.
-ARROW_BATCH_BYTES = 16 * 1024 * 1024
-
 # Settings for a large cluster (100 TB scale); the session builder of the
 # cluster owns them -- listed here so a deployment can apply them.
 LARGE_CLUSTER_CONF = {
@@ -29,20 +24,6 @@ LARGE_CLUSTER_CONF = {
 }
 
 
-def arrow_batch_rows(height: int, width: int, channels: int = 3) -> int:
-    """Rows per Arrow batch for pixel vectors of this size: about
-    ``ARROW_BATCH_BYTES`` of float32 data, between 8 and 1,024 rows
-    (341 rows at 64x64, 27 at 224x224). Raw decoded frames going into the
-    pixel UDF are also capped by Spark's byte limit per Arrow batch
-    (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB)."""
-    row = height * width * channels * 4
-    return max(8, min(1024, ARROW_BATCH_BYTES // max(row, 1)))
-
-
-def set_image_batches(spark: SparkSession, height: int, width: int, channels: int = 3) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_batch_rows(height, width, channels)))
-
-
 def default_driver_memory(cap_gb: int = 8) -> str:
     """Heap for a local (single-JVM) session: 60 % of physical memory, at
     most ``cap_gb`` -- so a small container does not get a heap larger
@@ -68,9 +49,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "loo
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Local disk: list files on the driver; a distributed listing job
-        # (the default above 32 paths) only pays off on remote storage.
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", str(LOCAL_LISTING_THRESHOLD))
         .config("spark.driver.memory", default_driver_memory())
         .getOrCreate()
     )

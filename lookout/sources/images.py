@@ -1,5 +1,4 @@
-"""Image sources (S1-S5, S12, S14, S15, P8) and the image-file writer that
-stands in for the producer (files materialised from a pixel table).
+"""Image sources.
 
 Scans are Spark's ``binaryFile`` and ``image`` sources: listing and reading
 are distributed, ``pathGlobFilter`` prunes files before they are opened,
@@ -8,19 +7,18 @@ and a listing that selects no ``content`` never reads file bodies.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lookout.classes import class_dim
-from lookout.functions.images import IMAGE_SCHEMA, encode_png, pixel_vector
+from lookout.functions.images import IMAGE_SCHEMA, pixel_vector
 from lookout.functions.paths import STREAM_GLOB, has_supported_suffix, url_unquote
-from lookout.session import local_fs_path
+
+# Class folders whose table is broadcast (it is counted first).
+BROADCAST_CLASSES = 100_000
 
 BINARY_SCHEMA = T.StructType(
     [
@@ -113,108 +111,89 @@ def image_features(images: DataFrame, height: int = 64, width: int = 64, antiali
     return good.select("path", "modification_time", pixel_vector("image", height, width, antialias).alias("pixels"))
 
 
+def _plain(path: Column) -> Column:
+    """A path without scheme and authority (``file:/a``, ``hdfs://host/a`` -> ``/a``)."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
+
+
+def _below(spark: SparkSession, path: Column, root: str) -> Column:
+    """The part of ``path`` below ``root``; null outside it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = fs.makeQualified(where).toUri().getPath().rstrip("/") + "/"
+    plain = _plain(path)
+    return F.when(F.startswith(plain, F.lit(prefix)), F.substring(plain, len(prefix) + 1, 1 << 30))
+
+
+class LabelledFolders(NamedTuple):
+    """``rows`` (path, label, maybe pixels), ``rejects`` (path, reason) and the
+    classes of the dimension without any row (``missing``)."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    missing: DataFrame
+
+
 def labelled_folders(
     spark: SparkSession, root: str, images: bool = False, height: int = 64, width: int = 64, antialias: bool = False
-) -> tuple[DataFrame, DataFrame]:
+) -> LabelledFolders:
     """``<root>/c0..c9/*`` -> ``(path, label)`` with the case-insensitive
-    suffix filter (S3); plus the classes with no folder or no file (the
-    class dimension anti-joined with the labels found). With ``images`` the
-    files are decoded to pixel vectors as well."""
+    suffix filter (S3). Only files directly inside a class folder of the
+    dimension count; every other file is a reject with its reason, and so is
+    a file that can't be decoded when ``images`` are asked for. ``missing``:
+    the classes with no folder or no usable file."""
     if images:
         scan = read_images(spark, root, glob=None, recursive=True)
-        scan = scan.where(has_supported_suffix(F.col("path")))
-        good, _ = split_valid(scan)
-        rows = good.select(
-            "path",
-            F.regexp_extract("path", r"/c(\d+)/[^/]*$", 1).cast("int").alias("label"),
-            pixel_vector("image", height, width, antialias).alias("pixels"),
-        )
+        broken = ~F.coalesce(F.col("image.height") > 0, F.lit(False))
     else:
-        listing = read_binary_listing(spark, root, recursive=True)
-        rows = listing.where(has_supported_suffix(F.col("path"))).select(
-            "path", F.regexp_extract("path", r"/c(\d+)/[^/]*$", 1).cast("int").alias("label")
-        )
-    rows = rows.where(F.col("label").isNotNull())
-    found = rows.select(F.col("label").alias("class_id")).distinct()
-    missing = class_dim(spark).join(found, "class_id", "left_anti")
-    return rows, missing
-
-
-def split_folders(spark: SparkSession, root: str) -> DataFrame:
-    """``<root>/<split>/<class>/*`` -> ``(path, split, class_folder,
-    label)``; the label is the class folder's index in sorted order (as a
-    directory dataset numbers them), from a dense rank over the distinct
-    class folders -- a table of at most K rows, not the data."""
-    listing = read_binary_listing(spark, root, recursive=True)
-    listing = listing.where(has_supported_suffix(F.col("path")))
-    parts = F.regexp_extract("path", r"/([^/]+)/([^/]+)/[^/]+$", 0)
-    rows = listing.select(
-        "path",
-        F.regexp_extract("path", r"/([^/]+)/[^/]+/[^/]+$", 1).alias("split"),
-        F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("class_folder"),
-    ).where(parts != "")
-    classes = rows.select("class_folder").distinct()
-    ranked = classes.withColumn("label", (F.dense_rank().over(Window.orderBy("class_folder")) - 1).cast("int"))
-    # No hint: AQE broadcasts the class table when its measured size is small.
-    return rows.join(ranked, "class_folder").select("path", "split", "class_folder", "label")
-
-
-# --- writing image files from a pixel table --------------------------------------------
-
-
-def write_png_files(
-    df: DataFrame,
-    root: str,
-    id_col: str,
-    pixels_col: str,
-    height: int,
-    width: int,
-    channels: int,
-    folder_cols: Sequence[str] = (),
-    prefix: str = "img_",
-) -> DataFrame:
-    """Write one PNG per row of a 0..255 pixel table to
-    ``<root>/<folder_cols...>/<prefix><id>.png``, in parallel from the
-    tasks through the file system of the path (local, HDFS, S3 via
-    ``pyarrow.fs``). Returns ``(id, path, n_bytes)`` lazily; run an action
-    to write."""
-    import pyarrow.fs as pafs
-
-    schema = T.StructType(
-        [
-            T.StructField(id_col, T.LongType(), True),
-            T.StructField("path", T.StringType(), True),
-            T.StructField("n_bytes", T.LongType(), True),
-        ]
+        scan = read_binary_listing(spark, root, recursive=True)
+        broken = F.lit(False)
+    below = _below(spark, F.col("path"), root)
+    label = F.regexp_extract(below, r"^c(\d)/[^/]+$", 1).try_cast("int")
+    reason = (
+        F.when(label.isNull(), "outside_class_folders")
+        .when(~has_supported_suffix(F.col("path")), "unsupported_suffix")
+        .when(broken, "undecodable_image")
     )
-    cols = [id_col, pixels_col, *folder_cols]
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if root.startswith("file:") or "://" not in root:
-            fs, base = pafs.LocalFileSystem(), local_fs_path(root)
-        else:
-            fs, base = pafs.FileSystem.from_uri(root)
-        made: set[str] = set()
-        for pdf in batches:
-            ids, paths, sizes = [], [], []
-            for row in pdf.itertuples(index=False):
-                rid, px = row[0], row[1]
-                folder = "/".join([base.rstrip("/")] + [str(v) for v in row[2:]])
-                if folder not in made:
-                    fs.create_dir(folder, recursive=True)
-                    made.add(folder)
-                body = encode_png(np.asarray(px), height, width, channels)
-                target = f"{folder}/{prefix}{rid}.png"
-                # Write under a hidden name, then rename: a watching stream
-                # never lists a half-written file, and a retried or
-                # speculative task just replaces the same content.
-                staging = f"{folder}/.{prefix}{rid}.png.{uuid.uuid4().hex}.tmp"
-                with fs.open_output_stream(staging) as out:
-                    out.write(body)
-                fs.move(staging, target)
-                ids.append(rid)
-                paths.append(target)
-                sizes.append(len(body))
-            yield pd.DataFrame({id_col: ids, "path": paths, "n_bytes": sizes})
-
-    return df.select(*cols).mapInPandas(write, schema)
+    known = scan.withColumns({"label": label, "reason": reason})
+    columns = ["path", "label"]
+    if images:
+        columns.append(pixel_vector("image", height, width, antialias).alias("pixels"))
+    rows = known.where(F.col("reason").isNull()).select(*columns)
+    rejects = known.where(F.col("reason").isNotNull()).select("path", "reason")
+    found = known.where(F.col("reason").isNull()).select(F.col("label").alias("class_id")).distinct()
+    return LabelledFolders(rows, rejects, class_dim(spark).join(found, "class_id", "left_anti"))
+
+
+def labelled_images(
+    spark: SparkSession, root: str, height: int = 64, width: int = 64, antialias: bool = False
+) -> LabelledFolders:
+    """:func:`labelled_folders` with decoded and resized ``pixels``."""
+    return labelled_folders(spark, root, True, height, width, antialias)
+
+
+def split_folders(
+    spark: SparkSession, root: str, images: bool = False, height: int = 224, width: int = 224, antialias: bool = False
+) -> DataFrame:
+    """``<root>/<split>/<class>/<file>`` -> ``(path, split, class_folder,
+    label)``, with ``pixels`` of the target size if ``images``; files at any
+    other depth are left out. The label is the class folder's index in sorted
+    order (as a directory dataset numbers them), from a dense rank over the
+    distinct class folders -- a table of one row per class, not the data."""
+    parts = F.split(_below(spark, F.col("path"), root), "/")
+
+    def placed(scan: DataFrame, *more) -> DataFrame:
+        inside = scan.where(has_supported_suffix(F.col("path")) & (F.size(parts) == 3))
+        return inside.select("path", parts[0].alias("split"), parts[1].alias("class_folder"), *more)
+
+    listing = placed(read_binary_listing(spark, root, recursive=True))
+    classes = listing.select("class_folder").distinct()
+    ranked = classes.withColumn("label", (F.dense_rank().over(Window.orderBy("class_folder")) - 1).cast("int")).checkpoint()
+    if ranked.count() <= BROADCAST_CLASSES:  # keeps the pixel rows where they are
+        ranked = F.broadcast(ranked)
+    rows, columns = listing, ["path", "split", "class_folder", "label"]
+    if images:
+        good, _ = split_valid(read_images(spark, root, glob=None, recursive=True))
+        rows = placed(good, pixel_vector("image", height, width, antialias).alias("pixels"))
+        columns.append("pixels")
+    return rows.join(ranked, "class_folder").select(*columns)

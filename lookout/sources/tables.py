@@ -98,12 +98,14 @@ def _first_lines(paths: pd.DataFrame) -> pd.DataFrame:
 
 
 def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_file_info: bool = False) -> DataFrame:
-    """All ``part-*.csv`` files under a folder as one table, columns matched
-    by header name (S7/S8, U1).
-
-    Parts are grouped by their header line (a distributed read of each
-    file's first line); each group is one CSV scan with the header's own
-    column order, and the groups are unioned by name -- a part lacking a
+    """The ``part-*.csv`` files of a folder as one table, columns matched by
+    header name (S7/S8, U1). The files are those that Spark's own sources see
+    there: the top level, and hive partition folders such as ``batch_id=N``.
+
+    A file's layout is its header line (a distributed read of each file's
+    first line). With one layout the folder is one CSV scan. With several,
+    the lines of the folder are read once and each is parsed by its own
+    file's header, found by a join on the file's path -- a part lacking a
     column yields nulls in it. Empty (0-byte) and header-only parts add no
     rows. With ``with_file_info`` the file name and modification time are
     kept so rows can be ordered like the files (W4)."""
@@ -111,53 +113,59 @@ def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_fi
     out_schema = T.StructType(list(schema.fields) + (extra if with_file_info else []))
     if not path_exists(spark, path):
         return spark.createDataFrame([], out_schema)
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "part-*.csv")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length")
-        .where(F.col("length") > 0)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").load(path).select("path", "length")
+    heads = (
+        listing.where(F.col("length") > 0)
+        .select("path")
+        .mapInPandas(lambda it: (_first_lines(b) for b in it), "path string, header string")
+        .checkpoint()
     )
-    heads = listing.select("path").mapInPandas(lambda it: (_first_lines(b) for b in it), "path string, header string")
     # Distinct headers = schema versions of the writer: a handful of rows.
     headers = [r["header"] for r in heads.select("header").distinct().collect()]
+    if not headers:
+        return spark.createDataFrame([], out_schema)
     by_name = {f.name: f for f in schema.fields}
 
-    def scan(header: str, files):
+    def layout(header: str) -> T.StructType:
         cols = [c.strip().strip('"') for c in header.split(",")]
-        file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in cols])
-        reader = (
-            spark.read.schema(file_schema)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("basePath", path)
-        )
-        df = reader.csv(files) if isinstance(files, list) else reader.option("pathGlobFilter", "part-*.csv").csv(path)
-        keep = [F.col(c) for c in cols if c in by_name]
-        # Hive partition columns (e.g. batch_id=N folders) found under basePath.
-        keep += [F.col(c).cast(by_name[c].dataType) for c in df.columns if c in by_name and c not in cols]
-        if with_file_info:
-            keep += [
-                F.col("_metadata.file_name").alias("file_name"),
-                F.col("_metadata.file_modification_time").alias("file_modification_time"),
-            ]
-        return df.select(*keep)
+        return T.StructType([T.StructField(c, by_name[c].dataType if c in by_name else T.StringType()) for c in cols])
 
+    info = [
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_modification_time"),
+    ]
     if len(headers) == 1:
-        # One layout (the usual case): scan the folder itself; no file list
-        # passes through the driver.
-        frames = [scan(headers[0], None)]
+        reader = spark.read.schema(layout(headers[0])).option("header", True).option("pathGlobFilter", "part-*.csv")
+        rows = reader.csv(path)
+        found = set(layout(headers[0]).names)
+        rows = rows.select(*rows.columns, *(info if with_file_info else []))
     else:
-        # Several layouts: one scan per layout over its own files.
-        groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-        frames = [scan(g["header"], list(g["paths"])) for g in groups]
-    if not frames:
-        return spark.createDataFrame([], out_schema)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for f in out_schema.fields:
-        if f.name not in out.columns:
-            out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return out.select(*out_schema.fieldNames())
+        lines = spark.read.option("pathGlobFilter", "part-*.csv").text(path)
+        folders = [c for c in lines.columns if c != "value"]  # hive partition columns
+        lines = lines.select("*", F.col("_metadata.file_path").alias("_path"), *info)
+        key = lambda c: F.regexp_replace(c, r"^file:/*", "/")
+        heads = heads.select(key(F.col("path")).alias("_key"), "header")
+        rows = lines.join(heads, key(F.col("_path")) == F.col("_key")).where(
+            (F.col("value") != F.col("header")) & (F.col("value") != "")
+        )
+        parsed, found = {}, set(folders)
+        for h in headers:
+            fields = layout(h)
+            found |= set(fields.names)
+            one = F.from_csv("value", fields.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE"})
+            for name in fields.names:
+                if name in by_name:
+                    value = F.when(F.col("header") == h, one[name])
+                    parsed[name] = F.coalesce(parsed[name], value) if name in parsed else value
+        rows = rows.select(
+            *[e.alias(n) for n, e in parsed.items()],
+            *[c for c in folders if c not in parsed],
+            "file_name",
+            "file_modification_time",
+        )
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in out_schema.fields
+        ]
+    )

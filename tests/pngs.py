@@ -4,7 +4,7 @@ import os
 
 import numpy as np
 
-from lookout.functions.images import encode_png
+from lookout.plans.fixtures import encode_png
 
 
 def write(path, arr):

@@ -54,3 +54,17 @@ def test_loss_accuracy_by_hand(spark):
     want = sum(-math.log(p) for p in p_true) / 5
     assert out.loss == pytest.approx(round(want, 6), abs=1e-6)
     assert out.accuracy == 0.6 and out.n_rows == 5
+
+
+def test_labels_outside_the_dimension_are_kept(spark):
+    s = spark.createDataFrame([(0, 0), (0, 0), (0, 10), (0, 10), (12, 0), (None, 1)], "y_true int, y_pred int")
+    rep = {r.label: r for r in E.classification_report(s).collect()}
+    c0 = next(r for name, r in rep.items() if name.startswith("c0"))
+    assert (c0.support, c0.recall) == (4, 0.5) and c0.precision == pytest.approx(2 / 3, abs=1e-6)
+    assert rep["accuracy"].f1_score == 0.4 and rep["accuracy"].support == 5
+    assert rep["12"].support == 1 and rep["10"].support == 0
+    long = {(r.y_true, r.y_pred): r.n for r in E.confusion_long(s, 12).collect()}
+    assert len(long) == 13 * 13 and long[0, 10] == 2 and long[12, 0] == 1 and long[11, 11] == 0
+    wide = E.confusion_wide(s, 12)
+    assert wide.columns == ["y_true", *[f"p{i}" for i in range(12)]]
+    assert {r.y_true for r in wide.collect()} == set(range(13))

@@ -109,11 +109,12 @@ def test_labelled_folders_dense_and_missing(spark, tmpdir_fresh):
             continue  # empty class folder
         for k in range(c + 1):
             pngs.write(f"{root}/c{c}/img_{k}.png", pngs.red(3, 3))
-    rows, missing = I.labelled_folders(spark, root)
+    rows, rejects, missing = I.labelled_folders(spark, root)
+    assert rejects.collect() == []
     counts = dict(rows.groupBy("label").count().collect())
     assert counts == {c: c + 1 for c in range(10) if c not in (4, 7)}
     assert sorted(r.class_id for r in missing.collect()) == [4, 7]
-    with_px, _ = I.labelled_folders(spark, root, images=True, height=4, width=4)
+    with_px = I.labelled_folders(spark, root, images=True, height=4, width=4).rows
     assert with_px.where(F.size("pixels") == 48).count() == sum(c + 1 for c in range(10) if c not in (4, 7))
 
 
@@ -182,7 +183,7 @@ def test_prepare_dataset_train_only_augmentation(spark, tmpdir_fresh):
     # no image is in both splits; originals equal the decoded pixels
     ids = {}
     for r in rows:
-        ids.setdefault(r.image_id, set()).add(r.split)
+        ids.setdefault(r.path, set()).add(r.split)
     assert all(len(v) == 1 for v in ids.values())
     decoded = {r.path: np.array(r.pixels) for r in I.image_features(I.read_images(spark, root, glob=None, recursive=True), 8, 8).collect()}
     for r in rows:
@@ -233,3 +234,71 @@ def test_augment_batch_rows_do_not_depend_on_the_batch():
         for i in range(6):
             assert np.array_equal(whole[i], augment_vector(vecs[i], 8, 8, seeds[i], recipe))
         assert np.array_equal(augment_batch(vecs[3:], 8, 8, seeds[3:], recipe), whole[3:])
+
+
+def test_untidy_folders(spark, tmpdir_fresh):
+    """Stray folders, loose, nested, broken and unsupported files are rejects
+    with a reason; none of them aborts the scan or becomes a class."""
+    root = f"{tmpdir_fresh}/data 1"
+    for name in ("c0/a.png", "c0/B.PNG", "c9/b.jpg", "other/z.png", "c10/y.png", "cover.png", "c3/deep/x.png", "cx/q.png"):
+        pngs.write(f"{root}/{name}", pngs.red(3, 3))
+    for name, body in (("c0/notes.txt", b"x"), ("c1/broken.png", b"not a png")):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(body)
+    short = lambda p: p.split("data 1/", 1)[1]
+    for images in (False, True):
+        found = I.labelled_folders(spark, root, images=images, height=4, width=4)
+        rows = {short(r.path): r.label for r in found.rows.collect()}
+        rejects = {short(r.path): r.reason for r in found.rejects.collect()}
+        good = {"c0/a.png": 0, "c0/B.PNG": 0, "c9/b.jpg": 9}
+        assert rows == (good if images else good | {"c1/broken.png": 1})
+        outside = {"other/z.png", "c10/y.png", "cover.png", "c3/deep/x.png", "cx/q.png"}
+        assert {p for p, why in rejects.items() if why == "outside_class_folders"} == outside
+        assert rejects["c0/notes.txt"] == "unsupported_suffix"
+        assert rejects.get("c1/broken.png") == ("undecodable_image" if images else None)
+        missing = {r.class_id for r in found.missing.collect()}
+        assert missing == set(range(10)) - {0, 9} - (set() if images else {1})
+
+
+def test_split_folders_at_their_depth_only(spark, tmpdir_fresh):
+    root = tmpdir_fresh
+    for name in ("train/b/1.png", "train/a/2.png", "val/a/3.png", "cover.png", "val/loose.png", "val/a/deep/4.png"):
+        pngs.write(f"{root}/{name}", pngs.red(2, 2))
+    got = {(r.split, r.class_folder, r.label) for r in I.split_folders(spark, root).collect()}
+    assert got == {("train", "a", 0), ("train", "b", 1), ("val", "a", 0)}
+    pixels = I.split_folders(spark, root, images=True, height=4, width=6).collect()
+    assert len(pixels) == 3 and all(len(r.pixels) == 72 for r in pixels)
+
+
+def test_prepare_dataset_again_without_a_class(spark, tmpdir_fresh):
+    import shutil
+
+    from lookout.operators.dataset import prepare_dataset
+
+    root, out = f"{tmpdir_fresh}/train", f"{tmpdir_fresh}/prepared"
+    for c in range(2):
+        for k in range(5):
+            pngs.write(f"{root}/c{c}/img_{k}.png", pngs.red(3, 3))
+    pngs.write(f"{root}/stray/z.png", pngs.red(3, 3))
+    rejects = f"{tmpdir_fresh}/rejects"
+    first = prepare_dataset(spark, root, out, 4, 4, rejects_path=rejects)
+    assert {r.label for r in first.select("label").collect()} == {0, 1}
+    assert [r.reason for r in spark.read.parquet(rejects).collect()] == ["outside_class_folders"]
+    shutil.rmtree(f"{root}/c1")
+    again = prepare_dataset(spark, root, out, 4, 4)
+    assert {r.label for r in again.select("label").collect()} == {0}
+
+
+def test_no_shuffle_of_pixels(spark, tmpdir_fresh):
+    """The rows with pixels reach the writer without an exchange."""
+    from lookout.operators import dataset as D
+
+    root = f"{tmpdir_fresh}/train"
+    for c in range(2):
+        for k in range(5):
+            pngs.write(f"{root}/c{c}/img_{k}.png", pngs.red(3, 3))
+    good = I.labelled_images(spark, root, 4, 4).rows
+    split = D.stratified_split(good, "path", "label", keep_all=True, keys_from=good.select("path", "label"))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "pixels" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
