@@ -141,13 +141,9 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: in
     n, n_queries = rows.agg(F.count("*"), F.count(F.when(F.col("q"), 1))).first()
     blocks, groups = -(-n // BLOCK) or 1, -(-n_queries // QUERIES) or 1
     draw = F.xxhash64("id", F.lit(5))
-    vectors = rows.select(
-        "d", F.pmod(draw, F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "id", "v"
-    )
-    queries = rows.where("q").select(
-        "d", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("b"),
-        F.pmod(draw, F.lit(groups)).cast("int").alias("g"), "id", "v",
-    )
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    vectors = rows.select("d", F.pmod(draw, F.lit(blocks)).alias("b"), every(groups).alias("g"), "id", "v")
+    queries = rows.where("q").select("d", every(blocks).alias("b"), F.pmod(draw, F.lit(groups)).alias("g"), "id", "v")
     key = ["d", "b", "g"]
     found = vectors.groupBy(key).cogroup(queries.groupBy(key)).applyInArrow(
         _search_group(k), "query_id long, vec_id long, score double"
