@@ -71,29 +71,27 @@ def leaf_budgets(
     nodes = nodes.withColumn(OWN + "b", F.least(all_there, wanted.cast(WHOLE)).cast(WHOLE))
     for i, level in enumerate(levels):
         above, here = list(levels[:i]), list(levels[: i + 1])
+        b, w, cap, cap_before, w_left, all_of_it = (OWN + c for c in ("xb", "xw", "xcap", "xcb", "xwl", "xall"))
         grouped = nodes.groupBy(*here).agg(
-            F.max(OWN + "b").alias("b"), F.max(weight[i]).alias("w"), F.sum(OWN + "cap").cast(WHOLE).alias("cap")
+            F.max(OWN + "b").alias(b), F.max(weight[i]).cast(WHOLE).alias(w), F.sum(OWN + "cap").cast(WHOLE).alias(cap)
         )
         siblings = W.partitionBy(*above) if above else W.partitionBy(F.lit(0))
-        run = siblings.orderBy((F.col("cap").cast("double") / F.col("w")).asc_nulls_first(), F.col(level).asc_nulls_first())
+        run = siblings.orderBy(F.try_divide(F.col(cap).cast("double"), w).asc_nulls_first(), F.col(level).asc_nulls_first())
         before = run.rowsBetween(W.unboundedPreceding, -1)
         zero = F.lit(0).cast(WHOLE)
+        out_cap = F.coalesce(F.sum(F.when(F.col(all_of_it), F.col(cap))).over(siblings), zero).cast(WHOLE)
+        in_w = F.coalesce(F.sum(F.when(~F.col(all_of_it), F.col(w))).over(siblings), zero).cast(WHOLE)
         shared = (
-            grouped.withColumn("w", F.col("w").cast(WHOLE))
-            .withColumn("cap_before", F.coalesce(F.sum("cap").over(before), zero).cast(WHOLE))
-            .withColumn("w_left", (F.sum("w").over(siblings) - F.coalesce(F.sum("w").over(before), zero)).cast(WHOLE))
-            .withColumn("gives_all", F.expr("(cap_before * w + cap * w_left) <= b * w"))
-            .withColumn("out_cap", F.coalesce(F.sum(F.when(F.col("gives_all"), F.col("cap"))).over(siblings), zero))
-            .withColumn(
-                "in_w", F.coalesce(F.sum(F.when(~F.col("gives_all"), F.col("w"))).over(siblings), zero).cast(WHOLE)
+            grouped.withColumn(cap_before, F.coalesce(F.sum(cap).over(before), zero).cast(WHOLE))
+            .withColumn(w_left, (F.sum(w).over(siblings) - F.coalesce(F.sum(w).over(before), zero)).cast(WHOLE))
+            .withColumn(all_of_it, F.expr(f"({cap_before} * {w} + {cap} * {w_left}) <= {b} * {w}"))
+            .withColumns({cap_before: out_cap, w_left: in_w})
+            .select(
+                *[F.col(c).alias(f"{OWN}{j}") for j, c in enumerate(here)],
+                F.when(F.col(all_of_it), F.col(cap))
+                .otherwise(F.expr(f"cast((({b} - {cap_before}) * {w}) div nullif({w_left}, 0) as {WHOLE})"))
+                .alias(OWN + "nb"),
             )
-            .withColumn(
-                "b",
-                F.when(F.col("gives_all"), F.col("cap")).otherwise(
-                    F.expr(f"cast(((b - out_cap) * w) div nullif(in_w, 0) as {WHOLE})")
-                ),
-            )
-            .select(*[F.col(c).alias(f"{OWN}{j}") for j, c in enumerate(here)], F.col("b").alias(OWN + "nb"))
         )
         on = F.lit(True)
         for j, c in enumerate(here):
