@@ -40,6 +40,8 @@ IMAGE_SCHEMA = T.StructType(
 )
 
 PIXELS_TYPE = T.ArrayType(T.FloatType())
+# Bytes of frames of one size that are resized together.
+STACK_BYTES = 8 * 1024 * 1024
 
 
 # --- raster helpers (NumPy, one image) -------------------------------------------
@@ -104,20 +106,23 @@ def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int, antialias:
     """:func:`resize_bilinear` for a stack ``N x H x W x C`` of same-size
     images: one vectorised gather (or two small matrix products) for the
     whole stack."""
-    n, h, w = imgs.shape[:3]
-    src = imgs.astype(np.float64)
+    h, w = imgs.shape[1:3]
     if (h, w) == (height, width):
-        return src
+        return imgs.astype(np.float64)
     if antialias:
         wy, wx = _antialias_weights(h, height), _antialias_weights(w, width)
-        return np.einsum("oh,nhwc,pw->nopc", wy, src, wx, optimize=True)
+        return np.einsum("oh,nhwc,pw->nopc", wy, imgs.astype(np.float64), wx, optimize=True)
     y0, y1, wy = _axis(h, height)
     x0, x1, wx = _axis(w, width)
     wx = wx[None, None, :, None]
     wy = wy[None, :, None, None]
-    top = src[:, y0][:, :, x0] * (1 - wx) + src[:, y0][:, :, x1] * wx
-    bottom = src[:, y1][:, :, x0] * (1 - wx) + src[:, y1][:, :, x1] * wx
-    return top * (1 - wy) + bottom * wy
+
+    def row(y: np.ndarray) -> np.ndarray:
+        # The taps are gathered as bytes; only they become floats.
+        left, right = imgs[:, y[:, None], x0[None, :]], imgs[:, y[:, None], x1[None, :]]
+        return left.astype(np.float64) * (1 - wx) + right.astype(np.float64) * wx
+
+    return row(y0) * (1 - wy) + row(y1) * wy
 
 
 def pixel_vectors(
@@ -141,13 +146,15 @@ def pixel_vectors(
         if len(d) != h * w * c:
             continue
         shapes.setdefault((h, w, c), []).append(i)
-    for (h, w, c), idx in shapes.items():
-        stack = np.frombuffer(b"".join(data.iloc[i] for i in idx), dtype=np.uint8).reshape(len(idx), h, w, c)
-        rgb = np.repeat(stack, 3, axis=3) if c == 1 else stack[..., 2::-1]
-        resized = np.clip(np.rint(resize_bilinear_batch(rgb, out_h, out_w, antialias)), 0, 255)
-        flat = (resized.astype(np.float32) / np.float32(255.0)).reshape(len(idx), -1)
-        for j, i in enumerate(idx):
-            out[i] = flat[j]
+    for (h, w, c), every in shapes.items():
+        step = max(1, STACK_BYTES // (max(h * w, out_h * out_w) * 3 * (8 if antialias else 1)))
+        for idx in (every[k : k + step] for k in range(0, len(every), step)):
+            stack = np.frombuffer(b"".join(data.iloc[i] for i in idx), dtype=np.uint8).reshape(len(idx), h, w, c)
+            rgb = np.repeat(stack, 3, axis=3) if c == 1 else stack[..., 2::-1]
+            resized = np.clip(np.rint(resize_bilinear_batch(rgb, out_h, out_w, antialias)), 0, 255)
+            flat = (resized.astype(np.float32) / np.float32(255.0)).reshape(len(idx), -1)
+            for j, i in enumerate(idx):
+                out[i] = flat[j]
     return out
 
 
@@ -184,9 +191,11 @@ PREP_RECIPE.update(resample="nearest", fill="constant")
 KERAS_RECIPE.update(resample="bilinear", fill="reflect")
 
 
-def _rng(seed_text: str) -> np.random.Generator:
-    digest = hashlib.md5(seed_text.encode()).digest()
-    return np.random.default_rng(int.from_bytes(digest[:8], "little"))
+def draw(seed_text: str, name: str, low: float = 0.0, high: float = 1.0) -> float:
+    """A number in [low, high) from the first 32 bits of ``md5(seed:name)``:
+    every parameter of a copy has its own, and SQL can compute it too."""
+    u = int(hashlib.md5(f"{seed_text}:{name}".encode()).hexdigest()[:8], 16) / 2.0**32
+    return low + u * (high - low)
 
 
 def _reflect(i: np.ndarray, n: int) -> np.ndarray:
@@ -247,17 +256,16 @@ def augment_batch(vecs: np.ndarray, height: int, width: int, seeds, recipe: dict
     deg, scale = np.zeros(n), np.ones(n)
     bright, contrast = np.ones(n), np.ones(n)
     for i, seed_text in enumerate(seeds):
-        rng = _rng(seed_text)
         if recipe.get("flip_p"):
-            flip[i] = rng.random() < recipe["flip_p"]
+            flip[i] = draw(seed_text, "flip") < recipe["flip_p"]
         if recipe.get("max_degrees"):
-            deg[i] = rng.uniform(-recipe["max_degrees"], recipe["max_degrees"])
+            deg[i] = draw(seed_text, "degrees", -recipe["max_degrees"], recipe["max_degrees"])
         if recipe.get("zoom"):
-            scale[i] = 1.0 + rng.uniform(-recipe["zoom"], recipe["zoom"])
+            scale[i] = 1.0 + draw(seed_text, "zoom", -recipe["zoom"], recipe["zoom"])
         if recipe.get("brightness"):
-            bright[i] = rng.uniform(*recipe["brightness"])
+            bright[i] = draw(seed_text, "brightness", *recipe["brightness"])
         if recipe.get("contrast"):
-            contrast[i] = rng.uniform(*recipe["contrast"])
+            contrast[i] = draw(seed_text, "contrast", *recipe["contrast"])
     img = np.asarray(vecs, dtype=np.float64).reshape(n, height, width, 3) * 255.0
     img[flip] = img[flip][:, :, ::-1]
     moving = (deg != 0) | (scale != 1.0)

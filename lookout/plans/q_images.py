@@ -204,6 +204,48 @@ def augment_images(spark, sf):
     return _augment(spark, sf, PREP_RECIPE)
 
 
+# The first recipe without its rotation: what is left is exact in SQL.
+FLAT_RECIPE = PREP_RECIPE | {"max_degrees": 0.0}
+
+
+def _flat_sql() -> str:
+    """The parameters from md5(seed:id:copy:name) and the steps in their order:
+    flip, brightness, contrast about the rounded mean grey, rounding."""
+
+    def draw(name: str, low: float, high: float) -> str:
+        digits = f"substr(md5(concat('42:', vec_id, ':', k, ':{name}')), 1, 8)"
+        return f"({low} + CAST(concat('0x', {digits}) AS BIGINT) / 4294967296.0::DOUBLE * ({high} - {low}))"
+
+    bright, contrast = draw("brightness", *FLAT_RECIPE["brightness"]), draw("contrast", *FLAT_RECIPE["contrast"])
+    flipped = f"list_transform(range({SIDE * SIDE}), lambda i: pixels[(i // {SIDE}) * {SIDE} + {SIDE} - i % {SIDE}])"
+    return W(
+        f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, CASE WHEN k = 0 THEN pixels ELSE
+       list_transform(lit, lambda x: CAST(round_even(least(greatest(mean + (x - mean) * contrast, 0), 255), 0) AS INTEGER))
+       END AS grey
+FROM (SELECT *, round_even(list_avg(lit), 0) AS mean
+      FROM (SELECT *, list_transform(turned, lambda x: least(greatest(x * bright, 0), 255)) AS lit
+            FROM (SELECT vec_id, k, pixels, CAST({bright} AS DOUBLE) AS bright, CAST({contrast} AS DOUBLE) AS contrast,
+                         CASE WHEN {draw("flip", 0.0, 1.0)} < {FLAT_RECIPE["flip_p"]} THEN {flipped} ELSE pixels END AS turned
+                  FROM feat, unnest(range(3)) t(k))))""",
+        S.FEAT_SQL,
+    )
+
+
+@register("augment_flat", _flat_sql())
+def augment_flat(spark, sf):
+    """flip, brightness and contrast of the first recipe, value by value."""
+    feats = S.features(spark, sf)
+    rgb = F.transform(F.sequence(F.lit(0), F.lit(RGB_LEN - 1)), lambda i: F.element_at("pixels", F.floor(i / 3).cast("int") + 1))
+    rows = D.augmented_rows(feats.select("vec_id", unit_scale(rgb).alias("pixels")), factor=2)
+    aug = augment_udf(SIDE, SIDE, FLAT_RECIPE)(F.col("pixels"), F.col("vec_id"), F.col("aug_index"))
+    every = F.sequence(F.lit(1), F.lit(RGB_LEN), F.lit(3))
+    return rows.withColumn("aug", aug).select(
+        "vec_id",
+        F.col("aug_index").cast("int").alias("aug_index"),
+        F.transform(every, lambda i: F.round(F.element_at("aug", i) * 255).cast("int")).alias("grey"),
+    )
+
+
 @register("augment_images_zoom", AUG_SQL)
 def augment_images_zoom(spark, sf):
     """U2 + F15: the second recipe (rotation within 5 % of a turn, zoom

@@ -302,3 +302,23 @@ def test_no_shuffle_of_pixels(spark, tmpdir_fresh):
     split = D.stratified_split(good, "path", "label", keep_all=True, keys_from=good.select("path", "label"))
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "pixels" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_resize_memory_stays_near_the_batch():
+    import tracemalloc
+
+    import pandas as pd
+
+    from lookout.functions.images import pixel_vectors
+
+    rng = np.random.default_rng(0)
+    n = 40
+    frames = [rng.integers(0, 256, 480 * 640 * 3, dtype=np.uint8).tobytes() for _ in range(n)]
+    series = [pd.Series(x) for x in (frames, [480] * n, [640] * n, [3] * n)]
+    tracemalloc.start()
+    vecs = pixel_vectors(*series, 64, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(vecs) == n and peak < sum(map(len, frames))  # 37 MB of frames
+    one = to_pixel_vector(frames[7], 480, 640, 3, 64, 64)
+    assert np.array_equal(vecs[7], one)
