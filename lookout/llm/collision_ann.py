@@ -10,8 +10,9 @@ every line; vectors inside collide with it. Virtual rehashing widens all
 windows step by step, and each step counts only what newly came in. A vector
 that collides on ``SHARE`` of the lines is verified: its inner product is
 computed on the original vectors in double precision. A query ends when its
-k-th best is nearer than the radius that the windows stand for, with a margin,
-or when the windows hold everything. So nothing is capped: a thousand equal
+k-th best is nearer than the half-width of the windows (a vector at just that
+distance then collides on 68 % of the lines, a random one on fewer), or when
+the windows are as wide as two points can be apart; then all are verified. So nothing is capped: a thousand equal
 vectors collide alike and are all verified.
 
 *Blocks.* Every vector is in one block of about ``BLOCK`` vectors; every
@@ -35,13 +36,13 @@ from pyspark.sql import functions as F
 
 from lookout.llm.frames import col, prepare
 
-LINES = 96
-SHARE = 0.66
+LINES = 48
+SHARE = 0.62
 BLOCK = 8192
 QUERIES = 1024
-# Radii of the windows, as distances in the unit ball: first, factor, last.
-RADII = (0.2, 1.15, 2.3)
-MARGIN = 1.12
+# Half-widths of the windows, as distances in the unit ball: first, factor,
+# last (a point and a direction are two apart at most).
+RADII = (0.6, 1.15, 2.3)
 
 
 class Block:
@@ -57,29 +58,33 @@ class Block:
         self.lines = np.random.default_rng(seed).normal(size=(x.shape[1] + 1, lines))
         p = ball @ self.lines[:-1] + extra[:, None] * self.lines[-1]
         rank = np.argsort(p, axis=0)
-        self.sorted = np.ascontiguousarray(np.take_along_axis(p, rank, axis=0).T)
-        self.rank = np.ascontiguousarray(rank.T)
+        # All sorted arrays in one: line j's values are shifted by j * self.gap.
+        widest = float(np.abs(p).max()) + float(np.sqrt((self.lines**2).sum(axis=0)).max())
+        self.gap = 2.0 * (widest + RADII[2])
+        shift = np.arange(lines) * self.gap
+        self.values = (np.take_along_axis(p, rank, axis=0) + shift).T.reshape(-1)
+        self.rank = np.ascontiguousarray(rank.T).reshape(-1)
 
     def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, inner products) of the k nearest vectors found for ``q``
         other than the one with id ``own``, nearest first."""
-        n, m = len(self.ids), len(self.sorted)
+        n, m = len(self.ids), self.lines.shape[1]
         need = int(np.ceil(SHARE * m))
-        unit = q / np.sqrt((q**2).sum())
-        center = unit @ self.lines[:-1]
-        size = np.sqrt((q**2).sum()) * self.reach
+        length = float(np.sqrt((q**2).sum()))
+        center = (q / length) @ self.lines[:-1] + np.arange(m) * self.gap
         hits = np.zeros(n, np.int64)
         done = self.ids == own
         found, value = np.zeros(0, np.int64), np.zeros(0)
-        lo = hi = np.array([np.searchsorted(self.sorted[j], center[j]) for j in range(m)])
+        lo = hi = np.searchsorted(self.values, center)
         radius = RADII[0]
         while True:
-            new_lo = np.array([np.searchsorted(self.sorted[j], center[j] - radius) for j in range(m)])
-            new_hi = np.array([np.searchsorted(self.sorted[j], center[j] + radius, side="right") for j in range(m)])
-            fresh = [self.rank[j, new_lo[j] : lo[j]] for j in range(m)] + [self.rank[j, hi[j] : new_hi[j]] for j in range(m)]
+            new_lo = np.searchsorted(self.values, center - radius)
+            new_hi = np.searchsorted(self.values, center + radius, side="right")
+            left, right = zip(new_lo.tolist(), lo.tolist(), strict=True), zip(hi.tolist(), new_hi.tolist(), strict=True)
+            fresh = [self.rank[a:b] for a, b in (*left, *right)]
             hits += np.bincount(np.concatenate(fresh), minlength=n)
             lo, hi = new_lo, new_hi
-            last = radius >= RADII[2] or (hi - lo).min() == n
+            last = radius >= RADII[2]
             near = np.flatnonzero((hits >= (0 if last else need)) & ~done)
             done[near] = True
             found = np.concatenate([found, near])
@@ -89,7 +94,7 @@ class Block:
             if len(found) >= k:
                 kth = np.partition(value, len(value) - k)[len(value) - k]
                 # |unit - ball|^2 = 2 - 2 <unit, ball>, for the k-th best
-                if np.sqrt(max(0.0, 2.0 - 2.0 * kth / size)) * MARGIN <= radius:
+                if np.sqrt(max(0.0, 2.0 - 2.0 * kth / (length * self.reach))) <= radius:
                     break
             radius *= RADII[1]
         best = np.lexsort((self.ids[found], -value))[:k]
