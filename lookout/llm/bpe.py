@@ -41,10 +41,10 @@ from lookout.llm.frames import OWN, col, prepare, whole_text
 from lookout.llm.words import spread
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
-CACHE = 250_000
-PAIRS = 500_000
-# Tokens decoded at once.
-DECODED = 1_000_000
+CACHE = 200_000
+PAIRS = 300_000
+# Tokens decoded at once (one text at least).
+DECODED = 500_000
 # Stands behind the last byte of a word in the automaton's alphabet.
 MARK = "\uffff"
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -81,23 +81,29 @@ class Tokenizer:
     """Tables of one tokenizer file (its JSON text)."""
 
     def __init__(self, source: str) -> None:
-        import ahocorasick
-
-        spec = json.loads(source)
+        self.spec = spec = json.loads(source)
         model = spec["model"]
         other = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
         if model["type"] != "BPE" or any(model.get(k) for k in other):
             raise ValueError("only plain BPE models are supported")
         self._steps(spec)
-        suffix = model.get("end_of_word_suffix") or ""
-        self.end = MARK if suffix else ""
-        vocab: dict[str, int] = model["vocab"]
-        size = max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1
-        names = [""] * size
-        for name, i in vocab.items():
+        names = [""] * (max([*model["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) + 1)
+        for name, i in model["vocab"].items():
             names[i] = name
         for t in spec["added_tokens"]:
             names[t["id"]] = t["content"]
+        blob = [n.encode() + b" " for n in names]
+        self.blob = np.frombuffer(b"".join(blob), np.uint8)
+        self.offset = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
+        self.automaton = None  # what only encoding needs is made on first use
+
+    def _prepare(self) -> None:
+        import ahocorasick
+
+        model, self.spec = self.spec["model"], None
+        suffix = model.get("end_of_word_suffix") or ""
+        self.end = MARK if suffix else ""
+        vocab: dict[str, int] = model["vocab"]
 
         # Ranks order the tokens as the merges make them; single symbols first.
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -108,34 +114,30 @@ class Tokenizer:
             self.merge.setdefault((vocab[a], vocab[b]), vocab[a + b])
             self.rank.setdefault(vocab[a + b], rank)
         self.parts = made
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left << 32 | right
 
         shapes: dict[str, int] = {}
-        self.automaton = ahocorasick.Automaton()
         for name, i in vocab.items():
             shape = name[: -len(suffix)] + MARK if suffix and name.endswith(suffix) else name
             shapes[shape] = i
         # A token that its own symbols don't merge to never occurs.
         shapes = {x: i for x, i in shapes.items() if i not in made or self._arises(i, *made[i])}
         self.length = {i: len(x) for x, i in shapes.items()}
-        # The next shorter token with which a token begins.
+        # The next shorter token with which a token begins (-1: none).
         self.shorter: dict[int, int] = {}
+        automaton = ahocorasick.Automaton()
         for shape, i in shapes.items():
-            self.automaton.add_word(shape, i)
+            automaton.add_word(shape, i)
             prefix = next((shape[:n] for n in range(len(shape) - 1, 0, -1) if shape[:n] in shapes), None)
-            if prefix is not None:
-                self.shorter[i] = shapes[prefix]
-        self.automaton.make_automaton()
+            self.shorter[i] = -1 if prefix is None else shapes[prefix]
+        automaton.make_automaton()
 
         letters = byte_letters()
         self.letters = {b: c for b, c in letters.items() if chr(b) != c}
         self.split = re.compile(_classes(self.pattern))
         self.cache: dict[str, bytes] = {}  # by piece of a text
         self.words: dict[str, bytes] = {}  # by word
-
-        blob = [n.encode() + b" " for n in names]
-        self.blob = np.frombuffer(b"".join(blob), np.uint8)
-        self.offset = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
+        self.automaton = automaton
 
     def _steps(self, spec: dict) -> None:
         """Reads the steps around the model; refuses those that aren't known."""
@@ -162,12 +164,10 @@ class Tokenizer:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave a and b side by side as they are."""
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            known = self.fits[a, b] = self._apart(a, b, len(self.merge) + 1)
-        return known
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        ok = self.fits[a << 32 | b] = self._apart(a, b, len(self.merge) + 1)
+        return ok
 
     def _apart(self, a: int, b: int, before: int) -> bool:
         """No merge of a rank under ``before`` joins the symbols where a and b
@@ -194,89 +194,82 @@ class Tokenizer:
     def word(self, text: str) -> list[int]:
         """Ids of one word given in the byte-level alphabet."""
         s = text + self.end
-        length, fits, find = self.length, self.fits, self.automaton.iter_long
-        # Longest tokens one after another: if all neighbours are compatible,
-        # these are the merges' (only one sequence of tokens is).
-        out = [t for _, t in find(s)]
-        left = None
-        for t in out:
-            if left is not None and not (fits[left, t] if (left, t) in fits else self.compatible(left, t)):
-                break
-            left = t
-        else:
-            if sum([length[t] for t in out]) == len(s):
-                return out
-        return self._walk(s)
-
-    def _longest(self, s: str, at: int) -> int | None:
-        """The longest token that starts at ``at``."""
-        for last, token in self.automaton.iter_long(s, at):
-            return token if last + 1 - self.length[token] == at else None
-        return None
-
-    def _walk(self, s: str) -> list[int]:
-        length, shorter = self.length, self.shorter
-        n = len(s)
-        alive = bytearray(b"\x01" * (n + 1))
+        n, length, shorter, known = len(s), self.length, self.shorter, self.fits.get
+        longest = [-1] * (n + 1)  # the longest token that starts at a position
+        for last, token in self.automaton.iter(s):
+            longest[last + 1 - length[token]] = token  # ends ascend
+        alive = [True] * (n + 1)
         out: list[int] = []
-        at, token = 0, self._longest(s, 0)
+        at, left, token = 0, -1, longest[0]
         while at < n:
-            left = out[-1] if out else None
-            while token is not None:
-                if alive[at + length[token]] and (left is None or self.compatible(left, token)):
-                    break
-                token = shorter.get(token)
-            if token is not None:
+            while token >= 0:
+                end = at + length[token]
+                if alive[end]:
+                    if left < 0:
+                        break
+                    ok = known(left << 32 | token)
+                    if self.compatible(left, token) if ok is None else ok:
+                        break
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                at += length[token]
-                token = self._longest(s, at) if at < n else None
+                at, left, token = end, token, longest[end]
             elif out:
-                alive[at] = 0
+                alive[at] = False
                 last = out.pop()
                 at -= length[last]
-                token = shorter.get(last)
+                left, token = out[-1] if out else -1, shorter[last]
             else:
                 raise ValueError("a byte of the text is not in the vocabulary")
         return out
 
     def piece(self, raw: str) -> bytes:
         """Ids (int32) of a piece of text without white space."""
-        if raw.isascii():
-            words = self.split.findall(raw.lower())
-        else:
-            text = unicodedata.normalize("NFC", raw).replace("\u03a3", "\u03c3")  # no final form of sigma
-            words = self.split.findall(text.lower())
-        known, out = self.words, []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                shown = w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters)
-                ids = array("i", self.word(shown)).tobytes()
-                if len(w) <= 64:
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        plain = raw.isascii()
+        if plain:
+            text = raw.lower()
+        else:  # sigma has no final form here
+            text = unicodedata.normalize("NFC", raw).replace("\u03a3", "\u03c3").lower()
+        if text.isalpha():
+            return self._word_ids(text, plain)
+        return b"".join([self._word_ids(w, plain and w.isprintable()) for w in self.split.findall(text)])
+
+    def _word_ids(self, word: str, plain: bool) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            shown = word if plain else word.encode().decode("latin-1").translate(self.letters)
+            ids = array("i", self.word(shown)).tobytes()
+            if len(word) <= 64:
+                self.words[word] = ids
+        return ids
 
     def _plain(self, text: str) -> list[bytes]:
         """Ids of each piece of a text without special tokens."""
-        cache, out = self.cache, []
         # str.split() also cuts at the four separators 1C-1F, which aren't white space here.
         words = SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        for w in words:
-            ids = cache.get(w)
-            if ids is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                ids = self.piece(w)
-                if len(w) <= 64:
-                    cache[w] = ids
-            out.append(ids)
+        out = list(map(self.cache.get, words))
+        if None in out:
+            for i, ids in enumerate(out):
+                if ids is None:
+                    out[i] = self._keep(words[i])
         return out
 
+    def _keep(self, raw: str) -> bytes:
+        ids = self.cache.get(raw)
+        if ids is None:
+            ids = self.piece(raw)
+            if len(raw) <= 64:
+                if len(self.cache) >= CACHE:
+                    self.cache.clear()
+                self.cache[raw] = ids
+        return ids
+
     def encode(self, text: str) -> bytes:
         """Ids (int32) of a text."""
+        if self.automaton is None:
+            self._prepare()
         if self.find_special is None or not any(s in text for s in self.special_starts):
             return b"".join(self._plain(text))
         out: list[bytes] = []
@@ -285,17 +278,20 @@ class Tokenizer:
         return b"".join(out)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
-        """Texts of the ids ``ids[ends[i]:ends[i + 1]]``."""
+        """Texts of the ids ``ids[ends[i]:ends[i + 1]]``, some at a time."""
+        parts, i = [pa.nulls(0, pa.string())], 0
+        while i < len(ends) - 1:
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] + DECODED, side="right")) - 1)
+            parts.append(self._texts(ids[ends[i] : ends[j]], ends[i : j + 1] - ends[i]))
+            i = j
+        return pa.concat_arrays(parts)
+
+    def _texts(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         good = (ids >= 0) & (ids < len(self.offset) - 1)
         size = np.zeros(len(ids), np.int64)
         size[good] = self.offset[ids[good] + 1] - self.offset[ids[good]]
         bytes_to = np.concatenate([[0], np.cumsum(size)])
-        data = np.empty(bytes_to[-1], np.uint8)
-        for a in range(0, len(ids), DECODED):
-            b = min(len(ids), a + DECODED)
-            first = self.offset[np.where(good[a:b], ids[a:b], 0)]
-            data[bytes_to[a] : bytes_to[b]] = self.blob[spread(first, size[a:b])]
-        raw = data.tobytes()
+        raw = self.blob[spread(self.offset[np.where(good, ids, 0)], size)].tobytes()
         edges = bytes_to[ends]
         texts = [raw[x : max(x, y - 1)] for x, y in zip(edges[:-1], edges[1:], strict=True)]
         return pa.array(texts, pa.binary()).cast(pa.string())
