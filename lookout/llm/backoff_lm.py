@@ -43,7 +43,7 @@ from lookout.llm.words import U64, find_words, pieces
 
 END = 0x3C6EF372FE94F82B  # stands for the end token among the word hashes
 VOCABULARY = 1 << 17
-ARCS = 1 << 20
+ARCS = 1 << 19
 DISCOUNT = 0.75
 # Bits of a token index in the key of an arc (state << BITS | token).
 BITS = 20
@@ -74,9 +74,6 @@ def tokens_of(texts: pa.Array) -> Tokens:
     return Tokens(out, text, first)
 
 
-def held_out(id_column: Column, mod: int, rest: int) -> Column:
-    return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))), F.lit(mod)) == rest
-
 
 def _counted(keys_of: Callable[[Tokens], np.ndarray]):
     """(text) -> (key, n): counts of the keys, combined per task."""
@@ -112,8 +109,10 @@ def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFra
 
 
 def _most_frequent(counts: DataFrame, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts at or over the smallest cut-off that leaves ``most``
-    rows at most; the cut-off is found on a histogram of the counts."""
+    """Keys and counts of ``least`` or over the smallest cut-off that leaves
+    ``most`` rows at most; the cut-off is found on a histogram of the counts."""
+    if least > 1:  # read twice, and much smaller than all counts
+        counts = counts.where(F.col("n") >= least).checkpoint()
     step = F.floor(F.log2("n") * 16)
     histogram = counts.where(F.col("n") >= least).groupBy(step.alias("s")).agg(F.count("*").alias("rows")).collect()
     left, cut = most, None
@@ -145,10 +144,17 @@ class Automaton:
         self.add_pairs(empty, empty)
         self.add_triples(empty, empty)
 
+    def __getstate__(self) -> dict:
+        """What the executors need: not what only the fitting reads."""
+        state = dict(self.__dict__)
+        for name in ("histories", "pair_n", "_pair_right"):
+            state.pop(name, None)
+        return state
+
     def add_pairs(self, keys: np.ndarray, n: np.ndarray) -> None:
         left, right = keys >> BITS, keys & ((1 << BITS) - 1)
         p = (n - DISCOUNT) / self.histories[left] if len(keys) else np.zeros(0)
-        self.pairs, self.pair_n, self.pair_p = HashIndex(keys), n.astype(np.float64), p
+        self.pairs, self.pair_n = HashIndex(keys), n.astype(np.float64)
         size = len(self.histories)
         taken = np.bincount(left, weights=p, minlength=size)
         under = np.bincount(left, weights=10.0 ** self.base[right], minlength=size) if len(keys) else np.zeros(size)
@@ -229,10 +235,10 @@ def train(texts: DataFrame, vocabulary: int = VOCABULARY, arcs: int = ARCS) -> t
     total, distinct, rows = map(int, row)
     words, n = _most_frequent(counts, vocabulary, 1)
     model = Automaton(words, n, total, distinct, rows)
-    sent = sc.broadcast(model)
-    model.add_pairs(*_most_frequent(_count(texts, lambda t: sent.value.pair_keys(t)).checkpoint(), arcs, 2))
-    sent = sc.broadcast(model)
-    model.add_triples(*_most_frequent(_count(texts, lambda t: sent.value.triple_keys(t)).checkpoint(), arcs, 2))
+    for keys_of, add in ((Automaton.pair_keys, model.add_pairs), (Automaton.triple_keys, model.add_triples)):
+        sent = sc.broadcast(model)
+        add(*_most_frequent(_count(texts, lambda t: keys_of(sent.value, t)), arcs, 2))  # noqa: B023 - counted here
+        sent.destroy()
     return model, counts, total, distinct
 
 
