@@ -12,7 +12,7 @@ invented variants of a word together; ``x`` is log(1 + occurrences).
 Spark counts in how many sample documents of either label each feature
 occurs, over all features. Those tied to the toxic label beyond chance (a
 log-likelihood ratio past the level at which one of all features would pass
-by luck) form the model; weights and thresholds are then fitted together.
+by luck) and strongly (``LIFT`` times as common) form the model; weights and thresholds are then fitted together.
 The sample is bounded (``PER_CLASS`` documents of each label); every document
 is scored over its whole text.
 
@@ -41,6 +41,8 @@ PER_CLASS = 6000
 LEVELS = (3, 6)
 PREFIXES = (4, 5, 6)
 MOST_FEATURES = 1 << 16
+# How many times as common a feature must be in toxic documents.
+LIFT = 15
 STEPS = 500
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -166,7 +168,8 @@ def _telling(counts: DataFrame, n0: int, n1: int, most: int) -> DataFrame:
     term = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
     ratio = 2 * (term(F.col("n1"), both * share) + term(F.col("n0"), both * (1 - share)))
     level = 2 * np.log(max(total, 2)) + 2
-    kept = counts.withColumn("g", ratio).where((F.col("n1") > both * share) & (F.col("n1") >= 2) & (F.col("g") >= level))
+    lift = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
+    kept = counts.withColumn("g", ratio).where((lift >= LIFT) & (F.col("n1") >= 2) & (F.col("g") >= level))
     return kept.orderBy(F.desc("g"), "key").limit(most)
 
 
