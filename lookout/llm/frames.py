@@ -25,10 +25,17 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def joinable(df: DataFrame, most: int) -> DataFrame:
+    """A computed table (cut off by ``checkpoint()``) as the small side of a
+    join: it is counted, and broadcast if it has ``most`` rows or fewer;
+    beyond that the join shuffles."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def remove_table(spark: SparkSession, path: str) -> None:
     """Deletes a table that this package has written to the work folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-__all__ = ["OWN", "col", "documents", "prepare", "remove_table", "whole_text", "work_dir"]
+__all__ = ["OWN", "col", "documents", "joinable", "prepare", "remove_table", "whole_text", "work_dir"]

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.components import components
-from lookout.llm.frames import col, prepare, whole_text
+from lookout.llm.frames import col, joinable, prepare, whole_text
 from lookout.llm.words import U64, Powers, find_words, mix, pieces, range_hash, runs, spread
 
 SHINGLE = 5
@@ -51,6 +51,9 @@ BLOCK = 512
 # Of registers that agree, for a pair of one block to be verified: 4.5
 # standard deviations under the threshold.
 LIKELY = 0.62
+# Rows of (text hash, id) that are broadcast to find their texts, so that the
+# other texts are not shuffled; a larger table is joined by a shuffle.
+BROADCAST_NODES = 200_000
 
 _SHINGLE = Powers(0xA24BAED4963EE407)
 
@@ -300,10 +303,11 @@ def near_duplicate_classes(
     shared = member.groupBy("bucket").agg(F.min("node").alias("u"), F.count("*").alias("size")).where("size > 1")
     placed = member.join(shared, "bucket").checkpoint()  # only members of shared buckets
     pairs = placed.where("node <> u").select("u", F.col("node").alias("v")).distinct()
-    wanted = placed.select("node").distinct().join(nodes.select("node", "id"), "node")
+    wanted = placed.select(F.col("node").alias("n")).distinct().join(nodes, F.col("n") == nodes["node"])
+    wanted = wanted.select("n", F.col("id").alias("i")).checkpoint()
     contents = (
         rows.join(
-            wanted.select(F.col("node").alias("n"), F.col("id").alias("i")),
+            joinable(wanted, BROADCAST_NODES),
             (rows["node"] == F.col("n")) & rows["id"].eqNullSafe(F.col("i")),
         )
         .groupBy("n", "i")
@@ -373,12 +377,13 @@ def near_duplicate_classes(
 def keep_one(df: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     """Rows of ``df`` with one row of each class left: that with the class's
     id and text (of repeated rows, one)."""
-    found = near_duplicate_classes(df, id_col, text_col, **options)
+    found = near_duplicate_classes(df, id_col, text_col, **options).checkpoint()
     gone = found.where(~(F.col("id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))))
     text = F.substring(F.unhex(F.sha2(whole_text(text_col), 256)), 1, 16)
     keyed = df.withColumn("_llm_node", text)
+    gone = gone.select(F.col("id").alias("_llm_i"), F.col("node").alias("_llm_n")).distinct().checkpoint()
     stay = keyed.join(
-        gone.select(F.col("id").alias("_llm_i"), F.col("node").alias("_llm_n")).distinct(),
+        joinable(gone, BROADCAST_NODES),
         col(id_col).eqNullSafe(F.col("_llm_i")) & (F.col("_llm_node") == F.col("_llm_n")),
         "left_anti",
     )
