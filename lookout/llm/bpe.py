@@ -41,10 +41,10 @@ from lookout.llm.frames import OWN, col, prepare, whole_text
 from lookout.llm.words import spread
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
-CACHE = 200_000
-PAIRS = 300_000
+CACHE = 80_000
+PAIRS = 100_000
 # Tokens decoded at once (one text at least).
-DECODED = 500_000
+DECODED = 100_000
 # Stands behind the last byte of a word in the automaton's alphabet.
 MARK = "\uffff"
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -324,10 +324,12 @@ def encode(df: DataFrame, text_col: str, path: str, out: str = "ids") -> DataFra
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _tokenizer(sent.value)
         for texts in batches:
-            found = [tokenizer.encode(t.as_py()) for t in texts]
-            ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]) // 4
-            flat = pa.array(np.frombuffer(b"".join(found), np.int32))
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+            flat, ends = bytearray(), np.zeros(len(texts) + 1, np.int32)
+            for i in range(len(texts)):
+                flat += tokenizer.encode(texts[i].as_py())
+                ends[i + 1] = len(flat) // 4
+            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
+            yield pa.ListArray.from_arrays(pa.array(ends), values)
 
     return df.withColumn(OWN + "ids", ids(whole_text(text_col))).select(
         *[col(c) for c in df.columns if c != out], F.col(OWN + "ids").alias(out)

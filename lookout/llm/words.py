@@ -22,9 +22,9 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[list(SPACES)] = False
 
 # Bytes of text hashed at once (eight bytes of scratch per byte, four times).
-HASH_CHUNK = 2 * 1024 * 1024
+HASH_CHUNK = 256 * 1024
 # Bytes of text handled at once by the per-word code.
-PIECE_BYTES = 8 * 1024 * 1024
+PIECE_BYTES = 4 * 1024 * 1024
 
 U64 = np.uint64
 
@@ -59,7 +59,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
-            size = max(n + 1, 2 * len(self.up))
+            size = max(n + 1, 5 * len(self.up) // 4)
             for name, factor in (("up", self.base), ("down", self.inverse)):
                 a = np.full(size, factor, dtype=U64)
                 a[0] = 1
