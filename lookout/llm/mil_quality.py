@@ -33,7 +33,7 @@ from lookout.llm.samples import labelled_sample
 from lookout.llm.words import U64, Powers, Words, find_words, mix, pieces, range_hash
 
 PASSAGE = 50
-PER_CLASS = 4000
+PER_CLASS = 1000
 BAG = 64
 HIDDEN = 16
 ATTENTION = 8
