@@ -316,6 +316,21 @@ def _source(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+def _ids(tokenizer: Tokenizer, texts: pa.Array) -> pa.ListArray:
+    flat, ends = bytearray(), np.zeros(len(texts) + 1, np.int32)
+    for i in range(len(texts)):
+        flat += tokenizer.encode(texts[i].as_py())
+        ends[i + 1] = len(flat) // 4
+    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
+
+def _texts(tokenizer: Tokenizer, ids: pa.ListArray) -> pa.Array:
+    ends = ids.offsets.to_numpy()
+    flat = ids.values.fill_null(-1).to_numpy()[ends[0] : ends[-1]] if len(ids) else np.zeros(0, np.int32)
+    return tokenizer.decode(flat, ends - ends[0])
+
+
 def encode(df: DataFrame, text_col: str, path: str, out: str = "ids") -> DataFrame:
     """All rows and columns with ``out``: the token ids of the whole text."""
     sent = _source(df, path)
@@ -324,18 +339,35 @@ def encode(df: DataFrame, text_col: str, path: str, out: str = "ids") -> DataFra
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _tokenizer(sent.value)
         for texts in batches:
-            flat, ends = bytearray(), np.zeros(len(texts) + 1, np.int32)
-            for i in range(len(texts)):
-                flat += tokenizer.encode(texts[i].as_py())
-                ends[i + 1] = len(flat) // 4
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
-            yield pa.ListArray.from_arrays(pa.array(ends), values)
+            yield _ids(tokenizer, texts)
+        pa.default_memory_pool().release_unused()
 
     return df.withColumn(OWN + "ids", ids(whole_text(text_col))).select(
         *[col(c) for c in df.columns if c != out], F.col(OWN + "ids").alias(out)
     )
 
 
+def encode_decode(df: DataFrame, text_col: str, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """:func:`encode` and then :func:`decode` in one pass over the rows (the
+    ids go from one to the other inside the worker)."""
+    sent = _source(df, path)
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = _tokenizer(sent.value)
+        for texts in batches:
+            found = _ids(tokenizer, texts)
+            yield pa.StructArray.from_arrays([found, _texts(tokenizer, found)], names=["ids", "decoded"])
+        pa.default_memory_pool().release_unused()
+
+    b = OWN + "both"
+    return df.withColumn(b, both(whole_text(text_col))).select(
+        *[col(c) for c in df.columns if c not in (ids, decoded)],
+        F.col(b)["ids"].alias(ids),
+        F.col(b)["decoded"].alias(decoded),
+    )
+
+
 def decode(df: DataFrame, ids_col: str, path: str, out: str = "decoded") -> DataFrame:
     """All rows and columns with ``out``: the text of the ids."""
     sent = _source(df, path)
@@ -344,9 +376,7 @@ def decode(df: DataFrame, ids_col: str, path: str, out: str = "decoded") -> Data
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _tokenizer(sent.value)
         for ids in batches:
-            ends = ids.offsets.to_numpy()
-            flat = ids.values.fill_null(-1).to_numpy()[ends[0] : ends[-1]] if len(ids) else np.zeros(0, np.int32)
-            yield tokenizer.decode(flat, ends - ends[0])
+            yield _texts(tokenizer, ids)
 
     filled = F.coalesce(col(ids_col), F.array().cast("array<int>"))
     return df.withColumn(OWN + "text", text(filled)).select(

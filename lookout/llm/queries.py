@@ -40,9 +40,7 @@ def tokenizer_path() -> str:
 def op1(spark, sf_dir):
     """Operator 1: token ids of every document, and the text they decode to."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    ids = bpe.encode(docs, "text", tokenizer_path()).drop("text")
-    both = bpe.decode(ids, "ids", tokenizer_path())
-    return both.select(
+    return bpe.encode_decode(docs, "text", tokenizer_path()).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -86,7 +86,11 @@ def test_table_with_odd_rows(make_docs, odd_rows, reference):
     ids = [reference.encode(t or "", add_special_tokens=False).ids for _, t in odd_rows]
     want = [(d, i, reference.decode(i, skip_special_tokens=False)) for (d, _), i in zip(odd_rows, ids, strict=True)]
     assert got == sorted(want, key=repr)
-    assert bpe.encode(make_docs([]), "text", tokenizer_path()).collect() == []
+    at_once = bpe.encode_decode(df, "text", tokenizer_path())
+    assert set(at_once.columns) == set(both.columns)
+    assert sorted(((r.doc_id, r.ids, r.decoded) for r in at_once.collect()), key=repr) == got
+    for add in (bpe.encode, bpe.encode_decode):
+        assert add(make_docs([]), "text", tokenizer_path()).collect() == []
 
 
 def test_decoding_null_and_unknown_ids(spark):
