@@ -6,21 +6,21 @@ the add-one unigram distribution over the whole training vocabulary.
 
 *Counts* cover all training rows and are gathered by Spark: single tokens,
 then pairs, then triples, each combined per partition before its shuffle.
-*Automaton.* A kept n-gram is a state; reading a token follows an arc, and
-where there is none the failure arc to the state of the next shorter suffix,
-whose weight the state carries. The number of states is the model's capacity
-(``vocabulary`` words, ``arcs`` pairs and triples; the most frequent, by a
-count cut-off that Spark finds from a histogram), so the automaton can be
-sent to the executors whatever the size of the corpus. Arcs out of a state
-hold the discounted estimates, and failure weights make every state's
-distribution sum to one.
-*Scoring* reads each text once from left to right: the state after token i is
-the longest kept suffix there. All texts of a piece advance together, as the
-state depends on the last two tokens only.
-
-Single-token counts aren't cut: tokens outside ``vocabulary`` are gathered
-per row and joined with the complete count table, so unigram scores are exact
-for every token.
+*Automaton.* An n-gram seen ``LEAST`` times is a state, whatever the size of
+the corpus; reading a token follows an arc, and where there is none the
+failure arc to the state of the next shorter suffix, whose weight the state
+carries. Arcs out of a state hold the discounted estimates, and failure
+weights make every state's distribution sum to one. States and arcs are Spark
+tables (``gram_weights``), fitted by joins.
+*Scoring.* Parts of a kept n-gram are kept too. So the log probability of a
+token is a sum of weights that belong to one n-gram each: its own estimate
+and failure weight, and for every longer kept n-gram what its arc differs
+from the failure path. Each text is read once; the weights of the most
+frequent n-grams (``vocabulary`` words, ``arcs`` pairs and triples) are sent
+to the executors, and all other n-grams of a row are joined with the tables.
+What is sent only saves shuffling and changes no score.
+
+``train`` gives a model of bounded size in one object, for small corpora.
 
 Defined cases: a null or empty text is its end token; a null id counts as the
 empty text for the split; no training rows give N = V = 0; repeated rows are
@@ -29,6 +29,7 @@ scored (and learnt from) each on its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -39,12 +40,15 @@ from pyspark.sql import functions as F
 
 from lookout.llm.frames import col, prepare, whole_text
 from lookout.llm.lookup import HashIndex
-from lookout.llm.words import U64, find_words, pieces
+from lookout.llm.words import U64, find_words, mix, pieces
 
 END = 0x3C6EF372FE94F82B  # stands for the end token among the word hashes
 VOCABULARY = 1 << 17
 ARCS = 1 << 19
 DISCOUNT = 0.75
+START = 0x6A09E667F3BCC908  # stands for the start of a text as a history
+# Occurrences that make a pair or triple an arc.
+LEAST = 2
 # Bits of a token index in the key of an arc (state << BITS | token).
 BITS = 20
 # Distinct keys held per task before counts are handed on.
@@ -108,11 +112,155 @@ def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFra
     return texts.mapInArrow(_counted(keys_of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counts: DataFrame, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of ``least`` or over the smallest cut-off that leaves
-    ``most`` rows at most; the cut-off is found on a histogram of the counts."""
-    if least > 1:  # read twice, and much smaller than all counts
-        counts = counts.where(F.col("n") >= least).checkpoint()
+def grams_of(t: Tokens) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """(key, left part, right part) of the pair that ends at each token, and
+    of the triple that ends at each but a text's first. The parts of a pair
+    are words, those of a triple are pairs."""
+    left = np.empty_like(t.hash)
+    left[1:] = t.hash[:-1]
+    left[t.first] = START
+    pair = _joined(left, t.hash, 2)
+    deep = np.flatnonzero(~t.first)
+    before, here = pair[deep - 1], pair[deep]
+    return (pair, left, t.hash), (_joined(before, here, 3), before, here)
+
+
+def _joined(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
+    return mix(mix(left + U64(level)) + right)
+
+
+def _count_grams(texts: DataFrame, level: int) -> DataFrame:
+    """(left, right, n) of the pairs or triples that are arcs."""
+
+    def merge(parts: list) -> tuple[np.ndarray, ...]:
+        key, left, right, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, first, at = np.unique(key, return_index=True, return_inverse=True)
+        return key, left[first], right[first], np.bincount(at, weights=n).astype(np.int64)
+
+    def out(_, left: np.ndarray, right: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch(
+            [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(n)], names=["left", "right", "n"]
+        )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for piece in pieces(batch, 0):
+                key, left, right = grams_of(tokens_of(piece.column(0)))[level - 2]
+                parts.append(merge([(key, left, right, np.ones(len(key), np.int64))]))
+                size += len(parts[-1][0])
+                if size > HELD:
+                    parts = [merge(parts)]
+                    size = len(parts[0][0])
+                    if size > HELD // 2:
+                        yield out(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield out(*merge(parts))
+
+    counted = texts.mapInArrow(run, "left long, right long, n long").groupBy("left", "right")
+    return counted.agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+
+
+def _key(level: int) -> Column:
+    @F.arrow_udf("long")
+    def of(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array(_joined(left.to_numpy().view(U64), right.to_numpy().view(U64), level).view(np.int64))
+
+    return of("left", "right")
+
+
+def _signed(x: int) -> int:
+    return int(np.array([x], U64).view(np.int64)[0])
+
+
+def _histories(arcs: DataFrame, counts: DataFrame) -> DataFrame:
+    """(left, hist, fail): count and failure weight of every history that has
+    arcs. ``arcs``: left, n, and ``low``, the estimate without the history;
+    ``counts``: left, hist."""
+    sums = arcs.groupBy("left").agg(F.sum("n").alias("n"), F.count("*").alias("arcs"), F.sum("low").alias("under"))
+    rest = lambda x: F.greatest(F.lit(1e-12), F.least(F.lit(1.0), 1 - x))
+    taken = (F.col("n") - DISCOUNT * F.col("arcs")) / F.col("hist")
+    fail = F.log10(rest(taken) / rest(F.col("under")))
+    return sums.join(counts, "left").select("left", "hist", fail.alias("fail"))
+
+
+def gram_weights(texts: DataFrame, counts: DataFrame, total: int, distinct: int, rows: int) -> tuple[DataFrame, float]:
+    """(key, level, n, base, weight) of all words and of all pairs and triples
+    that are arcs, and the failure weight of the start. ``base`` is a word's
+    unigram estimate (null for others); a text's score is the sum of the
+    weights of its n-grams and of the start."""
+    spark = texts.sparkSession
+    log_p = F.log10((F.col("n") - DISCOUNT) / F.col("hist"))
+    words = counts.withColumn("p", (F.col("n") + 1.0) / (total + distinct + 1.0))
+    begin = spark.createDataFrame([(_signed(START), rows)], "left long, hist long")
+    pairs = _count_grams(texts, 2).checkpoint()
+    pairs = pairs.join(words.select(F.col("key").alias("right"), F.col("p").alias("low")), "right")
+    after_word = _histories(pairs, counts.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin)).checkpoint()
+    pairs = (
+        pairs.join(after_word, "left")
+        .select(_key(2).alias("key"), "n", log_p.alias("log_p"), (log_p - F.col("fail") - F.log10("low")).alias("more"))
+        .checkpoint()
+    )
+    triples = _count_grams(texts, 3).join(
+        pairs.select(F.col("key").alias("right"), F.pow(F.lit(10.0), "log_p").alias("low")), "right"
+    )
+    triples = triples.checkpoint()
+    after_pair = _histories(triples, pairs.select(F.col("key").alias("left"), F.col("n").alias("hist"))).checkpoint()
+    triples = triples.join(after_pair, "left").select(
+        _key(3).alias("key"), "n", (log_p - F.col("fail") - F.log10("low")).alias("weight")
+    )
+    fail = lambda t: t.select(F.col("left").alias("key"), "fail")
+    more = F.coalesce("fail", F.lit(0.0))
+    none = F.lit(None).cast("double").alias("base")
+    base = F.log10("p")
+    table = (
+        words.join(fail(after_word), "key", "left")
+        .select("key", F.lit(1).alias("level"), "n", base.alias("base"), (base + more).alias("weight"))
+        .union(
+            pairs.join(fail(after_pair), "key", "left").select(
+                "key", F.lit(2).alias("level"), "n", none, (F.col("more") + more).alias("weight")
+            )
+        )
+        .union(triples.select("key", F.lit(3).alias("level"), "n", none, "weight"))
+        .checkpoint()
+    )
+    start = after_word.where(F.col("left") == _signed(START)).first()
+    return table, start["fail"] if start else 0.0
+
+
+class Front:
+    """Weights of the most frequent n-grams, by key."""
+
+    def __init__(self, keys: np.ndarray, base: np.ndarray, weight: np.ndarray) -> None:
+        self.index, self.base, self.weight = HashIndex(keys), base, weight
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether a key is here, its ``base`` and its weight (0 if not)."""
+        at = self.index.find(keys)
+        here = at >= 0
+        if not len(self.base):
+            return here, np.zeros(len(keys)), np.zeros(len(keys))
+        return here, np.where(here, self.base[at], 0.0), np.where(here, self.weight[at], 0.0)
+
+
+def _front(table: DataFrame, vocabulary: int, arcs: int) -> Front:
+    columns = []
+    for level, most in ((1, vocabulary), (2, arcs), (3, arcs)):
+        rows = table.where(F.col("level") == level)
+        step = F.floor(F.log2("n") * 16)
+        cut = _cut(rows, most, 1)
+        if cut is not None:
+            columns.append(rows.where(step >= cut).select("key", F.coalesce("base", F.lit(0.0)), "weight").toArrow())
+    if not columns:
+        return Front(np.zeros(0, U64), np.zeros(0), np.zeros(0))
+    key, base, weight = (np.concatenate([t.column(i).to_numpy() for t in columns]) for i in range(3))
+    return Front(key.view(U64), base, weight)
+
+
+def _cut(counts: DataFrame, most: int, least: int) -> int | None:
+    """The smallest step of the counts' logarithm from which on there are
+    ``most`` rows at most, found on a histogram; None if there is none."""
     step = F.floor(F.log2("n") * 16)
     histogram = counts.where(F.col("n") >= least).groupBy(step.alias("s")).agg(F.count("*").alias("rows")).collect()
     left, cut = most, None
@@ -121,6 +269,16 @@ def _most_frequent(counts: DataFrame, most: int, least: int) -> tuple[np.ndarray
         if left < 0:
             break
         cut = r["s"]
+    return cut
+
+
+def _most_frequent(counts: DataFrame, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of ``least`` or over the smallest cut-off that leaves
+    ``most`` rows at most; the cut-off is found on a histogram of the counts."""
+    if least > 1:  # read twice, and much smaller than all counts
+        counts = counts.where(F.col("n") >= least).checkpoint()
+    step = F.floor(F.log2("n") * 16)
+    cut = _cut(counts, most, least)
     if cut is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kept = counts.where((F.col("n") >= least) & (step >= cut)).toArrow()
@@ -223,16 +381,21 @@ class Automaton:
         return word, out
 
 
-def train(texts: DataFrame, vocabulary: int = VOCABULARY, arcs: int = ARCS) -> tuple[Automaton, DataFrame, int, int]:
-    """Automaton from the column ``text`` (no nulls); also the complete count
-    table (key, n) and its sums N and V."""
-    sc = texts.sparkSession.sparkContext
+def count_words(texts: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """Complete count table (key, n), its sums N and V, and the number of texts."""
     counts = _count(texts, lambda t: t.hash).checkpoint()
-    signed_end = int(np.array([END], U64).view(np.int64)[0])
     row = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("key") == signed_end, F.col("n"))), F.lit(0))
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("key") == _signed(END), F.col("n"))), F.lit(0))
     ).first()
-    total, distinct, rows = map(int, row)
+    return counts, *map(int, row)
+
+
+def train(texts: DataFrame, vocabulary: int = VOCABULARY, arcs: int = ARCS) -> tuple[Automaton, DataFrame, int, int]:
+    """Automaton of at most ``vocabulary`` words and ``arcs`` pairs and triples
+    (the most frequent) from the column ``text`` (no nulls); also the complete
+    count table (key, n) and its sums N and V."""
+    sc = texts.sparkSession.sparkContext
+    counts, total, distinct, rows = count_words(texts)
     words, n = _most_frequent(counts, vocabulary, 1)
     model = Automaton(words, n, total, distinct, rows)
     for keys_of, add in ((Automaton.pair_keys, model.add_pairs), (Automaton.triple_keys, model.add_triples)):
@@ -256,30 +419,36 @@ def score(
     spark = df.sparkSession
     prepare(spark)
     texts = df.where(train_where).select(whole_text(text_col).alias("text"))
-    model, counts, total, distinct = train(texts, vocabulary, arcs)
-    sent = spark.sparkContext.broadcast(model)
+    counts, total, distinct, n_texts = count_words(texts)
+    table, start = gram_weights(texts, counts, total, distinct, n_texts)
+    sent = spark.sparkContext.broadcast(_front(table, vocabulary, arcs))
 
-    @F.arrow_udf("n_tokens long, n_known long, base double, score double, rare array<long>")
+    @F.arrow_udf("n_tokens long, n_known long, base double, score double, n_rare long, rest array<long>")
     def read(text: pa.Array) -> pa.Array:
-        m, parts = sent.value, []
+        front, parts = sent.value, []
         for piece in pieces(pa.record_batch([text], names=["text"]), 0):
             t = tokens_of(piece.column(0))
             n = piece.num_rows
-            word, value = m.read(t)
-            known = word >= 0
-            seen = known & (m.counts[word] > 0)
-            rare = np.flatnonzero(~known)
-            ends = np.searchsorted(t.text[rare], np.arange(n + 1)).astype(np.int32)
+            pairs, triples = grams_of(t)
+            key = np.concatenate([t.hash, pairs[0], triples[0]])
+            of = np.concatenate([t.text, t.text, t.text[~t.first]])
+            here, base, weight = front.find(key)
+            known = here[: len(t.hash)]
+            rest = np.flatnonzero(~here)
+            rest = rest[np.argsort(of[rest], kind="stable")]
+            ends = np.searchsorted(of[rest], np.arange(n + 1)).astype(np.int32)
+            n_tokens, n_known = np.bincount(t.text, minlength=n), np.bincount(t.text[known], minlength=n)
             parts.append(
                 pa.StructArray.from_arrays(
                     [
-                        pa.array(np.bincount(t.text, minlength=n)),
-                        pa.array(np.bincount(t.text[seen], minlength=n)),
-                        pa.array(np.bincount(t.text, weights=np.where(known, m.base[word], 0.0), minlength=n)),
-                        pa.array(np.bincount(t.text, weights=value, minlength=n)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(t.hash[rare].view(np.int64))),
+                        pa.array(n_tokens),
+                        pa.array(n_known),
+                        pa.array(np.bincount(of, weights=base, minlength=n)),
+                        pa.array(np.bincount(of, weights=weight, minlength=n) + start),
+                        pa.array(n_tokens - n_known),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(key[rest].view(np.int64))),
                     ],
-                    names=["n_tokens", "n_known", "base", "score", "rare"],
+                    names=["n_tokens", "n_known", "base", "score", "n_rare", "rest"],
                 )
             )
         return pa.concat_arrays(parts)
@@ -290,19 +459,19 @@ def score(
         .withColumn("row", F.monotonically_increasing_id())
         .checkpoint()  # row numbers hold from here on
     )
-    n = F.coalesce("n", F.lit(0))
     rest = (
-        rows.select("row", F.explode("rare").alias("key"))
-        .join(counts, "key", "left")
+        rows.select("row", F.explode("rest").alias("key"))
+        .join(table.select("key", "base", "weight"), "key")
         .groupBy("row")
-        .agg(F.sum(F.log10((n + 1.0) / (total + distinct + 1.0))).alias("low"), F.count("n").alias("more"))
+        .agg(F.sum("base").alias("low"), F.sum("weight").alias("more"), F.count("base").alias("found"))
     )
-    low, more = F.coalesce("low", F.lit(0.0)), F.coalesce("more", F.lit(0))
+    found = F.coalesce("found", F.lit(0))
+    unseen = (F.col("n_rare") - found) * F.lit(-math.log10(total + distinct + 1.0))
     return rows.join(rest, "row", "left").select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("n_known") + more).alias("n_known"),
+        (F.col("n_known") + found).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + low).alias("base_score"),
-        (F.col("score") + low).alias("score"),
+        (F.col("base") + F.coalesce("low", F.lit(0.0)) + unseen).alias("base_score"),
+        (F.col("score") + F.coalesce("more", F.lit(0.0)) + unseen).alias("score"),
     )

@@ -125,3 +125,19 @@ def test_query_on_documents(spark):
     assert all(r.held_out == out(r.doc_id) for r in got)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # the model beats single words
+
+
+@pytest.mark.parametrize("vocabulary,arcs", [(3, 4), (50, 20), (1 << 17, 1 << 19)])
+def test_scores_use_every_repeated_n_gram_whatever_is_sent(spark, make_docs, vocabulary, arcs):
+    """The scores are those of the automaton that nothing was cut from."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(list("abcdefgh"), 9, p=[0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05]))) for i in range(60)]
+    rows += [(60, "a b unseen c a b"), (61, ""), (62, None)]
+    df = make_docs(rows).repartition(3)
+    texts = df.where("doc_id < 60").select("text")
+    model, _, total, distinct = B.train(texts)
+    got = {r.doc_id: r.score for r in B.score(df, "doc_id", "text", F.col("doc_id") < 60, vocabulary, arcs).collect()}
+    for d, t in rows:
+        word, value = model.read(B.tokens_of(pa.array([t or ""])))
+        want = value.sum() + (word < 0).sum() * -math.log10(total + distinct + 1)
+        assert got[d] == pytest.approx(want, abs=1e-9), (d, t)
