@@ -9,11 +9,11 @@ or more places is repeated. The work:
    hand only one goes on, marked as known (the pre-aggregation: a passage in
    a third of all texts leaves each piece once). Neighbouring k-mers share
    their *anchor*, the smallest ``ANCHOR``-token hash inside them, and travel
-   in one row: anchor, source coordinate, and five bytes of hash per k-mer.
+   in one row: anchor, source coordinate, and the whole hash of each k-mer.
 2. *Repeated edges, by anchor.* Equal k-mers have equal anchors at equal
    offsets, so one shuffle on the anchor brings all places of a k-mer
    together. A k-mer is repeated only if anchor (64 bits), offset and the
-   independent k-mer hash (40 bits) agree at two source coordinates.
+   independent k-mer hash (64 bits) agree at two source coordinates.
    A partition is read in sorted order in bounded chunks; an anchor that
    spans chunks carries one row per distinct k-mer.
 3. *Compaction, by source.* Repeated edges that follow each other at their
@@ -42,7 +42,7 @@ from lookout.llm.words import U64, Powers, find_words, mix, pieces, range_hash,
 
 WINDOW = 35
 ANCHOR = 8
-CODE_BYTES = 5
+CODE_BYTES = 8
 # K-mers of one chunk in step 2.
 CHUNK_EDGES = 1_500_000
 
@@ -90,7 +90,7 @@ def _edge_rows(piece: pa.RecordBatch, window: int, anchor: int) -> pa.RecordBatc
         lead = index[head]
         d = doc[lead]
         if codes:
-            data = np.ascontiguousarray(edge[index].view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES])
+            data = edge[index]
             ends = np.append(head, len(index)).astype(np.int32) * CODE_BYTES
             code = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(ends), pa.py_buffer(data)])
             key = bucket[lead].view(np.int64)
@@ -132,16 +132,19 @@ def _repeated(rows: pa.RecordBatch | pa.Table, last: bool) -> tuple[pa.RecordBat
     _, offs, data = codes.buffers()
     offs = np.frombuffer(offs, np.int32)[codes.offset : codes.offset + len(codes) + 1]
     raw = np.frombuffer(data, np.uint8)[offs[0] : offs[-1]].reshape(-1, CODE_BYTES)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :CODE_BYTES] = raw
-    code = wide.reshape(-1).view(U64)
+    code = np.frombuffer(raw.tobytes(), U64)
 
     row = np.repeat(np.arange(len(n)), n)
     step = spread(np.zeros(len(n), np.int64), n.astype(np.int64))
-    what = (code << U64(16)) | (rel[row] - step).astype(U64)  # window - anchor offset under 2**16
+    offset = rel[row] - step
     of = bucket[row]
-    order = np.argsort(mix(of.view(U64)) + mix(what))
-    begin = runs(of[order], what[order])
+    what = (of, code, offset)
+    both = mix(of.view(U64)) + mix(code + mix(offset))
+    order = np.argsort(both)
+    begin = runs(*(x[order] for x in what))
+    if len(begin) > len(runs(both[order])):  # different k-mers with one sum may lie mixed
+        order = np.lexsort(what)
+        begin = runs(*(x[order] for x in what))
     size = np.diff(np.append(begin, len(order)))
     told = np.logical_or.reduceat(known[row][order], begin) if len(begin) else np.zeros(0, bool)
     again = np.repeat((size > 1) | told, size)
@@ -166,7 +169,7 @@ def _repeated(rows: pa.RecordBatch | pa.Table, last: bool) -> tuple[pa.RecordBat
     keep = np.sort(np.minimum.reduceat(order, begin))
     keep = keep[of[keep] == bucket[-1]]
     at = pa.array(row[keep])
-    data = np.ascontiguousarray(wide[keep][:, :CODE_BYTES])
+    data = code[keep]
     ends = np.arange(len(keep) + 1, dtype=np.int32) * CODE_BYTES
     carry = pa.record_batch(
         [

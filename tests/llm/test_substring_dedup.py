@@ -76,3 +76,28 @@ def test_query_on_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()]
     want = {(d, n, m, hashlib.sha256(k.encode()).hexdigest()) for d, n, m, k in brute(rows, 35)}
     assert {tuple(r) for r in op8(spark, SF001).collect()} == want
+
+
+def spans_of(rows, window, anchor, *more):
+    """Words in repeated windows, by id; each text is a piece of its own."""
+    batch = pa.record_batch(
+        [pa.array([r[0] for r in rows]), pa.array(range(len(rows))), pa.array([r[1] for r in rows])], names=["id", "h", "text"]
+    )
+    edges = [S._edge_rows(batch.slice(i, 1), window, anchor, *more) for i in range(len(rows))]
+    spans = collections.defaultdict(set)
+    for out in S._spans(pa.Table.from_batches(edges).sort_by("bucket").to_batches()):
+        for row in out.to_pylist():
+            spans[row["id"]].update(range(row["start"], row["start"] + row["n"] + window - 1))
+    return spans
+
+
+def test_windows_that_agree_in_five_bytes_of_hash_are_told_apart(monkeypatch):
+    """Hashes that differ in their upper 24 bits only: a shared header with
+    other words around it makes no false pair."""
+    mix = S.mix
+    monkeypatch.setattr(S, "mix", lambda x: mix(x) & S.U64(0xFFFFFF0000000000))
+    header = " ".join(f"h{i}" for i in range(6))
+    rows = [(i, f"{' '.join(f'a{i}_{j}' for j in range(8))} {header} {' '.join(f'b{i}_{j}' for j in range(8))}") for i in range(20)]
+    rows += [(20, rows[3][1])]
+    spans = spans_of(rows, 10, 4)
+    assert {d: len(x) for d, x in spans.items() if x} == {3: 22, 20: 22}
