@@ -16,6 +16,11 @@ or more places is repeated. The work:
    independent k-mer hash (64 bits) agree at two source coordinates.
    A partition is read in sorted order in bounded chunks; an anchor that
    spans chunks carries one row per distinct k-mer.
+   *Hot anchors* (a header in a third of all texts) are split: windows are
+   first counted by ``SLOTS`` classes of anchors, and the k-mers of an anchor
+   in a class over the bound go by anchor and k-mer hash, each in a row of its
+   own with a second independent hash of 64 bits, which is compared as well.
+   Equal k-mers still meet, so the split loses nothing.
 3. *Compaction, by source.* Repeated edges that follow each other at their
    source form a path without leaving it; each path is one span (start,
    number of edges), joined to its text by the source coordinate, where its
@@ -38,15 +43,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.frames import OWN, col, prepare, whole_text
-from lookout.llm.words import U64, Powers, find_words, mix, pieces, range_hash, runs, spread
+from lookout.llm.words import U64, Powers, Words, find_words, mix, pieces, range_hash, runs, spread
 
 WINDOW = 35
 ANCHOR = 8
 CODE_BYTES = 8
 # K-mers of one chunk in step 2.
 CHUNK_EDGES = 1_500_000
+# Classes of anchors; one is hot with more than HOT_EDGES windows, or more than
+# one in HOT_SHARE of all.
+SLOTS = 1 << 16
+HOT_EDGES = 1 << 20
+HOT_SHARE = 1000
 
 _EDGE = Powers(0x9FB21C651E98DF25)
+_SECOND = Powers(0xA24BAED4963EE407)
 _ANCHOR = Powers(0xD6E8FEB86659FD93)
 
 
@@ -60,25 +71,64 @@ def sliding_min(v: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(v[: len(v) - rest], v[rest:]) if rest else v
 
 
-def _edge_rows(piece: pa.RecordBatch, window: int, anchor: int) -> pa.RecordBatch | None:
-    """Step 1 for one piece of (id, h, text) rows."""
-    w = find_words(piece.column(2))
+def _windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and text of each window."""
     wins = np.maximum(w.counts() - (window - 1), 0)
-    if not wins.sum():
-        return None
-    pos = spread(w.first[:-1], wins)
-    doc = np.repeat(np.arange(len(wins)), wins)
-    edge = mix(range_hash(w.hash, pos, pos + window, _EDGE))
+    return spread(w.first[:-1], wins), np.repeat(np.arange(len(wins)), wins)
+
+
+def _anchors(w: Words, pos: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of the anchor of each window."""
     at = np.arange(len(w.hash) - anchor + 1)
     small = mix(range_hash(w.hash, at, at + anchor, _ANCHOR))
     # The anchor: smallest upper half of the hash, the leftmost of equals.
     best = sliding_min((small & U64(0xFFFFFFFF00000000)) | at.astype(U64), window - anchor + 1)
     where = (best[pos] & U64(0xFFFFFFFF)).astype(np.int64)
-    bucket = small[where]
-    del small, best, at
+    return small[where], where
+
+
+def _slot(bucket: np.ndarray) -> np.ndarray:
+    return (bucket & U64(SLOTS - 1)).astype(np.int64)
+
+
+def _hot_slots(texts: DataFrame, window: int, anchor: int) -> np.ndarray:
+    """Whether a class of anchors is hot, by class; all windows are counted."""
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for piece in pieces(batch, 0):
+                w = find_words(piece.column(0))
+                pos, _ = _windows(w, window)
+                if len(pos):
+                    total += np.bincount(_slot(_anchors(w, pos, window, anchor)[0]), minlength=SLOTS)
+        some = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+
+    counts = texts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slot, n = counts.column("slot").to_numpy(), counts.column("n").to_numpy()
+    hot = np.zeros(SLOTS, bool)
+    hot[slot[n > min(HOT_EDGES, int(n.sum()) // HOT_SHARE)]] = True
+    return hot
+
+
+def _edge_rows(piece: pa.RecordBatch, window: int, anchor: int, hot: np.ndarray | None = None) -> pa.RecordBatch | None:
+    """Step 1 for one piece of (id, h, text) rows; ``hot``: by class of anchors."""
+    w = find_words(piece.column(2))
+    pos, doc = _windows(w, window)
+    if not len(pos):
+        return None
+    edge = mix(range_hash(w.hash, pos, pos + window, _EDGE))
+    bucket, where = _anchors(w, pos, window, anchor)
+    second = np.zeros(len(pos), U64)
+    if hot is not None:
+        split = np.flatnonzero(hot[_slot(bucket)])
+        # other values of the words: sums of powers of odd bases share their low bits
+        second[split] = mix(range_hash(mix(w.hash), pos[split], pos[split] + window, _SECOND))
+        bucket[split] = mix(bucket[split] + mix(edge[split]))
 
     order = np.argsort(edge)
-    begin = runs(edge[order], bucket[order])
+    begin = runs(edge[order], bucket[order], second[order])
     size = np.diff(np.append(begin, len(order)))
     known = np.zeros(len(order), dtype=bool)
     known[order[np.repeat(size > 1, size)]] = True
@@ -97,14 +147,14 @@ def _edge_rows(piece: pa.RecordBatch, window: int, anchor: int) -> pa.RecordBatc
         else:
             code = pa.nulls(len(head), pa.binary())
             key = mix(lead).view(np.int64)  # anywhere
-        return key, d, pos[lead] - w.first[d], where[lead] - pos[lead], known[lead], code, n
+        return key, d, pos[lead] - w.first[d], where[lead] - pos[lead], known[lead], code, n, second[lead].view(np.int64)
 
     sent = np.flatnonzero(first | ~known)
-    a = rows(sent, runs(pos[sent] - np.arange(len(sent)), doc[sent], where[sent], known[sent]), True)
+    a = rows(sent, runs(pos[sent] - np.arange(len(sent)), doc[sent], where[sent], known[sent], bucket[sent]), True)
     here = np.flatnonzero(known)
     b = rows(here, runs(pos[here] - np.arange(len(here)), doc[here]), False)
     both = [np.concatenate([x, y]) if isinstance(x, np.ndarray) else pa.concat_arrays([x, y]) for x, y in zip(a, b, strict=True)]
-    key, d, start, rel, kn, code, n = both
+    key, d, start, rel, kn, code, n, second = both
     d = pa.array(d)
     return pa.record_batch(
         [
@@ -116,8 +166,9 @@ def _edge_rows(piece: pa.RecordBatch, window: int, anchor: int) -> pa.RecordBatc
             pa.array(kn),
             code,
             pa.array(n.astype(np.int32)),
+            pa.array(second),
         ],
-        names=["bucket", "id", "h", "start", "rel", "known", "codes", "n"],
+        names=["bucket", "id", "h", "start", "rel", "known", "codes", "n", "second"],
     )
 
 
@@ -138,7 +189,8 @@ def _repeated(rows: pa.RecordBatch | pa.Table, last: bool) -> tuple[pa.RecordBat
     step = spread(np.zeros(len(n), np.int64), n.astype(np.int64))
     offset = rel[row] - step
     of = bucket[row]
-    what = (of, code, offset)
+    second = get("second")[row]
+    what = (of, code, offset, second)
     both = mix(of.view(U64)) + mix(code + mix(offset))
     order = np.argsort(both)
     begin = runs(*(x[order] for x in what))
@@ -181,6 +233,7 @@ def _repeated(rows: pa.RecordBatch | pa.Table, last: bool) -> tuple[pa.RecordBat
             pa.array(repeated[keep]),
             pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(ends), pa.py_buffer(data)]),
             pa.array(np.ones(len(keep), np.int32)),
+            pa.array(second[keep]),
         ],
         names=rows.schema.names,
     )
@@ -222,16 +275,17 @@ def repeated_spans(df: DataFrame, id_col: str, text_col: str, window: int = WIND
         col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("h"), whole_text(text_col).alias("text")
     )
     kind = keyed.schema["id"].dataType.simpleString()
+    hot = _hot_slots(keyed.select("text"), window, anchor)
 
     def cut(batches):
         for batch in batches:
             for piece in pieces(batch, 2):
-                rows = _edge_rows(piece, window, anchor)
+                rows = _edge_rows(piece, window, anchor, hot)
                 if rows is not None:
                     yield rows
 
     edges = keyed.mapInArrow(
-        cut, f"bucket long, id {kind}, h long, start int, rel int, known boolean, codes binary, n int"
+        cut, f"bucket long, id {kind}, h long, start int, rel int, known boolean, codes binary, n int, second long"
     )
     return (
         edges.repartition("bucket")

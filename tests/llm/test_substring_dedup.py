@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -101,3 +102,38 @@ def test_windows_that_agree_in_five_bytes_of_hash_are_told_apart(monkeypatch):
     rows += [(20, rows[3][1])]
     spans = spans_of(rows, 10, 4)
     assert {d: len(x) for d, x in spans.items() if x} == {3: 22, 20: 22}
+
+
+def header_rows(n):
+    """Texts of one header with other words around it, and two equal ones."""
+    around = lambda i, x: " ".join(f"{x}{i}_{j}" for j in range(8))
+    rows = [(i, f"{around(i, 'a')} {' '.join(f'h{j}' for j in range(6))} {around(i, 'b')}") for i in range(n)]
+    return [*rows, (n, rows[3][1])]
+
+
+def test_hot_anchors_are_split_by_k_mer():
+    """No group of step 2 grows with the number of texts that share a header,
+    and the repeated windows stay the same."""
+    rows = header_rows(200)
+    hot = np.ones(S.SLOTS, bool)
+    batch = pa.record_batch([pa.array(range(201)), pa.array(range(201)), pa.array([t for _, t in rows])], names=["id", "h", "text"])
+    out = [S._edge_rows(batch.slice(i, 1), 10, 4, hot).to_pandas() for i in range(201)]
+    assert max(collections.Counter(b for x in out for b in x.bucket).values()) == 2
+    spans = spans_of(rows, 10, 4, hot)
+    assert {d: len(x) for d, x in spans.items() if x} == {3: 22, 200: 22}
+
+
+def test_windows_of_hot_anchors_are_compared_by_a_second_hash(monkeypatch):
+    monkeypatch.setattr(S, "_EDGE", S.Powers(0))  # the first hash is that of the words' sum
+    rows = [(0, "a b c d e f"), (1, "b a c d e f"), (2, "a b c d f e"), (3, "a b c d e f")]
+    assert len(spans_of(rows, 6, 1)) > 2  # the anchor isn't among both pairs of words
+    assert set(spans_of(rows, 6, 1, np.ones(S.SLOTS, bool))) == {0, 3}
+
+
+def test_hot_anchors_are_found_in_all_texts(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(S, "HOT_SHARE", 50)
+    rows = header_rows(300)
+    df = make_docs(rows).repartition(4)
+    hot = S._hot_slots(df.select("text"), 10, 4)
+    assert 0 < hot.sum() < 100
+    assert result(S.remove_repeated(df, "doc_id", "text", 10)) == sorted(brute(rows, 10), key=repr)
