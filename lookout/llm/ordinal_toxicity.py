@@ -10,14 +10,16 @@ so the expected severity is the sum of these over j. Features are words
 invented variants of a word together; ``x`` is log(1 + occurrences).
 
 Spark counts in how many sample documents of either label each feature
-occurs, over all features. Those tied to the toxic label beyond chance (a
-log-likelihood ratio past the level at which one of all features would pass
-by luck) and strongly (``LIFT`` times as common) form the model; weights and thresholds are then fitted together.
+occurs, over all features. All that are tied to the toxic label beyond chance
+(a log-likelihood ratio past the level at which one of all features would pass
+by luck) form the model; weights and thresholds are then fitted together.
 The sample is bounded (``PER_CLASS`` documents of each label); every document
 is scored over its whole text.
 
 ``labels`` only says toxic or not. Its documents are graded for training by
-how often they use the found words: ``LEVELS`` uses or more reach the next
+how often they use the found words, each use counted by the share that clean
+documents don't explain (1 - 1 / lift, the lift being how many times as common
+the feature is in toxic documents): ``LEVELS`` uses or more reach the next
 grade, and a toxic document has grade 1 at least.
 
 Defined cases: a null or empty text has no features and the score of the
@@ -41,8 +43,6 @@ PER_CLASS = 6000
 LEVELS = (3, 6)
 PREFIXES = (4, 5, 6)
 MOST_FEATURES = 1 << 16
-# How many times as common a feature must be in toxic documents.
-LIFT = 15
 STEPS = 500
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -96,29 +96,34 @@ def _feature_counts(batches):
 class Ordinal:
     """Feature hashes, weights and thresholds."""
 
-    def __init__(self, features: np.ndarray, grades: int) -> None:
+    def __init__(self, features: np.ndarray, grades: int, share: np.ndarray | None = None) -> None:
+        """``share``: of a feature's uses, the part that only toxicity explains."""
         self.index = HashIndex(features)
+        self.share = np.ones(len(features)) if share is None else share
         self.weight = np.zeros(len(features))
         self.theta = np.arange(grades - 1, dtype=np.float64) + 20.0  # nothing is toxic before fitting
 
-    def sparse(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def sparse(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
         """(text, feature, value) of all features found, and per text the
-        number of words that have one."""
+        number of words that have one, whole and by their largest share."""
         texts_of, feats, words = [], [], []
         for key, text, word in word_features(texts):
             at = self.index.find(key)
             hit = at >= 0
             texts_of.append(text[hit])
             feats.append(at[hit])
-            words.append(np.column_stack([text[hit], word[hit]]))
+            words.append(word[hit])
         text, feature = np.concatenate(texts_of), np.concatenate(feats).astype(np.int64)
+        found, first, at = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
+        share = np.zeros(len(found))
+        np.maximum.at(share, at, self.share[feature])
+        hits = np.bincount(text[first], minlength=len(texts))
+        uses = np.bincount(text[first], weights=share, minlength=len(texts)).astype(np.float64)  # whole if empty
         order = np.lexsort((feature, text))
         text, feature = text[order], feature[order]
         head = runs(text, feature)
         n = np.diff(np.append(head, len(text)))
-        found = np.unique(np.concatenate(words), axis=0)
-        hits = np.bincount(found[:, 0], minlength=len(texts))
-        return text[head], feature[head], np.log1p(n), hits
+        return text[head], feature[head], np.log1p(n), hits, uses
 
     def linear(self, text: np.ndarray, feature: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(text, weights=self.weight[feature] * value, minlength=size)
@@ -169,7 +174,8 @@ def _telling(counts: DataFrame, n0: int, n1: int, most: int) -> DataFrame:
     ratio = 2 * (term(F.col("n1"), both * share) + term(F.col("n0"), both * (1 - share)))
     level = 2 * np.log(max(total, 2)) + 2
     lift = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
-    kept = counts.withColumn("g", ratio).where((lift >= LIFT) & (F.col("n1") >= 2) & (F.col("g") >= level))
+    kept = counts.withColumns({"g": ratio, "share": 1 - 1 / lift})
+    kept = kept.where((F.col("share") > 0) & (F.col("n1") >= 2) & (F.col("g") >= level))
     return kept.orderBy(F.desc("g"), "key").limit(most)
 
 
@@ -200,29 +206,29 @@ def train(
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .checkpoint()
     )
-    keys = _telling(counts, n0, n1, MOST_FEATURES).select("key").toArrow().column("key").to_numpy()
-    model = Ordinal(np.sort(keys).view(U64), grades)
+    telling = _telling(counts, n0, n1, MOST_FEATURES).select("key", "share").toArrow().sort_by("key")
+    model = Ordinal(telling.column("key").to_numpy().view(U64), grades, telling.column("share").to_numpy())
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
         for batch in batches:
             for piece in pieces(batch, 0):
-                text, feature, value, hits = sent.value.sparse(piece.column(0))
+                text, feature, value, _, uses = sent.value.sparse(piece.column(0))
                 ends = np.searchsorted(text, np.arange(piece.num_rows + 1)).astype(np.int32)
                 yield pa.record_batch(
                     [
                         piece.column(1),
-                        pa.array(hits),
+                        pa.array(uses),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(feature)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(value)),
                     ],
-                    names=["label", "hits", "features", "values"],
+                    names=["label", "uses", "features", "values"],
                 )
 
-    table = chosen.mapInArrow(rows, "label int, hits long, features array<long>, values array<double>").toArrow()
+    table = chosen.mapInArrow(rows, "label int, uses double, features array<long>, values array<double>").toArrow()
     data = sorted(zip(*(table.column(c).to_pylist() for c in table.column_names), strict=True))  # in a fixed order
-    label, hits = (np.array([d[i] for d in data]) for i in (0, 1))
-    grade = np.where(label == 1, 1 + sum((hits >= n).astype(int) for n in levels), 0)
+    label, uses = (np.array([d[i] for d in data]) for i in (0, 1))
+    grade = np.where(label == 1, 1 + sum((uses >= n).astype(int) for n in levels), 0)
     text = np.repeat(np.arange(len(data)), [len(d[2]) for d in data])
     feature = np.array([f for d in data for f in d[2]], dtype=np.int64)
     value = np.array([x for d in data for x in d[3]], dtype=np.float64)
@@ -242,7 +248,7 @@ def score(df: DataFrame, text_col: str, model: Ordinal) -> DataFrame:
     def of(texts: pa.Array) -> pa.Array:
         m, parts = sent.value, []
         for piece in pieces(pa.record_batch([texts], names=["t"]), 0):
-            text, feature, value, hits = m.sparse(piece.column(0))
+            text, feature, value, hits, _ = m.sparse(piece.column(0))
             up = m.above(m.linear(text, feature, value, piece.num_rows))
             parts.append(
                 pa.StructArray.from_arrays(

@@ -113,3 +113,23 @@ def test_word_features_share_prefixes():
     assert len(feats) == 1 + len(X.PREFIXES)
     four = feats[1]
     assert len(set(four[0].tolist())) == 1 and four[1].tolist() == [0, 0, 2]
+
+
+def test_words_that_clean_documents_use_too_still_tell(spark, make_docs):
+    """A word twelve times as common in toxic documents finds those that are
+    toxic through nothing else; with no stronger word there is still a model."""
+    rng = np.random.default_rng(3)
+    plain = lambda: list(rng.choice([f"w{chr(97 + i)}x" for i in range(20)], 15))
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 2
+        words = plain()
+        if rng.random() < (0.96 if toxic else 0.08):
+            words.insert(4, "vile")
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = X.train(make_docs(rows), table, "doc_id", "text", "toxic")
+    new = make_docs([(1000, " ".join([*plain(), "vile"])), (1001, " ".join(plain()))])
+    got = {r.doc_id: r.p_toxic for r in X.score(new, "text", model).collect()}
+    assert got[1000] > 0.5 > got[1001]
