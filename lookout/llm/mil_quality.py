@@ -9,7 +9,7 @@ passages of a document,
 and the document's score is ``sigmoid(c . z + d)``. Only the document's label
 is needed: attention learns which passages decide. All parameters are fitted
 together by Adam on a bounded sample of labelled documents (``PER_CLASS`` of
-each label, at most ``BAG`` evenly spaced passages of each: bounds of the
+each label and ``MOST_PASSAGES`` passages of them, each with all its passages: bounds of the
 training only). Scoring covers every passage of every document.
 
 Features of a passage come from its words alone (shares of symbols, capitals,
@@ -33,8 +33,9 @@ from lookout.llm.samples import labelled_sample
 from lookout.llm.words import U64, Powers, Words, find_words, mix, pieces, range_hash
 
 PASSAGE = 50
-PER_CLASS = 1000
-BAG = 64
+PER_CLASS = 4000
+# Passages of the training documents of one label; beyond, there are fewer documents.
+MOST_PASSAGES = 1 << 18
 HIDDEN = 16
 ATTENTION = 8
 STEPS = 400
@@ -184,16 +185,29 @@ class Attention:
 
 
 def _bags(batches):
-    """(text, label) -> (label, number of passages, their features as bytes)."""
+    """(text, label, draw) -> (label, draw, number of passages, the features of all of them as bytes)."""
     for batch in batches:
         for piece in pieces(batch, 0):
             text, x = features(find_words(piece.column(0)))
             ends = np.searchsorted(text, np.arange(piece.num_rows + 1))
-            rows = []
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, BAG)).astype(np.int64))
-                rows.append(x[pick].tobytes())
-            yield pa.record_batch([piece.column(1), pa.array(rows, pa.binary())], names=["label", "x"])
+            rows = [x[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.record_batch(
+                [piece.column(1), piece.column(2), pa.array(np.diff(ends)), pa.array(rows, pa.binary())],
+                names=["label", "draw", "n", "x"],
+            )
+
+
+def _within(bags: DataFrame, most: int) -> Column:
+    """The documents of each label, in the order of ``draw``, that have
+    ``most`` passages together; one draw at least."""
+    sizes = bags.select("label", "draw", "n").toArrow().sort_by([("label", "ascending"), ("draw", "ascending")])
+    label, draw, n = (sizes.column(c).to_numpy() for c in ("label", "draw", "n"))
+    kept = F.lit(False)
+    for one in np.unique(label):
+        mine = draw[label == one]
+        last = max(1, int(np.searchsorted(np.cumsum(n[label == one]), most, side="right")))
+        kept = kept | ((F.col("label") == int(one)) & (F.col("draw") <= int(mine[last - 1])))
+    return kept
 
 
 def train(
@@ -205,13 +219,15 @@ def train(
     keep: Column | None = None,
     per_class: int = PER_CLASS,
 ) -> Attention:
-    """Model from at most ``per_class`` documents of each label."""
+    """Model from at most ``per_class`` documents of each label, each with all
+    its passages."""
     prepare(docs.sparkSession)
     sample = labelled_sample(labels, id_col, label_col, per_class, keep)
     chosen = docs.join(F.broadcast(sample), col(id_col) == sample["id"]).select(
-        whole_text(text_col).alias("text"), "label"
+        whole_text(text_col).alias("text"), "label", F.xxhash64(sample["id"], F.lit(29)).alias("draw")
     )
-    table = chosen.mapInArrow(_bags, "label int, x binary").toArrow()
+    bags = chosen.mapInArrow(_bags, "label int, draw long, n long, x binary").checkpoint()
+    table = bags.where(_within(bags, MOST_PASSAGES)).select("label", "x").toArrow()
     dims = features(find_words(pa.array([""])))[1].shape[1]
     model = Attention(dims)
     y = table.column("label").to_numpy().astype(np.float64)

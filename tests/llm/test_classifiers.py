@@ -133,3 +133,15 @@ def test_words_that_clean_documents_use_too_still_tell(spark, make_docs):
     new = make_docs([(1000, " ".join([*plain(), "vile"])), (1001, " ".join(plain()))])
     got = {r.doc_id: r.p_toxic for r in X.score(new, "text", model).collect()}
     assert got[1000] > 0.5 > got[1001]
+
+
+def test_training_bags_hold_every_passage(spark):
+    texts = pa.array([" ".join(f"w{j % 50}" for j in range(n)) for n in (9000, 40, 400)])
+    batch = pa.record_batch([texts, pa.array([0, 1, 1], pa.int32()), pa.array([5, 7, 6])], names=["text", "label", "draw"])
+    (out,) = Q._bags([batch])
+    text, x = Q.features(find_words(texts))
+    assert out.column("n").to_pylist() == np.bincount(text).tolist()
+    assert b"".join(out.column("x").to_pylist()) == x.tobytes()
+    bags = spark.createDataFrame(out.select(["label", "draw", "n"]).to_pandas())
+    kept = lambda most: {r.draw for r in bags.where(Q._within(bags, most)).collect()}
+    assert kept(1 << 18) == {5, 6, 7} and kept(3) == {5, 6}
