@@ -50,6 +50,13 @@ def word_count(text_col: str) -> Column:
     return F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long")
 
 
+def _with_root_budget(nodes: DataFrame, budget: int | None) -> DataFrame:
+    """``nodes`` with the root's budget: sums of each task, then a row for all."""
+    wanted = F.sum("tokens") if budget is None else F.lit(budget)
+    root = nodes.agg(F.least(F.sum(OWN + "cap"), wanted.cast(WHOLE)).cast(WHOLE).alias(OWN + "b"))
+    return nodes.crossJoin(F.broadcast(root))
+
+
 def leaf_budgets(
     leaves: DataFrame, levels: Sequence[str], weights: Sequence[Column], budget: int | None, max_epochs: int = MAX_EPOCHS
 ) -> DataFrame:
@@ -65,10 +72,7 @@ def leaf_budgets(
     for w in weight:
         reached = reached & (F.col(w) > 0)
     nodes = nodes.withColumn(OWN + "cap", F.when(reached, F.col("tokens") * max_epochs).otherwise(0).cast(WHOLE))
-    root = W.partitionBy(F.lit(0))
-    all_there = F.sum(OWN + "cap").over(root)
-    wanted = F.sum("tokens").over(root) if budget is None else F.lit(budget)
-    nodes = nodes.withColumn(OWN + "b", F.least(all_there, wanted.cast(WHOLE)).cast(WHOLE))
+    nodes = _with_root_budget(nodes, budget)
     for i, level in enumerate(levels):
         above, here = list(levels[:i]), list(levels[: i + 1])
         b, w, cap, cap_before, w_left, all_of_it = (OWN + c for c in ("xb", "xw", "xcap", "xcb", "xwl", "xall"))

@@ -133,3 +133,13 @@ def test_query_on_documents(spark):
     got = queries.op5(spark, SF01)
     assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "string", "string", "string", "bigint", "int"]
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_the_root_budget_moves_no_leaf(spark):
+    """The leaf table isn't gathered in one task for its sums."""
+    nodes = spark.range(1000).selectExpr("id AS leaf", "id AS tokens", f"CAST(id * 3 AS DECIMAL(38,0)) AS {M.OWN}cap").repartition(4)
+    for budget, want in ((None, 499500), (7, 7), (10**9, 3 * 499500)):
+        got = M._with_root_budget(nodes, budget)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "BroadcastNestedLoopJoin" in plan
+        assert {int(r[0]) for r in got.select(M.OWN + "b").collect()} == {want} and got.count() == 1000
