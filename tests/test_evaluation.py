@@ -68,3 +68,35 @@ def test_labels_outside_the_dimension_are_kept(spark):
     wide = E.confusion_wide(s, 12)
     assert wide.columns == ["y_true", *[f"p{i}" for i in range(12)]]
     assert {r.y_true for r in wide.collect()} == set(range(13))
+
+
+@pytest.mark.parametrize("learnable", [False, True])
+def test_fitted_report_against_brute_force_and_chance(spark, tmp_path, learnable):
+    """The small given table only has the measures compared (accuracy there is
+    0.07, its largest class 0.13); accuracy must be far above chance where the
+    labels follow from the vectors."""
+    from lookout.plans.q_streaming import scored_validation
+    from tests.conftest import SF001
+
+    sf = SF001
+    if learnable:
+        sf = str(tmp_path)
+        vector = lambda i: [float(i % 10 == j) + (i * (j + 3) % 7) / 20 for j in range(64)]
+        made = spark.createDataFrame([(i, i % 10, vector(i)) for i in range(400)], "vec_id long, label int, embedding array<float>")
+        made.write.parquet(f"{sf}/embeddings.parquet")
+    scored = scored_validation(spark, sf).checkpoint()
+    rows = [(r.y_true, r.y_pred) for r in scored.collect()]
+    n = len(rows)
+    report = {r.label: r for r in E.classification_report(scored).collect()}
+    for k in range(10):
+        tp, true, said = (sum(map(f, rows)) for f in (lambda r: r == (k, k), lambda r: r[0] == k, lambda r: r[1] == k))
+        got = next(r for name, r in report.items() if name.startswith(f"c{k}"))
+        precision, recall = tp / said if said else 0.0, tp / true if true else 0.0
+        f1 = 2 * precision * recall / (precision + recall) if tp else 0.0
+        assert (got.precision, got.recall, got.f1_score) == pytest.approx((precision, recall, f1), abs=1e-6)
+        assert got.support == true
+    accuracy = sum(t == p for t, p in rows) / n
+    assert report["accuracy"].f1_score == pytest.approx(accuracy, abs=1e-6)
+    if learnable:
+        chance = max(sum(t == k for t, _ in rows) for k in range(10)) / n
+        assert accuracy > 5 * chance
