@@ -14,7 +14,10 @@ from lookout.llm import (
     ordinal_toxicity,
     probminhash,
     rules,
+    spelling,
     substring_dedup,
+    url_filter,
+    vector_codes,
     warc_zip,
 )
 from lookout.llm.catalog import register
@@ -197,3 +200,123 @@ def op10(spark, sf_dir):
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
         .withColumn("held_out", out)
     )
+
+
+@register("op11_spelling_variants")
+def op11(spark, sf_dir):
+    """Operator 11: spelling variants of every word of the documents."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(docs, "doc_id", "text"))
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Codes, errors and codebooks by comparing every part with every entry."""
+    nearest = """SELECT rn, k, min(struct_pack(d := d, e := e)) AS m FROM (
+  SELECT rn, p.k, c.e, list_sum(list_transform(range(1, len(p.y) + 1), lambda i: (p.y[i] - c.y[i]) ** 2))::HUGEINT AS d
+  FROM p JOIN {books} c ON p.k = c.k) GROUP BY rn, k"""
+    steps = f"""WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id) AS rn FROM kept),
+p AS MATERIALIZED (SELECT rn, k, x[k * (len(x) // {parts}) + 1 : (k + 1) * (len(x) // {parts})] AS y
+  FROM v, (SELECT unnest(range({parts})) AS k)),
+c0 AS MATERIALIZED (SELECT k, rn - 1 AS e, y FROM p WHERE rn <= {entries}),"""
+    for i in range(1, rounds + 1):
+        steps += f"""
+a{i} AS MATERIALIZED ({nearest.format(books=f"c{i - 1}")}),
+s{i} AS (SELECT k, e, j, floor(sum(y[j])::DOUBLE / count(*))::HUGEINT AS z FROM (
+  SELECT p.k, a.m.e AS e, p.y, unnest(range(1, len(p.y) + 1)) AS j FROM p JOIN a{i} a USING (rn, k)) GROUP BY k, e, j),
+c{i} AS MATERIALIZED (SELECT k, e, coalesce(n.y, o.y) AS y FROM c{i - 1} o
+  LEFT JOIN (SELECT k, e, list(z ORDER BY j) AS y FROM s{i} GROUP BY k, e) n USING (k, e)),"""
+    return (
+        steps
+        + f"""
+f AS MATERIALIZED ({nearest.format(books=f"c{rounds}")}),
+w AS (SELECT rn, string_agg(printf('%02x', m.e), '' ORDER BY k) AS code, sum(m.d)::BIGINT AS error FROM f GROUP BY rn),
+h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY k, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN w USING (rn), h"""
+    )
+
+
+@register("op12_vector_codes", _codes_sql())
+def op12(spark, sf_dir):
+    """Operator 12: code and error of every vector, and the codebooks' hash."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.train(vectors, "vec_id", "embedding")
+    if books is None:
+        coded = vectors.where(F.lit(False)).select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
+    else:
+        coded = vector_codes.encode(vectors, "embedding", books).drop("embedding")
+    return vector_codes.error_by_label(coded, "label").select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256")
+    )
+
+
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _lower_sql(x: str) -> str:
+    return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _node_sql(x: str) -> str:
+    front = f"regexp_extract({x}, '(?s)^([^#]*?://[^/?#]*)', 1)"
+    return f"""CASE WHEN {front} <> '' THEN {_lower_sql(front)} || substr(regexp_extract({x}, '(?s)^([^#]*)', 1), len({front}) + 1) END"""
+
+
+def _tags_sql(tag: str, which: str, link: str, groups: int) -> str:
+    part = ", ".join(f"nullif(regexp_extract(t, {_sql_text(link)}, {i + 1}), '')" for i in range(groups))
+    return f"""SELECT u, coalesce({part}) AS l FROM (SELECT u, unnest(regexp_extract_all(h, {_sql_text(tag)})) AS t FROM shown)
+  WHERE regexp_matches(t, {_sql_text(which)})"""
+
+
+URL_SQL = f"""WITH RECURSIVE rules(h, p, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+pg AS (SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+shown AS (SELECT url AS u, regexp_replace(html, {_sql_text(url_filter.HIDDEN)}, ' ', 'g') AS h FROM pg
+  WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|http-equiv')),
+links AS ({_tags_sql(url_filter.LINK_TAG, url_filter.CANONICAL, url_filter.HREF, 3)}
+  UNION ALL {_tags_sql(url_filter.META_TAG, url_filter.REFRESH, url_filter.REFRESH_URL, 2)}),
+parts AS (SELECT u, replace(regexp_replace(l, '^\s+|\s+$', '', 'g'), '&amp;', '&') AS t,
+    regexp_extract(u, '(?s)^(.*?://[^/?#]*)', 1) AS front, regexp_extract(u, '(?s)^(.*?:)//', 1) AS scheme,
+    regexp_extract(u, '(?s)^(.*?://[^?#]*)', 1) AS file,
+    regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*/)', 1) AS folder FROM links WHERE l IS NOT NULL),
+targets AS (SELECT u, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN scheme || t
+    WHEN starts_with(t, '/') THEN front || t WHEN starts_with(t, '?') THEN file || t
+    WHEN t = '' OR starts_with(t, '#') THEN u
+    ELSE front || CASE WHEN folder = '' THEN '/' ELSE folder END || t END AS t FROM parts),
+e AS (SELECT DISTINCT {_node_sql("u")} AS a, {_node_sql("t")} AS b FROM targets),
+both_ways AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
+judged AS (SELECT n, {_lower_sql("regexp_extract(rest, '(?s)^([^/?#]*)', 1)")} AS host,
+    regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM (
+  SELECT n, CASE WHEN contains(n, '://') THEN substr(n, position('://' IN n) + 3) ELSE '' END AS rest FROM (
+    SELECT a AS n FROM both_ways UNION SELECT url FROM pg WHERE url IS NOT NULL))),
+ruled AS (SELECT n, host, path, arg_max(h || p, struct_pack(l := len(h || p), a := v = 'allow')) AS rule,
+    arg_max(v, struct_pack(l := len(h || p), a := v = 'allow')) AS v
+  FROM judged LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n, host, path),
+bad AS (SELECT DISTINCT r.a FROM reach r JOIN ruled ON r.b = ruled.n WHERE ruled.v = 'block')
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(v, CASE WHEN {_node_sql("url")} IN (SELECT a FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM pg LEFT JOIN ruled ON pg.url = ruled.n"""
+
+
+@register("op13_url_filter", URL_SQL)
+def op13(spark, sf_dir):
+    """Operator 13: verdict of every page's URL, by rules and by its aliases."""
+    pages = _table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    edges = url_filter.page_links(pages, "url", "html")
+    return url_filter.judge(pages.select("page_id", "url"), "url", rules, edges)[
+        ["page_id", "host", "path", "rule", "verdict"]
+    ]
