@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lookout.session import prepare
+
 # Groups whose threshold table is broadcast (its size is counted first); a
 # larger table is joined by a shuffle.
 BROADCAST_GROUPS = 100_000
@@ -117,6 +119,7 @@ def rank_by_key(
     points are sampled rows of the key's own type, and a hot key value is cut
     by its tie-break. The ranged rows are checkpointed with their bucket
     number, as another run of the sampling could choose other cuts."""
+    prepare(df.sparkSession)
     columns = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak or df.columns)
     tie = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
     if isinstance(tiebreak, str):
@@ -215,6 +218,7 @@ def first_by_rank(
     stay where they are; a larger table is joined by a shuffle.
     ``keys_from``: a narrow table with the same ids and groups to find the
     thresholds on."""
+    prepare(df.sparkSession)
     parts = list(partition_cols) or ["_all"]
     whole = (lambda d: d) if partition_cols else (lambda d: d.withColumn("_all", F.lit(0)))
     source = whole(df if keys_from is None else keys_from)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lookout.classes import NUM_CLASSES, class_dim, class_label_of, class_name_of, class_number, short_label
 from lookout.functions.paths import base_name, to_local_path, with_local_path
+from lookout.session import prepare
 
 # Total order of predictions: later batch, later file, then name.
 ORDER_COLS = ["batch_id", "modification_time", "image"]
@@ -267,12 +268,21 @@ def union_parts(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+FILE_ORDER = ["file_modification_time", "file_name", "file_path", "block_start", "row_in_block"]
+
+
 def in_file_order(rows: DataFrame) -> DataFrame:
     """Rows in the order of the files they came from (modification
-    time, then name), as the page concatenates part files; needs the
-    ``file_name`` / ``file_modification_time`` columns of
-    :func:`lookout.sources.tables.read_part_csvs` (``with_file_info``)."""
-    return rows.orderBy("file_modification_time", "file_name")
+    time, then name) and of the lines inside a file, as the page concatenates
+    part files; needs the columns that
+    :func:`lookout.sources.tables.read_part_csvs` adds (``with_file_info``)."""
+    return rows.orderBy(*FILE_ORDER)
+
+
+def newest_in_files(rows: DataFrame, n: int = 1) -> DataFrame:
+    """W4 + W1: the last ``n`` rows in file order, last one first -- the last
+    row of the newest part file, and those before it."""
+    return rows.orderBy(*[F.col(c).desc() for c in FILE_ORDER]).limit(n)
 
 
 def page(spark: SparkSession, predictions_dir: str, metrics_dir: str, fmt: str = "parquet", recent: int = 8) -> dict:
@@ -280,15 +290,17 @@ def page(spark: SparkSession, predictions_dir: str, metrics_dir: str, fmt: str =
 
     A folder that does not exist yet gives empty views (S15); the
     prediction views are built only when the table has its required
-    columns and rows (P4), else the dict holds ``None`` for them."""
-    from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, read_part_csvs
+    columns and rows (P4), else the dict holds ``None`` for them. Rows of a
+    later run are newer than those of an earlier one, in Parquet and in CSV."""
+    from lookout.sources.tables import RUN_METRICS_SCHEMA, RUN_PREDICTION_SCHEMA, read_or_empty, read_part_csvs
 
+    prepare(spark)
     if fmt == "csv":
-        pred = read_part_csvs(spark, predictions_dir, PREDICTION_SCHEMA)
-        metrics = read_part_csvs(spark, metrics_dir, METRICS_SCHEMA)
+        pred = read_part_csvs(spark, predictions_dir, RUN_PREDICTION_SCHEMA)
+        metrics = read_part_csvs(spark, metrics_dir, RUN_METRICS_SCHEMA)
     else:
-        pred = read_or_empty(spark, predictions_dir, PREDICTION_SCHEMA)
-        metrics = read_or_empty(spark, metrics_dir, METRICS_SCHEMA)
+        pred = read_or_empty(spark, predictions_dir, RUN_PREDICTION_SCHEMA)
+        metrics = read_or_empty(spark, metrics_dir, RUN_METRICS_SCHEMA)
     ok = has_required_columns(pred)
     views = {
         "total_images": total_images(pred) if ok else None,

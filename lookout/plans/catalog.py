@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from lookout.plans import q_dataset, q_evaluation, q_images, q_streaming, q_views  # noqa: F401
+    from lookout.plans import q_dataset, q_evaluation, q_images, q_streaming, q_tables, q_views  # noqa: F401

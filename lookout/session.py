@@ -70,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        # A Spark Connect client may not see the master: not taken for a local one.
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lookout-ckpt-")
@@ -114,6 +115,14 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def prepare_active() -> None:
+    """:func:`prepare` for the active session, where a function that makes a
+    Python UDF is given none (without a session there is nothing to send to)."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        prepare(spark)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables
     (round trips, sinks, stream checkpoints). Never a machine-local temp dir

@@ -3,11 +3,17 @@ writes (S6, S7, S8, S15)."""
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lookout.session import prepare
+from lookout.sources.commits import committed_folders, csv_options, has_log, read_committed
+
 # Schema of the prediction table written by the stream (one row per image).
 PREDICTION_SCHEMA = T.StructType(
     [
@@ -28,6 +34,12 @@ METRICS_SCHEMA = T.StructType(
     ]
 )
 
+# The same tables as the page reads them: rows of several runs (checkpoints) are
+# told apart; in tables of other writers the run is null.
+RUN_FIELD = T.StructField("run_id", T.StringType(), True)
+RUN_PREDICTION_SCHEMA = T.StructType([*PREDICTION_SCHEMA.fields, RUN_FIELD])
+RUN_METRICS_SCHEMA = T.StructType([*METRICS_SCHEMA.fields, RUN_FIELD])
+
 # The CSV layout of the reference sink (header, two text columns).
 PREDICTION_CSV_SCHEMA = T.StructType(
     [
@@ -64,9 +76,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
     """A result table that does not exist yet is an empty view, not an error
-    (S15); a declared schema keeps the view's columns stable."""
+    (S15); a declared schema keeps the view's columns stable. Of a table with a
+    commit log the committed rows are read."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    if fmt == "parquet" and has_log(spark, path):
+        return read_committed(spark, path, schema)
     reader = spark.read.format(fmt).schema(schema)
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -97,75 +112,79 @@ def _first_lines(paths: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"path": paths["path"], "header": heads})
 
 
+def _names(header: str) -> list[str]:
+    """Column names of a header line (quoted names included); a name that
+    comes again gets a number, so that the first one counts."""
+    names = [c.strip() for c in next(csv.reader([header]), [])]
+    return [c if c not in names[:i] else f"{c}~{i}" for i, c in enumerate(names)]
+
+
 def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_file_info: bool = False) -> DataFrame:
     """The ``part-*.csv`` files of a folder as one table, columns matched by
     header name (S7/S8, U1). The files are those that Spark's own sources see
-    there: the top level, and hive partition folders such as ``batch_id=N``.
+    there: the top level, and hive partition folders such as ``batch_id=N``;
+    of a table with a commit log, those of its committed batches.
 
     A file's layout is its header line (a distributed read of each file's
-    first line). With one layout the folder is one CSV scan. With several,
-    the lines of the folder are read once and each is parsed by its own
-    file's header, found by a join on the file's path -- a part lacking a
-    column yields nulls in it. Empty (0-byte) and header-only parts add no
-    rows. With ``with_file_info`` the file name and modification time are
-    kept so rows can be ordered like the files (W4)."""
-    extra = [T.StructField("file_name", T.StringType()), T.StructField("file_modification_time", T.TimestampType())]
+    first line). Files of one layout are one CSV scan over their own list, and
+    the scans are united by column name, so a row is read alike whatever other
+    layouts there are -- a part lacking a column yields nulls in it. Empty
+    (0-byte) and header-only parts add no rows; doubled quotes are undone.
+    With ``with_file_info`` the file's name, path and modification time and the
+    row's place in it are kept, so rows can be ordered as they were written
+    (W4)."""
+    extra = [
+        T.StructField("file_name", T.StringType()),
+        T.StructField("file_modification_time", T.TimestampType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("block_start", T.LongType()),
+        T.StructField("row_in_block", T.LongType()),
+    ]
     out_schema = T.StructType(list(schema.fields) + (extra if with_file_info else []))
+    empty = spark.createDataFrame([], out_schema)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], out_schema)
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").load(path).select("path", "length")
+        return empty
+    prepare(spark)
+    folders = committed_folders(spark, path) if has_log(spark, path) else [path]
+    if not folders:
+        return empty
+    # The folder names below the table are columns; with a list of files Spark
+    # has to be told where they begin.
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").option("basePath", path)
     heads = (
-        listing.where(F.col("length") > 0)
+        listing.load(folders)
+        .where(F.col("length") > 0)
         .select("path")
         .mapInPandas(lambda it: (_first_lines(b) for b in it), "path string, header string")
         .checkpoint()
     )
     # Distinct headers = schema versions of the writer: a handful of rows.
-    headers = [r["header"] for r in heads.select("header").distinct().collect()]
+    headers = [r["header"] for r in heads.select("header").distinct().orderBy("header").collect()]
     if not headers:
-        return spark.createDataFrame([], out_schema)
+        return empty
     by_name = {f.name: f for f in schema.fields}
-
-    def layout(header: str) -> T.StructType:
-        cols = [c.strip().strip('"') for c in header.split(",")]
-        return T.StructType([T.StructField(c, by_name[c].dataType if c in by_name else T.StringType()) for c in cols])
-
-    info = [
+    places = [
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_modification_time"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        # A block is read by one task from its first row to its last, so these
+        # numbers rise with the rows of a block (they mean nothing beyond it).
+        F.monotonically_increasing_id().alias("row_in_block"),
     ]
-    if len(headers) == 1:
-        reader = spark.read.schema(layout(headers[0])).option("header", True).option("pathGlobFilter", "part-*.csv")
-        rows = reader.csv(path)
-        found = set(layout(headers[0]).names)
-        rows = rows.select(*rows.columns, *(info if with_file_info else []))
-    else:
-        lines = spark.read.option("pathGlobFilter", "part-*.csv").text(path)
-        folders = [c for c in lines.columns if c != "value"]  # hive partition columns
-        lines = lines.select("*", F.col("_metadata.file_path").alias("_path"), *info)
-        key = lambda c: F.regexp_replace(c, r"^file:/*", "/")
-        heads = heads.select(key(F.col("path")).alias("_key"), "header")
-        rows = lines.join(heads, key(F.col("_path")) == F.col("_key")).where(
-            (F.col("value") != F.col("header")) & (F.col("value") != "")
-        )
-        parsed, found = {}, set(folders)
-        for h in headers:
-            fields = layout(h)
-            found |= set(fields.names)
-            one = F.from_csv("value", fields.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE"})
-            for name in fields.names:
-                if name in by_name:
-                    value = F.when(F.col("header") == h, one[name])
-                    parsed[name] = F.coalesce(parsed[name], value) if name in parsed else value
-        rows = rows.select(
-            *[e.alias(n) for n, e in parsed.items()],
-            *[c for c in folders if c not in parsed],
-            "file_name",
-            "file_modification_time",
-        )
-    return rows.select(
-        *[
-            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in out_schema.fields
+    frames = []
+    for header in headers:
+        names = _names(header)
+        fields = [T.StructField(c, by_name[c].dataType if c in by_name else T.StringType()) for c in names]
+        reader = spark.read.schema(T.StructType(fields)).options(**csv_options("csv")).option("basePath", path)
+        if len(headers) == 1:
+            rows = reader.option("pathGlobFilter", "part-*.csv").csv(folders)
+        else:
+            # The scan's own list of files; the driver holds a scan's files anyhow.
+            rows = reader.csv([r["path"] for r in heads.where(F.col("header") == header).select("path").collect()])
+        wanted = [
+            (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
         ]
-    )
+        frames.append(rows.select(*wanted, *(places if with_file_info else [])))
+    return reduce(DataFrame.unionByName, frames)

@@ -2,8 +2,9 @@
 
     python -m lookout.streaming --input DIR --output DIR [--metrics DIR]
         [--checkpoint DIR] [--size 64] [--model model.onnx]
-        [--max-files-per-trigger N] [--trigger-seconds S | --available-now]
-        [--csv]
+        [--max-files-per-trigger N | --max-bytes-per-trigger SIZE]
+        [--trigger-seconds S | --available-now] [--csv]
+        [--archive DIR | --delete-read] [--newest-first] [--max-file-age AGE]
 
 Without ``--model`` the rule-defined linear head scores the images. The
 session comes from ``spark-submit`` / the cluster configuration.
@@ -17,6 +18,7 @@ import os
 from pyspark.sql import SparkSession
 
 from lookout.operators.scoring import onnx_predict_fn
+from lookout.sources.images import StreamLimits
 from lookout.streaming.classify import start_image_classifier
 
 
@@ -30,6 +32,11 @@ def main(argv=None) -> None:
     ap.add_argument("--size", type=int, default=64)
     ap.add_argument("--model")
     ap.add_argument("--max-files-per-trigger", type=int)
+    ap.add_argument("--max-bytes-per-trigger", help="such as 512m")
+    ap.add_argument("--archive", help="files of finished batches move below this folder")
+    ap.add_argument("--delete-read", action="store_true", help="files of finished batches are deleted")
+    ap.add_argument("--newest-first", action="store_true")
+    ap.add_argument("--max-file-age", help="such as 7d: older files are left out")
     ap.add_argument("--trigger-seconds", type=float)
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--csv", action="store_true")
@@ -58,6 +65,13 @@ def main(argv=None) -> None:
         fmt="csv" if a.csv else "parquet",
         antialias=a.antialias,
         rejects_dir=a.rejects,
+        limits=StreamLimits(
+            max_bytes=a.max_bytes_per_trigger,
+            newest_first=a.newest_first,
+            max_age=a.max_file_age,
+            clean="archive" if a.archive else "delete" if a.delete_read else None,
+            archive_dir=a.archive,
+        ),
     )
     print(f"[lookout] streaming images from {a.input} -> {a.output}", flush=True)
     q.awaitTermination()

@@ -24,9 +24,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from lookout.classes import class_dim
 from lookout.functions.images import pixel_vectors
 from lookout.operators.scoring import LinearModel, cached_predict, prediction_text, score_udf, with_scores
-from lookout.sources.images import image_features, read_image_stream, split_valid
+from lookout.session import prepare
+from lookout.sources.images import StreamLimits, image_features, read_image_stream, split_valid
+from lookout.sources.commits import commit, read_committed, snapshot, vacuum, write_attempt
 from lookout.sources.tables import path_exists, read_or_empty
-from lookout.streaming.sink import BatchSink, run_of, write_partition
+from lookout.streaming.sink import BatchSink, run_of
 
 CLASSIFIED_SCHEMA = "image string, prediction string, modification_time timestamp, error string"
 UNDECODABLE = "undecodable_image"
@@ -38,7 +40,7 @@ def classify_images(
     width: int = 64,
     make_predict_fn=None,
     batch_size: int = 64,
-    antialias: bool = False,
+    antialias: bool | str = False,
     fused: bool = True,
 ) -> DataFrame:
     """Decoded images -> ``image, prediction, modification_time,
@@ -73,7 +75,8 @@ def classify_images(
     return ok.unionByName(rejected)
 
 
-def _classify_fused(images: DataFrame, height: int, width: int, make, batch_size: int, antialias: bool) -> DataFrame:
+def _classify_fused(images: DataFrame, height: int, width: int, make, batch_size: int, antialias: bool | str) -> DataFrame:
+    prepare(images.sparkSession)
     key = uuid.uuid4().hex  # one model per worker for this query (cached_predict keeps a few)
     im = F.col("image")
     src = images.select(
@@ -125,18 +128,21 @@ def start_image_classifier(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     fmt: str = "parquet",
-    antialias: bool = False,
+    antialias: bool | str = False,
     rejects_dir: str | None = None,
     fused: bool = True,
+    limits: StreamLimits = StreamLimits(),
 ) -> StreamingQuery:
     """Start the classification stream. ``trigger`` defaults to
     ``availableNow`` (drain and stop); pass ``{"processingTime": "5
     seconds"}`` for a long-running query. Restarting with the same
     checkpoint resumes after the last committed batch (T3). Undecodable
     files go to ``rejects_dir`` (default: a ``rejects`` folder next to the
-    metrics)."""
+    metrics). ``limits`` says what a batch admits and what becomes of files
+    that were read."""
+    prepare(spark)
     rejects_dir = rejects_dir or metrics_dir.rstrip("/").rsplit("/", 1)[0] + "/rejects"
-    images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
+    images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger, limits=limits)
     preds = classify_images(images, height, width, make_predict_fn, antialias=antialias, fused=fused)
     sink = BatchSink(output_dir, metrics_dir, fmt, rejects_dir, checkpoint)
     return _start(preds, sink, checkpoint, trigger, None)
@@ -150,14 +156,17 @@ def start_table_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """T1/T2 for an already-transformed streaming DataFrame (any source)."""
+    prepare(source.sparkSession)
     return _start(source, BatchSink(output_dir, metrics_dir, checkpoint=checkpoint), checkpoint, trigger, None)
 
 
 class CountSink:
-    """``foreachBatch`` sink of the live class counts: each micro-batch writes
-    its own counts (at most 11 rows) to its (run, batch) partition. The
-    totals are sums over these, so a replayed batch replaces its counts
-    instead of adding to them, and no running state can go stale."""
+    """``foreachBatch`` sink of the live class counts: each trigger gives the
+    counts so far (a handful of rows, from the query's state), which are
+    committed as its batch; readers take the newest one of a run. What older
+    triggers wrote is deleted in passing, after a while."""
+
+    VACUUM_EVERY, KEEP_SECONDS = 100, 600
 
     def __init__(self, path: str, checkpoint: str):
         self.path = path.rstrip("/")
@@ -165,12 +174,21 @@ class CountSink:
         self._run: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         if self._run is None:
-            self._run = run_of(batch.sparkSession, self.checkpoint)
-        counts = class_totals(batch).withColumns(
-            {"run_id": F.lit(self._run), "batch_id": F.lit(batch_id).cast("bigint")}
-        )
-        write_partition(counts.coalesce(1), self.path, rebalance=False)
+            self._run = run_of(spark, self.checkpoint)
+        commit(spark, self.path, self._run, batch_id, write_attempt(batch.coalesce(1), self.path, self._run, batch_id))
+        if batch_id % self.VACUUM_EVERY == self.VACUUM_EVERY - 1:
+            forget_older(spark, self.path, self._run, batch_id)
+            vacuum(spark, self.path, self.KEEP_SECONDS)
+
+
+def forget_older(spark: SparkSession, path: str, run: str, batch_id: int) -> None:
+    """Commits the batches of a run before ``batch_id`` as empty: a newer one
+    holds what they held."""
+    for r, b in snapshot(spark, path).folders():
+        if r == run and b < batch_id:
+            commit(spark, path, r, b)
 
 
 def class_totals(predictions: DataFrame) -> DataFrame:
@@ -188,15 +206,17 @@ def with_class_names(counts: DataFrame) -> DataFrame:
     )
 
 
-COUNT_SCHEMA = "class_id int, n_images long, run_id string, batch_id long"
+COUNT_SCHEMA = T.StructType([T.StructField("class_id", T.IntegerType()), T.StructField("n_images", T.LongType())])
+# Partitions of the counts' state: a few keys, whatever the stream brings.
+STATE_PARTITIONS = 4
 
 
 def read_live_table(spark: SparkSession, path: str, every_run: bool = False) -> DataFrame | None:
-    """T4: running images per class of the newest run (or of all runs), or
-    None before the first batch. Sums at most 11 rows per batch."""
+    """T4: running images per class of the newest run (or of all runs, as the
+    page counts the predictions), or None before the first batch."""
     if not path_exists(spark, path):
         return None
-    counts = spark.read.schema(COUNT_SCHEMA).parquet(path)
+    counts = read_committed(spark, path, COUNT_SCHEMA, newest=True)
     if not every_run:
         newest = counts.agg(F.max("run_id")).first()[0]
         if newest is None:
@@ -210,9 +230,19 @@ def start_live_class_counts(
 ) -> StreamingQuery:
     """T4: class counts of a stream of predictions, refreshed on every
     trigger; ``{"processingTime": "2 seconds"}`` matches the page's refresh.
-    The source must give each prediction once (the classified stream itself,
-    not the folder that a :class:`BatchSink` rewrites on replay)."""
-    return _start(predictions, CountSink(table_path, checkpoint), checkpoint, trigger, None)
+    The counts are the query's state (``groupBy`` in complete mode): a restart
+    goes on from the checkpointed state store and reads no old input, and a
+    replayed batch starts from the state before it. The source must give each
+    prediction once (the classified stream itself, not the folder that a
+    :class:`BatchSink` rewrites on replay)."""
+    spark = predictions.sparkSession
+    prepare(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:  # the number of state partitions is that of the session when the query starts
+        spark.conf.set("spark.sql.shuffle.partitions", STATE_PARTITIONS)
+        return _start(class_totals(predictions), CountSink(table_path, checkpoint), checkpoint, trigger, None, "complete")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 PROGRESS_SCHEMA = (

@@ -1,13 +1,14 @@
 """Idempotent micro-batch sink.
 
-Every micro-batch writes its predictions to
-``<out>/run_id=<run>/batch_id=<id>/`` and its timing row to the same place
-under ``<metrics>``, with dynamic partition overwrite. A batch replayed after
-a failure (the checkpoint commits after the sink) replaces its own partition
-instead of appending duplicates. A *run* is the life of one checkpoint: its
-id comes from the checkpoint's metadata, so a restart goes on in the same
-run, while a new checkpoint, or a second consumer on the same folder, never
-touches what another one wrote. Run ids sort by the time they began.
+Every micro-batch writes its predictions, its rejects and its timing row to
+folders of their own and then commits them (:mod:`lookout.sources.commits`).
+A batch replayed after a failure (the checkpoint commits after the sink)
+replaces all that an earlier attempt wrote, whole: rows that are rejects in the
+second attempt are no predictions any more. A *run* is the life of one
+checkpoint: its id is written into the checkpoint's folder once, so a restart,
+or a copy of the checkpoint, goes on in the same run, while a new checkpoint,
+or a second consumer on the same folder, never touches what another one wrote.
+Run ids sort by the time they began.
 
 The row count comes from an ``Observation`` on the write itself, so the batch
 is computed once -- no ``persist`` + ``count`` second pass. When the batch
@@ -25,20 +26,27 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lookout.session import prepare
+from lookout.sources.commits import EMPTY, Files, commit, csv_options, write_attempt
+
 FIRST_RUN = "first"
+RUN_FILE = "lookout_run"
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
     """Run id of a checkpoint: when its metadata was first written, and the
-    query id in it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "metadata")
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    stream = fs.open(where)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return f"{fs.getFileStatus(where).getModificationTime():015d}-{json.loads(text)['id'][:8]}"
+    query id in it. It is kept in a file of the checkpoint's folder, as file
+    times change when a folder is copied."""
+    files = Files(spark, checkpoint)
+    kept = f"{checkpoint}/{RUN_FILE}"
+    if files.exists(kept):
+        return files.read(kept)
+    where = files.path(checkpoint, "metadata")
+    began = files.fs.getFileStatus(where).getModificationTime()
+    run = f"{began:015d}-{json.loads(files.read(f'{checkpoint}/metadata'))['id'][:8]}"
+    files.write(f"{kept}.draft", run)
+    files.rename(f"{kept}.draft", kept)
+    return run
 
 
 def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True, rebalance: bool = True) -> None:
@@ -51,9 +59,7 @@ def write_partition(df: DataFrame, path: str, fmt: str = "parquet", header: bool
         df = df.hint("rebalance", "batch_id")
     parts = [c for c in ("run_id", "batch_id") if c in df.columns]
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    if fmt == "csv":
-        writer = writer.option("header", header)
-    writer.format(fmt).save(path)
+    writer.format(fmt).options(**csv_options(fmt, header)).save(path)
 
 
 class BatchSink:
@@ -83,37 +89,43 @@ class BatchSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        prepare(spark)
         obs = Observation(f"batch_{batch_id}")
         start = time.time()
         run = self.run(spark)
-        rows = batch.withColumn("run_id", F.lit(run)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        split = "error" in rows.columns
-        if split:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        split = "error" in batch.columns
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK) if split else batch
+        rejected = EMPTY
         try:
             good = rows.where(F.col("error").isNull()).drop("error") if split else rows
             # rebalance: AQE sizes the output files (a few per batch, not one
             # per input task) by shuffling the narrow result rows only
             # (the observation sits above the rebalance: below it, an empty
             # batch would lose its metrics)
-            good = good.hint("rebalance", "batch_id").observe(obs, F.count(F.lit(1)).alias("n"))
-            write_partition(good, self.output_dir, self.fmt, rebalance=False)
+            good = good.hint("rebalance").observe(obs, F.count(F.lit(1)).alias("n"))
+            attempt = write_attempt(good, self.output_dir, run, batch_id, self.fmt)
             if split and self.rejects_dir:
                 bad = rows.where(F.col("error").isNotNull()).drop("prediction")
-                write_partition(bad, self.rejects_dir, self.fmt)
+                if not bad.isEmpty():
+                    rejected = write_attempt(bad.hint("rebalance"), self.rejects_dir, run, batch_id, self.fmt)
         finally:
             if split:
                 rows.unpersist()
         n = int(obs.get.get("n", 0) or 0)
         duration_ms = int(round((time.time() - start) * 1000))
-        if n == 0 or not self.metrics_dir:
-            return  # P3: an empty batch leaves no metrics row
-        # One row from literals: a JVM-only plan, no Python worker per batch.
-        metrics = spark.range(1).select(
-            F.lit(run).alias("run_id"),
-            F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
-            F.lit(n).cast("bigint").alias("num_images"),
-            F.lit(duration_ms).cast("bigint").alias("duration_ms"),
-            (F.lit(float(duration_ms)) / F.lit(n)).alias("ms_per_image"),
-        )
-        write_partition(metrics, self.metrics_dir, self.fmt, rebalance=False)
+        timing = EMPTY
+        if n and self.metrics_dir:  # P3: an empty batch leaves no metrics row
+            # One row from literals: a JVM-only plan, no Python worker per batch.
+            metrics = spark.range(1).select(
+                F.lit(n).cast("bigint").alias("num_images"),
+                F.lit(duration_ms).cast("bigint").alias("duration_ms"),
+                (F.lit(float(duration_ms)) / F.lit(n)).alias("ms_per_image"),
+            )
+            timing = write_attempt(metrics, self.metrics_dir, run, batch_id, self.fmt)
+        # Each table changes at its commit, the predictions last. If the driver
+        # is lost in between, Spark runs the batch again and all are replaced.
+        if split and self.rejects_dir:
+            commit(spark, self.rejects_dir, run, batch_id, rejected)
+        if self.metrics_dir:
+            commit(spark, self.metrics_dir, run, batch_id, timing)
+        commit(spark, self.output_dir, run, batch_id, attempt if n else EMPTY)

@@ -1,0 +1,243 @@
+"""The commit log: replays, resets, readers beside writers, compaction."""
+
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from lookout.operators import views as V
+from lookout.sources import commits as K
+from lookout.sources.tables import METRICS_SCHEMA, PREDICTION_SCHEMA, read_or_empty, read_part_csvs
+from lookout.streaming.sink import RUN_FILE, BatchSink, run_of
+
+EVENT = "image string, prediction string, modification_time timestamp"
+
+
+def _batch(spark, names, schema=EVENT):
+    return spark.createDataFrame([(n, "1", None) for n in names], schema)
+
+
+def _names(df):
+    return sorted(r.image for r in df.select("image").collect())
+
+
+def test_a_replay_whose_rows_are_rejects_leaves_none_behind(spark, tmpdir_fresh):
+    """Replacing only the partitions that new rows touch would keep a.png in
+    both tables."""
+    base = tmpdir_fresh
+    sink = BatchSink(f"{base}/p", f"{base}/m", rejects_dir=f"{base}/r")
+    rows = "image string, prediction string, modification_time timestamp, error string"
+    sink(spark.createDataFrame([("a.png", "3", None, None), ("b.png", "3", None, None)], rows), 0)
+    sink(spark.createDataFrame([("a.png", None, None, "bad"), ("b.png", None, None, "bad")], rows), 0)
+    assert read_or_empty(spark, f"{base}/p", PREDICTION_SCHEMA).count() == 0
+    assert read_or_empty(spark, f"{base}/m", METRICS_SCHEMA).count() == 0
+    assert _names(K.read_committed(spark, f"{base}/r")) == ["a.png", "b.png"]
+    sink(spark.createDataFrame([("a.png", "3", None, None), ("b.png", None, None, "bad")], rows), 0)
+    assert _names(read_or_empty(spark, f"{base}/p", PREDICTION_SCHEMA)) == ["a.png"]
+    assert _names(K.read_committed(spark, f"{base}/r")) == ["b.png"]
+
+
+def test_an_attempt_counts_from_its_commit_on(spark, tmpdir_fresh):
+    out = f"{tmpdir_fresh}/t"
+    assert K.read_committed(spark, out, PREDICTION_SCHEMA).count() == 0
+    first = K.write_attempt(_batch(spark, ["a", "b"]), out, "r", 0)
+    assert K.read_committed(spark, out, PREDICTION_SCHEMA).count() == 0
+    K.commit(spark, out, "r", 0, first)
+    reader = K.read_committed(spark, out, PREDICTION_SCHEMA)
+    second = K.write_attempt(_batch(spark, ["c"]), out, "r", 0)
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == ["a", "b"]
+    K.commit(spark, out, "r", 0, second)
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == ["c"]
+    assert _names(reader) == ["a", "b"]  # began before: nothing is taken away from under it
+    row = K.read_committed(spark, out, PREDICTION_SCHEMA).first()
+    assert (row.run_id, row.batch_id) == ("r", 0)
+    with pytest.raises(ValueError):
+        K.write_attempt(_batch(spark, ["c"]), out, "a/b", 0)
+
+
+def test_compaction_keeps_rows_readers_and_replays(spark, tmpdir_fresh):
+    out = f"{tmpdir_fresh}/t"
+    sink = BatchSink(out)
+    for b in range(6):
+        sink(_batch(spark, [f"{b}-{k}" for k in range(b)]), b)  # the first one is empty
+    before = _names(K.read_committed(spark, out, PREDICTION_SCHEMA))
+    reader = K.read_committed(spark, out, PREDICTION_SCHEMA)
+    assert K.compact(spark, out, PREDICTION_SCHEMA) == 6
+    assert K.committed_folders(spark, out) == []
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == before == _names(reader)
+    assert K.compact(spark, out, PREDICTION_SCHEMA) == 0  # nothing new
+    sink(_batch(spark, ["new"]), 3)  # a compacted batch is replayed
+    want = sorted([n for n in before if not n.startswith("3-")] + ["new"])
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == want
+    sink(_batch(spark, ["six"]), 6)
+    sink(_batch(spark, []), 5)  # and one is empty now
+    want = sorted([n for n in want if not n.startswith("5-")] + ["six"])
+    assert K.compact(spark, out, PREDICTION_SCHEMA) == 3
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == want
+    assert K.vacuum(spark, out, 3600) == 0  # all of it is young
+    assert K.vacuum(spark, out, 0) > 0
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == want
+    assert [n for n in os.listdir(out) if n.startswith("run_id=")] == ["run_id=first"]
+    sink(_batch(spark, ["again"]), 3)  # versions go on behind the vacuum
+    want = sorted([n for n in want if n != "new"] + ["again"])
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == want
+    assert K.compact(spark, out, PREDICTION_SCHEMA, everything=True) > 0
+    assert K.vacuum(spark, out, 0) > 0
+    assert len(K.snapshot(spark, out).compacted) == 1 and len(os.listdir(f"{out}/{K.COMPACTED}")) == 1
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA)) == want
+    # The newest views work over both kinds of folders.
+    sink(_batch(spark, ["last"]), 7)
+    pred = read_or_empty(spark, out, PREDICTION_SCHEMA)
+    assert V.latest_prediction(pred).first().image == "last"
+    assert _names(K.read_committed(spark, out, PREDICTION_SCHEMA, newest=True)) == ["last"]
+
+
+def test_one_compaction_at_a_time(spark, tmpdir_fresh):
+    out = f"{tmpdir_fresh}/t"
+    sink = BatchSink(out)
+    for b in range(2):
+        sink(_batch(spark, [f"{b}"]), b)
+    files = K.Files(spark, out)
+    assert files.create(f"{out}/{K.LOG}/claim")
+    assert K.compact(spark, out, PREDICTION_SCHEMA) == 0
+    files.delete(f"{out}/{K.LOG}/claim")
+    assert K.compact(spark, out, PREDICTION_SCHEMA) == 2
+
+
+def test_run_ids_stay_with_a_copied_checkpoint(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    os.makedirs(f"{base}/ck")
+    with open(f"{base}/ck/metadata", "w") as f:
+        f.write('{"id":"0123456789abcdef"}')
+    run = run_of(spark, f"{base}/ck")
+    assert run.endswith("-01234567") and os.path.exists(f"{base}/ck/{RUN_FILE}")
+    shutil.copytree(f"{base}/ck", f"{base}/copy")
+    os.utime(f"{base}/copy/metadata", (1, 1))
+    assert run_of(spark, f"{base}/copy") == run == run_of(spark, f"{base}/ck")
+
+
+def test_csv_page_after_a_reset(spark, tmpdir_fresh):
+    """Run 1 with batches 0 to 2, then run 2 with batch 0: the same page from
+    CSV as from Parquet."""
+    pages = {}
+    for fmt in ("csv", "parquet"):
+        base = f"{tmpdir_fresh}/{fmt}"
+        for run, n in (("001", 3), ("002", 1)):
+            sink = BatchSink(f"{base}/p", f"{base}/m", fmt=fmt, run_id=run)
+            for b in range(n):
+                sink(_batch(spark, [f"file:/i/{run}-{b}-{k}.png" for k in range(2)]), b)
+        page = V.page(spark, f"{base}/p", f"{base}/m", fmt=fmt, recent=5)
+        pages[fmt] = [[tuple(r) for r in page[x].collect()] for x in ("latest", "recent", "class_counts")]
+        assert page["latest"].first().file_name == "002-0-1.png"
+        assert page["metrics_kpis"].first().n_batches == 4
+    assert [r[2] for r in pages["csv"][1]] == [r[2] for r in pages["parquet"][1]]
+    assert pages["csv"][2] == pages["parquet"][2]
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+@pytest.mark.parametrize("layouts", [1, 2, 3])
+def test_csv_rows_do_not_depend_on_other_layouts(spark, tmpdir_fresh, layouts):
+    d = tmpdir_fresh
+    _write(f"{d}/part-0.csv", 'image,prediction\n"b ""q"", x.png",1\nimage,prediction\n"",2\n')
+    if layouts > 1:
+        _write(f"{d}/part-1.csv", "prediction,ms per image,image\n7,0.5,c.png\n")
+    if layouts > 2:
+        _write(f"{d}/part-2.csv", '"image"\nd.png\n')
+    rows = {(r.image, r.prediction) for r in read_part_csvs(spark, d, PREDICTION_SCHEMA).collect()}
+    want = {('b "q", x.png', "1"), ("image", "prediction"), (None, "2")}
+    if layouts > 1:
+        want.add(("c.png", "7"))
+    if layouts > 2:
+        want.add(("d.png", None))
+    assert {(i or None, p) for i, p in rows} == want
+
+
+def test_rows_come_in_the_order_of_their_files_and_lines(spark, tmpdir_fresh, monkeypatch):
+    d = tmpdir_fresh
+    want = []
+    for k in range(3):
+        names = [f"{k}-{(7 * i) % 500:03d}" for i in range(500)]
+        want += names
+        _write(f"{d}/part-{k}.csv", "image,prediction\n" + "".join(f"{n},1\n" for n in names))
+        os.utime(f"{d}/part-{k}.csv", (1_700_000_000, 1_700_000_000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")  # files are cut into blocks
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = read_part_csvs(spark, d, PREDICTION_SCHEMA, with_file_info=True)
+        assert rows.select("block_start").distinct().count() > 1
+        assert [r.image for r in V.in_file_order(rows).collect()] == want
+        assert [r.image for r in V.newest_in_files(rows, 3).collect()] == want[:-4:-1]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_live_counts_are_state(spark, tmpdir_fresh):
+    """Stopped between batches; the source and the table are gone before it
+    starts again."""
+    from lookout.streaming.classify import read_live_table, start_live_class_counts
+
+    src, table, ckpt = f"{tmpdir_fresh}/src", f"{tmpdir_fresh}/live", f"{tmpdir_fresh}/ck"
+
+    def run(rows):
+        spark.createDataFrame([(*r, None) for r in rows], EVENT).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(src)
+        start_live_class_counts(stream, table, ckpt).awaitTermination()
+        return {r.class_id: r.n_images for r in read_live_table(spark, table).collect()}
+
+    assert run([("a", "1"), ("b", "1"), ("c", "x")]) == {1: 2, None: 1}
+    shutil.rmtree(src)
+    shutil.rmtree(table)
+    assert run([("d", "1"), ("e", "5")]) == {1: 3, 5: 1, None: 1}
+    assert len(os.listdir(f"{ckpt}/state/0")) <= 6  # a few keys: a few partitions
+
+
+def test_live_table_forgets_old_triggers(spark, tmpdir_fresh, monkeypatch):
+    from lookout.streaming import classify as C
+
+    os.makedirs(f"{tmpdir_fresh}/ck")
+    with open(f"{tmpdir_fresh}/ck/metadata", "w") as f:
+        f.write('{"id":"0123456789abcdef"}')
+    monkeypatch.setattr(C.CountSink, "VACUUM_EVERY", 3)
+    monkeypatch.setattr(C.CountSink, "KEEP_SECONDS", 0)
+    table = f"{tmpdir_fresh}/live"
+    sink = C.CountSink(table, f"{tmpdir_fresh}/ck")
+    for b in range(6):
+        sink(spark.createDataFrame([(1, b + 1)], "class_id int, n_images long"), b)
+    assert [r.n_images for r in C.read_live_table(spark, table).collect()] == [6]
+    run = next(n for n in os.listdir(table) if n.startswith("run_id="))
+    assert len([n for n in os.listdir(f"{table}/{run}") if n.startswith("batch_id=")]) == 1
+
+
+def test_stream_limits():
+    from lookout.sources.images import StreamLimits
+
+    assert StreamLimits(max_bytes="1m", clean="archive", archive_dir="/a").options() == {
+        "maxBytesPerTrigger": "1m", "cleanSource": "archive", "sourceArchiveDir": "/a"}
+    for bad in ({"max_files": 1, "max_bytes": 1}, {"clean": "move"}, {"clean": "archive"}, {"archive_dir": "/a"}):
+        with pytest.raises(ValueError):
+            StreamLimits(**bad).options()
+
+
+def test_read_files_are_deleted_and_old_ones_left_out(spark, tmpdir_fresh):
+    from lookout.sources.images import StreamLimits, read_binary_stream
+    from lookout.streaming.classify import start_table_stream
+
+    src = f"{tmpdir_fresh}/in"
+    for k in range(4):
+        _write(f"{src}/f{k}.png", "x" * (k + 1))
+        os.utime(f"{src}/f{k}.png", (1_700_000_000 + 86_400 * 10 * k,) * 2)
+    limits = StreamLimits(max_files=1, clean="delete", max_age="15d", newest_first=False)
+    out = f"{tmpdir_fresh}/out"
+    stream = read_binary_stream(spark, src, limits=limits).select("path", "length")
+    start_table_stream(stream, out, None, f"{tmpdir_fresh}/ck").awaitTermination()
+    lengths = sorted(r.length for r in K.read_committed(spark, out).select("length").collect())
+    assert lengths[-1] == 4 and len(lengths) == len(set(lengths))
+    assert "f3.png" in os.listdir(src) and len(os.listdir(src)) < 4
