@@ -72,26 +72,29 @@ def dot(a, w: Sequence[float] | Column) -> Column:
     return F.aggregate(F.zip_with(_c(a), wc, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def rule_weight(c: Column, i: Column) -> Column:
-    """Weight of the deterministic linear stand-in model:
-    ``w[c][i] = ((7c + 3i) % 11 - 5) / 10``."""
-    return ((c * 7 + i * 3) % 11 - 5).cast("double") / 10.0
-
-
-def rule_bias(c: Column) -> Column:
-    return c.cast("double") / 100.0
+# The deterministic linear stand-in model: weights ((7c + 3i) % 11 - 5) / 10 for
+# class c and feature i, biases c / 100. They repeat after so many features.
+RULE_PERIOD = 11
 
 
 def linear_scores(x, k: int = 10) -> Column:
     """``k`` class scores ``sum_i x[i] * w[c][i] + b[c]`` of the
-    rule-defined linear head, as pure expressions (any vector length)."""
-    xv = _c(x)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda c: F.aggregate(
-            F.sequence(F.lit(0), F.size(xv) - 1),
-            F.lit(0.0),
-            lambda acc, i: acc + F.element_at(xv, i + 1).cast("double") * rule_weight(c, i),
-        )
-        + rule_bias(c),
+    rule-defined linear head, as pure expressions (any vector length). One
+    period of each class's weights is a constant; it is repeated to the
+    vector's length, and the two are multiplied pairwise."""
+    period = F.array(
+        *[
+            F.array(*[F.lit(((7 * c + 3 * i) % RULE_PERIOD - 5) / 10.0) for i in range(RULE_PERIOD)])
+            for c in range(k)
+        ]
     )
+    biases = F.array(*[F.lit(c / 100.0) for c in range(k)])
+    size = F.size(_c(x))
+    times = F.ceil(size / RULE_PERIOD).cast("int")
+
+    def scores(v: Column) -> Column:  # v: the vector in double precision, made once
+        sums = F.transform(period, lambda w: dot(v, F.slice(F.flatten(F.array_repeat(w, times)), 1, size)))
+        return F.zip_with(sums, biases, lambda a, b: a + b)
+
+    doubles = F.transform(_c(x), lambda v: v.cast("double"))
+    return F.transform(F.array(doubles), scores)[0]

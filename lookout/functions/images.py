@@ -19,6 +19,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lookout.session import prepare_active
+
 # Schema of Spark's ``image`` data source (needed to stream it).
 IMAGE_SCHEMA = T.StructType(
     [
@@ -79,16 +81,59 @@ def _antialias_weights(n_in: int, n_out: int) -> np.ndarray:
     return w / w.sum(axis=1, keepdims=True)
 
 
-def resize_bilinear(img: np.ndarray, height: int, width: int, antialias: bool = False) -> np.ndarray:
+# ``antialias`` of the resize functions: this value asks for the filter of the
+# reference's dataset job, exact to the byte.
+EIGHT_BIT = "8bit"
+# Fixed value (must equal the reference's image library): bits of a weight
+# behind the point.
+WEIGHT_BITS = 22
+
+
+def filter_taps(n_in: int, n_out: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first source index, weights) for each output sample along one axis: a
+    triangle filter as wide as the reduction (one pixel for an enlargement),
+    cut off at the border and scaled to sum to one, as whole numbers of
+    ``2**-WEIGHT_BITS``. Rows are padded with zero weights."""
+    scale = n_in / n_out
+    reach = max(scale, 1.0)
+    centre = (np.arange(n_out) + 0.5) * scale
+    first = np.maximum(np.floor(centre - reach + 0.5), 0).astype(np.int64)
+    last = np.minimum(np.floor(centre + reach + 0.5), n_in).astype(np.int64)
+    at = first[:, None] + np.arange((last - first).max())[None, :]
+    w = np.maximum(0.0, 1.0 - np.abs((at + 0.5 - centre[:, None]) / reach))
+    w[at >= last[:, None]] = 0.0
+    w /= w.sum(axis=1, keepdims=True)
+    return first, np.floor(w * (1 << WEIGHT_BITS) + 0.5).astype(np.int64)
+
+
+def _filter_axis(imgs: np.ndarray, axis: int, n_out: int) -> np.ndarray:
+    """One pass of the filter over bytes: whole-number sums, rounded and held
+    in 8 bits again. Takes one tap of every output sample at a time."""
+    n_in = imgs.shape[axis]
+    if n_in == n_out:
+        return imgs
+    first, weights = filter_taps(n_in, n_out)
+    shape = [1] * imgs.ndim
+    shape[axis] = n_out
+    total = np.full((*imgs.shape[:axis], n_out, *imgs.shape[axis + 1 :]), 1 << (WEIGHT_BITS - 1), np.int64)
+    for k in range(weights.shape[1]):
+        tap = np.take(imgs, np.minimum(first + k, n_in - 1), axis=axis)
+        total += tap * weights[:, k].reshape(shape)
+    return np.clip(total >> WEIGHT_BITS, 0, 255).astype(np.uint8)
+
+
+def resize_bilinear(img: np.ndarray, height: int, width: int, antialias: bool | str = False) -> np.ndarray:
     """Bilinear resize with half-pixel centres, aspect not kept (F2). The
     identity when the size is unchanged. With ``antialias`` a reduction
     averages every source pixel under the output pixel (triangle filter
-    scaled by the factor). Returns float64 in the input's value range."""
+    scaled by the factor); with ``EIGHT_BIT`` it does so in two passes over
+    bytes, rows first, with weights as whole numbers and bytes in between, as
+    image libraries do. Returns float64 in the input's value range."""
     return resize_bilinear_batch(img[None], height, width, antialias)[0]
 
 
 def to_pixel_vector(
-    data: bytes, height: int, width: int, channels: int, out_h: int, out_w: int, antialias: bool = False
+    data: bytes, height: int, width: int, channels: int, out_h: int, out_w: int, antialias: bool | str = False
 ) -> np.ndarray | None:
     """F1-F3 for one decoded image: RGB, resize, round to 8 bits, flatten
     row-major interleaved R,G,B, scale by 1/255 (float32). ``None`` for an
@@ -102,13 +147,15 @@ def to_pixel_vector(
     return (resized.astype(np.float32) / np.float32(255.0)).reshape(-1)
 
 
-def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int, antialias: bool = False) -> np.ndarray:
+def resize_bilinear_batch(imgs: np.ndarray, height: int, width: int, antialias: bool | str = False) -> np.ndarray:
     """:func:`resize_bilinear` for a stack ``N x H x W x C`` of same-size
-    images: one vectorised gather (or two small matrix products) for the
-    whole stack."""
+    images: one vectorised gather (or two small matrix products, or two
+    passes of a few taps) for the whole stack."""
     h, w = imgs.shape[1:3]
     if (h, w) == (height, width):
         return imgs.astype(np.float64)
+    if antialias == EIGHT_BIT:
+        return _filter_axis(_filter_axis(imgs, 2, width), 1, height).astype(np.float64)
     if antialias:
         wy, wx = _antialias_weights(h, height), _antialias_weights(w, width)
         return np.einsum("oh,nhwc,pw->nopc", wy, imgs.astype(np.float64), wx, optimize=True)
@@ -132,7 +179,7 @@ def pixel_vectors(
     channels: pd.Series,
     out_h: int,
     out_w: int,
-    antialias: bool = False,
+    antialias: bool | str = False,
 ) -> list:
     """F1-F3 for an Arrow batch: rows of the same (height, width, channels)
     -- the usual case for one camera -- are stacked and resized together;
@@ -158,9 +205,10 @@ def pixel_vectors(
     return out
 
 
-def pixel_vectors_udf(out_h: int = 64, out_w: int = 64, antialias: bool = False):
+def pixel_vectors_udf(out_h: int = 64, out_w: int = 64, antialias: bool | str = False):
     """Arrow-batched UDF (D1): the image struct's fields -> pixel vector,
     null for undecodable rows (routed to rejects by the caller)."""
+    prepare_active()
 
     @F.pandas_udf(PIXELS_TYPE)
     def pixels(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.Series:
@@ -169,7 +217,7 @@ def pixel_vectors_udf(out_h: int = 64, out_w: int = 64, antialias: bool = False)
     return pixels
 
 
-def pixel_vector(image_col: str = "image", out_h: int = 64, out_w: int = 64, antialias: bool = False) -> Column:
+def pixel_vector(image_col: str = "image", out_h: int = 64, out_w: int = 64, antialias: bool | str = False) -> Column:
     """Column expression: decoded ``image`` struct -> float pixel vector."""
     udf = pixel_vectors_udf(out_h, out_w, antialias)
     im = F.col(image_col)
@@ -187,7 +235,8 @@ KERAS_RECIPE = {"flip_p": 0.0, "max_degrees": 0.05 * 360.0, "brightness": None,
 # Sampling of the geometric step: the first recipe rotates with nearest
 # neighbour and black fill, the second samples bilinearly with reflected
 # borders (the defaults of the libraries those recipes name).
-PREP_RECIPE.update(resample="nearest", fill="constant")
+# The first one's library holds an image in bytes between its steps.
+PREP_RECIPE.update(resample="nearest", fill="constant", steps=EIGHT_BIT)
 KERAS_RECIPE.update(resample="bilinear", fill="reflect")
 
 
@@ -245,6 +294,68 @@ def _affine(img: np.ndarray, degrees: float, scale: float, resample: str = "near
     return _affine_batch(img[None].astype(np.float64), [degrees], [scale], resample, fill)[0]
 
 
+# Fixed values (must equal the reference's image library): weights of red, green
+# and blue in a grey byte, as 65536ths.
+LUMA = (19595, 38470, 7471)
+
+
+def _luma(img: np.ndarray) -> np.ndarray:
+    """Grey bytes of RGB bytes."""
+    r, g, b = (img[..., k].astype(np.int64) * w for k, w in enumerate(LUMA))
+    return (r + g + b + 0x8000) >> 16
+
+
+def _rotate_bytes(imgs: np.ndarray, degrees: np.ndarray) -> np.ndarray:
+    """Each image of ``N x H x W x C`` turned counter-clockwise about its
+    centre: the nearest source pixel, black outside. Positions are whole
+    numbers of 65536ths, so that they agree wherever they are worked out."""
+    n, h, w, _ = imgs.shape
+    t = np.asarray(degrees, dtype=np.float64) * (np.pi / 180.0)
+    cos, sin = np.cos(t), np.sin(t)
+
+    def fixed(v: np.ndarray) -> np.ndarray:
+        return np.floor(v * 65536.0 + 0.5).astype(np.int64)[:, None, None]
+
+    x0 = fixed(w / 2.0 - cos * (w / 2.0) + sin * (h / 2.0) + cos * 0.5 - sin * 0.5)
+    y0 = fixed(h / 2.0 - sin * (w / 2.0) - cos * (h / 2.0) + sin * 0.5 + cos * 0.5)
+    yy, xx = np.mgrid[0:h, 0:w]
+    sx = (x0 + xx * fixed(cos) - yy * fixed(sin)) >> 16
+    sy = (y0 + xx * fixed(sin) + yy * fixed(cos)) >> 16
+    inside = (sx >= 0) & (sx < w) & (sy >= 0) & (sy < h)
+    got = imgs[np.arange(n)[:, None, None], np.clip(sy, 0, h - 1), np.clip(sx, 0, w - 1)]
+    return np.where(inside[..., None], got, 0).astype(np.uint8)
+
+
+def _blend_bytes(base: np.ndarray, imgs: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """``base + factor * (image - base)`` in single precision, cut off to bytes."""
+    by = factor.astype(np.float32)[:, None, None, None]
+    mixed = base.astype(np.float32) + by * (imgs.astype(np.float32) - base.astype(np.float32))
+    return np.clip(mixed, 0, 255).astype(np.uint8)
+
+
+def _augment_bytes(
+    vecs: np.ndarray,
+    height: int,
+    width: int,
+    flip: np.ndarray,
+    degrees: np.ndarray,
+    bright: np.ndarray,
+    contrast: np.ndarray,
+) -> np.ndarray:
+    """Flip, rotation, brightness and contrast on images held in bytes: cut
+    off after every step, the mean grey rounded."""
+    n = len(vecs)
+    img = (np.asarray(vecs, dtype=np.float32) * np.float32(255)).astype(np.uint8).reshape(n, height, width, 3)
+    img[flip] = img[flip][:, :, ::-1]
+    turned = degrees != 0
+    if turned.any():
+        img[turned] = _rotate_bytes(img[turned], degrees[turned])
+    img = _blend_bytes(np.zeros((n, 1, 1, 1)), img, bright)
+    mean = np.floor(_luma(img).reshape(n, -1).mean(axis=1) + 0.5)[:, None, None, None]
+    img = _blend_bytes(mean, img, contrast)
+    return (img.astype(np.float32) / np.float32(255.0)).reshape(n, -1)
+
+
 def augment_batch(vecs: np.ndarray, height: int, width: int, seeds, recipe: dict = PREP_RECIPE) -> np.ndarray:
     """Augmented copies of ``N`` pixel vectors in [0, 1] (``N x H*W*3``),
     copy ``n`` reproducible from ``seeds[n]`` alone: each row draws its own
@@ -267,6 +378,8 @@ def augment_batch(vecs: np.ndarray, height: int, width: int, seeds, recipe: dict
         if recipe.get("contrast"):
             contrast[i] = draw(seed_text, "contrast", *recipe["contrast"])
     img = np.asarray(vecs, dtype=np.float64).reshape(n, height, width, 3) * 255.0
+    if recipe.get("steps") == EIGHT_BIT:
+        return _augment_bytes(vecs, height, width, flip, deg, bright, contrast)
     img[flip] = img[flip][:, :, ::-1]
     moving = (deg != 0) | (scale != 1.0)
     if moving.any():
@@ -293,6 +406,7 @@ def augment_udf(height: int, width: int, recipe: dict = PREP_RECIPE, seed: int =
     """Arrow-batched UDF: (pixels, id, copy index) -> augmented pixels; copy
     index 0 returns the original unchanged. The copies of a batch are
     augmented together (:func:`augment_batch`)."""
+    prepare_active()
 
     @F.pandas_udf(PIXELS_TYPE)
     def augment(pixels: pd.Series, ids: pd.Series, k: pd.Series) -> pd.Series:

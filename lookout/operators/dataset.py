@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lookout.classes import class_dim
 from lookout.operators.ranking import BROADCAST_GROUPS, first_by_rank, shuffle_key
+from lookout.session import prepare, work_dir
+from lookout.sources.commits import Files
 
 SEED = 42
 
@@ -91,6 +93,7 @@ def with_weights(df: DataFrame, weights: DataFrame, label_col: str = "label") ->
     """Weight column for a fit (D6): the weight table has one row per label
     present. It is counted, and broadcast up to ``BROADCAST_GROUPS`` rows, so
     the vectors are not shuffled; a larger one is joined by a shuffle."""
+    prepare(df.sparkSession)
     table = weights.select(label_col, "weight").checkpoint()
     if table.count() <= BROADCAST_GROUPS:
         table = F.broadcast(table)
@@ -185,17 +188,18 @@ def load_features(spark: SparkSession, path: str, columns=("pixels", "label"), l
     return df
 
 
-def storage_report(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+def storage_report(spark: SparkSession, path: str, glob: str = "*.parquet", by: str | None = None) -> DataFrame:
     """Files and bytes of a saved dataset; the listing selects no
-    ``content``, so file bodies are never read."""
+    ``content``, so file bodies are never read. ``by``: a pattern whose first
+    group, found in a file's path, is its ``folder``; one row for each."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("length")
+        .select("length", *([F.regexp_extract("path", by, 1).alias("folder")] if by else []))
     )
-    return listing.agg(
+    return listing.groupBy(*(["folder"] if by else [])).agg(
         F.count(F.lit(1)).alias("n_files"),
         F.sum("length").alias("total_bytes"),
         F.round(F.sum("length") / (1024.0 * 1024.0), 6).alias("size_mb"),
@@ -211,8 +215,9 @@ def prepare_dataset(
     factor: int = 2,
     val_tenths: int = 2,
     seed: int = SEED,
-    antialias: bool = False,
+    antialias: bool | str = False,
     rejects_path: str | None = None,
+    missing_path: str | None = None,
 ) -> DataFrame:
     """The dataset job end to end (S4 -> F1-F3 -> W9 -> U2/F14 -> S11):
     class folders ``c0..c9`` are decoded and resized to pixel vectors, split
@@ -220,18 +225,26 @@ def prepare_dataset(
     augmented copies per image (validation images are kept as they are, so
     no copy of a validation image reaches training, Q16), and the table is
     saved as Parquet partitioned by label. Returns the saved table, read
-    back. ``rejects_path`` gets the files left out, with the reason.
+    back. ``rejects_path`` gets the files left out, with the reason, and
+    ``missing_path`` the classes without any usable file. With ``antialias``
+    set to ``EIGHT_BIT`` images are reduced to the byte as the reference's job
+    reduces them.
 
     An image's id is its path, so splits and augmentation seeds do not depend
-    on listing order or partitioning. The split's key counts read a narrow
-    table (path, label) of the decodable files; the pixel rows then flow from
-    decoding to the written table without a shuffle or an intermediate
-    copy."""
+    on listing order or partitioning. Every image is decoded once: the pass
+    that decodes writes all files, usable or not, with their pixels (small,
+    and the reason for those left out) to the work folder. Split, rejects and
+    missing classes read the narrow columns of that table; the pixel rows go
+    from it to the saved table without a shuffle. It is deleted at the end."""
     from lookout.functions.images import augment_udf
-    from lookout.sources.images import labelled_images
-
-    good, rejects, _missing = labelled_images(spark, root, height, width, antialias)
-    keys = good.select("path", "label").checkpoint()
+    from lookout.sources.images import read_labelled
+
+    prepare(spark)
+    decoded = work_dir(spark, "decoded")
+    read_labelled(spark, root, True, height, width, antialias).write.parquet(decoded)
+    every = spark.read.parquet(decoded)
+    good = every.where(F.col("reason").isNull()).select("path", "label", "pixels")
+    keys = good.select("path", "label")
     split = stratified_split(good, "path", "label", val_tenths, seed, keep_all=True, keys_from=keys)
     copies = augmented_rows(split, factor).where((F.col("split") == "train") | (F.col("aug_index") == 0))
     aug = augment_udf(height, width, seed=seed)
@@ -244,5 +257,10 @@ def prepare_dataset(
     )
     save_features(table, out_path)
     if rejects_path:
+        rejects = every.where(F.col("reason").isNotNull()).select("path", "reason")
         rejects.write.mode("overwrite").parquet(rejects_path)
+    if missing_path:
+        found = keys.select(F.col("label").alias("class_id")).distinct()
+        class_dim(spark).join(found, "class_id", "left_anti").coalesce(1).write.mode("overwrite").parquet(missing_path)
+    Files(spark, decoded).delete(decoded)
     return load_features(spark, out_path, columns=("path", "split", "aug_index", "pixels", "label"))

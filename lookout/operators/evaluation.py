@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lookout.classes import NUM_CLASSES, class_dim
 from lookout.functions.arrays import softmax
+from lookout.session import prepare
 
 # Keras clips probabilities to [eps, 1 - eps] before the log.
 EPSILON = 1e-7
@@ -46,6 +47,7 @@ def _counts(scored: DataFrame) -> DataFrame:
 def confusion_long(scored: DataFrame, k: int = NUM_CLASSES) -> DataFrame:
     """A10, long form: one row per (true, predicted) pair incl. zeros, for
     the classes 0..k-1 and every other label that occurs."""
+    prepare(scored.sparkSession)
     counts = _counts(scored).checkpoint()  # one row per pair: a small table, read twice
     return (
         class_grid(counts, k)
@@ -58,6 +60,7 @@ def confusion_wide(scored: DataFrame, k: int = NUM_CLASSES) -> DataFrame:
     """A10, matrix form: rows = true class, columns ``p<c>`` = predicted
     class, for 0..k-1 and every other label that occurs on either side of
     its axis."""
+    prepare(scored.sparkSession)
     counts = _counts(scored).checkpoint()
     rows = _axis(counts, k).select(F.explode("axis").alias("y_true"))
     predicted = sorted({*range(k), *(r["y_pred"] for r in counts.select("y_pred").distinct().collect())})
@@ -75,11 +78,10 @@ def classification_report(scored: DataFrame, k: int = NUM_CLASSES, digits: int =
     """Precision, recall, F1 and support per class (0 when undefined),
     then ``accuracy``, ``macro avg`` and ``weighted avg`` rows.
 
-    The scored rows are aggregated once into the (true, predicted) table;
-    that table (at most K x K rows) is checkpointed to the shared
-    checkpoint folder, so the several branches below read it instead of
-    re-scanning the data, and its lineage is cut."""
-    cm = confusion_long(scored, k).checkpoint(eager=True)
+    The scored rows are aggregated once into the (true, predicted) table,
+    which :func:`confusion_long` has cut off by a checkpoint; the branches
+    below work on that small table and never on the data."""
+    cm = confusion_long(scored, k)
     per = cm.groupBy(F.col("y_true").alias("class_id")).agg(
         F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("tp"),
         F.sum("n").alias("support"),

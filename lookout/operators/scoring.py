@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lookout.functions.arrays import argmax
+from lookout.session import prepare, prepare_active
 
 SCORES_TYPE = T.ArrayType(T.FloatType())
 
@@ -112,6 +113,7 @@ def score_udf(make_predict_fn, input_shape: Sequence[int], batch_size: int = 64)
     vector to the model's tensor (e.g. ``[64, 64, 3]``)."""
     from pyspark.ml.functions import predict_batch_udf
 
+    prepare_active()
     return predict_batch_udf(
         make_predict_fn,
         return_type=SCORES_TYPE,
@@ -122,6 +124,7 @@ def score_udf(make_predict_fn, input_shape: Sequence[int], batch_size: int = 64)
 
 def with_scores(df: DataFrame, vec_col: str, udf, scores_col: str = "scores") -> DataFrame:
     """Scores and the predicted class (first argmax) for every row."""
+    prepare(df.sparkSession)
     scored = df.withColumn(scores_col, udf(F.col(vec_col)))
     return scored.withColumn("y_pred", argmax(scores_col))
 

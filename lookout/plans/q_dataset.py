@@ -13,6 +13,7 @@ from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
 from lookout.plans.catalog import register
 from lookout.session import work_dir
+from lookout.sources.commits import Files
 from lookout.sources.tables import table
 
 W = S.with_ctes
@@ -270,6 +271,32 @@ def storage_report(spark, sf):
     )
 
 
+@register(
+    "storage_sizes",
+    "SELECT CAST(label AS INTEGER) AS label, true AS listed, true AS equal_bytes, true AS equal_size FROM embeddings GROUP BY label",
+)
+def storage_sizes(spark, sf):
+    """The report of each label's folder against the lengths that the
+    file system gives for it, file by file."""
+    path = work_dir(spark, "features-sizes")
+    D.save_features(S.features(spark, sf), path)
+    report = D.storage_report(spark, path, by=r"label=([^/]+)/")
+    files = Files(spark, path)
+    rows = []
+    for folder in files.names(path):
+        if folder.startswith("label="):
+            parts = [n for n in files.names(f"{path}/{folder}") if n.endswith(".parquet")]
+            lengths = [files.fs.getFileStatus(files.path(path, folder, n)).getLen() for n in parts]
+            rows.append((folder.split("=")[1], len(parts), sum(lengths)))
+    told = spark.createDataFrame(rows, "folder string, files long, bytes long")
+    return report.join(told, "folder", "full").select(
+        F.col("folder").cast("int").alias("label"),
+        (F.coalesce("n_files", F.lit(0)) == F.col("files")).alias("listed"),
+        (F.coalesce("total_bytes", F.lit(0)) == F.col("bytes")).alias("equal_bytes"),
+        (F.round(F.col("bytes") / 1048576.0, 6) == F.col("size_mb")).alias("equal_size"),
+    )
+
+
 # Keys that repeat: documents by length.
 BATCH_TIES_SQL = f"""SELECT doc_id, rank, (rank - 1) // {BATCH_SIZE} AS batch_no FROM (
   SELECT doc_id, CAST(row_number() OVER (ORDER BY n_chars // 1000, md5(CAST(doc_id AS VARCHAR))) AS BIGINT) AS rank

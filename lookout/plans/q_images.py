@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lookout.functions.arrays import unit_scale
-from lookout.functions.images import KERAS_RECIPE, PREP_RECIPE, augment_udf
+from lookout.functions.images import EIGHT_BIT, KERAS_RECIPE, PREP_RECIPE, augment_udf
 from lookout.operators import dataset as D
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
@@ -94,6 +94,43 @@ def image_resize(spark, sf):
     return feats.select(_vec_id(), F.transform("pixels", lambda x: F.round(x * 255).cast("int")).alias("rgb"))
 
 
+LARGE = 64  # side of the images of the reduction check
+# Pixel (y, x) of the large image of a feature row.
+LARGE_PIXEL = "(pixels[y + 1] * 3 + pixels[x + 1] * 5 + pixels[(x * y) % 64 + 1]) // 9"
+
+
+def _reduce_sql() -> str:
+    """Two passes of a triangle filter eight times as wide, weights as whole
+    2**-22, bytes in between."""
+    scale = LARGE // SIDE
+    return f"""WITH {S.FEAT_SQL},
+taps AS (SELECT o, j, CAST(floor(w / sum(w) OVER (PARTITION BY o) * 4194304 + 0.5) AS BIGINT) AS w FROM (
+  SELECT o, j, greatest(0.0, 1.0 - abs((j + 0.5 - (o + 0.5) * {scale}) / {scale}.0))::DOUBLE AS w
+  FROM (SELECT unnest(range({SIDE})) AS o), (SELECT unnest(range({LARGE})) AS j))),
+px AS (SELECT vec_id, y, x, {LARGE_PIXEL} AS v FROM feat, (SELECT unnest(range({LARGE})) AS y), (SELECT unnest(range({LARGE})) AS x)),
+rows_done AS (SELECT vec_id, y, o AS x, CAST((sum(v * w) + 2097152)::BIGINT >> 22 AS BIGINT) AS v FROM px JOIN taps ON j = x GROUP BY vec_id, y, o),
+done AS (SELECT vec_id, o AS y, x, CAST((sum(v * w) + 2097152)::BIGINT >> 22 AS INTEGER) AS v FROM rows_done JOIN taps ON j = y GROUP BY vec_id, o, x)
+SELECT vec_id, list(v ORDER BY y, x) AS grey FROM done GROUP BY vec_id"""
+
+
+@register("image_reduce", _reduce_sql())
+def image_reduce(spark, sf):
+    """decoded images reduced 64x64 -> 8x8 as the dataset job does it, in
+    two passes over bytes."""
+    side = F.sequence(F.lit(0), F.lit(LARGE - 1))
+    at = lambda i: F.element_at("pixels", i.cast("int") + 1)
+    pixel = lambda y, x: F.floor((at(y) * 3 + at(x) * 5 + at(F.pmod(x * y, F.lit(64)))) / 9).cast("int")
+    large = F.flatten(F.transform(side, lambda y: F.transform(side, lambda x: pixel(y, x))))
+    frame = S.features(spark, sf).select("vec_id", large.alias("pixels"))
+    root = work_dir(spark, "large-images")
+    write_png_files(frame, root, "vec_id", "pixels", LARGE, LARGE, 1, ()).count()
+    feats = I.image_features(I.read_images(spark, root), SIDE, SIDE, EIGHT_BIT)
+    every = F.sequence(F.lit(1), F.lit(RGB_LEN), F.lit(3))
+    return feats.select(
+        _vec_id(), F.transform(every, lambda i: F.round(F.element_at("pixels", i) * 255).cast("int")).alias("grey")
+    )
+
+
 @register(
     "label_folders",
     W(
@@ -175,8 +212,71 @@ def split_folders(spark, sf):
     return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_images"))
 
 
-AUG_SQL = f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, label, CAST({RGB_LEN} AS INTEGER) AS n_values, true AS in_range
-FROM embeddings, unnest(range(3)) t(k)"""
+def _draw_sql(name: str, low: float, high: float) -> str:
+    digits = f"substr(md5(concat('42:', vec_id, ':', k, ':{name}')), 1, 8)"
+    return f"({low} + CAST(concat('0x', {digits}) AS BIGINT) / 4294967296.0::DOUBLE * ({high} - {low}))"
+
+
+def _copies_sql(steps: str, grey: str) -> str:
+    """Originals as they are and copies as ``grey`` says, with the columns of
+    the checks on shape and range."""
+    return W(
+        f"""SELECT vec_id, CAST(k AS INTEGER) AS aug_index, label, CAST({RGB_LEN} AS INTEGER) AS n_values, true AS in_range,
+  CASE WHEN k = 0 THEN pixels ELSE {grey} END AS grey FROM ({steps})""",
+        S.FEAT_SQL,
+    )
+
+
+def _prep_sql() -> str:
+    """First recipe, in bytes: flip, nearest-neighbour rotation by whole
+    65536ths, brightness and contrast in single precision, cut off."""
+    low, high = (f"{s}{PREP_RECIPE['max_degrees']}" for s in ("-", ""))
+    half = SIDE / 2.0
+    x, y = f"(i % {SIDE})", f"(i // {SIDE})"
+    fixed = lambda v: f"CAST(floor(({v}) * 65536.0 + 0.5) AS BIGINT)"
+    sx, sy = f"((x0 + {x} * c - {y} * s) >> 16)", f"((y0 + {x} * s + {y} * c) >> 16)"
+    inside = f"{sx} >= 0 AND {sx} < {SIDE} AND {sy} >= 0 AND {sy} < {SIDE}"
+    flipped = f"list_transform(range({SIDE * SIDE}), lambda i: held[(i // {SIDE}) * {SIDE} + {SIDE} - i % {SIDE}])"
+    cut = lambda v: f"CAST(floor(least(greatest({v}, 0::FLOAT), 255::FLOAT)) AS INTEGER)"
+    steps = f"""SELECT *, CAST(floor(list_avg(lit) + 0.5) AS INTEGER) AS mean FROM (
+ SELECT *, list_transform(turned, lambda p: {cut("bright * CAST(p AS FLOAT)")}) AS lit FROM (
+  SELECT *, list_transform(range({SIDE * SIDE}), lambda i: CASE WHEN {inside} THEN faced[{sy} * {SIDE} + {sx} + 1] ELSE 0 END) AS turned FROM (
+   SELECT *, {fixed("cos(t)")} AS c, {fixed("sin(t)")} AS s,
+     {fixed(f"{half} - cos(t) * {half} + sin(t) * {half} + cos(t) * 0.5 - sin(t) * 0.5")} AS x0,
+     {fixed(f"{half} - sin(t) * {half} - cos(t) * {half} + sin(t) * 0.5 + cos(t) * 0.5")} AS y0,
+     CASE WHEN {_draw_sql("flip", 0.0, 1.0)} < {PREP_RECIPE["flip_p"]} THEN {flipped} ELSE held END AS faced FROM (
+    SELECT vec_id, label, k, pixels, {_draw_sql("degrees", low, high)} * 0.017453292519943295 AS t,
+      list_transform(pixels, lambda p: CAST(floor(CAST(p / 255.0::DOUBLE AS FLOAT) * 255::FLOAT) AS INTEGER)) AS held,
+      CAST({_draw_sql("brightness", *PREP_RECIPE["brightness"])} AS FLOAT) AS bright,
+      CAST({_draw_sql("contrast", *PREP_RECIPE["contrast"])} AS FLOAT) AS contrast
+    FROM feat, unnest(range(3)) u(k)))))"""
+    return _copies_sql(
+        steps, f"list_transform(lit, lambda p: {cut('CAST(mean AS FLOAT) + contrast * (CAST(p AS FLOAT) - CAST(mean AS FLOAT))')})"
+    )
+
+
+def _keras_sql() -> str:
+    """Second recipe: rotation and zoom about the centre, four taps with
+    mirrored borders."""
+    mid = (SIDE - 1) / 2.0
+    dx, dy = f"((i % {SIDE} - {mid}) / zoom)", f"((i // {SIDE} - {mid}) / zoom)"
+    sx, sy = f"(cos(t) * {dx} - sin(t) * {dy} + {mid})", f"(sin(t) * {dx} + cos(t) * {dy} + {mid})"
+
+    def at(v: str, step: int) -> str:
+        m = f"(((CAST(floor({v}) AS INTEGER) + {step}) % {2 * SIDE} + {2 * SIDE}) % {2 * SIDE})"
+        return f"(CASE WHEN {m} >= {SIDE} THEN {2 * SIDE - 1} - {m} ELSE {m} END)"
+
+    def tap(oy: int, ox: int) -> str:
+        fy, fx = (f"({v} - floor({v}))" for v in (sy, sx))
+        weight = f"({fy if oy else f'(1 - {fy})'} * {fx if ox else f'(1 - {fx})'})"
+        return f"pixels[{at(sy, oy)} * {SIDE} + {at(sx, ox)} + 1] * {weight}"
+
+    value = " + ".join(tap(oy, ox) for oy, ox in ((0, 0), (0, 1), (1, 0), (1, 1)))
+    turn, zoom = KERAS_RECIPE["max_degrees"], KERAS_RECIPE["zoom"]
+    steps = f"""SELECT vec_id, label, k, pixels, {_draw_sql("degrees", -turn, turn)} * 0.017453292519943295 AS t,
+    1.0 + {_draw_sql("zoom", -zoom, zoom)} AS zoom FROM feat, unnest(range(3)) u(k)"""
+    grey = f"list_transform(range({SIDE * SIDE}), lambda i: CAST(least(greatest(round_even({value}, 0), 0), 255) AS INTEGER))"
+    return _copies_sql(steps, grey)
 
 
 def _augment(spark, sf, recipe):
@@ -193,19 +293,20 @@ def _augment(spark, sf, recipe):
         "label",
         F.size("aug").alias("n_values"),
         F.forall("aug", lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
+        F.transform(F.sequence(F.lit(1), F.lit(RGB_LEN), F.lit(3)), lambda i: F.round(F.element_at("aug", i) * 255).cast("int")).alias("grey"),
     )
 
 
-@register("augment_images", AUG_SQL)
+@register("augment_images", _prep_sql())
 def augment_images(spark, sf):
     """U2 + F14: originals plus two seeded augmented copies (flip, rotation,
-    brightness, contrast); the check is on shape and value range (the copies
-    are random by design)."""
+    brightness, contrast), pixel by pixel: every parameter is drawn from the
+    id, and every step is held in bytes."""
     return _augment(spark, sf, PREP_RECIPE)
 
 
-# The first recipe without its rotation: what is left is exact in SQL.
-FLAT_RECIPE = PREP_RECIPE | {"max_degrees": 0.0}
+# The first recipe without its rotation, and with real numbers between the steps.
+FLAT_RECIPE = PREP_RECIPE | {"max_degrees": 0.0, "steps": None}
 
 
 def _flat_sql() -> str:
@@ -246,10 +347,10 @@ def augment_flat(spark, sf):
     )
 
 
-@register("augment_images_zoom", AUG_SQL)
+@register("augment_images_zoom", _keras_sql())
 def augment_images_zoom(spark, sf):
     """U2 + F15: the second recipe (rotation within 5 % of a turn, zoom
-    within 10 %, reflected borders)."""
+    within 10 %, reflected borders), pixel by pixel."""
     return _augment(spark, sf, KERAS_RECIPE)
 
 

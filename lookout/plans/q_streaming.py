@@ -6,9 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lookout.functions.arrays import argmax, linear_scores
 from lookout.operators import dataset as D
 from lookout.operators import evaluation as E
 from lookout.operators import scoring as SC
+from lookout.operators.fitting import fit_softmax
 from lookout.plans import sqlfrag as Q
 from lookout.plans import standins as S
 from lookout.plans.catalog import register
@@ -196,6 +198,60 @@ def fit_and_score(spark, sf):
     )
 
 
+FIT_STEPS, FIT_RATE = 4, 4.0
+RULE_CLASS = f"(list_position({linear_sql('embedding')}, list_max({linear_sql('embedding')})) - 1)"
+
+
+def _curve_sql() -> str:
+    """Gradient descent on the softmax loss, one group of CTEs per step."""
+    from lookout.plans.q_dataset import _strat_sql
+
+    sql = f"""WITH t AS MATERIALIZED (SELECT vec_id, CAST({RULE_CLASS} AS INTEGER) AS label, embedding FROM embeddings),
+r AS MATERIALIZED (SELECT vec_id, label AS y, split = 'val' AS val,
+    list_transform(embedding, lambda x: CAST(x AS DOUBLE)) || [1.0::DOUBLE] AS x
+  FROM t JOIN ({_strat_sql("vec_id", "label", "t")}) USING (vec_id, label)),
+k AS MATERIALIZED (SELECT *, CASE WHEN val THEN 1.0 ELSE
+    sum(n) OVER () / (count(*) OVER () * n) END AS w FROM (SELECT y, val, count(*)::DOUBLE AS n FROM r WHERE NOT val GROUP BY y, val)),
+d AS MATERIALIZED (SELECT r.*, coalesce(k.w, 1.0) AS w FROM r LEFT JOIN k USING (y, val)),
+f AS MATERIALIZED (SELECT vec_id, y, val, w, j, x[j] AS v FROM d, (SELECT unnest(range(1, 66)) AS j)),
+m0 AS MATERIALIZED (SELECT c, j, 0.0::DOUBLE AS b FROM (SELECT unnest(range(10)) AS c), (SELECT unnest(range(1, 66)) AS j))"""
+    for i in range(FIT_STEPS + 1):
+        sql += f""",
+s{i} AS MATERIALIZED (SELECT vec_id, y, val, w, c, sum(v * b) AS s FROM f JOIN m{i} USING (j) GROUP BY ALL),
+p{i} AS MATERIALIZED (SELECT *, exp(s - max(s) OVER q) / sum(exp(s)) OVER q * exp(max(s) OVER q) AS p,
+    row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) = 1 AS top FROM s{i} WINDOW q AS (PARTITION BY vec_id)),
+l{i} AS (SELECT {i} AS step, sum(CASE WHEN NOT val THEN -w * ln(p) END) / sum(CASE WHEN NOT val THEN w END) AS train_loss,
+    avg(CASE WHEN val THEN -ln(p) END) AS val_loss, avg(CASE WHEN val THEN CAST(top AS INTEGER) END) AS val_accuracy
+  FROM p{i} WHERE c = y),
+m{i + 1} AS MATERIALIZED (SELECT c, j, b - {FIT_RATE} * g / (SELECT sum(w) FROM d WHERE NOT val) AS b FROM m{i}
+  JOIN (SELECT c, j, sum((p - CAST(c = f.y AS INTEGER)) * f.w * v) AS g FROM p{i} JOIN f USING (vec_id)
+        WHERE NOT f.val GROUP BY c, j) USING (c, j))"""
+    every = " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(FIT_STEPS + 1))
+    return sql + f"""
+SELECT CAST(step AS INTEGER) AS step, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss,
+  round(val_accuracy, 6) AS val_accuracy, val_loss = min(val_loss) OVER () AS best, val_accuracy > 0.3 AS learnt
+FROM ({every})"""
+
+
+@register("fit_curve", _curve_sql())
+def fit_curve(spark, sf):
+    """The softmax head fitted to a target that the vectors tell (the
+    class of the rule-defined linear head), with class weights; losses on the
+    training and the held-out split after each step, and whether the accuracy
+    is far above chance (0.1 to 0.2 here)."""
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    rows = emb.withColumn("label", argmax(linear_scores("embedding"))).checkpoint()
+    data = D.stratified_split(rows, "vec_id", "label", keep_all=True)
+    train = data.where(F.col("split") == "train")
+    weighted = D.with_weights(train, D.class_weights(train))
+    val = data.where(F.col("split") == "val")
+    fit = fit_softmax(weighted, val, "embedding", "label", "weight", steps=FIT_STEPS, rate=FIT_RATE)
+    curve = [(s.step, s.train_loss, s.val_loss, s.val_accuracy, s.step == fit.best) for s in fit.curve]
+    steps = spark.createDataFrame(curve, "step int, train_loss double, val_loss double, val_accuracy double, best boolean")
+    rounded = [F.round(c, 6).alias(c) for c in ("train_loss", "val_loss", "val_accuracy")]
+    return steps.select("step", *rounded, "best", (F.col("val_accuracy") > 0.3).alias("learnt"))
+
+
 @register("csv_roundtrip", W("SELECT image, prediction, batch_id FROM pred", S.PRED_SQL))
 def csv_roundtrip(spark, sf):
     """S9 + S7 + P4: predictions written as CSV with header, one partition

@@ -322,3 +322,69 @@ def test_resize_memory_stays_near_the_batch():
     assert len(vecs) == n and peak < sum(map(len, frames))  # 37 MB of frames
     one = to_pixel_vector(frames[7], 480, 640, 3, 64, 64)
     assert np.array_equal(vecs[7], one)
+
+
+def _libraries_reduction(img, oh, ow):
+    """Two passes over bytes, rows first, weights as whole 2**-22 (loops)."""
+    import math
+
+    def line(v, n_out):
+        scale = len(v) / n_out
+        reach, out = max(scale, 1.0), []
+        for o in range(n_out):
+            centre = (o + 0.5) * scale
+            lo, hi = max(0, math.floor(centre - reach + 0.5)), min(len(v), math.floor(centre + reach + 0.5))
+            w = [max(0.0, 1 - abs((j + 0.5 - centre) / reach)) for j in range(lo, hi)]
+            w = [math.floor(x / sum(w) * 2**22 + 0.5) for x in w]
+            out.append(min(255, max(0, (sum(int(v[lo + j]) * x for j, x in enumerate(w)) + 2**21) >> 22)))
+        return out
+
+    rows = np.array([line(r, ow) if len(r) != ow else list(r) for r in img])
+    if img.shape[0] == oh:
+        return rows
+    return np.array([line(c, oh) for c in rows.T]).T
+
+
+def test_reduction_in_bytes_equals_loops():
+    from lookout.functions.images import EIGHT_BIT, to_pixel_vector
+
+    rng = np.random.default_rng(3)
+    for (h, w), (oh, ow) in (((64, 48), (8, 12)), ((37, 53), (16, 9)), ((9, 7), (9, 3)), ((5, 6), (12, 20)), ((7, 7), (7, 7))):
+        img = rng.integers(0, 256, (h, w, 3), dtype=np.uint8)
+        got = resize_bilinear(img, oh, ow, EIGHT_BIT)
+        for c in range(3):
+            assert np.array_equal(got[..., c], _libraries_reduction(img[..., c], oh, ow))
+    flat = np.full((50, 70, 3), 137, np.uint8)
+    vec = to_pixel_vector(flat.tobytes(), 50, 70, 3, 8, 8, EIGHT_BIT)
+    assert np.array_equal(np.rint(vec * 255), np.full(8 * 8 * 3, 137))
+
+
+def test_rotation_in_bytes():
+    from lookout.functions.images import _rotate_bytes
+
+    img = np.arange(1, 82, dtype=np.uint8).reshape(1, 9, 9, 1)
+    assert np.array_equal(_rotate_bytes(img, np.array([90.0]))[0, :, :, 0], np.rot90(img[0, :, :, 0]))
+    assert np.array_equal(_rotate_bytes(img, np.array([180.0]))[0, ::-1, ::-1, 0], img[0, :, :, 0])
+    turned = _rotate_bytes(img, np.array([45.0]))[0, :, :, 0]
+    assert turned[4, 4] == img[0, 4, 4, 0] and turned[0, 0] == 0 and turned[8, 8] == 0
+
+
+def test_missing_classes_and_rejects_of_the_dataset_job(spark, tmpdir_fresh):
+    from lookout.functions.images import EIGHT_BIT
+    from lookout.operators import dataset as D
+
+    root = f"{tmpdir_fresh}/train"
+    rng = np.random.default_rng(4)
+    for c in (0, 3):
+        for i in range(4):
+            pngs.write(f"{root}/c{c}/{i}.png", rng.integers(0, 256, (20, 24, 3)))
+    with open(f"{root}/c3/bad.png", "wb") as f:
+        f.write(b"not an image")
+    table = D.prepare_dataset(
+        spark, root, f"{tmpdir_fresh}/out", 8, 8, antialias=EIGHT_BIT,
+        rejects_path=f"{tmpdir_fresh}/rejects", missing_path=f"{tmpdir_fresh}/missing",
+    )
+    assert table.where("aug_index = 0").count() == 8
+    missing = sorted(r.class_id for r in spark.read.parquet(f"{tmpdir_fresh}/missing").collect())
+    assert missing == [1, 2, 4, 5, 6, 7, 8, 9]
+    assert [r.reason for r in spark.read.parquet(f"{tmpdir_fresh}/rejects").collect()] == ["undecodable_image"]
