@@ -287,7 +287,7 @@ shown AS (SELECT url AS u, regexp_replace(html, {_sql_text(url_filter.HIDDEN)},
   WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|http-equiv')),
 links AS ({_tags_sql(url_filter.LINK_TAG, url_filter.CANONICAL, url_filter.HREF, 3)}
   UNION ALL {_tags_sql(url_filter.META_TAG, url_filter.REFRESH, url_filter.REFRESH_URL, 2)}),
-parts AS (SELECT u, replace(regexp_replace(l, '^\s+|\s+$', '', 'g'), '&amp;', '&') AS t,
+parts AS (SELECT u, replace(regexp_replace(l, '^\\s+|\\s+$', '', 'g'), '&amp;', '&') AS t,
     regexp_extract(u, '(?s)^(.*?://[^/?#]*)', 1) AS front, regexp_extract(u, '(?s)^(.*?:)//', 1) AS scheme,
     regexp_extract(u, '(?s)^(.*?://[^?#]*)', 1) AS file,
     regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*/)', 1) AS folder FROM links WHERE l IS NOT NULL),
