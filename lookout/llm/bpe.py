@@ -15,8 +15,10 @@ offset table, and a text is the ranges of its ids, one after another.
 
 The tokenizer file names vocabulary, merges, the end-of-word mark, special
 tokens, normalisation (NFC, white space, lower case) and the split pattern;
-other kinds of steps are refused. Texts are cut at white space first, and the
-ids of recent pieces are kept in a bounded table per worker.
+other kinds of steps are refused. Texts are cut at white space first. The
+distinct pieces of some megabytes of texts are normalised and split together,
+every distinct word is encoded once, and the texts' ids are gathered from
+theirs; ids of recent pieces and words are kept in bounded tables per worker.
 
 Defined cases: null is the empty text, which has no ids and decodes to the
 empty text; null ids decode like none; ids outside the vocabulary are left
@@ -31,6 +33,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.frames import OWN, col, prepare, whole_text
-from lookout.llm.words import spread
+from lookout.llm.words import PIECE_BYTES, U64, mix, spread, string_buffer
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
 CACHE = 80_000
 PAIRS = 100_000
+PAIR_SLOTS = 1 << 19
+# Words that are walked at once, and the letters of those walked alone.
+WALKED = 20_000
+LONG = 64
 # Tokens decoded at once (one text at least).
 DECODED = 100_000
 # Stands behind the last byte of a word in the automaton's alphabet.
@@ -77,6 +84,41 @@ def _classes(pattern: str) -> str:
     return pattern.replace(r"\s", BLANK)
 
 
+class Recent:
+    """Values of recent keys, at most ``2 * size``: when the young half is full
+    it becomes the old one, and what was not asked for since is forgotten."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+        self.always: dict = {}
+
+    def find(self, keys) -> tuple[dict, list]:
+        """(values of known keys, unknown keys)."""
+        young, old = self.young, self.old
+        found, missing, again = dict(self.always), [], {}
+        for key in keys:
+            value = young.get(key)
+            if value is None:
+                value = old.get(key)
+                if value is None:
+                    if key not in found:
+                        missing.append(key)
+                    continue
+                again[key] = value
+            found[key] = value
+        self.keep(again)
+        return found, missing
+
+    def keep(self, items: dict) -> None:
+        for key, value in items.items():
+            if len(key) <= 64:
+                if len(self.young) >= self.size:
+                    self.old, self.young = self.young, {}
+                self.young[key] = value
+
+
 class Tokenizer:
     """Tables of one tokenizer file (its JSON text)."""
 
@@ -115,6 +157,7 @@ class Tokenizer:
             self.rank.setdefault(vocab[a + b], rank)
         self.parts = made
         self.fits: dict[int, bool] = {}  # by left << 32 | right
+        self.fits_before: dict[int, bool] = {}  # the half of the table that goes next
 
         shapes: dict[str, int] = {}
         for name, i in vocab.items():
@@ -131,12 +174,20 @@ class Tokenizer:
             prefix = next((shape[:n] for n in range(len(shape) - 1, 0, -1) if shape[:n] in shapes), None)
             self.shorter[i] = -1 if prefix is None else shapes[prefix]
         automaton.make_automaton()
+        # The same by token, and the table of pairs, for many words at a time.
+        self.lengths, self.shorter_of = (np.zeros(len(self.offset), np.int64) - i for i in (0, 1))
+        for i in shapes.values():
+            self.lengths[i], self.shorter_of[i] = self.length[i], self.shorter[i]
+        self.pair_keys, self.pair_fits = np.full(PAIR_SLOTS, -1, np.int64), np.zeros(PAIR_SLOTS, dtype=bool)
 
         letters = byte_letters()
-        self.letters = {b: c for b, c in letters.items() if chr(b) != c}
-        self.split = re.compile(_classes(self.pattern))
-        self.cache: dict[str, bytes] = {}  # by piece of a text
-        self.words: dict[str, bytes] = {}  # by word
+        # A line end stands between words while they are spelled out.
+        self.letters = {b: c for b, c in letters.items() if chr(b) != c and b != 10}
+        self.split = re.compile("\n|" + _classes(self.pattern))
+        self.cache = Recent(CACHE)  # ids by piece of a text
+        self.words = Recent(CACHE)  # by word
+        if self.special:
+            self.cache.always = {ids: ids for ids in self.special.values()}
         self.automaton = automaton
 
     def _steps(self, spec: dict) -> None:
@@ -164,9 +215,13 @@ class Tokenizer:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave a and b side by side as they are."""
+        key = a << 32 | b
+        ok = self.fits_before.get(key)
+        if ok is None:
+            ok = self._apart(a, b, len(self.merge) + 1)
         if len(self.fits) >= PAIRS:
-            self.fits.clear()
-        ok = self.fits[a << 32 | b] = self._apart(a, b, len(self.merge) + 1)
+            self.fits_before, self.fits = self.fits, {}
+        self.fits[key] = ok
         return ok
 
     def _apart(self, a: int, b: int, before: int) -> bool:
@@ -194,7 +249,7 @@ class Tokenizer:
     def word(self, text: str) -> list[int]:
         """Ids of one word given in the byte-level alphabet."""
         s = text + self.end
-        n, length, shorter, known = len(s), self.length, self.shorter, self.fits.get
+        n, length, shorter = len(s), self.length, self.shorter
         longest = [-1] * (n + 1)  # the longest token that starts at a position
         for last, token in self.automaton.iter(s):
             longest[last + 1 - length[token]] = token  # ends ascend
@@ -207,7 +262,7 @@ class Tokenizer:
                 if alive[end]:
                     if left < 0:
                         break
-                    ok = known(left << 32 | token)
+                    ok = self.fits.get(left << 32 | token)
                     if self.compatible(left, token) if ok is None else ok:
                         break
                 token = shorter[token]
@@ -223,59 +278,132 @@ class Tokenizer:
                 raise ValueError("a byte of the text is not in the vocabulary")
         return out
 
-    def piece(self, raw: str) -> bytes:
-        """Ids (int32) of a piece of text without white space."""
-        plain = raw.isascii()
-        if plain:
-            text = raw.lower()
-        else:  # sigma has no final form here
-            text = unicodedata.normalize("NFC", raw).replace("\u03a3", "\u03c3").lower()
-        if text.isalpha():
-            return self._word_ids(text, plain)
-        return b"".join([self._word_ids(w, plain and w.isprintable()) for w in self.split.findall(text)])
-
-    def _word_ids(self, word: str, plain: bool) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            shown = word if plain else word.encode().decode("latin-1").translate(self.letters)
-            ids = array("i", self.word(shown)).tobytes()
-            if len(word) <= 64:
-                self.words[word] = ids
-        return ids
-
-    def _plain(self, text: str) -> list[bytes]:
-        """Ids of each piece of a text without special tokens."""
-        # str.split() also cuts at the four separators 1C-1F, which aren't white space here.
-        words = SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        out = list(map(self.cache.get, words))
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    out[i] = self._keep(words[i])
+    def _parts(self, text: str) -> list:
+        """The pieces of a text between white space; special tokens as the
+        bytes of their ids."""
+        if self.find_special is None or not any(s in text for s in self.special_starts):
+            # str.split() also cuts at the four separators 1C-1F, which aren't white space here.
+            return SPACE.split(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+        out: list = []
+        for i, part in enumerate(self.find_special.split(text)):
+            if i % 2:
+                out.append(self.special[part])
+            else:
+                out += SPACE.split(part)
         return out
 
-    def _keep(self, raw: str) -> bytes:
-        ids = self.cache.get(raw)
-        if ids is None:
-            ids = self.piece(raw)
-            if len(raw) <= 64:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[raw] = ids
-        return ids
+    def _fit_together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """:meth:`compatible` for many pairs. The table holds the last pair
+        that fell on each of its slots."""
+        keys = left << 32 | right
+        slot = (mix(keys.view(U64)) & U64(PAIR_SLOTS - 1)).astype(np.int64)
+        ok = self.pair_fits[slot]
+        new = np.flatnonzero(self.pair_keys[slot] != keys)
+        if len(new):
+            some, back = np.unique(keys[new], return_inverse=True)
+            last = len(self.merge) + 1
+            fits = np.array([self._apart(k >> 32, k & 0xFFFFFFFF, last) for k in some.tolist()])[back]
+            ok[new] = fits
+            self.pair_keys[slot[new]], self.pair_fits[slot[new]] = keys[new], fits
+        return ok
 
-    def encode(self, text: str) -> bytes:
-        """Ids (int32) of a text."""
+    def walk(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`word` for many words, all a step at a time: ids one after
+        another, and how many each word has."""
+        text = (self.end + "\n").join(words) + self.end
+        size = np.array([len(w) for w in words]) + len(self.end)
+        start = np.cumsum(size + 1) - (size + 1)
+        goal = start + size
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        longest = np.full(len(text) + 2, -1, np.int64)  # the longest token that starts at a position
+        longest[found[:, 0] + 1 - self.lengths[found[:, 1]]] = found[:, 1]  # ends ascend: the last one stays
+        alive = np.ones(len(text) + 2, dtype=bool)
+        before = np.full(len(text) + 2, -1, np.int64)  # the token that ends at a position of the walk
+        todo = np.arange(len(words))
+        at, left, token = start.copy(), np.full(len(words), -1, np.int64), longest[start]
+        while len(todo):
+            here, last, next_ = at[todo], left[todo], token[todo]
+            some = next_ >= 0
+            end = here + np.where(some, self.lengths[next_], 0)
+            ok = some & alive[end]
+            pair = np.flatnonzero(ok & (last >= 0))
+            ok[pair] = self._fit_together(last[pair], next_[pair])
+            on, other, back = todo[ok], todo[some & ~ok], todo[~some]
+            before[end[ok]] = next_[ok]
+            at[on], left[on], token[on] = end[ok], next_[ok], longest[end[ok]]
+            token[other] = self.shorter_of[token[other]]
+            if len(back):
+                undone = left[back]
+                if (undone < 0).any():
+                    raise ValueError("a byte of the text is not in the vocabulary")
+                alive[at[back]] = False
+                at[back] -= self.lengths[undone]
+                left[back] = np.where(at[back] > start[back], before[at[back]], -1)
+                token[back] = self.shorter_of[undone]
+            todo = todo[at[todo] < goal[todo]]
+        # Back from each word's end, again all words at a time.
+        ids, whose, at = [], [], goal.copy()
+        todo = np.arange(len(words))
+        while len(todo):
+            got = before[at[todo]]
+            ids.append(got)
+            whose.append(todo)
+            at[todo] -= self.lengths[got]
+            todo = todo[at[todo] > start[todo]]
+        whose, ids = np.concatenate(whose)[::-1], np.concatenate(ids)[::-1]
+        return ids[np.argsort(whose, kind="stable")].astype(np.int32), np.bincount(whose, minlength=len(words))
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids (int32) of distinct words, lower-cased and split already."""
+        found, missing = self.words.find(words)
+        if missing:
+            shown = "\n".join(missing)
+            if not (shown.isascii() and shown.replace("\n", "").isprintable()):
+                shown = shown.encode().decode("latin-1").translate(self.letters)
+            spelt = shown.split("\n")
+            fresh = {w: array("i", self.word(s)).tobytes() for w, s in zip(missing, spelt, strict=True) if len(s) > LONG}
+            short = [i for i, s in enumerate(spelt) if len(s) <= LONG]
+            for i in range(0, len(short), WALKED):
+                some = short[i : i + WALKED]
+                ids, n = self.walk([spelt[j] for j in some])
+                raw, ends = ids.tobytes(), np.cumsum(4 * n).tolist()
+                fresh |= {missing[j]: raw[a:b] for j, a, b in zip(some, [0, *ends], ends)}  # noqa: B905
+            self.words.keep(fresh)
+            found |= fresh
+        return [found[w] for w in words]
+
+    def _piece_ids(self, pieces: set) -> dict:
+        """Ids (int32) of distinct pieces of texts. All that aren't known are
+        normalised and split together, and every word in them is encoded once."""
+        found, missing = self.cache.find(pieces)
+        if missing:
+            text = "\n".join(missing)
+            if not text.isascii():  # sigma has no final form here
+                text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+            cut = self.split.findall(text.lower())  # a line end is a part of its own
+            words = [w for w in dict.fromkeys(cut) if w != "\n"]
+            ids = dict(zip(words, self._word_ids(words), strict=True))
+            fresh, at = {}, 0
+            for piece in missing:
+                end = cut.index("\n", at) if len(fresh) + 1 < len(missing) else len(cut)
+                fresh[piece] = ids[cut[at]] if end == at + 1 else b"".join([ids[w] for w in cut[at:end]])
+                at = end + 1
+            self.cache.keep(fresh)
+            found |= fresh
+        return found
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids (int32) of each text. Distinct pieces are encoded once; the
+        texts' ids are gathered from theirs."""
         if self.automaton is None:
             self._prepare()
-        if self.find_special is None or not any(s in text for s in self.special_starts):
-            return b"".join(self._plain(text))
-        out: list[bytes] = []
-        for i, part in enumerate(self.find_special.split(text)):
-            out += [self.special[part]] if i % 2 else self._plain(part)
-        return b"".join(out)
+        parts = [self._parts(t) for t in texts]
+        ids = self._piece_ids(set().union(*parts))
+        return [b"".join(map(ids.__getitem__, p)) for p in parts]
+
+    def encode(self, text: str) -> bytes:
+        """Ids (int32) of a text."""
+        return self.encode_many([text])[0]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Texts of the ids ``ids[ends[i]:ends[i + 1]]``, some at a time."""
@@ -317,12 +445,17 @@ def _source(df: DataFrame, path: str):
 
 
 def _ids(tokenizer: Tokenizer, texts: pa.Array) -> pa.ListArray:
-    flat, ends = bytearray(), np.zeros(len(texts) + 1, np.int32)
-    for i in range(len(texts)):
-        flat += tokenizer.encode(texts[i].as_py())
-        ends[i + 1] = len(flat) // 4
-    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
-    return pa.ListArray.from_arrays(pa.array(ends), values)
+    """Ids of all texts, some at a time (one text at least)."""
+    _, offsets = string_buffer(texts)
+    flat, ends, i = bytearray(), [0], 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PIECE_BYTES, side="right")) - 1)
+        for ids in tokenizer.encode_many(texts.slice(i, j - i).to_pylist()):
+            flat += ids
+            ends.append(len(flat) // 4)
+        i = j
+    values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(flat)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 def _texts(tokenizer: Tokenizer, ids: pa.ListArray) -> pa.Array:
