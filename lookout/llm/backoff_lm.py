@@ -5,8 +5,11 @@ absolute-discounting backoff model up to three tokens whose lowest level is
 the add-one unigram distribution over the whole training vocabulary.
 
 *Counts* cover all training rows and are gathered by Spark: single tokens,
-then pairs, then triples, each combined per partition before its shuffle.
-*Automaton.* An n-gram seen ``LEAST`` times is a state, whatever the size of
+then pairs, then triples, each combined per partition before its shuffle. An
+n-gram can be frequent only if its parts are, so a bitmap of the frequent
+parts (a fixed number of bits, marked by hash) keeps most of the others out
+of the shuffle; marks that are there by chance let some pass, and the count
+decides. *Automaton.* An n-gram seen ``LEAST`` times is a state, whatever the size of
 the corpus; reading a token follows an arc, and where there is none the
 failure arc to the state of the next shorter suffix, whose weight the state
 carries. Arcs out of a state hold the discounted estimates, and failure
@@ -17,8 +20,10 @@ token is a sum of weights that belong to one n-gram each: its own estimate
 and failure weight, and for every longer kept n-gram what its arc differs
 from the failure path. Each text is read once; the weights of the most
 frequent n-grams (``vocabulary`` words, ``arcs`` pairs and triples) are sent
-to the executors, and all other n-grams of a row are joined with the tables.
-What is sent only saves shuffling and changes no score.
+to the executors, with a bitmap of all that there are; the other n-grams of a
+row that are marked are joined with the tables, a part of the keys at a time.
+What is sent only saves shuffling and changes no score. Tables are deleted and
+shuffle files freed as soon as the next step stands.
 
 ``train`` gives a model of bounded size in one object, for small corpora.
 
@@ -38,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.frames import col, prepare, whole_text
+from lookout.llm.frames import Tables, col, freeing_shuffles, prepare, whole_text
 from lookout.llm.lookup import HashIndex
 from lookout.llm.words import U64, find_words, mix, pieces
 
@@ -51,6 +56,9 @@ START = 0x6A09E667F3BCC908  # stands for the start of a text as a history
 LEAST = 2
 # Bits of a token index in the key of an arc (state << BITS | token).
 BITS = 20
+# Bits of a bitmap of keys, and parts of the keys that are joined in turn.
+MARKS = 1 << 28
+PARTS = 2
 # Distinct keys held per task before counts are handed on.
 HELD = 2_000_000
 
@@ -129,8 +137,42 @@ def _joined(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
     return mix(mix(left + U64(level)) + right)
 
 
-def _count_grams(texts: DataFrame, level: int) -> DataFrame:
-    """(left, right, n) of the pairs or triples that are arcs."""
+class Marks:
+    """A bitmap of keys: what isn't marked isn't there."""
+
+    def __init__(self, words: np.ndarray, bits: np.ndarray) -> None:
+        self.bits = np.zeros(MARKS // 64, U64)
+        self.bits[words] = bits.view(U64)
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        slot = _slot_of(keys)
+        return (self.bits[slot >> 6] >> (slot & 63).astype(U64)) & U64(1) != 0
+
+
+def _slot_of(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys.view(U64) ^ U64(END)) >> U64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+
+
+def _marks(keys: DataFrame) -> Marks:
+    """Bitmap of the column ``key``: every task marks its own keys, the marks
+    are joined by ``bit_or``. The driver gets ``MARKS`` bits at most."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = np.unique(_slot_of(batch.column(0).to_numpy()))
+            if len(slot):
+                head = np.flatnonzero(np.diff(slot >> 6, prepend=-1))
+                bits = np.bitwise_or.reduceat(U64(1) << (slot & 63).astype(U64), head)
+                yield pa.record_batch([pa.array(slot[head] >> 6), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    marked = keys.select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    table = marked.toArrow()
+    return Marks(table.column("word").to_numpy(), table.column("bits").to_numpy())
+
+
+def _count_grams(texts: DataFrame, level: int, frequent) -> DataFrame:
+    """(left, right, n) of the pairs or triples that are arcs. ``frequent``:
+    broadcast bitmap of the words or pairs that are seen ``LEAST`` times."""
 
     def merge(parts: list) -> tuple[np.ndarray, ...]:
         key, left, right, n = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -147,6 +189,8 @@ def _count_grams(texts: DataFrame, level: int) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, 0):
                 key, left, right = grams_of(tokens_of(piece.column(0)))[level - 2]
+                may = (frequent.value.may_have(left) | (left == U64(START))) & frequent.value.may_have(right)
+                key, left, right = key[may], left[may], right[may]
                 parts.append(merge([(key, left, right, np.ones(len(key), np.int64))]))
                 size += len(parts[-1][0])
                 if size > HELD:
@@ -185,7 +229,9 @@ def _histories(arcs: DataFrame, counts: DataFrame) -> DataFrame:
     return sums.join(counts, "left").select("left", "hist", fail.alias("fail"))
 
 
-def gram_weights(texts: DataFrame, counts: DataFrame, total: int, distinct: int, rows: int) -> tuple[DataFrame, float]:
+def gram_weights(
+    tables: Tables, texts: DataFrame, counts: DataFrame, total: int, distinct: int, rows: int
+) -> tuple[DataFrame, float]:
     """(key, level, n, base, weight) of all words and of all pairs and triples
     that are arcs, and the failure weight of the start. ``base`` is a word's
     unigram estimate (null for others); a text's score is the sum of the
@@ -194,27 +240,35 @@ def gram_weights(texts: DataFrame, counts: DataFrame, total: int, distinct: int,
     log_p = F.log10((F.col("n") - DISCOUNT) / F.col("hist"))
     words = counts.withColumn("p", (F.col("n") + 1.0) / (total + distinct + 1.0))
     begin = spark.createDataFrame([(_signed(START), rows)], "left long, hist long")
-    pairs = _count_grams(texts, 2).checkpoint()
-    pairs = pairs.join(words.select(F.col("key").alias("right"), F.col("p").alias("low")), "right")
-    after_word = _histories(pairs, counts.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin)).checkpoint()
-    pairs = (
-        pairs.join(after_word, "left")
-        .select(_key(2).alias("key"), "n", log_p.alias("log_p"), (log_p - F.col("fail") - F.log10("low")).alias("more"))
-        .checkpoint()
-    )
-    triples = _count_grams(texts, 3).join(
-        pairs.select(F.col("key").alias("right"), F.pow(F.lit(10.0), "log_p").alias("low")), "right"
+
+    def counted(level: int, keys: DataFrame) -> DataFrame:
+        frequent = spark.sparkContext.broadcast(_marks(keys.where(F.col("n") >= LEAST)))
+        found = tables.keep(_count_grams(texts, level, frequent))
+        frequent.destroy()
+        return found
+
+    seen = counted(2, counts)
+    known = tables.keep(seen.join(words.select(F.col("key").alias("right"), F.col("p").alias("low")), "right"))
+    tables.drop(seen)
+    after_word = tables.keep(
+        _histories(known, counts.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin))
     )
-    triples = triples.checkpoint()
-    after_pair = _histories(triples, pairs.select(F.col("key").alias("left"), F.col("n").alias("hist"))).checkpoint()
-    triples = triples.join(after_pair, "left").select(
-        _key(3).alias("key"), "n", (log_p - F.col("fail") - F.log10("low")).alias("weight")
+    pairs = tables.keep(
+        known.join(after_word, "left").select(
+            _key(2).alias("key"), "n", log_p.alias("log_p"), (log_p - F.col("fail") - F.log10("low")).alias("more")
+        )
     )
+    tables.drop(known)
+    seen = counted(3, pairs)
+    known = tables.keep(seen.join(pairs.select(F.col("key").alias("right"), F.pow(F.lit(10.0), "log_p").alias("low")), "right"))
+    tables.drop(seen)
+    # A triple whose first pair is marked by chance has no history.
+    after_pair = tables.keep(_histories(known, pairs.select(F.col("key").alias("left"), F.col("n").alias("hist"))))
     fail = lambda t: t.select(F.col("left").alias("key"), "fail")
     more = F.coalesce("fail", F.lit(0.0))
     none = F.lit(None).cast("double").alias("base")
     base = F.log10("p")
-    table = (
+    table = tables.keep(
         words.join(fail(after_word), "key", "left")
         .select("key", F.lit(1).alias("level"), "n", base.alias("base"), (base + more).alias("weight"))
         .union(
@@ -222,10 +276,18 @@ def gram_weights(texts: DataFrame, counts: DataFrame, total: int, distinct: int,
                 "key", F.lit(2).alias("level"), "n", none, (F.col("more") + more).alias("weight")
             )
         )
-        .union(triples.select("key", F.lit(3).alias("level"), "n", none, "weight"))
-        .checkpoint()
+        .union(
+            known.join(after_pair, "left").select(
+                _key(3).alias("key"),
+                F.lit(3).alias("level"),
+                "n",
+                none,
+                (log_p - F.col("fail") - F.log10("low")).alias("weight"),
+            )
+        )
     )
     start = after_word.where(F.col("left") == _signed(START)).first()
+    tables.drop(known, after_word, after_pair, pairs)
     return table, start["fail"] if start else 0.0
 
 
@@ -381,9 +443,10 @@ class Automaton:
         return word, out
 
 
-def count_words(texts: DataFrame) -> tuple[DataFrame, int, int, int]:
+def count_words(texts: DataFrame, tables: Tables | None = None) -> tuple[DataFrame, int, int, int]:
     """Complete count table (key, n), its sums N and V, and the number of texts."""
-    counts = _count(texts, lambda t: t.hash).checkpoint()
+    counts = _count(texts, lambda t: t.hash)
+    counts = tables.keep(counts) if tables else counts.checkpoint()
     row = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("key") == _signed(END), F.col("n"))), F.lit(0))
     ).first()
@@ -418,14 +481,23 @@ def score(
     learnt from the rows of ``train_where``."""
     spark = df.sparkSession
     prepare(spark)
+    with freeing_shuffles(spark):
+        return _score(df, id_col, text_col, train_where, vocabulary, arcs)
+
+
+def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocabulary: int, arcs: int) -> DataFrame:
+    spark = df.sparkSession
+    tables = Tables(spark, "backoff")
     texts = df.where(train_where).select(whole_text(text_col).alias("text"))
-    counts, total, distinct, n_texts = count_words(texts)
-    table, start = gram_weights(texts, counts, total, distinct, n_texts)
-    sent = spark.sparkContext.broadcast(_front(table, vocabulary, arcs))
+    counts, total, distinct, n_texts = count_words(texts, tables)
+    table, start = gram_weights(tables, texts, counts, total, distinct, n_texts)
+    tables.drop(counts)
+    front, marks = _front(table, vocabulary, arcs), _marks(table)
+    sent = spark.sparkContext.broadcast((front, marks))
 
     @F.arrow_udf("n_tokens long, n_known long, base double, score double, n_rare long, rest array<long>")
     def read(text: pa.Array) -> pa.Array:
-        front, parts = sent.value, []
+        (front, marks), parts = sent.value, []
         for piece in pieces(pa.record_batch([text], names=["text"]), 0):
             t = tokens_of(piece.column(0))
             n = piece.num_rows
@@ -435,6 +507,7 @@ def score(
             here, base, weight = front.find(key)
             known = here[: len(t.hash)]
             rest = np.flatnonzero(~here)
+            rest = rest[marks.may_have(key[rest])]
             rest = rest[np.argsort(of[rest], kind="stable")]
             ends = np.searchsorted(of[rest], np.arange(n + 1)).astype(np.int32)
             n_tokens, n_known = np.bincount(t.text, minlength=n), np.bincount(t.text[known], minlength=n)
@@ -453,25 +526,35 @@ def score(
             )
         return pa.concat_arrays(parts)
 
-    rows = (
+    rows = tables.keep(  # row numbers hold from here on
         df.select(col(id_col).alias("id"), read(whole_text(text_col)).alias("r"))
         .select("id", "r.*")
         .withColumn("row", F.monotonically_increasing_id())
-        .checkpoint()  # row numbers hold from here on
     )
-    rest = (
-        rows.select("row", F.explode("rest").alias("key"))
-        .join(table.select("key", "base", "weight"), "key")
-        .groupBy("row")
-        .agg(F.sum("base").alias("low"), F.sum("weight").alias("more"), F.count("base").alias("found"))
-    )
-    found = F.coalesce("found", F.lit(0))
-    unseen = (F.col("n_rare") - found) * F.lit(-math.log10(total + distinct + 1.0))
-    return rows.join(rest, "row", "left").select(
-        F.col("id").alias(id_col),
-        "n_tokens",
-        (F.col("n_known") + found).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("low", F.lit(0.0)) + unseen).alias("base_score"),
-        (F.col("score") + F.coalesce("more", F.lit(0.0)) + unseen).alias("score"),
+    sent.destroy()
+    found = []
+    for part in range(PARTS):
+        mine = lambda c: F.pmod(c, F.lit(PARTS)) == part  # noqa: B023, E731 - used here
+        keys = rows.select("row", F.explode(F.filter("rest", mine)).alias("key"))
+        weights = table.where(mine(F.col("key"))).select("key", "base", "weight")
+        sums = keys.join(weights, "key").groupBy("row")
+        found.append(tables.keep(sums.agg(F.sum("base").alias("low"), F.sum("weight").alias("more"), F.count("base").alias("found"))))
+    tables.drop(table)
+    each = found[0]
+    for more in found[1:]:
+        each = each.unionByName(more)
+    rest = each.groupBy("row").agg(F.sum("low").alias("low"), F.sum("more").alias("more"), F.sum("found").alias("found"))
+    n_found = F.coalesce("found", F.lit(0))
+    unseen = (F.col("n_rare") - n_found) * F.lit(-math.log10(total + distinct + 1.0))
+    out = tables.keep(
+        rows.join(rest, "row", "left").select(
+            F.col("id").alias(id_col),
+            "n_tokens",
+            (F.col("n_known") + n_found).alias("n_known"),
+            F.lit(total).cast("long").alias("train_tokens"),
+            (F.col("base") + F.coalesce("low", F.lit(0.0)) + unseen).alias("base_score"),
+            (F.col("score") + F.coalesce("more", F.lit(0.0)) + unseen).alias("score"),
+        )
     )
+    tables.drop(rows, *found)
+    return out

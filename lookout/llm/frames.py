@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +35,47 @@ def joinable(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a job go when it ends, not when the driver
+    happens to collect its garbage. For jobs that write a table and whose
+    frames aren't run again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+class Tables:
+    """Tables of the work folder that an operator reads more than once."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back."""
+        path = work_dir(self.spark, self.name)
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = (path, back)
+        return back
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes kept tables that nothing reads any more."""
+        for frame in frames:
+            remove_table(self.spark, self.paths.pop(id(frame))[0])
+
+
 def remove_table(spark: SparkSession, path: str) -> None:
     """Deletes a table that this package has written to the work folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-__all__ = ["OWN", "col", "documents", "joinable", "prepare", "remove_table", "whole_text", "work_dir"]
+__all__ = ["OWN", "Tables", "col", "freeing_shuffles", "documents", "joinable", "prepare", "remove_table", "whole_text", "work_dir"]
