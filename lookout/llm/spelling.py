@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 from lookout.llm.frames import col, joinable, prepare, whole_text
 from lookout.llm.words import hash_spans, pieces, spread, string_buffer
 
-# Words of the vocabulary that the split points are fitted on, at most.
+# Words of the vocabulary that the split points are fitted on (a share by hash
+# that gives so many).
 SAMPLE = 1 << 17
 # Words that a block should hold, and the fewest words of the sample in one.
 BLOCK = 1 << 14
@@ -269,7 +270,8 @@ def route(
 def _fit(words: DataFrame) -> dict[int, list[tuple[int, int, int]]]:
     """Split points by length, from the sample."""
     total = words.count()
-    picked = words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE).collect()
+    share = min(1.0, SAMPLE / max(1, total))  # SAMPLE words within a few hundred
+    picked = words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))).collect()
     by_length: dict[int, list[bytes]] = {}
     for r in picked:
         by_length.setdefault(len(r.word), []).append(r.word.encode("latin-1"))
