@@ -221,9 +221,10 @@ def encode(df: DataFrame, vector_col: str, books: Codebooks) -> DataFrame:
             )
 
     c = OWN + "coded"
+    # What can be coded is told before the coding: a filter on codes would run it twice.
+    usable = df.where(_good(col(vector_col)) & (F.size(col(vector_col)) == books.dimension))
     return (
-        df.withColumn(c, coded(col(vector_col)))
-        .where(F.col(c)["code"].isNotNull())
+        usable.withColumn(c, coded(col(vector_col)))
         .select(
             *[col(x) for x in df.columns if x not in ("code", "error")],
             F.col(c)["code"].alias("code"),
