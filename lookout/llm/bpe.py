@@ -85,15 +85,17 @@ def _classes(pattern: str) -> str:
 
 
 class Recent:
-    """Values of recent keys, at most ``2 * size``: when the young half is full
-    it becomes the old one, and what was not asked for since is forgotten."""
+    """Values of recent keys, at most twice ``CACHE``: when the young half is
+    full it becomes the old one, and what was not asked for since is forgotten."""
 
-    def __init__(self, size: int) -> None:
-        self.size = size
+    def __init__(self) -> None:
         self.young: dict = {}
         self.old: dict = {}
         self.always: dict = {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def find(self, keys) -> tuple[dict, list]:
         """(values of known keys, unknown keys)."""
         young, old = self.young, self.old
@@ -114,7 +116,7 @@ class Recent:
     def keep(self, items: dict) -> None:
         for key, value in items.items():
             if len(key) <= 64:
-                if len(self.young) >= self.size:
+                if len(self.young) >= CACHE:
                     self.old, self.young = self.young, {}
                 self.young[key] = value
 
@@ -184,8 +186,8 @@ class Tokenizer:
         # A line end stands between words while they are spelled out.
         self.letters = {b: c for b, c in letters.items() if chr(b) != c and b != 10}
         self.split = re.compile("\n|" + _classes(self.pattern))
-        self.cache = Recent(CACHE)  # ids by piece of a text
-        self.words = Recent(CACHE)  # by word
+        self.cache = Recent()  # ids by piece of a text
+        self.words = Recent()  # by word
         if self.special:
             self.cache.always = {ids: ids for ids in self.special.values()}
         self.automaton = automaton

@@ -108,3 +108,27 @@ def test_query_on_documents(spark, reference):
         ids = reference.encode(t or "", add_special_tokens=False).ids
         want.add((d, len(ids), sha(" ".join(map(str, ids))), sha(reference.decode(ids, skip_special_tokens=False))))
     assert {tuple(r) for r in op1(spark, SF001).collect()} == want
+
+
+def test_walks_of_any_number_of_words(own, reference, monkeypatch):
+    """Small walks, few slots for pairs and small pieces: the same ids."""
+    from lookout.llm import bpe
+
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzé中!#'"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 90))) for _ in range(20)) for _ in range(60)]
+    texts += ["", " ", "<|startoftext|>a<|endoftext|> b", "x" * 300, "a\x1cb c"]
+    for walked, slots, long in ((1, 2, 64), (7, 16, 5), (1000, 1 << 10, 400)):
+        monkeypatch.setattr(bpe, "WALKED", walked)
+        monkeypatch.setattr(bpe, "PAIR_SLOTS", slots)
+        monkeypatch.setattr(bpe, "LONG", long)
+        own.encode("a")
+        own.cache.clear()
+        own.words.clear()
+        own.pair_keys, own.pair_fits = np.full(slots, -1, np.int64), np.zeros(slots, dtype=bool)
+        same(own, reference, texts)
+        assert [np.frombuffer(x, np.int32).tolist() for x in own.encode_many(texts)] == [
+            np.frombuffer(own.encode(t), np.int32).tolist() for t in texts
+        ]
+    monkeypatch.undo()
+    own.pair_keys, own.pair_fits = np.full(bpe.PAIR_SLOTS, -1, np.int64), np.zeros(bpe.PAIR_SLOTS, dtype=bool)
