@@ -36,6 +36,8 @@ PASSAGE = 50
 PER_CLASS = 4000
 # Passages of the training documents of one label; beyond, there are fewer documents.
 MOST_PASSAGES = 1 << 18
+# Passages (and the rest of the last bag) of one slice of a training step.
+SLICE = 1 << 14
 HIDDEN = 16
 ATTENTION = 8
 STEPS = 400
@@ -151,34 +153,49 @@ class Attention:
         s = 1 / (1 + np.exp(-(z @ p["c"] + p["d"][0])))
         return {"x": x, "h": h, "t": t, "g": g, "a": a, "z": z, "s": s}
 
+    def gradient(self, f: dict, bag: np.ndarray, ds: np.ndarray) -> dict[str, np.ndarray]:
+        """Of a loss whose derivative by each bag's logit is ``ds``; ``f`` is
+        the forward pass."""
+        p = self.p
+        dz = ds[:, None] * p["c"]
+        da = (dz[bag] * f["h"]).sum(axis=1)
+        head = np.searchsorted(bag, np.arange(len(ds)))
+        de = f["a"] * (da - np.add.reduceat(f["a"] * da, head)[bag])
+        gate = de[:, None] * p["w"]
+        dt, dg = gate * f["g"] * (1 - f["t"] ** 2), gate * f["t"] * f["g"] * (1 - f["g"])
+        dh = f["a"][:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T
+        du = dh * (1 - f["h"] ** 2)
+        return {
+            "W": f["x"].T @ du,
+            "b": du.sum(axis=0),
+            "V": f["h"].T @ dt,
+            "U": f["h"].T @ dg,
+            "w": (f["t"] * f["g"]).T @ de,
+            "c": f["z"].T @ ds,
+            "d": np.array([ds.sum()]),
+        }
+
     def fit(self, x: np.ndarray, bag: np.ndarray, y: np.ndarray, steps: int = STEPS, rate: float = 0.03) -> None:
-        x = x.astype(np.float64)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+        """Bags are taken through in slices of about ``SLICE`` passages, whose
+        gradients are added up, so that only the passages' features themselves
+        (in single precision) are held whole."""
+        ends = np.searchsorted(bag, np.arange(len(y) + 1))
+        cuts = np.unique(np.searchsorted(ends, np.arange(0, len(x) + SLICE, SLICE)).clip(max=len(y)))
+        slices = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        self.mean = x.mean(axis=0, dtype=np.float64)
+        off = sum(((x[ends[i] : ends[j]] - self.mean) ** 2).sum(axis=0) for i, j in slices)
+        self.scale = np.sqrt(off / len(x)) + 1e-3
         weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         for step in range(1, steps + 1):
-            p, f = self.p, self.forward(x, bag, len(y))
-            ds = weight * (f["s"] - y)
-            dz = ds[:, None] * p["c"]
-            da = (dz[bag] * f["h"]).sum(axis=1)
-            head = np.searchsorted(bag, np.arange(len(y)))
-            de = f["a"] * (da - np.add.reduceat(f["a"] * da, head)[bag])
-            gate = de[:, None] * p["w"]
-            dt, dg = gate * f["g"] * (1 - f["t"] ** 2), gate * f["t"] * f["g"] * (1 - f["g"])
-            dh = f["a"][:, None] * dz[bag] + dt @ p["V"].T + dg @ p["U"].T
-            du = dh * (1 - f["h"] ** 2)
-            grad = {
-                "W": f["x"].T @ du,
-                "b": du.sum(axis=0),
-                "V": f["h"].T @ dt,
-                "U": f["h"].T @ dg,
-                "w": (f["t"] * f["g"]).T @ de,
-                "c": f["z"].T @ ds,
-                "d": np.array([ds.sum()]),
-            }
-            for k, g in grad.items():
-                g = g + 1e-4 * p[k]
+            p, total = self.p, {k: 1e-4 * v for k, v in self.p.items()}
+            for i, j in slices:
+                own = bag[ends[i] : ends[j]] - i
+                f = self.forward(x[ends[i] : ends[j]].astype(np.float64), own, j - i)
+                for k, g in self.gradient(f, own, weight[i:j] * (f["s"] - y[i:j])).items():
+                    total[k] = total[k] + g
+            for k, g in total.items():
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v2[k] = 0.999 * v2[k] + 0.001 * g * g
                 p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.999**step)) + 1e-9)

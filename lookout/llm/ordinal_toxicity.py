@@ -42,7 +42,6 @@ from lookout.llm.words import U64, find_words, hash_spans, mix, pieces, runs
 PER_CLASS = 6000
 LEVELS = (3, 6)
 PREFIXES = (4, 5, 6)
-MOST_FEATURES = 1 << 16
 STEPS = 500
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -165,8 +164,9 @@ class Ordinal:
         self.theta = cut[0] + np.concatenate([[0.0], np.cumsum(np.exp(cut[1:]))])
 
 
-def _telling(counts: DataFrame, n0: int, n1: int, most: int) -> DataFrame:
-    """Features that occur more in toxic documents than luck explains."""
+def _telling(counts: DataFrame, n0: int, n1: int) -> DataFrame:
+    """Features that occur more in toxic documents than luck explains, all of
+    them: they occur in the bounded sample twice at least."""
     total = counts.count()
     share = n1 / (n0 + n1)
     both = F.col("n0") + F.col("n1")
@@ -175,8 +175,7 @@ def _telling(counts: DataFrame, n0: int, n1: int, most: int) -> DataFrame:
     level = 2 * np.log(max(total, 2)) + 2
     lift = ((F.col("n1") + 0.5) / (n1 + 1)) / ((F.col("n0") + 0.5) / (n0 + 1))
     kept = counts.withColumns({"g": ratio, "share": 1 - 1 / lift})
-    kept = kept.where((F.col("share") > 0) & (F.col("n1") >= 2) & (F.col("g") >= level))
-    return kept.orderBy(F.desc("g"), "key").limit(most)
+    return kept.where((F.col("share") > 0) & (F.col("n1") >= 2) & (F.col("g") >= level))
 
 
 def train(
@@ -206,7 +205,7 @@ def train(
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .checkpoint()
     )
-    telling = _telling(counts, n0, n1, MOST_FEATURES).select("key", "share").toArrow().sort_by("key")
+    telling = _telling(counts, n0, n1).select("key", "share").toArrow().sort_by("key")
     model = Ordinal(telling.column("key").to_numpy().view(U64), grades, telling.column("share").to_numpy())
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -215,23 +214,28 @@ def train(
             for piece in pieces(batch, 0):
                 text, feature, value, _, uses = sent.value.sparse(piece.column(0))
                 ends = np.searchsorted(text, np.arange(piece.num_rows + 1)).astype(np.int32)
+                parts = np.bincount(text, weights=value * (1 + feature), minlength=piece.num_rows).astype(np.float64)
                 yield pa.record_batch(
                     [
                         piece.column(1),
                         pa.array(uses),
+                        pa.array(parts),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(feature)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(value)),
                     ],
-                    names=["label", "uses", "features", "values"],
+                    names=["label", "uses", "sum", "features", "values"],
                 )
 
-    table = chosen.mapInArrow(rows, "label int, uses double, features array<long>, values array<double>").toArrow()
-    data = sorted(zip(*(table.column(c).to_pylist() for c in table.column_names), strict=True))  # in a fixed order
-    label, uses = (np.array([d[i] for d in data]) for i in (0, 1))
+    table = chosen.mapInArrow(rows, "label int, uses double, sum double, features array<long>, values array<double>").toArrow()
+    table = table.sort_by([(c, "ascending") for c in ("label", "uses", "sum")])  # whatever order they came in
+    label, uses = table.column("label").to_numpy(), table.column("uses").to_numpy()
     grade = np.where(label == 1, 1 + sum((uses >= n).astype(int) for n in levels), 0)
-    text = np.repeat(np.arange(len(data)), [len(d[2]) for d in data])
-    feature = np.array([f for d in data for f in d[2]], dtype=np.int64)
-    value = np.array([x for d in data for x in d[3]], dtype=np.float64)
+    # Flat arrays of the features found: twelve or sixteen bytes for each one in
+    # the sample's texts.
+    features = table.column("features").combine_chunks()
+    text = np.repeat(np.arange(len(label)), features.value_lengths().to_numpy())
+    feature = features.flatten().to_numpy()
+    value = table.column("values").combine_chunks().flatten().to_numpy()
     model.fit(text, feature, value, grade)
     return model
 
