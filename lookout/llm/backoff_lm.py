@@ -58,7 +58,7 @@ LEAST = 2
 BITS = 20
 # Bits of a bitmap of keys, and parts of the keys that are joined in turn.
 MARKS = 1 << 28
-PARTS = 2
+PARTS = 3
 # Distinct keys held per task before counts are handed on.
 HELD = 2_000_000
 
@@ -218,6 +218,12 @@ def _signed(x: int) -> int:
     return int(np.array([x], U64).view(np.int64)[0])
 
 
+def _unique(df: DataFrame) -> DataFrame:
+    """A table with one row per key as the side of a join that a hash table is
+    made of: no key is large there, and neither side has to be sorted."""
+    return df.hint("shuffle_hash")
+
+
 def _histories(arcs: DataFrame, counts: DataFrame) -> DataFrame:
     """(left, hist, fail): count and failure weight of every history that has
     arcs. ``arcs``: left, n, and ``low``, the estimate without the history;
@@ -248,19 +254,20 @@ def gram_weights(
         return found
 
     seen = counted(2, counts)
-    known = tables.keep(seen.join(words.select(F.col("key").alias("right"), F.col("p").alias("low")), "right"))
+    known = tables.keep(seen.join(_unique(words.select(F.col("key").alias("right"), F.col("p").alias("low"))), "right"))
     tables.drop(seen)
     after_word = tables.keep(
         _histories(known, counts.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin))
     )
     pairs = tables.keep(
-        known.join(after_word, "left").select(
+        known.join(_unique(after_word), "left").select(
             _key(2).alias("key"), "n", log_p.alias("log_p"), (log_p - F.col("fail") - F.log10("low")).alias("more")
         )
     )
     tables.drop(known)
     seen = counted(3, pairs)
-    known = tables.keep(seen.join(pairs.select(F.col("key").alias("right"), F.pow(F.lit(10.0), "log_p").alias("low")), "right"))
+    lower = pairs.select(F.col("key").alias("right"), F.pow(F.lit(10.0), "log_p").alias("low"))
+    known = tables.keep(seen.join(_unique(lower), "right"))
     tables.drop(seen)
     # A triple whose first pair is marked by chance has no history.
     after_pair = tables.keep(_histories(known, pairs.select(F.col("key").alias("left"), F.col("n").alias("hist"))))
@@ -269,15 +276,15 @@ def gram_weights(
     none = F.lit(None).cast("double").alias("base")
     base = F.log10("p")
     table = tables.keep(
-        words.join(fail(after_word), "key", "left")
+        words.join(_unique(fail(after_word)), "key", "left")
         .select("key", F.lit(1).alias("level"), "n", base.alias("base"), (base + more).alias("weight"))
         .union(
-            pairs.join(fail(after_pair), "key", "left").select(
+            pairs.join(_unique(fail(after_pair)), "key", "left").select(
                 "key", F.lit(2).alias("level"), "n", none, (F.col("more") + more).alias("weight")
             )
         )
         .union(
-            known.join(after_pair, "left").select(
+            known.join(_unique(after_pair), "left").select(
                 _key(3).alias("key"),
                 F.lit(3).alias("level"),
                 "n",
@@ -537,7 +544,7 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
         mine = lambda c: F.pmod(c, F.lit(PARTS)) == part  # noqa: B023, E731 - used here
         keys = rows.select("row", F.explode(F.filter("rest", mine)).alias("key"))
         weights = table.where(mine(F.col("key"))).select("key", "base", "weight")
-        sums = keys.join(weights, "key").groupBy("row")
+        sums = keys.join(_unique(weights), "key").groupBy("row")
         found.append(tables.keep(sums.agg(F.sum("base").alias("low"), F.sum("weight").alias("more"), F.count("base").alias("found"))))
     tables.drop(table)
     each = found[0]
