@@ -44,12 +44,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookout.llm.frames import col, prepare, whole_text
+from lookout.llm.frames import col, joinable, prepare, whole_text
 
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.json"
 # Bytes of an archive before a task starts the next package, and of a range.
 PACKAGE_BYTES = 256 * 1024 * 1024
+BROADCAST_REPEATED = 100_000
 RANGE_BYTES = 4 * 1024 * 1024
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -176,7 +177,8 @@ def write_packages(
         col(id_col).alias("id"), col(url_col).cast("string").alias("url"), whole_text(payload_col).alias("payload")
     ).withColumn("key", F.unhex(F.sha2("payload", 256)))
     again = rows.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    placed = rows.join(again, "key", "left").select(
+    # Up to BROADCAST_REPEATED payloads that repeat, the payloads stay where they are.
+    placed = rows.join(joinable(again.checkpoint(), BROADCAST_REPEATED), "key", "left").select(
         F.col("id").cast("string").alias("id"),
         "url",
         "payload",
