@@ -2,8 +2,9 @@
 
 Each step is one pass over the rows: a task adds up gradient, loss and hits of
 its Arrow batches in NumPy and gives one row of sums; these rows are added in
-a tree of two levels (about the square root of the tasks, then one), so that no
-task and not the driver takes in a row of every task. The driver holds the
+a tree of two levels (about the square root of the tasks, then one; a few tasks
+at once), so that no task and not the driver takes in a row of every task of a
+large cluster. The driver holds the
 weights (classes x features), moves them, and sends them with the next step.
 Training rows give gradient and training loss, validation rows their loss and
 accuracy; the weights of the step with the smallest validation loss are kept.
@@ -26,6 +27,8 @@ from lookout.session import prepare
 
 # Probabilities are clipped so before the logarithm, as in the loss of a table.
 EPSILON = 1e-7
+# Up to the square of so many tasks one level adds all their sums.
+FEW = 8
 # Sums before the gradient: training weight and loss, validation rows, loss, hits.
 HEAD = 5
 
@@ -96,9 +99,10 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sums(data: DataFrame, weights: np.ndarray, bias: np.ndarray, fan: int) -> np.ndarray:
-    each = data.mapInArrow(_partial(weights, bias), "sums array<double>")
-    some = each.repartition(fan).mapInArrow(_add, "sums array<double>")
-    return np.array(some.coalesce(1).mapInArrow(_add, "sums array<double>").first()[0])
+    sums = data.mapInArrow(_partial(weights, bias), "sums array<double>")
+    if fan > FEW:
+        sums = sums.repartition(fan).mapInArrow(_add, "sums array<double>")
+    return np.array(sums.repartition(1).mapInArrow(_add, "sums array<double>").first()[0])
 
 
 def fit_softmax(

@@ -241,3 +241,13 @@ def test_read_files_are_deleted_and_old_ones_left_out(spark, tmpdir_fresh):
     lengths = sorted(r.length for r in K.read_committed(spark, out).select("length").collect())
     assert lengths[-1] == 4 and len(lengths) == len(set(lengths))
     assert "f3.png" in os.listdir(src) and len(os.listdir(src)) < 4
+
+
+def test_files_without_headers_are_refused(spark, tmpdir_fresh, monkeypatch):
+    from lookout.sources import tables
+
+    monkeypatch.setattr(tables, "MOST_LAYOUTS", 2)
+    for k in range(3):
+        _write(f"{tmpdir_fresh}/part-{k}.csv", f"file{k}.png,1\n")
+    with pytest.raises(ValueError):
+        read_part_csvs(spark, tmpdir_fresh, PREDICTION_SCHEMA)

@@ -30,7 +30,9 @@ def _numpy_fit(x, y, w, xv, yv, k, steps, rate):
     return curve
 
 
-def test_losses_equal_numpy(spark):
+@pytest.mark.parametrize("few", [0, 8])
+def test_losses_equal_numpy(spark, monkeypatch, few):
+    monkeypatch.setattr("lookout.operators.fitting.FEW", few)  # with and without the middle level
     emb = table(spark, SF001, "embeddings").withColumn("y", argmax(linear_scores("embedding")))
     rows = emb.withColumn("w", 1.0 + F.col("vec_id") % 3).repartition(5)
     train, val = rows.where("vec_id % 5 > 0"), rows.where("vec_id % 5 = 0")
