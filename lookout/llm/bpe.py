@@ -16,7 +16,7 @@ offset table, and a text is the ranges of its ids, one after another.
 The tokenizer file names vocabulary, merges, the end-of-word mark, special
 tokens, normalisation (NFC, white space, lower case) and the split pattern;
 other kinds of steps are refused. Texts are cut at white space first. The
-distinct pieces of some megabytes of texts are normalised and split together,
+distinct pieces of half a megabyte of texts are normalised and split together,
 every distinct word is encoded once, and the texts' ids are gathered from
 theirs; ids of recent pieces and words are kept in bounded tables per worker.
 
@@ -41,14 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.frames import OWN, col, prepare, whole_text
-from lookout.llm.words import PIECE_BYTES, U64, mix, spread, string_buffer
+from lookout.llm.words import U64, mix, spread, string_buffer
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
-CACHE = 80_000
+CACHE = 30_000
 PAIRS = 100_000
 PAIR_SLOTS = 1 << 19
+# Bytes of texts whose pieces are encoded together (one text at least).
+TOGETHER = 1 << 19
 # Words that are walked at once, and the letters of those walked alone.
-WALKED = 20_000
+WALKED = 5_000
 LONG = 64
 # Tokens decoded at once (one text at least).
 DECODED = 100_000
@@ -451,7 +453,7 @@ def _ids(tokenizer: Tokenizer, texts: pa.Array) -> pa.ListArray:
     _, offsets = string_buffer(texts)
     flat, ends, i = bytearray(), [0], 0
     while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PIECE_BYTES, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + TOGETHER, side="right")) - 1)
         for ids in tokenizer.encode_many(texts.slice(i, j - i).to_pylist()):
             flat += ids
             ends.append(len(flat) // 4)
