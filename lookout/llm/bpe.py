@@ -44,7 +44,7 @@ from lookout.llm.frames import OWN, col, prepare, whole_text
 from lookout.llm.words import U64, mix, spread, string_buffer
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
-CACHE = 30_000
+CACHE = 40_000
 PAIRS = 100_000
 PAIR_SLOTS = 1 << 19
 # Bytes of texts whose pieces are encoded together (one text at least).

@@ -49,7 +49,7 @@ WINDOW = 35
 ANCHOR = 8
 CODE_BYTES = 8
 # K-mers of one chunk in step 2.
-CHUNK_EDGES = 1_500_000
+CHUNK_EDGES = 700_000
 # Classes of anchors; one is hot with more than HOT_EDGES windows, or more than
 # one in HOT_SHARE of all.
 SLOTS = 1 << 16
