@@ -147,9 +147,14 @@ def csv_layouts(spark, sf):
         [F.expr("event_id * 0.5D").alias("ms per image"), "prediction", F.expr(ODD_NAME).alias("image")],
         ["image"],
     ]
+    # Files are dealt to tasks by folder, as many as the session says: there
+    # are far more files than a task should write, however few bytes they have.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for k, columns in enumerate(layouts):
         part = rows.where(F.col("event_id") % 3 == k).select(*columns, "run_id", "batch_id")
-        writer = part.write.mode("append").partitionBy("run_id", "batch_id")
+        writer = part.repartition(tasks, "run_id", "batch_id").write.mode("append").partitionBy("run_id", "batch_id")
+        # Tasks put their files in place themselves, not the driver one by one.
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         writer.options(**K.csv_options("csv")).csv(base)
     schema = T.StructType([*RUN_PREDICTION_SCHEMA.fields, T.StructField("ms per image", T.DoubleType())])
     return read_part_csvs(spark, base, schema).select("image", "prediction", "ms per image", "run_id", "batch_id")

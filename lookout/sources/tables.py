@@ -4,6 +4,8 @@ writes (S6, S7, S8, S15)."""
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
@@ -91,6 +93,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return reader.load(path)
 
 
+@contextmanager
+def listing_in_few_tasks(spark: SparkSession) -> Iterator[None]:
+    """Inside, folders and lists of files are listed in as many tasks as the
+    session shuffles with, not in a task for every folder or file."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _first_lines(paths: pd.DataFrame) -> pd.DataFrame:
     import pyarrow.fs as pafs
 
@@ -151,6 +169,14 @@ def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_fi
     folders = committed_folders(spark, path) if has_log(spark, path) else [path]
     if not folders:
         return empty
+    with listing_in_few_tasks(spark):
+        return _read_parts(spark, path, folders, schema, out_schema, with_file_info)
+
+
+def _read_parts(
+    spark: SparkSession, path: str, folders: list[str], schema: T.StructType, out_schema: T.StructType, with_file_info: bool
+) -> DataFrame:
+    """:func:`read_part_csvs` over the folders that count."""
     # The folder names below the table are columns; with a list of files Spark
     # has to be told where they begin.
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv").option("basePath", path)
@@ -167,7 +193,7 @@ def read_part_csvs(spark: SparkSession, path: str, schema: T.StructType, with_fi
         raise ValueError(f"over {MOST_LAYOUTS} different first lines in {path}: do its files have headers?")
     headers = sorted(r["header"] for r in some)
     if not headers:
-        return empty
+        return spark.createDataFrame([], out_schema)
     by_name = {f.name: f for f in schema.fields}
     places = [
         F.col("_metadata.file_name").alias("file_name"),
