@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from lookout.llm.frames import Tables, col, freeing_shuffles, prepare, whole_text
 from lookout.llm.lookup import HashIndex
-from lookout.llm.words import U64, find_words, mix, pieces
+from lookout.llm.words import U64, find_words, mix, pieces, runs
 
 END = 0x3C6EF372FE94F82B  # stands for the end token among the word hashes
 VOCABULARY = 1 << 17
@@ -59,8 +59,11 @@ BITS = 20
 # Bits of a bitmap of keys, and parts of the keys that are joined in turn.
 MARKS = 1 << 28
 PARTS = 3
-# Distinct keys held per task before counts are handed on.
-HELD = 2_000_000
+# Distinct keys held per task before counts are handed on, rows handed on at
+# once, and bytes of texts counted at once.
+HELD = 1_000_000
+SENT = 100_000
+COUNTED = 1 << 20
 
 
 class Tokens(NamedTuple):
@@ -87,37 +90,56 @@ def tokens_of(texts: pa.Array) -> Tokens:
 
 
 
-def _counted(keys_of: Callable[[Tokens], np.ndarray]):
-    """(text) -> (key, n): counts of the keys, combined per task."""
+def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Rows (key, values.., n) of all parts with n added up by key. A column
+    of the parts goes as soon as the merged one stands."""
+    keys = np.concatenate([p.pop(0) for p in parts])
+    order = np.argsort(keys)
+    keys = keys[order]
+    head = runs(keys)
+    out, first = [keys[head]], order[head]
+    del keys
+    while len(parts[0]) > 1:
+        out.append(np.concatenate([p.pop(0) for p in parts])[first])
+    n = np.concatenate([p.pop(0) for p in parts])
+    out.append(np.add.reduceat(n[order], head) if len(head) else n)
+    return out
 
-    def merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
-    def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+def _combined(texts: DataFrame, rows_of: Callable[[Tokens], list[np.ndarray]], names: list[str], key: bool) -> DataFrame:
+    """Counts (``names``, n) of the rows (key, values..) of all tokens: added
+    up per task, then by Spark. The rows go straight into the shuffle, as
+    adding them up in the task once more would find next to nothing. ``key``:
+    the first of ``names`` is the key itself."""
+
+    def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        columns = [pa.array(x.view(np.int64)) for x in rows[0 if key else 1 :]]
+        batch = pa.record_batch(columns, names=[*names, "n"])
+        for i in range(0, batch.num_rows, SENT):
+            yield batch.slice(i, SENT)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            for piece in pieces(batch, 0):
-                found = np.unique(keys_of(tokens_of(piece.column(0))), return_counts=True)
-                parts.append(found)
-                size += len(found[0])
+            for piece in pieces(batch, 0, COUNTED):
+                rows = rows_of(tokens_of(piece.column(0)))
+                parts.append(_merged([[*rows, np.ones(len(rows[0]), np.int64)]]))
+                size += len(parts[-1][0])
                 if size > HELD:
-                    parts = [merge(parts)]
+                    parts = [_merged(parts)]
                     size = len(parts[0][0])
                     if size > HELD // 2:
-                        yield out(*parts[0])
-                        parts, size = [], 0
+                        yield from out(parts.pop())
+                        size = 0
         if parts:
-            yield out(*merge(parts))
+            yield from out(_merged(parts))
 
-    return run
+    counted = texts.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+    return counted.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFrame:
-    return texts.mapInArrow(_counted(keys_of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return _combined(texts, lambda t: [keys_of(t)], ["key"], True)
 
 
 def grams_of(t: Tokens) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
@@ -174,36 +196,12 @@ def _count_grams(texts: DataFrame, level: int, frequent) -> DataFrame:
     """(left, right, n) of the pairs or triples that are arcs. ``frequent``:
     broadcast bitmap of the words or pairs that are seen ``LEAST`` times."""
 
-    def merge(parts: list) -> tuple[np.ndarray, ...]:
-        key, left, right, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        key, first, at = np.unique(key, return_index=True, return_inverse=True)
-        return key, left[first], right[first], np.bincount(at, weights=n).astype(np.int64)
-
-    def out(_, left: np.ndarray, right: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch(
-            [pa.array(left.view(np.int64)), pa.array(right.view(np.int64)), pa.array(n)], names=["left", "right", "n"]
-        )
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            for piece in pieces(batch, 0):
-                key, left, right = grams_of(tokens_of(piece.column(0)))[level - 2]
-                may = (frequent.value.may_have(left) | (left == U64(START))) & frequent.value.may_have(right)
-                key, left, right = key[may], left[may], right[may]
-                parts.append(merge([(key, left, right, np.ones(len(key), np.int64))]))
-                size += len(parts[-1][0])
-                if size > HELD:
-                    parts = [merge(parts)]
-                    size = len(parts[0][0])
-                    if size > HELD // 2:
-                        yield out(*parts[0])
-                        parts, size = [], 0
-        if parts:
-            yield out(*merge(parts))
+    def rows_of(t: Tokens) -> list[np.ndarray]:
+        key, left, right = grams_of(t)[level - 2]
+        may = (frequent.value.may_have(left) | (left == U64(START))) & frequent.value.may_have(right)
+        return [key[may], left[may], right[may]]
 
-    counted = texts.mapInArrow(run, "left long, right long, n long").groupBy("left", "right")
-    return counted.agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return _combined(texts, rows_of, ["left", "right"], False).where(F.col("n") >= LEAST)
 
 
 def _key(level: int) -> Column:
