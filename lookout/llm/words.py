@@ -11,11 +11,13 @@ partition. One text is always kept whole.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 IS_WORD = np.ones(256, dtype=bool)
@@ -29,6 +31,25 @@ PIECE_BYTES = 4 * 1024 * 1024
 U64 = np.uint64
 
 
+def _give_back() -> None:
+    """In a Python worker freed arrays of ``OWN_PAGES`` bytes and more go back
+    to the system at once. Else the C library keeps them for the worker, which
+    stays for the stages to come, and its size is that of its largest task."""
+    if TaskContext.get() is None:  # not in the driver, whose process is the caller's
+        return
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (AttributeError, OSError):
+        return  # another C library
+    mallopt(-3, OWN_PAGES)  # M_MMAP_THRESHOLD
+    mallopt(-1, 2 * OWN_PAGES)  # M_TRIM_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+OWN_PAGES = 4 * 1024 * 1024
+_give_back()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(U64, copy=True)
