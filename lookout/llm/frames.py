@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookout.session import prepare, work_dir
+from lookout import session
+from lookout.session import work_dir
+
+# Bytes of rows that go to a Python worker at once (one row at least); as much as
+# the operators handle at once.
+BATCH_BYTES = 4 * 1024 * 1024
 
 # Added columns that a caller never sees start with this.
 OWN = "_llm_"
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every job needs, and rows sent to Python workers in batches of at
+    most ``BATCH_BYTES``: with ten thousand whole texts at once an executor
+    holds a batch several times over. A smaller bound of the session's holds."""
+    session.prepare(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", spark.conf.get(key).lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

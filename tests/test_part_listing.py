@@ -5,7 +5,13 @@ from pyspark.sql import types as T
 from lookout.session import work_dir
 from lookout.sources.tables import read_part_csvs
 
-SCHEMA = T.StructType.fromDDL("image string, prediction string, batch_id long")
+SCHEMA = T.StructType(
+    [
+        T.StructField("image", T.StringType()),
+        T.StructField("prediction", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 BATCHES = 60
 
 
