@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lookout.llm import bpe, mil_quality, mixing, probminhash, substring_dedup  # noqa: E402
-from lookout.llm.frames import documents, remove_table, work_dir  # noqa: E402
+from lookout.llm.frames import bound_batches, documents, remove_table, work_dir  # noqa: E402
 from lookout.llm.queries import tokenizer_path, tree  # noqa: E402
 from lookout.llm.samples import crc_of  # noqa: E402
 
@@ -38,6 +38,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     learnt_from = F.pmod(crc_of(F.col("doc_id")), F.lit(3)) != 1
     model = mil_quality.train(docs, labels, "doc_id", "text", "quality", learnt_from)
@@ -45,10 +46,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return probminhash.keep_one(docs, "doc_id", "text").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     kept = substring_dedup.remove_repeated(docs, "doc_id", "text")
     return (
         kept.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
@@ -62,6 +65,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return bpe.encode_decode(docs, "text", tokenizer_path()).select(
         "doc_id",
         "lang",

@@ -9,8 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookout import session
-from lookout.session import work_dir
+from lookout.session import prepare, work_dir
 
 # Bytes of rows that go to a Python worker at once (one row at least); as much as
 # the operators handle at once.
@@ -20,11 +19,10 @@ BATCH_BYTES = 4 * 1024 * 1024
 OWN = "_llm_"
 
 
-def prepare(spark: SparkSession) -> None:
-    """What every job needs, and rows sent to Python workers in batches of at
+def bound_batches(spark: SparkSession) -> None:
+    """From here on the session sends rows to Python workers in batches of at
     most ``BATCH_BYTES``: with ten thousand whole texts at once an executor
     holds a batch several times over. A smaller bound of the session's holds."""
-    session.prepare(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", spark.conf.get(key).lower()).groups()
     if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
@@ -95,4 +93,4 @@ def remove_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-__all__ = ["OWN", "Tables", "col", "freeing_shuffles", "documents", "joinable", "prepare", "remove_table", "whole_text", "work_dir"]
+__all__ = ["OWN", "Tables", "bound_batches", "col", "freeing_shuffles", "documents", "joinable", "prepare", "remove_table", "whole_text", "work_dir"]

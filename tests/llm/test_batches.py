@@ -3,6 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lookout.llm import frames
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -22,10 +23,14 @@ def test_batches_of_whole_texts_are_bounded(spark):
         return pa.array([len(texts)] * len(texts))
 
     spark.conf.unset(KEY)
-    frames.prepare(spark)
+    frames.bound_batches(spark)
     most = frames.BATCH_BYTES // 100_000 + 2
     told = _texts(spark).select(size("text").alias("rows")).agg(F.max("rows"), F.count("*")).first()
     assert told[1] == 200 and told[0] <= most
+    spark.conf.unset(KEY)
+    assert corpus_pipeline.STAGES[-1][0] == "tokens"
+    corpus_pipeline.tokens(spark, _texts(spark).selectExpr("1L AS doc_id", "text", "'' AS lang", "'' AS source"), "")
+    assert spark.conf.get(KEY) == str(frames.BATCH_BYTES)
     found = [r["rows"] for r in _texts(spark).mapInArrow(run, "rows long").collect()]
     assert sum(found) == 200 and max(found) <= most
 
@@ -33,7 +38,7 @@ def test_batches_of_whole_texts_are_bounded(spark):
 def test_a_smaller_bound_of_the_session_holds(spark):
     spark.conf.set(KEY, "1m")
     try:
-        frames.prepare(spark)
+        frames.bound_batches(spark)
         assert spark.conf.get(KEY) in ("1m", str(1 << 20), f"{1 << 20}b")
     finally:
         spark.conf.unset(KEY)
