@@ -64,6 +64,10 @@ PARTS = 3
 HELD = 1_000_000
 SENT = 100_000
 COUNTED = 1 << 20
+# Tokens per group of keys (a power of two of groups) and keys per part of a
+# bitmap, as groups are counted and parts marked at once.
+GROUP = 1 << 19
+PART = 1 << 22
 
 
 class Tokens(NamedTuple):
@@ -106,53 +110,89 @@ def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     return out
 
 
-def _combined(texts: DataFrame, rows_of: Callable[[Tokens], list[np.ndarray]], names: list[str], key: bool) -> DataFrame:
-    """Counts (``names``, n) of the rows (key, values..) of all tokens: added
-    up per task, then by Spark. The rows go straight into the shuffle, as
-    adding them up in the task once more would find next to nothing. ``key``:
-    the first of ``names`` is the key itself."""
+def _added_up(
+    batches: Iterable[pa.RecordBatch], rows_of: Callable[[Tokens], list[np.ndarray]]
+) -> Iterator[list[np.ndarray]]:
+    """Rows (key, values.., n) of all tokens of a task, added up by key as far
+    as it holds them."""
+    parts, size = [], 0
+    for batch in batches:
+        for piece in pieces(batch, 0, COUNTED):
+            rows = rows_of(tokens_of(piece.column(0)))
+            parts.append(_merged([[*rows, np.ones(len(rows[0]), np.int64)]]))
+            size += len(parts[-1][0])
+            if size > HELD:
+                parts = [_merged(parts)]
+                size = len(parts[0][0])
+                if size > HELD // 2:
+                    yield parts.pop()
+                    size = 0
+    if parts:
+        yield _merged(parts)
 
-    def out(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        columns = [pa.array(x.view(np.int64)) for x in rows[0 if key else 1 :]]
-        batch = pa.record_batch(columns, names=[*names, "n"])
-        for i in range(0, batch.num_rows, SENT):
-            yield batch.slice(i, SENT)
+
+def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFrame:
+    """Counts (key, n) of all tokens' keys: added up per task, then by Spark.
+    The rows go straight into the shuffle, as adding them up in the task once
+    more would find next to nothing."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            for piece in pieces(batch, 0, COUNTED):
-                rows = rows_of(tokens_of(piece.column(0)))
-                parts.append(_merged([[*rows, np.ones(len(rows[0]), np.int64)]]))
-                size += len(parts[-1][0])
-                if size > HELD:
-                    parts = [_merged(parts)]
-                    size = len(parts[0][0])
-                    if size > HELD // 2:
-                        yield from out(parts.pop())
-                        size = 0
-        if parts:
-            yield from out(_merged(parts))
-
-    counted = texts.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
-    return counted.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n"))
+        for rows in _added_up(batches, lambda t: [keys_of(t)]):
+            batch = pa.record_batch([pa.array(x.view(np.int64)) for x in rows], names=["key", "n"])
+            for i in range(0, batch.num_rows, SENT):
+                yield batch.slice(i, SENT)
 
+    counted = texts.mapInArrow(run, "key long, n long")
+    return counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
-def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFrame:
-    return _combined(texts, lambda t: [keys_of(t)], ["key"], True)
+
+def _packed(group: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows with ascending ``group``, as rows (g, x0, x1, ..) of bytes, one for
+    every group: that many times fewer rows to shuffle."""
+    for i in range(0, len(group), SENT):
+        first = runs(group[i : i + SENT])
+        ends = np.append(first, len(group[i : i + SENT]))
+        packed = []
+        for c in columns:
+            offsets = pa.py_buffer((ends * c.itemsize).astype(np.int32))
+            packed.append(pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(c[i : i + SENT])]))
+        yield pa.record_batch([pa.array(group[i + first]), *packed], names=["g", *(f"x{k}" for k in range(len(columns)))])
 
 
-def grams_of(t: Tokens) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
-    """(key, left part, right part) of the pair that ends at each token, and
-    of the triple that ends at each but a text's first. The parts of a pair
-    are words, those of a triple are pairs."""
+def _unpacked(table: pa.Table, name: str, dtype: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype) for x in table.column(name)])
+
+
+def _count_repeated(
+    texts: DataFrame, rows_of: Callable[[Tokens], list[np.ndarray]], level: int, total: int
+) -> DataFrame:
+    """(left, right, n) of the rows (key, left, right) of all tokens that come
+    ``LEAST`` times: added up per task, then per group of keys. There are as
+    many groups as the ``total`` tokens need, so none grows with the corpus."""
+    bits = max(0, total // GROUP).bit_length()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, left, right, n in _added_up(batches, rows_of):
+            group = (key >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+            yield from _packed(group, left, right, n.astype(np.int32))
+
+    def add_up(table: pa.Table) -> pa.Table:
+        left, right, n = _unpacked(table, "x0", U64), _unpacked(table, "x1", U64), _unpacked(table, "x2", np.int32)
+        _, left, right, n = _merged([[_joined(left, right, level), left, right, n.astype(np.int64)]])
+        often = n >= LEAST
+        return pa.table({"left": left[often].view(np.int64), "right": right[often].view(np.int64), "n": n[often]})
+
+    packed = texts.mapInArrow(run, "g long, x0 binary, x1 binary, x2 binary")
+    return packed.groupBy("g").applyInArrow(add_up, "left long, right long, n long")
+
+
+def pairs_of(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, left part, right part) of the pair that ends at each token. The
+    parts of a pair are words, those of a triple are pairs."""
     left = np.empty_like(t.hash)
     left[1:] = t.hash[:-1]
     left[t.first] = START
-    pair = _joined(left, t.hash, 2)
-    deep = np.flatnonzero(~t.first)
-    before, here = pair[deep - 1], pair[deep]
-    return (pair, left, t.hash), (_joined(before, here, 3), before, here)
+    return _joined(left, t.hash, 2), left, t.hash
 
 
 def _joined(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
@@ -162,46 +202,81 @@ def _joined(left: np.ndarray, right: np.ndarray, level: int) -> np.ndarray:
 class Marks:
     """A bitmap of keys: what isn't marked isn't there."""
 
-    def __init__(self, words: np.ndarray, bits: np.ndarray) -> None:
-        self.bits = np.zeros(MARKS // 64, U64)
-        self.bits[words] = bits.view(U64)
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
 
     def may_have(self, keys: np.ndarray) -> np.ndarray:
         slot = _slot_of(keys)
-        return (self.bits[slot >> 6] >> (slot & 63).astype(U64)) & U64(1) != 0
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) != 0
 
 
 def _slot_of(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.view(U64) ^ U64(END)) >> U64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+    """The first bits of a key, which is a hash already."""
+    return (keys.view(U64) >> U64(64 - MARKS.bit_length() + 1)).astype(np.int64)
 
 
 def _marks(keys: DataFrame) -> Marks:
-    """Bitmap of the column ``key``: every task marks its own keys, the marks
-    are joined by ``bit_or``. The driver gets ``MARKS`` bits at most."""
+    """Bitmap of the column ``key``: every task packs the bits of its keys by
+    part of the bitmap, and every part is put together in one group, whose
+    size the bitmap bounds. The driver gets ``MARKS`` bits."""
+
+    def out(slots: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        slot = np.unique(np.concatenate(slots))
+        yield from _packed(slot // PART, (slot % PART).astype(np.int32))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, size = [], 0
         for batch in batches:
-            slot = np.unique(_slot_of(batch.column(0).to_numpy()))
-            if len(slot):
-                head = np.flatnonzero(np.diff(slot >> 6, prepend=-1))
-                bits = np.bitwise_or.reduceat(U64(1) << (slot & 63).astype(U64), head)
-                yield pa.record_batch([pa.array(slot[head] >> 6), pa.array(bits.view(np.int64))], names=["word", "bits"])
+            slots.append(_slot_of(batch.column(0).to_numpy()))
+            size += len(slots[-1])
+            if size > HELD:
+                yield from out(slots)
+                slots, size = [], 0
+        if slots:
+            yield from out(slots)
+
+    def put_together(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(PART, bool)
+        for batch in batches:
+            for x in batch.column("x0"):
+                seen[np.frombuffer(x.as_buffer(), np.int32)] = True
+        bits = np.packbits(seen, bitorder="little").tobytes()
+        yield pa.record_batch([pa.array([key[0].as_py()]), pa.array([bits])], names=["g", "bits"])
 
-    marked = keys.select("key").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    table = marked.toArrow()
-    return Marks(table.column("word").to_numpy(), table.column("bits").to_numpy())
+    packed = keys.select("key").mapInArrow(run, "g long, x0 binary")
+    bits = np.zeros(-(-MARKS // PART) * PART // 8, np.uint8)
+    table = packed.groupBy("g").applyInArrow(put_together, "g long, bits binary").toArrow()
+    for g, part in zip(table.column("g").to_pylist(), table.column("bits"), strict=True):
+        bits[g * (PART // 8) :][: PART // 8] = np.frombuffer(part.as_buffer(), np.uint8)
+    return Marks(bits)
 
 
-def _count_grams(texts: DataFrame, level: int, frequent) -> DataFrame:
+def _count_grams(texts: DataFrame, level: int, frequent, total: int) -> DataFrame:
     """(left, right, n) of the pairs or triples that are arcs. ``frequent``:
     broadcast bitmap of the words or pairs that are seen ``LEAST`` times."""
 
-    def rows_of(t: Tokens) -> list[np.ndarray]:
-        key, left, right = grams_of(t)[level - 2]
-        may = (frequent.value.may_have(left) | (left == U64(START))) & frequent.value.may_have(right)
+    def pairs(t: Tokens) -> list[np.ndarray]:
+        key, left, right = pairs_of(t)
+        marked = frequent.value.may_have(t.hash)
+        may = marked.copy()
+        may[1:] &= marked[:-1] | t.first[1:]
         return [key[may], left[may], right[may]]
 
-    return _combined(texts, rows_of, ["left", "right"], False).where(F.col("n") >= LEAST)
+    def triples(t: Tokens) -> list[np.ndarray]:
+        pair = pairs_of(t)[0]
+        here = _both(frequent.value.may_have(pair), t)
+        left, right = pair[here - 1], pair[here]
+        return [_joined(left, right, 3), left, right]
+
+    return _count_repeated(texts, pairs if level == 2 else triples, level, total)
+
+
+def _both(pairs: np.ndarray, t: Tokens) -> np.ndarray:
+    """Tokens at which a triple ends whose parts are among ``pairs`` (by the
+    token at which they end)."""
+    may = np.zeros(len(pairs), bool)
+    may[1:] = pairs[1:] & pairs[:-1] & ~t.first[1:]
+    return np.flatnonzero(may)
 
 
 def _key(level: int) -> Column:
@@ -247,7 +322,7 @@ def gram_weights(
 
     def counted(level: int, keys: DataFrame) -> DataFrame:
         frequent = spark.sparkContext.broadcast(_marks(keys.where(F.col("n") >= LEAST)))
-        found = tables.keep(_count_grams(texts, level, frequent))
+        found = tables.keep(_count_grams(texts, level, frequent, total))
         frequent.destroy()
         return found
 
@@ -506,16 +581,21 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
         for piece in pieces(pa.record_batch([text], names=["text"]), 0):
             t = tokens_of(piece.column(0))
             n = piece.num_rows
-            pairs, triples = grams_of(t)
-            key = np.concatenate([t.hash, pairs[0], triples[0]])
-            of = np.concatenate([t.text, t.text, t.text[~t.first]])
+            pair = pairs_of(t)[0]
+            there = marks.may_have(pair)
+            both = _both(there, t)
+            triple = _joined(pair[both - 1], pair[both], 3)
+            # What isn't marked has no weight; a triple's parts have one, too.
+            word_there, triple_there = marks.may_have(t.hash), marks.may_have(triple)
+            key = np.concatenate([t.hash[word_there], pair[there], triple[triple_there]])
+            of = np.concatenate([t.text[word_there], t.text[there], t.text[both[triple_there]]])
             here, base, weight = front.find(key)
-            known = here[: len(t.hash)]
+            words = int(word_there.sum())
+            known = of[:words][here[:words]]
             rest = np.flatnonzero(~here)
-            rest = rest[marks.may_have(key[rest])]
             rest = rest[np.argsort(of[rest], kind="stable")]
             ends = np.searchsorted(of[rest], np.arange(n + 1)).astype(np.int32)
-            n_tokens, n_known = np.bincount(t.text, minlength=n), np.bincount(t.text[known], minlength=n)
+            n_tokens, n_known = np.bincount(t.text, minlength=n), np.bincount(known, minlength=n)
             parts.append(
                 pa.StructArray.from_arrays(
                     [

@@ -30,10 +30,13 @@ class HashIndex:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Position of each key, -1 where it isn't there."""
         want = np.ascontiguousarray(keys).astype(U64)
-        out = np.full(len(want), -1, np.int32)
         if not len(self.keys):
-            return out
-        todo, slot = np.arange(len(want)), self._slot(want)
+            return np.full(len(want), -1, np.int32)
+        slot = self._slot(want)
+        out = self.at[slot]  # most keys are done with the first slot
+        todo = np.flatnonzero((out >= 0) & (self.keys[out] != want))
+        out[todo] = -1
+        slot, want = (slot[todo] + 1) & self.mask, want[todo]
         while len(todo):
             at = self.at[slot]
             some = at >= 0

@@ -141,3 +141,40 @@ def test_scores_use_every_repeated_n_gram_whatever_is_sent(spark, make_docs, voc
         word, value = model.read(B.tokens_of(pa.array([t or ""])))
         want = value.sum() + (word < 0).sum() * -math.log10(total + distinct + 1)
         assert got[d] == pytest.approx(want, abs=1e-9), (d, t)
+
+
+@pytest.mark.parametrize("group", [4, 1 << 19])
+def test_repeated_n_grams_are_shuffled_in_packed_groups(spark, monkeypatch, group):
+    """Counts of all pairs and triples that repeat, without a shuffled row per
+    pair or triple."""
+    monkeypatch.setattr(B, "GROUP", group)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 7)) for _ in range(40)] + ["", "z"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    counts, total, _, _ = B.count_words(df)
+    hashes = lambda t: [B.START, *map(int, B.tokens_of(pa.array([t])).hash)]
+    seen = collections.Counter(p for t in texts for p in zip(hashes(t), hashes(t)[1:]))
+    words = spark.sparkContext.broadcast(B._marks(counts.where("n >= 2")))
+    got = B._count_grams(df, 2, words, total)
+    plan = got._jdf.queryExecution().toString()
+    assert "hashpartitioning(g" in plan and "hashpartitioning(left" not in plan
+    unsigned = lambda x: x & (1 << 64) - 1
+    rows = {(unsigned(r.left), unsigned(r.right)): r.n for r in got.collect()}
+    assert rows == {p: n for p, n in seen.items() if n >= 2}
+
+    key = lambda p: int(B._joined(*(np.array([x], np.uint64) for x in p), 2)[0])
+    kept = spark.createDataFrame([(B._signed(key(p)),) for p in rows], "key long")
+    three = collections.Counter(
+        (key(h[i : i + 2]), key(h[i + 1 : i + 3])) for h in map(hashes, texts) for i in range(len(h) - 2)
+    )
+    got = B._count_grams(df, 3, spark.sparkContext.broadcast(B._marks(kept)), total).collect()
+    assert {(unsigned(r.left), unsigned(r.right)): r.n for r in got} == {p: n for p, n in three.items() if n >= 2}
+
+
+def test_index_finds_every_key_and_no_other():
+    from lookout.llm.lookup import HashIndex
+
+    keys = np.random.default_rng(1).integers(0, 1 << 40, 5000)
+    keys = np.unique(keys)
+    assert HashIndex(keys).find(np.append(keys, keys + (1 << 41))).tolist() == [*range(len(keys)), *[-1] * len(keys)]
+    assert HashIndex(np.zeros(0, np.uint64)).find(keys).tolist() == [-1] * len(keys)
