@@ -6,14 +6,20 @@ the query's direction, without changing the order.
 
 *Index.* ``LINES`` random lines; each keeps all projections of a block in one
 sorted array. *Search.* A query opens a window around its own projection on
-every line; vectors inside collide with it. Virtual rehashing widens all
-windows step by step, and each step counts only what newly came in. A vector
-that collides on ``SHARE`` of the lines is verified: its inner product is
-computed on the original vectors in double precision. A query ends when its
+every line; vectors inside collide with it. A vector that collides on ``SHARE``
+of the lines is verified by its inner product with the query. Virtual rehashing
+widens all windows step by step; the query ends with the first step at which its
 k-th best is nearer than the half-width of the windows (a vector at just that
-distance then collides on 68 % of the lines, a random one on fewer), or when
-the windows are as wide as two points can be apart; then all are verified. So nothing is capped: a thousand equal
-vectors collide alike and are all verified.
+distance then collides on 68 % of the lines, a random one on fewer), or when the
+windows are as wide as two points can be apart; then all are verified. What
+ends a query at one step ends it at all wider ones, so the first such step is
+looked for from the step of the query before, up or down. Narrow windows are read
+off the sorted arrays; once they hold more than one in ``WIDE`` of all
+projections, comparing all of them in a row counts the same and is faster.
+Verified vectors are ordered by single-precision products; all that could be
+among the ``k`` best by these get theirs on the original vectors in double
+precision. Nothing is capped: a thousand equal vectors collide alike and are
+all verified.
 
 *Blocks.* Every vector is in one block of about ``BLOCK`` vectors; every
 query visits every block, in groups of about ``QUERIES``, so each task holds
@@ -43,6 +49,8 @@ QUERIES = 1024
 # Half-widths of the windows, as distances in the unit ball: first, factor,
 # last (a point and a direction are two apart at most).
 RADII = (0.6, 1.15, 2.3)
+# One in so many projections inside the windows makes them wide.
+WIDE = 8
 
 
 class Block:
@@ -64,41 +72,73 @@ class Block:
         shift = np.arange(lines) * self.gap
         self.values = (np.take_along_axis(p, rank, axis=0) + shift).T.reshape(-1)
         self.rank = np.ascontiguousarray(rank.T).reshape(-1)
+        # For wide windows and first products, in single precision.
+        self.rows, self.ball = np.ascontiguousarray(p.T, np.float32), ball.astype(np.float32)
+        self.away, self.inside = np.empty_like(self.rows), np.empty(self.rows.shape, bool)  # filled by every query
+        self.radii = [RADII[0]]
+        while self.radii[-1] < RADII[2]:
+            self.radii.append(self.radii[-1] * RADII[1])
+        self.step = 0  # at which the last query ended
+        self.blur = (x.shape[1] + 8) * float(np.finfo(np.float32).eps)  # bound of the products' error
+
+    def _hits(self, middle: np.ndarray, radius: float, apart: bool) -> tuple[np.ndarray, bool]:
+        """Lines on which each vector is in the window of this half-width, and
+        whether ``away`` holds this query's distances (``apart``: before)."""
+        m, n = self.rows.shape
+        center = middle + np.arange(m) * self.gap
+        lo, hi = np.searchsorted(self.values, center - radius), np.searchsorted(self.values, center + radius, side="right")
+        if WIDE * int((hi - lo).sum()) <= n * m:
+            inside = [self.rank[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+            return np.bincount(np.concatenate(inside), minlength=n), apart
+        if not apart:
+            np.subtract(self.rows, middle.astype(np.float32)[:, None], out=self.away)
+            np.abs(self.away, out=self.away)
+        np.less_equal(self.away, np.float32(radius), out=self.inside)
+        return np.add.reduce(self.inside.view(np.uint8), axis=0, dtype=np.uint8 if m < 256 else np.int64), True
 
     def search(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, inner products) of the k nearest vectors found for ``q``
         other than the one with id ``own``, nearest first."""
-        n, m = len(self.ids), self.lines.shape[1]
-        need = int(np.ceil(SHARE * m))
-        length = float(np.sqrt((q**2).sum()))
-        center = (q / length) @ self.lines[:-1] + np.arange(m) * self.gap
-        hits = np.zeros(n, np.int64)
-        done = self.ids == own
-        found, value = np.zeros(0, np.int64), np.zeros(0)
-        lo = hi = np.searchsorted(self.values, center)
-        radius = RADII[0]
-        while True:
-            new_lo = np.searchsorted(self.values, center - radius)
-            new_hi = np.searchsorted(self.values, center + radius, side="right")
-            left, right = zip(new_lo.tolist(), lo.tolist(), strict=True), zip(hi.tolist(), new_hi.tolist(), strict=True)
-            fresh = [self.rank[a:b] for a, b in (*left, *right)]
-            hits += np.bincount(np.concatenate(fresh), minlength=n)
-            lo, hi = new_lo, new_hi
-            last = radius >= RADII[2]
-            near = np.flatnonzero((hits >= (0 if last else need)) & ~done)
-            done[near] = True
-            found = np.concatenate([found, near])
-            value = np.concatenate([value, (self.x[near] * q).sum(axis=1)])
+        need = int(np.ceil(SHARE * self.lines.shape[1]))
+        unit = q / float(np.sqrt((q**2).sum()))
+        middle, short = unit @ self.lines[:-1], unit.astype(np.float32)
+        other = self.ids != own
+        verified, value = ~other, np.zeros(len(other), np.float32)
+        apart = False
+
+        def found(step: int) -> tuple[np.ndarray, float, bool]:
+            """Vectors verified by then, the k-th best product, whether it ends here."""
+            nonlocal apart
+            last = step == len(self.radii) - 1
             if last:
-                break
-            if len(found) >= k:
-                kth = np.partition(value, len(value) - k)[len(value) - k]
-                # |unit - ball|^2 = 2 - 2 <unit, ball>, for the k-th best
-                if np.sqrt(max(0.0, 2.0 - 2.0 * kth / (length * self.reach))) <= radius:
+                near = np.flatnonzero(other)
+            else:
+                hits, apart = self._hits(middle, self.radii[step], apart)
+                near = np.flatnonzero((hits >= need) & other)
+            new = near[~verified[near]]
+            verified[new] = True
+            value[new] = self.ball[new] @ short
+            if len(near) < k:
+                return near, -2.0, last
+            kth = float(np.partition(value[near], len(near) - k)[len(near) - k])
+            # |unit - ball|^2 = 2 - 2 <unit, ball>, for the k-th best
+            return near, kth, last or np.sqrt(max(0.0, 2.0 - 2.0 * kth)) <= self.radii[step]
+
+        near, kth, ends = found(self.step)
+        if ends:
+            while self.step:
+                fewer, its, ends = found(self.step - 1)
+                if not ends:
                     break
-            radius *= RADII[1]
-        best = np.lexsort((self.ids[found], -value))[:k]
-        return self.ids[found][best], value[best]
+                self.step, near, kth = self.step - 1, fewer, its
+        else:
+            while not ends:
+                self.step += 1
+                near, kth, ends = found(self.step)
+        near = near[value[near] >= kth - 2 * self.blur]
+        exact = (self.x[near] * q).sum(axis=1)
+        best = np.lexsort((self.ids[near], -exact))[:k]
+        return self.ids[near][best], exact[best]
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:

@@ -94,3 +94,47 @@ def test_query_on_embeddings(spark):
     want = brute(ids, x, [int(i) for i in ids if i % 20 == 0], 20)
     got = found(op4(spark, SF01))
     assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def step_by_step(block, q, own, k):
+    """Every step from the first, with full products of all that collided."""
+    length, lines = np.sqrt((q**2).sum()), block.lines
+    norm2 = (block.x**2).sum(axis=1)
+    extra = np.sqrt(np.maximum(0.0, 1.0 - norm2 / block.reach**2))
+    p = (block.x / block.reach) @ lines[:-1] + extra[:, None] * lines[-1]
+    away = np.abs(p - (q / length) @ lines[:-1])
+    value = (block.x * q).sum(axis=1)
+    radius = A.RADII[0]
+    while True:
+        last = radius >= A.RADII[2]
+        hits = (away <= radius).sum(axis=1)
+        near = np.flatnonzero((last | (hits >= np.ceil(A.SHARE * lines.shape[1]))) & (block.ids != own))
+        best = near[np.lexsort((block.ids[near], -value[near]))][:k]
+        if last or (len(best) == k and np.sqrt(max(0.0, 2 - 2 * value[best[-1]] / (length * block.reach))) <= radius):
+            return block.ids[best].tolist(), value[best].tolist()
+        radius *= A.RADII[1]
+
+
+@pytest.mark.parametrize("wide", [0, 8, 1 << 40])  # never, as set, always
+def test_a_search_starts_where_the_last_one_ended(monkeypatch, wide):
+    """The result is that of all steps in turn, in two or three steps a query."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 32))
+    x[:300] = x[300] + 0.05 * rng.normal(size=(300, 32))  # these end at early steps
+    x[700:760] = x[699]
+    block = A.Block(np.arange(1500), x)
+    queries = [*range(800, 860), *range(5), 699, 300, 900, *range(10, 15)]
+    monkeypatch.setattr(A, "WIDE", wide)
+    looked, count = [], A.Block._hits
+    monkeypatch.setattr(A.Block, "_hits", lambda self, *a: (looked.append(1), count(self, *a))[1])
+    for i in queries:
+        got = block.search(block.x[i], int(block.ids[i]), 20)
+        assert (got[0].tolist(), got[1].tolist()) == step_by_step(block, block.x[i], int(block.ids[i]), 20)
+    looked.clear()
+    ends = set()
+    for i in range(800, 860):
+        block.search(block.x[i], int(block.ids[i]), 20)
+        ends.add(block.step)
+    assert len(looked) <= 3 * 60 and min(ends) >= 4
+    few = A.Block(np.arange(5), x[:5])
+    assert few.search(x[0], 0, 20)[0].tolist() == step_by_step(few, few.x[0], 0, 20)[0]
