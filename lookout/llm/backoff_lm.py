@@ -14,14 +14,16 @@ the corpus; reading a token follows an arc, and where there is none the
 failure arc to the state of the next shorter suffix, whose weight the state
 carries. Arcs out of a state hold the discounted estimates, and failure
 weights make every state's distribution sum to one. States and arcs are Spark
-tables (``gram_weights``), fitted by joins.
+tables, fitted by joins, and one table of packed groups of keys in the end
+(``gram_weights``).
 *Scoring.* Parts of a kept n-gram are kept too. So the log probability of a
 token is a sum of weights that belong to one n-gram each: its own estimate
 and failure weight, and for every longer kept n-gram what its arc differs
 from the failure path. Each text is read once; the weights of the most
 frequent n-grams (``vocabulary`` words, ``arcs`` pairs and triples) are sent
 to the executors, with a bitmap of all that there are; the other n-grams of a
-row that are marked are joined with the tables, a part of the keys at a time.
+row that are marked meet the table's in their group, a part of the groups at a
+time.
 What is sent only saves shuffling and changes no score. Tables are deleted and
 shuffle files freed as soon as the next step stands.
 
@@ -40,6 +42,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +71,8 @@ COUNTED = 1 << 20
 # bitmap, as groups are counted and parts marked at once.
 GROUP = 1 << 19
 PART = 1 << 22
+# Bits of the number of groups where the number of tokens isn't known yet.
+GROUP_BITS = 12
 
 
 class Tokens(NamedTuple):
@@ -132,18 +137,88 @@ def _added_up(
 
 
 def _count(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFrame:
-    """Counts (key, n) of all tokens' keys: added up per task, then by Spark.
-    The rows go straight into the shuffle, as adding them up in the task once
-    more would find next to nothing."""
+    """Counts (key, n) of all tokens' keys: added up per task, then per group
+    of keys. A task reads its groups one after the other."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _added_up(batches, lambda t: [keys_of(t)]):
-            batch = pa.record_batch([pa.array(x.view(np.int64)) for x in rows], names=["key", "n"])
-            for i in range(0, batch.num_rows, SENT):
-                yield batch.slice(i, SENT)
+        for key, n in _added_up(batches, lambda t: [keys_of(t)]):
+            yield from _by_group(_group_of(mix(key), GROUP_BITS), key.view(np.int64), n)
+
+    def counted(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, n = _merged(parts)
+        yield pa.record_batch([pa.array(key), pa.array(n)], names=["key", "n"])
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, parts, size, least = None, [], 0, HELD
+        for g, columns in _in_runs(batches, [np.int64, np.int64], "g"):
+            if g != group and parts:
+                yield from counted(parts)
+                parts, size, least = [], 0, HELD
+            group = g
+            parts.append(columns)
+            size += len(columns[0])
+            if size > least:
+                parts = [_merged(parts)]
+                size = len(parts[0][0])
+                least = max(HELD, 2 * size)
+        if parts:
+            yield from counted(parts)
+
+    packed = texts.mapInArrow(run, "g long, x0 binary, x1 binary")
+    return packed.repartition("g").sortWithinPartitions("g").mapInArrow(add_up, "key long, n long")
+
+
+def _bits(total: int) -> int:
+    """Bits of the number of groups that ``total`` tokens need."""
+    return max(0, total // GROUP).bit_length()
+
+
+def _group_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """The first bits of a key that is a hash."""
+    if not bits:
+        return np.zeros(len(key), np.uint16)
+    return (key.view(U64) >> U64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
+
 
-    counted = texts.mapInArrow(run, "key long, n long")
-    return counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+def _by_group(group: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``_packed`` rows in whatever order."""
+    order = np.argsort(group, kind="stable")
+    yield from _packed(group[order].astype(np.int64), *(c[order] for c in columns))
+
+
+def _held(rows: Iterable[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """Rows of a task, about half of ``HELD`` at once."""
+    parts, size = [], 0
+    for columns in rows:
+        parts.append(columns)
+        size += len(columns[0])
+        if size >= HELD // 2:
+            yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts, size = [], 0
+    if size:
+        yield [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def _values(column: pa.Array, first: int, end: int, dtype: type) -> np.ndarray:
+    """Values that the rows ``first`` to ``end`` of a binary column hold."""
+    if first == end:
+        return np.zeros(0, dtype)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset + np.array([first, end])]
+    return np.frombuffer(data, np.uint8)[at[0] : at[1]].view(dtype) if data is not None else np.zeros(0, dtype)
+
+
+def _in_runs(
+    batches: Iterable[pa.RecordBatch], dtypes: list[type], *same: str
+) -> Iterator[tuple[int | tuple, list[np.ndarray]]]:
+    """(value or values of the columns ``same``, values of x0, x1, ..) of runs
+    of packed rows, which ascend by ``same``."""
+    for batch in batches:
+        of = [batch.column(c).to_numpy() for c in same]
+        first = runs(*of)
+        for i, j in zip(first, [*first[1:], batch.num_rows], strict=False):
+            values = [_values(batch.column(f"x{k}"), i, j, d) for k, d in enumerate(dtypes)]
+            yield (int(of[0][i]) if len(of) == 1 else tuple(int(c[i]) for c in of)), values
 
 
 def _packed(group: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -169,12 +244,11 @@ def _count_repeated(
     """(left, right, n) of the rows (key, left, right) of all tokens that come
     ``LEAST`` times: added up per task, then per group of keys. There are as
     many groups as the ``total`` tokens need, so none grows with the corpus."""
-    bits = max(0, total // GROUP).bit_length()
+    bits = _bits(total)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, left, right, n in _added_up(batches, rows_of):
-            group = (key >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
-            yield from _packed(group, left, right, n.astype(np.int32))
+            yield from _packed(_group_of(key, bits).astype(np.int64), left, right, n.astype(np.int32))
 
     def add_up(table: pa.Table) -> pa.Table:
         left, right, n = _unpacked(table, "x0", U64), _unpacked(table, "x1", U64), _unpacked(table, "x2", np.int32)
@@ -216,7 +290,7 @@ def _slot_of(keys: np.ndarray) -> np.ndarray:
 
 
 def _marks(keys: DataFrame) -> Marks:
-    """Bitmap of the column ``key``: every task packs the bits of its keys by
+    """Bitmap of the column ``key`` (packed or not): every task packs the bits of its keys by
     part of the bitmap, and every part is put together in one group, whose
     size the bitmap bounds. The driver gets ``MARKS`` bits."""
 
@@ -227,7 +301,9 @@ def _marks(keys: DataFrame) -> Marks:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, size = [], 0
         for batch in batches:
-            slots.append(_slot_of(batch.column(0).to_numpy()))
+            key = batch.column(0)
+            packed = pa.types.is_binary(key.type)
+            slots.append(_slot_of(_values(key, 0, len(key), np.int64) if packed else key.to_numpy()))
             size += len(slots[-1])
             if size > HELD:
                 yield from out(slots)
@@ -312,9 +388,10 @@ def gram_weights(
     tables: Tables, texts: DataFrame, counts: DataFrame, total: int, distinct: int, rows: int
 ) -> tuple[DataFrame, float]:
     """(key, level, n, base, weight) of all words and of all pairs and triples
-    that are arcs, and the failure weight of the start. ``base`` is a word's
-    unigram estimate (null for others); a text's score is the sum of the
-    weights of its n-grams and of the start."""
+    that are arcs, in packed groups of keys, and the failure weight of the
+    start. ``base`` is a word's unigram estimate (0 for others, which no word's
+    is); a text's score is the sum of the weights of its n-grams and of the
+    start."""
     spark = texts.sparkSession
     log_p = F.log10((F.col("n") - DISCOUNT) / F.col("hist"))
     words = counts.withColumn("p", (F.col("n") + 1.0) / (total + distinct + 1.0))
@@ -327,10 +404,11 @@ def gram_weights(
         return found
 
     seen = counted(2, counts)
-    known = tables.keep(seen.join(_unique(words.select(F.col("key").alias("right"), F.col("p").alias("low"))), "right"))
+    often = words.where(F.col("n") >= LEAST)  # as the parts of an arc are
+    known = tables.keep(seen.join(_unique(often.select(F.col("key").alias("right"), F.col("p").alias("low"))), "right"))
     tables.drop(seen)
     after_word = tables.keep(
-        _histories(known, counts.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin))
+        _histories(known, often.select(F.col("key").alias("left"), F.col("n").alias("hist")).union(begin))
     )
     pairs = tables.keep(
         known.join(_unique(after_word), "left").select(
@@ -346,31 +424,42 @@ def gram_weights(
     after_pair = tables.keep(_histories(known, pairs.select(F.col("key").alias("left"), F.col("n").alias("hist"))))
     fail = lambda t: t.select(F.col("left").alias("key"), "fail")
     more = F.coalesce("fail", F.lit(0.0))
-    none = F.lit(None).cast("double").alias("base")
+    none = F.lit(0.0).alias("base")
     base = F.log10("p")
-    table = tables.keep(
+    no = F.lit(0).cast("long").alias("right")
+    level = lambda k: F.lit(k).cast("byte").alias("level")
+    table = (
         words.join(_unique(fail(after_word)), "key", "left")
-        .select("key", F.lit(1).alias("level"), "n", base.alias("base"), (base + more).alias("weight"))
+        .select(F.col("key").alias("left"), no, level(1), "n", base.alias("base"), (base + more).alias("weight"))
         .union(
             pairs.join(_unique(fail(after_pair)), "key", "left").select(
-                "key", F.lit(2).alias("level"), "n", none, (F.col("more") + more).alias("weight")
+                F.col("key").alias("left"), no, level(2), "n", none, (F.col("more") + more).alias("weight")
             )
         )
         .union(
             known.join(_unique(after_pair), "left").select(
-                _key(3).alias("key"),
-                F.lit(3).alias("level"),
-                "n",
-                none,
-                (log_p - F.col("fail") - F.log10("low")).alias("weight"),
+                "left", "right", level(3), "n", none, (log_p - F.col("fail") - F.log10("low")).alias("weight")
             )
         )
     )
+    bits = _bits(total)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, right, level, *values in _held([c.to_numpy() for c in b.columns] for b in batches):
+            three = level == 3  # a triple has no key yet
+            key[three] = _joined(key[three].view(U64), right[three].view(U64), 3).view(np.int64)
+            yield from _by_group(_group_of(key, bits), key, level, *values)
+
+    table = tables.keep(table.mapInArrow(pack, "g long, x0 binary, x1 binary, x2 binary, x3 binary, x4 binary"))
     start = after_word.where(F.col("left") == _signed(START)).first()
     tables.drop(known, after_word, after_pair, pairs)
     return table, start["fail"] if start else 0.0
 
 
+# Columns x0, x1, .. of a packed table of weights: key, level, n, base, weight.
+WEIGHTS = [np.int64, np.int8, np.int64, np.float64, np.float64]
+
+
 class Front:
     """Weights of the most frequent n-grams, by key."""
 
@@ -387,40 +476,125 @@ class Front:
 
 
 def _front(table: DataFrame, vocabulary: int, arcs: int) -> Front:
-    columns = []
+    """The most frequent n-grams of a packed table."""
+    steps = 1024  # more than there are of a 64-bit number
+
+    def step(n: np.ndarray) -> np.ndarray:
+        return (np.log2(n) * 16).astype(np.int64)
+
+    def histogram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.zeros(4 * steps, np.int64)
+        for batch in batches:
+            _, level, n = (_values(batch.column(f"x{k}"), 0, batch.num_rows, WEIGHTS[k]) for k in range(3))
+            rows += np.bincount(level.astype(np.int64) * steps + step(n), minlength=4 * steps)
+        at = np.flatnonzero(rows)
+        yield pa.record_batch([pa.array(at // steps), pa.array(at % steps), pa.array(rows[at])], names=["level", "s", "rows"])
+
+    counted = table.select("x0", "x1", "x2").mapInArrow(histogram, "level long, s long, rows long")
+    counted = counted.groupBy("level", "s").agg(F.sum("rows").alias("rows")).collect()
+    cuts = np.full(4, steps)
     for level, most in ((1, vocabulary), (2, arcs), (3, arcs)):
-        rows = table.where(F.col("level") == level)
-        step = F.floor(F.log2("n") * 16)
-        cut = _cut(rows, most, 1)
-        if cut is not None:
-            columns.append(rows.where(step >= cut).select("key", F.coalesce("base", F.lit(0.0)), "weight").toArrow())
-    if not columns:
-        return Front(np.zeros(0, U64), np.zeros(0), np.zeros(0))
-    key, base, weight = (np.concatenate([t.column(i).to_numpy() for t in columns]) for i in range(3))
+        cut = _cut([(r["s"], r["rows"]) for r in counted if r["level"] == level], most)
+        cuts[level] = steps if cut is None else cut
+
+    def most_frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, level, n, base, weight = (_values(batch.column(f"x{k}"), 0, batch.num_rows, d) for k, d in enumerate(WEIGHTS))
+            kept = step(n) >= cuts[level]
+            yield pa.record_batch([pa.array(c[kept]) for c in (key, base, weight)], names=["key", "base", "weight"])
+
+    rows = table.drop("g").mapInArrow(most_frequent, "key long, base double, weight double").toArrow()
+    key, base, weight = (rows.column(i).to_numpy() for i in range(3))
     return Front(key.view(U64), base, weight)
 
 
-def _cut(counts: DataFrame, most: int, least: int) -> int | None:
+def _cut(histogram: list[tuple[int, int]], most: int) -> int | None:
     """The smallest step of the counts' logarithm from which on there are
-    ``most`` rows at most, found on a histogram; None if there is none."""
-    step = F.floor(F.log2("n") * 16)
-    histogram = counts.where(F.col("n") >= least).groupBy(step.alias("s")).agg(F.count("*").alias("rows")).collect()
+    ``most`` rows at most, by a histogram (step, rows); None if there is none."""
     left, cut = most, None
-    for r in sorted(histogram, reverse=True):
-        left -= r["rows"]
+    for step, rows in sorted(histogram, reverse=True):
+        left -= rows
         if left < 0:
             break
-        cut = r["s"]
+        cut = step
     return cut
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, bits: int, part: int) -> DataFrame:
+    """(row, low, more, found) of ``rows`` (row, rest), whose ``rest`` holds
+    packed keys: sums of base and weight and number of words of those keys that
+    the packed ``table`` has, for one of ``PARTS`` parts of the groups. In a task
+    the keys asked for follow their group's part of the table."""
+
+    def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def mine() -> Iterator[list[np.ndarray]]:
+            for batch in batches:
+                n, rest = batch.num_rows, batch.column("rest")
+                key = _values(rest, 0, n, np.int64)
+                row = np.repeat(batch.column("row").to_numpy(), pc.binary_length(rest).to_numpy() // 8)
+                here = _group_of(key, bits) % PARTS == part
+                yield [key[here], row[here]]
+
+        for key, row in _held(mine()):
+            yield from _by_group(_group_of(key, bits), key, row)
+
+    def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        row, *values = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(row, kind="stable")
+        row = row[order]
+        head = runs(row)
+        return [row[head], *(np.add.reduceat(v[order], head) if len(head) else v for v in values)]
+
+    def out(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        row, *values = summed(parts)
+        yield from _by_group(_group_of(mix(row), bits), row, *values)
+
+    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, known, front, parts, size = None, [], None, [], 0
+        for (g, kind), (key, a, base) in _in_runs(batches, [np.int64, np.int64, np.float64], "g", "kind"):
+            if g != group:
+                group, known, front = g, [], None
+            if kind == 0:
+                known.append((key, base, a.view(np.float64)))
+                continue
+            if front is None:
+                front = Front(*(np.concatenate(c) for c in zip(*known, strict=True))) if known else Front(key[:0], base[:0], base[:0])
+                known = []
+            here, low, more = front.find(key)
+            low = low[here]
+            parts.append(summed([[a[here], low, more[here], (low != 0).astype(np.int64)]]))
+            size += len(parts[-1][0])
+            if size > HELD:
+                parts = [summed(parts)]
+                size = len(parts[0][0])
+                if size > HELD // 2:
+                    yield from out(parts)
+                    parts, size = [], 0
+        if parts:
+            yield from out(parts)
+
+    def add_up(sums: pa.Table) -> pa.Table:
+        columns = [_unpacked(sums, f"x{k}", d) for k, d in enumerate([np.int64, np.float64, np.float64, np.int64])]
+        return pa.table(dict(zip(["row", "low", "more", "found"], summed([columns]), strict=True)))
+
+    asks = rows.select("row", "rest").mapInArrow(asked, "g long, x0 binary, x1 binary")
+    asks = asks.select("g", F.lit(1).alias("kind"), "x0", "x1", F.lit(b"").alias("x2"))
+    mine = table.where(F.col("g") % PARTS == part)
+    both = mine.select("g", F.lit(0).alias("kind"), "x0", F.col("x4").alias("x1"), F.col("x3").alias("x2")).union(asks)
+    sums = both.repartition("g").sortWithinPartitions("g", "kind").mapInArrow(
+        look_up, "g long, x0 binary, x1 binary, x2 binary, x3 binary"
+    )
+    return sums.groupBy("g").applyInArrow(add_up, "row long, low double, more double, found long")
+
+
 def _most_frequent(counts: DataFrame, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of ``least`` or over the smallest cut-off that leaves
     ``most`` rows at most; the cut-off is found on a histogram of the counts."""
     if least > 1:  # read twice, and much smaller than all counts
         counts = counts.where(F.col("n") >= least).checkpoint()
     step = F.floor(F.log2("n") * 16)
-    cut = _cut(counts, most, least)
+    histogram = counts.where(F.col("n") >= least).groupBy(step.alias("s")).agg(F.count("*").alias("rows"))
+    cut = _cut([(r["s"], r["rows"]) for r in histogram.collect()], most)
     if cut is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kept = counts.where((F.col("n") >= least) & (step >= cut)).toArrow()
@@ -572,10 +746,10 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
     counts, total, distinct, n_texts = count_words(texts, tables)
     table, start = gram_weights(tables, texts, counts, total, distinct, n_texts)
     tables.drop(counts)
-    front, marks = _front(table, vocabulary, arcs), _marks(table)
+    front, marks = _front(table, vocabulary, arcs), _marks(table.select(F.col("x0").alias("key")))
     sent = spark.sparkContext.broadcast((front, marks))
 
-    @F.arrow_udf("n_tokens long, n_known long, base double, score double, n_rare long, rest array<long>")
+    @F.arrow_udf("n_tokens long, n_known long, base double, score double, n_rare long, rest binary")
     def read(text: pa.Array) -> pa.Array:
         (front, marks), parts = sent.value, []
         for piece in pieces(pa.record_batch([text], names=["text"]), 0):
@@ -594,7 +768,7 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
             known = of[:words][here[:words]]
             rest = np.flatnonzero(~here)
             rest = rest[np.argsort(of[rest], kind="stable")]
-            ends = np.searchsorted(of[rest], np.arange(n + 1)).astype(np.int32)
+            ends = 8 * np.searchsorted(of[rest], np.arange(n + 1)).astype(np.int32)
             n_tokens, n_known = np.bincount(t.text, minlength=n), np.bincount(known, minlength=n)
             parts.append(
                 pa.StructArray.from_arrays(
@@ -604,7 +778,7 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
                         pa.array(np.bincount(of, weights=base, minlength=n)),
                         pa.array(np.bincount(of, weights=weight, minlength=n) + start),
                         pa.array(n_tokens - n_known),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(key[rest].view(np.int64))),
+                        pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(key[rest])]),
                     ],
                     names=["n_tokens", "n_known", "base", "score", "n_rare", "rest"],
                 )
@@ -619,11 +793,7 @@ def _score(df: DataFrame, id_col: str, text_col: str, train_where: Column, vocab
     sent.destroy()
     found = []
     for part in range(PARTS):
-        mine = lambda c: F.pmod(c, F.lit(PARTS)) == part  # noqa: B023, E731 - used here
-        keys = rows.select("row", F.explode(F.filter("rest", mine)).alias("key"))
-        weights = table.where(mine(F.col("key"))).select("key", "base", "weight")
-        sums = keys.join(_unique(weights), "key").groupBy("row")
-        found.append(tables.keep(sums.agg(F.sum("base").alias("low"), F.sum("weight").alias("more"), F.count("base").alias("found"))))
+        found.append(tables.keep(_looked_up(rows, table, _bits(total), part)))
     tables.drop(table)
     each = found[0]
     for more in found[1:]:

@@ -171,6 +171,45 @@ def test_repeated_n_grams_are_shuffled_in_packed_groups(spark, monkeypatch, grou
     assert {(unsigned(r.left), unsigned(r.right)): r.n for r in got} == {p: n for p, n in three.items() if n >= 2}
 
 
+@pytest.mark.parametrize("group,held", [(1 << 19, 1_000_000), (4, 10)])
+def test_lookups_and_word_counts_are_shuffled_in_packed_groups(spark, monkeypatch, group, held):
+    """Sums over all keys of every row, without a shuffled row per key; words
+    counted alike."""
+    monkeypatch.setattr(B, "GROUP", group)
+    monkeypatch.setattr(B, "HELD", held)
+    rng = np.random.default_rng(7)
+    keys = np.unique(rng.integers(0, 1 << 63, 60))
+    level = np.where(np.arange(len(keys)) % 3 == 0, 1, 2).astype(np.int8)
+    base, weight = np.where(level == 1, -1.5, 0.0), rng.normal(size=len(keys))
+    bits = B._bits(60)
+    order = np.argsort(B._group_of(keys, bits), kind="stable")
+    columns = [keys, level, np.ones(len(keys), np.int64), base, weight]
+    packed = pa.Table.from_batches(B._by_group(B._group_of(keys, bits)[order], *(c[order] for c in columns)))
+    table = spark.createDataFrame(packed)
+    asked = {r: rng.choice(np.append(keys[::2], keys + 1), 25) for r in (0, 1, 1 << 33, 5)}
+    asked[9] = keys[:0]
+    rows = spark.createDataFrame([(r, k.tobytes()) for r, k in asked.items()], "row long, rest binary").repartition(3)
+    got = collections.defaultdict(lambda: np.zeros(3))
+    for part in range(B.PARTS):
+        out = B._looked_up(rows, table, bits, part)
+        assert "Generate" not in out._jdf.queryExecution().toString()
+        for r in out.collect():
+            got[r.row] += [r.low, r.more, r.found]
+    at = {int(k): i for i, k in enumerate(keys)}
+    for r, k in asked.items():
+        hits = [at[int(x)] for x in k if int(x) in at]
+        assert got[r].tolist() == pytest.approx([base[hits].sum(), weight[hits].sum(), (level[hits] == 1).sum()]), r
+
+    texts = [" ".join(rng.choice([*"abcdefgh", *map(str, range(40))], 9)) for _ in range(30)] + [""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    out = B._count(df, lambda t: t.hash)
+    plan = out._jdf.queryExecution().toString()
+    assert "hashpartitioning(g" in plan and "hashpartitioning(key" not in plan
+    want = collections.Counter(int(h) for h in B.tokens_of(pa.array(texts)).hash)
+    rows = out.collect()
+    assert {r.key & (1 << 64) - 1: r.n for r in rows} == want and len(rows) == len(want)
+
+
 def test_index_finds_every_key_and_no_other():
     from lookout.llm.lookup import HashIndex
 
