@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.frames import OWN, col, prepare, whole_text
-from lookout.llm.words import U64, mix, spread, string_buffer
+from lookout.llm.words import U64, kept, mix, spread, string_buffer
 
 # Pieces and words whose ids a worker keeps, and pairs of tokens.
 CACHE = 40_000
@@ -429,16 +429,9 @@ class Tokenizer:
         return pa.array(texts, pa.binary()).cast(pa.string())
 
 
-_LOADED: dict[str, Tokenizer] = {}
-
-
 def _tokenizer(source: str) -> Tokenizer:
     """The tables of a file, made once per worker (one file is kept)."""
-    key = hashlib.sha256(source.encode()).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Tokenizer(source)
-    return _LOADED[key]
+    return kept(hashlib.sha256(source.encode()).hexdigest(), lambda: Tokenizer(source))
 
 
 def _source(df: DataFrame, path: str):

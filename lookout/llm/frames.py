@@ -14,6 +14,8 @@ from lookout.session import prepare, work_dir
 # Bytes of rows that go to a Python worker at once (one row at least); as much as
 # the operators handle at once.
 BATCH_BYTES = 4 * 1024 * 1024
+# Rows that are read from Parquet at once.
+BATCH_ROWS = 512
 
 # Added columns that a caller never sees start with this.
 OWN = "_llm_"
@@ -22,11 +24,15 @@ OWN = "_llm_"
 def bound_batches(spark: SparkSession) -> None:
     """From here on the session sends rows to Python workers in batches of at
     most ``BATCH_BYTES``: with ten thousand whole texts at once an executor
-    holds a batch several times over. A smaller bound of the session's holds."""
+    holds a batch several times over. For the same reason Parquet is read
+    ``BATCH_ROWS`` rows at a time. Smaller bounds of the session's hold."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", spark.conf.get(key).lower()).groups()
     if int(number) << 10 * " kmgtp".index(unit or " ") > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 
 from lookout.llm.frames import OWN, col, prepare, whole_text
 from lookout.llm.samples import labelled_sample
-from lookout.llm.words import U64, Powers, Words, find_words, mix, pieces, range_hash
+from lookout.llm.words import U64, Powers, Words, drop_idle, find_words, mix, pieces, range_hash
 
 PASSAGE = 50
+# Bytes of texts measured at once (one text at least); their features' scratch
+# takes about thirty times as much.
+MEASURED = 512 * 1024
 PER_CLASS = 4000
 # Passages of the training documents of one label; beyond, there are fewer documents.
 MOST_PASSAGES = 1 << 18
@@ -203,8 +206,9 @@ class Attention:
 
 def _bags(batches):
     """(text, label, draw) -> (label, draw, number of passages, the features of all of them as bytes)."""
+    drop_idle()
     for batch in batches:
-        for piece in pieces(batch, 0):
+        for piece in pieces(batch, 0, MEASURED):
             text, x = features(find_words(piece.column(0)))
             ends = np.searchsorted(text, np.arange(piece.num_rows + 1))
             rows = [x[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -257,6 +261,16 @@ def train(
     return model
 
 
+def _scores(texts: pa.Array, model: Attention) -> pa.Array:
+    """Score of each text."""
+    drop_idle()
+    parts = []
+    for piece in pieces(pa.record_batch([texts], names=["t"]), 0, MEASURED):
+        text, x = features(find_words(piece.column(0)))
+        parts.append(model.forward(x, text, piece.num_rows)["s"])
+    return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+
 def score(df: DataFrame, text_col: str, model: Attention) -> DataFrame:
     """All rows and columns of ``df`` with ``score`` (0 to 1)."""
     prepare(df.sparkSession)
@@ -264,11 +278,7 @@ def score(df: DataFrame, text_col: str, model: Attention) -> DataFrame:
 
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
-        parts = []
-        for piece in pieces(pa.record_batch([texts], names=["t"]), 0):
-            text, x = features(find_words(piece.column(0)))
-            parts.append(sent.value.forward(x, text, piece.num_rows)["s"])
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+        return _scores(texts, sent.value)
 
     return df.withColumn(OWN + "score", of(whole_text(text_col))).select(
         *[col(c) for c in df.columns if c != "score"], F.col(OWN + "score").alias("score")

@@ -49,7 +49,9 @@ WINDOW = 35
 ANCHOR = 8
 CODE_BYTES = 8
 # K-mers of one chunk in step 2.
-CHUNK_EDGES = 700_000
+CHUNK_EDGES = 350_000
+# Bytes of texts whose windows are counted at once (one text at least).
+COUNTED = 1 << 20
 # Classes of anchors; one is hot with more than HOT_EDGES windows, or more than
 # one in HOT_SHARE of all.
 SLOTS = 1 << 16
@@ -91,19 +93,24 @@ def _slot(bucket: np.ndarray) -> np.ndarray:
     return (bucket & U64(SLOTS - 1)).astype(np.int64)
 
 
+def _counted(batches: Iterable[pa.RecordBatch], window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Windows by class of anchors."""
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for piece in pieces(batch, 0, COUNTED):
+            w = find_words(piece.column(0))
+            pos, _ = _windows(w, window)
+            if len(pos):
+                total += np.bincount(_slot(_anchors(w, pos, window, anchor)[0]), minlength=SLOTS)
+    some = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+
+
 def _hot_slots(texts: DataFrame, window: int, anchor: int) -> np.ndarray:
     """Whether a class of anchors is hot, by class; all windows are counted."""
 
     def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for piece in pieces(batch, 0):
-                w = find_words(piece.column(0))
-                pos, _ = _windows(w, window)
-                if len(pos):
-                    total += np.bincount(_slot(_anchors(w, pos, window, anchor)[0]), minlength=SLOTS)
-        some = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+        return _counted(batches, window, anchor)
 
     counts = texts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     slot, n = counts.column("slot").to_numpy(), counts.column("n").to_numpy()

@@ -12,7 +12,8 @@ partition. One text is always kept whole.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,6 +50,35 @@ def _give_back() -> None:
 OWN_PAGES = 4 * 1024 * 1024
 _give_back()
 
+# Seconds after which tables that a worker keeps may go.
+IDLE = 5
+_KEPT: dict[str, tuple[float, object]] = {}
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """The tables of ``make()``, which a worker makes once and keeps for its
+    next tasks (those of one key)."""
+    tables = _KEPT[key][1] if key in _KEPT else None
+    if tables is None:
+        _KEPT.clear()
+        tables = make()
+    _KEPT[key] = (time.monotonic(), tables)
+    return tables
+
+
+def drop_idle() -> None:
+    """For tasks that need no kept tables: workers outlive a stage, and the
+    tables of one that has ended (unasked for in ``IDLE`` seconds) go back to
+    the system instead of adding to what these tasks hold."""
+    old = [k for k, (asked, _) in _KEPT.items() if time.monotonic() - asked > IDLE]
+    for key in old:
+        del _KEPT[key]
+    if old and TaskContext.get() is not None:
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            return  # another C library
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser: every input bit reaches every output bit."""
