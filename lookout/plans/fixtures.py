@@ -62,26 +62,34 @@ def write_png_files(
         else:
             fs, base = pafs.FileSystem.from_uri(root)
         made: set[str] = set()
-        for pdf in batches:
-            ids, paths, sizes = [], [], []
-            for row in pdf.itertuples(index=False):
-                rid, px = row[0], row[1]
-                folder = "/".join([base.rstrip("/")] + [str(v) for v in row[2:]])
-                if folder not in made:
-                    fs.create_dir(folder, recursive=True)
-                    made.add(folder)
-                body = encode_png(np.asarray(px), height, width, channels)
-                target = f"{folder}/{prefix}{rid}.png"
-                # Write under a hidden name, then rename: a watching stream
-                # never lists a half-written file, and a retried or
-                # speculative task just replaces the same content.
-                staging = f"{folder}/.{prefix}{rid}.png.{uuid.uuid4().hex}.tmp"
-                with fs.open_output_stream(staging) as out:
-                    out.write(body)
-                fs.move(staging, target)
-                ids.append(rid)
-                paths.append(target)
-                sizes.append(len(body))
-            yield pd.DataFrame({id_col: ids, "path": paths, "n_bytes": sizes})
+        # Files are written in a hidden folder of the task, then moved: a
+        # watching stream never lists a half-written file, a retried or
+        # speculative task just replaces the same content, and tasks do not
+        # wait for each other's turn in the shared folder while they write.
+        staging = f"{base.rstrip('/')}/.writing-{uuid.uuid4().hex}"
+        try:
+            for pdf in batches:
+                ids, paths, sizes = [], [], []
+                for row in pdf.itertuples(index=False):
+                    rid, px = row[0], row[1]
+                    folder = "/".join([base.rstrip("/")] + [str(v) for v in row[2:]])
+                    if not made:
+                        fs.create_dir(staging, recursive=True)
+                    if folder not in made:
+                        fs.create_dir(folder, recursive=True)
+                        made.add(folder)
+                    body = encode_png(np.asarray(px), height, width, channels)
+                    target = f"{folder}/{prefix}{rid}.png"
+                    draft = f"{staging}/{prefix}{rid}.png"
+                    with fs.open_output_stream(draft) as out:
+                        out.write(body)
+                    fs.move(draft, target)
+                    ids.append(rid)
+                    paths.append(target)
+                    sizes.append(len(body))
+                yield pd.DataFrame({id_col: ids, "path": paths, "n_bytes": sizes})
+        finally:
+            if made:
+                fs.delete_dir(staging)
 
     return df.select(*cols).mapInPandas(write, schema)

@@ -23,9 +23,12 @@ ID_FROM_PATH = r"img_(\d+)\.png$"
 
 
 def export_features(spark, sf, folder_cols=(), frame=None) -> str:
-    """Write the feature table as PNG files (an action) and return the root."""
+    """Write the feature table as PNG files (an action) and return the root.
+    The rows are dealt to all cores first, those of one file to one task: a
+    table may come in one row group."""
     root = work_dir(spark, "images")
     frame = frame if frame is not None else S.features(spark, sf)
+    frame = frame.repartition(spark.sparkContext.defaultParallelism, "vec_id")
     write_png_files(frame, root, "vec_id", "pixels", SIDE, SIDE, 1, folder_cols).count()
     return root
 

@@ -132,18 +132,19 @@ def stream_image_predictions(spark, sf):
     resize, Arrow-batched scoring and the idempotent sink."""
     src = export_features(spark, sf)
     base = work_dir(spark, "image-stream")
-    q = C.start_image_classifier(
-        spark,
-        src,
-        f"{base}/predictions",
-        f"{base}/metrics",
-        f"{base}/checkpoint",
-        height=SIDE,
-        width=SIDE,
-        max_files_per_trigger=IMAGES_PER_TRIGGER,
-    )
-    q.awaitTermination()
-    preds = read_or_empty(spark, f"{base}/predictions", PREDICTION_SCHEMA)
+    with C.many_small_files(spark):
+        q = C.start_image_classifier(
+            spark,
+            src,
+            f"{base}/predictions",
+            f"{base}/metrics",
+            f"{base}/checkpoint",
+            height=SIDE,
+            width=SIDE,
+            max_files_per_trigger=IMAGES_PER_TRIGGER,
+        )
+        q.awaitTermination()
+        preds = read_or_empty(spark, f"{base}/predictions", PREDICTION_SCHEMA)
     return preds.select(F.regexp_extract("image", ID_FROM_PATH, 1).cast("bigint").alias("vec_id"), "prediction")
 
 

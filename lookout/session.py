@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -123,6 +125,22 @@ def prepare_active() -> None:
         prepare(spark)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Inside, the session has these settings; afterwards it has its own again."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables
     (round trips, sinks, stream checkpoints). Never a machine-local temp dir

@@ -21,6 +21,10 @@ from lookout.session import prepare
 # Class folders whose table is broadcast (it is counted first).
 BROADCAST_CLASSES = 100_000
 
+# Files of a listing that a stream keeps for its next batches. When they are used
+# up, every file of the folder is compared with those read already.
+LISTED_AHEAD = 100_000
+
 BINARY_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType(), True),
@@ -115,7 +119,7 @@ def _limited(reader, glob: str | None, max_files: int | None, limits: StreamLimi
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
         limits = limits._replace(max_files=max_files)
-    return reader.options(**limits.options())
+    return reader.option("maxCachedFiles", LISTED_AHEAD).options(**limits.options())
 
 
 def _with_identity(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from lookout.classes import class_dim
 from lookout.functions.images import pixel_vectors
 from lookout.operators.scoring import LinearModel, cached_predict, prediction_text, score_udf, with_scores
-from lookout.session import prepare
+from lookout.session import prepare, settings
 from lookout.sources.images import StreamLimits, image_features, read_image_stream, split_valid
 from lookout.sources.commits import commit, read_committed, snapshot, vacuum, write_attempt
 from lookout.sources.tables import path_exists, read_or_empty
@@ -116,6 +117,29 @@ def _start(df: DataFrame, sink, checkpoint: str, trigger: dict | None, name: str
     return writer.start()
 
 
+# The image source builds a row writer for every file. Compiled, and searched for
+# common expressions, that costs several times the decoding of a small image;
+# interpreted writers copy the same bytes.
+ROW_WRITERS = {"spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.subexpressionElimination.enabled": "false"}
+
+
+def many_small_files(spark: SparkSession) -> AbstractContextManager[None]:
+    """Settings for a session while it streams folders of many small files;
+    the source asks its session for them in every batch. The files of a batch
+    are listed in as many tasks as the session shuffles with (not a task a
+    file) and, opening a file being cheap next to a Python task, read in about
+    as many as there are cores. The list of all files read so far is rewritten
+    every 100 batches (not every 10th)."""
+    return settings(
+        spark,
+        {
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": spark.conf.get("spark.sql.shuffle.partitions"),
+            "spark.sql.files.openCostInBytes": "64k",
+            "spark.sql.streaming.fileSource.log.compactInterval": "100",
+        },
+    )
+
+
 def start_image_classifier(
     spark: SparkSession,
     input_dir: str,
@@ -139,13 +163,15 @@ def start_image_classifier(
     checkpoint resumes after the last committed batch (T3). Undecodable
     files go to ``rejects_dir`` (default: a ``rejects`` folder next to the
     metrics). ``limits`` says what a batch admits and what becomes of files
-    that were read."""
+    that were read. Start it and wait for it inside :func:`many_small_files`
+    where a batch has hundreds of files."""
     prepare(spark)
     rejects_dir = rejects_dir or metrics_dir.rstrip("/").rsplit("/", 1)[0] + "/rejects"
     images = read_image_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger, limits=limits)
     preds = classify_images(images, height, width, make_predict_fn, antialias=antialias, fused=fused)
     sink = BatchSink(output_dir, metrics_dir, fmt, rejects_dir, checkpoint)
-    return _start(preds, sink, checkpoint, trigger, None)
+    with settings(spark, ROW_WRITERS):  # the query keeps those of its start
+        return _start(preds, sink, checkpoint, trigger, None)
 
 
 def start_table_stream(

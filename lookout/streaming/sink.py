@@ -22,12 +22,13 @@ from __future__ import annotations
 import json
 import time
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lookout.session import prepare
-from lookout.sources.commits import EMPTY, Files, commit, csv_options, write_attempt
+from lookout.sources.commits import EMPTY, Files, commit, csv_options, newest_batch, write_attempt, write_row
 
 FIRST_RUN = "first"
 RUN_FILE = "lookout_run"
@@ -81,23 +82,37 @@ class BatchSink:
         self.rejects_dir = rejects_dir
         self.checkpoint = checkpoint
         self._run = None if checkpoint else run_id
+        self._newest: dict[str, int] = {}
 
     def run(self, spark: SparkSession) -> str:
         if self._run is None:
             self._run = run_of(spark, self.checkpoint)
         return self._run
 
+    def commit(self, spark: SparkSession, path: str, batch_id: int, attempt: str) -> None:
+        """A checkpoint has one writer, whose batches come in order: the log,
+        which grows with them, is listed at the first one and for replays."""
+        run = self.run(spark)
+        if self.checkpoint and path not in self._newest:
+            self._newest[path] = newest_batch(spark, path, run)
+        new = bool(self.checkpoint) and batch_id > self._newest[path]
+        commit(spark, path, run, batch_id, attempt, new)
+        if new:
+            self._newest[path] = batch_id
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prepare(spark)
-        obs = Observation(f"batch_{batch_id}")
+        obs, seen = Observation(f"batch_{batch_id}"), Observation(f"batch_{batch_id}_seen")
         start = time.time()
         run = self.run(spark)
         split = "error" in batch.columns
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK) if split else batch
         rejected = EMPTY
         try:
-            good = rows.where(F.col("error").isNull()).drop("error") if split else rows
+            good = rows
+            if split:
+                good = rows.observe(seen, F.count("error").alias("bad")).where(F.col("error").isNull()).drop("error")
             # rebalance: AQE sizes the output files (a few per batch, not one
             # per input task) by shuffling the narrow result rows only
             # (the observation sits above the rebalance: below it, an empty
@@ -106,7 +121,9 @@ class BatchSink:
             attempt = write_attempt(good, self.output_dir, run, batch_id, self.fmt)
             if split and self.rejects_dir:
                 bad = rows.where(F.col("error").isNotNull()).drop("prediction")
-                if not bad.isEmpty():
+                # Most batches have no rejects, and the write above has told so;
+                # if nothing good was left for it, it may have told nothing.
+                if seen.get.get("bad") != 0 and not bad.isEmpty():
                     rejected = write_attempt(bad.hint("rebalance"), self.rejects_dir, run, batch_id, self.fmt)
         finally:
             if split:
@@ -115,17 +132,22 @@ class BatchSink:
         duration_ms = int(round((time.time() - start) * 1000))
         timing = EMPTY
         if n and self.metrics_dir:  # P3: an empty batch leaves no metrics row
-            # One row from literals: a JVM-only plan, no Python worker per batch.
-            metrics = spark.range(1).select(
-                F.lit(n).cast("bigint").alias("num_images"),
-                F.lit(duration_ms).cast("bigint").alias("duration_ms"),
-                (F.lit(float(duration_ms)) / F.lit(n)).alias("ms_per_image"),
-            )
-            timing = write_attempt(metrics, self.metrics_dir, run, batch_id, self.fmt)
+            per_image = duration_ms / n
+            if self.fmt == "parquet":
+                row = {"num_images": n, "duration_ms": duration_ms, "ms_per_image": per_image}
+                timing = write_row(spark, pa.Table.from_pylist([row]), self.metrics_dir, run, batch_id)
+            else:
+                # One row from literals: a JVM-only plan of one task, no Python worker per batch.
+                metrics = spark.range(0, 1, 1, 1).select(
+                    F.lit(n).cast("bigint").alias("num_images"),
+                    F.lit(duration_ms).cast("bigint").alias("duration_ms"),
+                    F.lit(per_image).alias("ms_per_image"),
+                )
+                timing = write_attempt(metrics, self.metrics_dir, run, batch_id, self.fmt)
         # Each table changes at its commit, the predictions last. If the driver
         # is lost in between, Spark runs the batch again and all are replaced.
         if split and self.rejects_dir:
-            commit(spark, self.rejects_dir, run, batch_id, rejected)
+            self.commit(spark, self.rejects_dir, batch_id, rejected)
         if self.metrics_dir:
-            commit(spark, self.metrics_dir, run, batch_id, timing)
-        commit(spark, self.output_dir, run, batch_id, attempt if n else EMPTY)
+            self.commit(spark, self.metrics_dir, batch_id, timing)
+        self.commit(spark, self.output_dir, batch_id, attempt if n else EMPTY)
